@@ -90,3 +90,106 @@ def session_sample(spark, sf):
 def session_sample_detail(spark, sf):
     sample = S.session_sample(_full_info(spark, sf), P.SAMPLE_TOTAL, P.SAMPLE_SEED)
     return render_times(S.session_sample_detail(_actions(spark, sf), sample, P.SAMPLE_TOTAL))
+
+
+# --- categories --------------------------------------------------------------
+from shopflow.operators import category as C  # noqa: E402
+
+
+@query
+def category_touched(spark, sf):
+    return C.category_touched(_actions(spark, sf))
+
+
+@query
+def category_click_counts(spark, sf):
+    return C.category_click_counts(_actions(spark, sf))
+
+
+@query
+def category_order_counts(spark, sf):
+    return C.category_order_counts(_actions(spark, sf))
+
+
+@query
+def category_pay_counts(spark, sf):
+    return C.category_pay_counts(_actions(spark, sf))
+
+
+@query
+def category_full_counts(spark, sf):
+    return C.category_full_counts(_actions(spark, sf))
+
+
+@query
+def category_top10(spark, sf):
+    return C.category_top(C.category_full_counts(_actions(spark, sf)), P.TOP_CATEGORIES)
+
+
+def _session_category_clicks(spark, sf):
+    acts = _actions(spark, sf)
+    return C.session_category_clicks(acts, C.category_top(C.category_full_counts(acts), P.TOP_CATEGORIES))
+
+
+@query
+def session_category_clicks(spark, sf):
+    return _session_category_clicks(spark, sf)
+
+
+@query
+def category_top10_sessions(spark, sf):
+    return C.category_top_sessions(_session_category_clicks(spark, sf), P.TOP_SESSIONS)
+
+
+# --- page conversion ---------------------------------------------------------
+from shopflow.operators import pageflow as G  # noqa: E402
+
+
+@query
+def page_transition_counts(spark, sf):
+    return G.page_transition_counts(_actions(spark, sf))
+
+
+@query
+def page_flow_counts(spark, sf):
+    return G.page_flow_counts(spark, _actions(spark, sf), P.PAGE_FLOW)
+
+
+@query
+def page_conversion(spark, sf):
+    return G.page_conversion(G.page_flow_counts(spark, _actions(spark, sf), P.PAGE_FLOW))
+
+
+@query
+def page_conversion_packed(spark, sf):
+    return G.page_conversion_packed(
+        G.page_conversion(G.page_flow_counts(spark, _actions(spark, sf), P.PAGE_FLOW)))
+
+
+# --- area top products -------------------------------------------------------
+from shopflow.operators import area as A  # noqa: E402
+
+
+def _area_counts(spark, sf):
+    return A.area_product_counts(A.area_clicks(_actions(spark, sf), X.city_area(spark, sf)))
+
+
+@query
+def area_clicks(spark, sf):
+    return A.area_clicks(_actions(spark, sf), X.city_area(spark, sf))
+
+
+@query
+def area_product_counts(spark, sf):
+    return _area_counts(spark, sf)
+
+
+@query
+def area_product_info(spark, sf):
+    return A.area_product_info(_area_counts(spark, sf), X.product_info(spark, sf))
+
+
+@query
+def area_top3_products(spark, sf):
+    info = A.area_product_info(_area_counts(spark, sf), X.product_info(spark, sf))
+    return A.area_top_products(info, P.TOP_PRODUCTS, P.AREA_LEVELS)

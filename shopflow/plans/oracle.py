@@ -209,3 +209,107 @@ select user_id, session_id, page_id, {T.format(c='action_time')} as action_time,
        click_category_id, click_product_id, order_category_ids, order_product_ids, pay_category_ids, pay_product_ids
 from user_visit_action where session_id in (select session_id from session_sample)""",
     "user_visit_action", "session_sample")
+
+# --- categories --------------------------------------------------------------
+cte("category_events", """
+select session_id, 'click' as kind, click_category_id as category_id from user_visit_action where click_category_id <> -1
+union all
+select session_id, 'order', cast(c as bigint) from (select session_id, unnest(string_split(order_category_ids, ',')) as c
+                                                    from user_visit_action where order_category_ids is not null) where c <> ''
+union all
+select session_id, 'pay', cast(c as bigint) from (select session_id, unnest(string_split(pay_category_ids, ',')) as c
+                                                  from user_visit_action where pay_category_ids is not null) where c <> ''""",
+    "user_visit_action")
+cte("category_full_counts", """
+select category_id, count(*) filter (where kind = 'click') as click_count,
+       count(*) filter (where kind = 'order') as order_count,
+       count(*) filter (where kind = 'pay') as pay_count
+from category_events group by category_id""", "category_events")
+cte("category_top10", f"""
+select * from category_full_counts
+order by click_count desc, order_count desc, pay_count desc, category_id asc limit {P.TOP_CATEGORIES}""",
+    "category_full_counts")
+cte("session_category_clicks", """
+select click_category_id as category_id, session_id, count(*) as click_count
+from user_visit_action where click_category_id in (select category_id from category_top10)
+group by click_category_id, session_id""", "user_visit_action", "category_top10")
+
+SQL["category_touched"] = compose("select distinct category_id from category_events", "category_events")
+for _k, _n in (("click", "click_count"), ("order", "order_count"), ("pay", "pay_count")):
+    SQL[f"category_{_k}_counts"] = compose(
+        f"select category_id, count(*) as {_n} from category_events where kind = '{_k}' group by category_id",
+        "category_events")
+SQL["category_full_counts"] = compose("select * from category_full_counts", "category_full_counts")
+SQL["category_top10"] = compose("select * from category_top10", "category_top10")
+SQL["session_category_clicks"] = compose("select * from session_category_clicks", "session_category_clicks")
+SQL["category_top10_sessions"] = compose(f"""
+select category_id, session_id, click_count
+from (select *, row_number() over (partition by category_id order by click_count desc, session_id asc) as rn
+      from session_category_clicks)
+where rn <= {P.TOP_SESSIONS}""", "session_category_clicks")
+
+# --- page conversion ---------------------------------------------------------
+_flow = [int(p) for p in P.PAGE_FLOW.split(",")]
+_pair_rows = ", ".join(f"({i + 1}, {a}, {b})" for i, (a, b) in enumerate(zip(_flow, _flow[1:])))
+cte("page_flow_pairs", f"select * from (values {_pair_rows}) as t(step, from_page, to_page)")
+cte("page_transitions", """
+select from_page, to_page from (
+  select page_id as from_page,
+         lead(page_id) over (partition by session_id order by action_time, event_id) as to_page
+  from user_visit_action)
+where to_page is not null""", "user_visit_action")
+cte("page_flow_counts", f"""
+select cast(p.step as integer) as step, cast(p.from_page as varchar) || '_' || cast(p.to_page as varchar) as page_pair,
+       coalesce(c.n, 0) as pair_count
+from page_flow_pairs p
+left join (select from_page, to_page, count(*) as n from page_transitions group by from_page, to_page) c
+  on c.from_page = p.from_page and c.to_page = p.to_page
+union all
+select 0, '{_flow[0]}', count(*) from user_visit_action where page_id = {_flow[0]}""",
+    "page_flow_pairs", "page_transitions", "user_visit_action")
+cte("page_conversion", """
+select c.step, c.page_pair, c.pair_count, p.pair_count as prev_count,
+       case when p.pair_count > 0 then c.pair_count / p.pair_count end as convert_rate
+from page_flow_counts c join page_flow_counts p on c.step = p.step + 1
+where c.step > 0""", "page_flow_counts")
+
+SQL["page_transition_counts"] = compose(
+    "select from_page, to_page, count(*) as pair_count from page_transitions group by from_page, to_page",
+    "page_transitions")
+SQL["page_flow_counts"] = compose("select * from page_flow_counts", "page_flow_counts")
+SQL["page_conversion"] = compose("select * from page_conversion", "page_conversion")
+SQL["page_conversion_packed"] = compose(f"""
+select string_agg(page_pair || '=' || case when prev_count > 0 then {_half_up_text('pair_count', 'prev_count', 4)}
+                                           else 'null' end, '|' order by step) as convert_rate
+from page_conversion""", "page_conversion")
+
+# --- area top products -------------------------------------------------------
+cte("area_clicks", """
+select a.city_id, d.city_name, d.area, a.click_product_id as pid
+from user_visit_action a join city_area d on a.city_id = d.city_id
+where a.click_product_id <> -1""", "user_visit_action", "city_area")
+cte("area_product_counts", """
+select area, pid, sum(n) as click_count, string_agg(ci, ',' order by ci) as city_infos
+from (select area, pid, cast(city_id as varchar) || ':' || city_name as ci, count(*) as n
+      from area_clicks group by area, pid, city_id, city_name)
+group by area, pid""", "area_clicks")
+cte("area_product_info", """
+select c.area, c.pid, c.click_count, c.city_infos, p.product_name,
+       case when json_extract_string(p.extend_info, '$.product_status') = '0' then 'Self' else 'Third Party' end
+         as product_status
+from area_product_counts c join product_info p on c.pid = p.product_id""", "area_product_counts", "product_info")
+
+_level_case = " ".join(f"when area = '{a}' then '{lv}'" for a, lv in P.AREA_LEVELS.items())
+SQL["area_clicks"] = compose("select * from area_clicks", "area_clicks")
+SQL["area_product_counts"] = compose(
+    "select area, pid, cast(click_count as bigint) as click_count, city_infos from area_product_counts",
+    "area_product_counts")
+SQL["area_product_info"] = compose(
+    "select area, pid, cast(click_count as bigint) as click_count, city_infos, product_name, product_status "
+    "from area_product_info", "area_product_info")
+SQL["area_top3_products"] = compose(f"""
+select area, case {_level_case} else 'D_Level' end as area_level, pid, city_infos,
+       cast(click_count as bigint) as click_count, product_name, product_status
+from (select *, row_number() over (partition by area order by click_count desc, pid asc) as rn
+      from area_product_info)
+where rn <= {P.TOP_PRODUCTS}""", "area_product_info")

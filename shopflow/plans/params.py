@@ -16,3 +16,4 @@ WINDOW_MINUTES, SLIDE_MINUTES = 60, 1
 AS_OF_DAY = "2024-01-15"
 SPLIT_TS = "2024-01-15 12:00:00"
 STREAM_BATCHES = 4
+AREA_LEVELS = {"AFRICA": "A_Level", "AMERICA": "A_Level", "ASIA": "B_Level", "EUROPE": "C_Level"}
