@@ -193,3 +193,114 @@ def area_product_info(spark, sf):
 def area_top3_products(spark, sf):
     info = A.area_product_info(_area_counts(spark, sf), X.product_info(spark, sf))
     return A.area_top_products(info, P.TOP_PRODUCTS, P.AREA_LEVELS)
+
+
+# --- ad statistics (batch) ---------------------------------------------------
+from pyspark.sql import functions as F  # noqa: E402
+
+from shopflow.operators import ads as D  # noqa: E402
+from shopflow.operators import merge as M  # noqa: E402
+from shopflow.sources.adlog import parse_ad_log  # noqa: E402
+
+
+def _clicks(spark, sf):
+    return parse_ad_log(X.ad_log(spark, sf))
+
+
+def _allowed(spark, sf):
+    return D.ad_clicks_allowed(_clicks(spark, sf), P.AD_THRESHOLD)
+
+
+@query
+def ad_click_log(spark, sf):
+    return _clicks(spark, sf).select(*D.CLICK_COLS)
+
+
+@query
+def ad_user_daily_clicks(spark, sf):
+    return D.ad_user_daily_clicks(_clicks(spark, sf))
+
+
+@query
+def ad_blacklist(spark, sf):
+    return D.ad_blacklist(_clicks(spark, sf), P.AD_THRESHOLD)
+
+
+@query
+def ad_clicks_allowed(spark, sf):
+    return _allowed(spark, sf).select(*D.CLICK_COLS)
+
+
+@query
+def ad_stat(spark, sf):
+    return D.ad_stat(_allowed(spark, sf))
+
+
+@query
+def ad_province_top3(spark, sf):
+    return D.ad_province_top(D.ad_stat(_allowed(spark, sf)), P.TOP_ADS)
+
+
+@query
+def ad_click_trend(spark, sf):
+    return D.ad_click_trend(_allowed(spark, sf))
+
+
+@query
+def ad_recent_hour(spark, sf):
+    return D.ad_recent_hour(_allowed(spark, sf), P.WINDOW_MINUTES)
+
+
+@query
+def ad_hourly_sliding(spark, sf):
+    return D.ad_hourly_sliding(_allowed(spark, sf), P.WINDOW_MINUTES, P.SLIDE_MINUTES)
+
+
+# --- keyed merges: the clicks split at a time; the early part is the stored
+# table, the late part the incoming batch ------------------------------------
+
+def _split(spark, sf):
+    clicks = _clicks(spark, sf)
+    split_ms = F.unix_millis(F.lit(P.SPLIT_TS).cast("timestamp"))
+    return clicks.where(F.col("ts_ms") < split_ms), clicks.where(F.col("ts_ms") >= split_ms), clicks
+
+
+@query
+def lookup_by_key(spark, sf):
+    early, late, _ = _split(spark, sf)
+    batch = D.ad_user_daily_clicks(late).withColumnRenamed("click_count", "batch_count")
+    return M.lookup_by_key(batch, D.ad_user_daily_clicks(early), ["date", "userid", "adid"],
+                           "click_count", "stored_count")
+
+
+@query
+def upsert_add(spark, sf):
+    early, late, _ = _split(spark, sf)
+    return M.upsert_add(D.ad_user_daily_clicks(early), D.ad_user_daily_clicks(late),
+                        ["date", "userid", "adid"], "click_count")
+
+
+_STAT_KEYS = ["date", "province", "city", "adid"]
+
+
+@query
+def upsert_set(spark, sf):
+    early, late, clicks = _split(spark, sf)
+    touched = late.select(*_STAT_KEYS).distinct()
+    updates = D.ad_stat(clicks).join(touched, _STAT_KEYS, "left_semi")
+    return M.upsert_set(D.ad_stat(early), updates, _STAT_KEYS, ["click_count"])
+
+
+@query
+def replace_groups(spark, sf):
+    early, late, clicks = _split(spark, sf)
+    touched = late.select("date", "province").distinct()
+    updates = D.ad_province_top(D.ad_stat(clicks), P.TOP_ADS).join(touched, ["date", "province"], "left_semi")
+    return M.replace_groups(D.ad_province_top(D.ad_stat(early), P.TOP_ADS), updates, ["date", "province"])
+
+
+@query
+def append_distinct(spark, sf):
+    early, _, clicks = _split(spark, sf)
+    return M.append_distinct(D.ad_blacklist(early, P.AD_THRESHOLD), D.ad_blacklist(clicks, P.AD_THRESHOLD),
+                             ["userid"])

@@ -313,3 +313,109 @@ select area, case {_level_case} else 'D_Level' end as area_level, pid, city_info
 from (select *, row_number() over (partition by area order by click_count desc, pid asc) as rn
       from area_product_info)
 where rn <= {P.TOP_PRODUCTS}""", "area_product_info")
+
+# --- ad statistics -------------------------------------------------------------
+_CLICK_COLS = "ts_ms, date, hour, minute, minute_key, province, city, userid, adid"
+cte("ad_click_log", """
+select ts_ms, epoch_ms(ts_ms) as ts, strftime(epoch_ms(ts_ms), '%Y%m%d') as date,
+       strftime(epoch_ms(ts_ms), '%H') as hour, strftime(epoch_ms(ts_ms), '%M') as minute,
+       strftime(epoch_ms(ts_ms), '%Y%m%d%H%M') as minute_key, province, city, userid, adid
+from (select cast(p[1] as bigint) as ts_ms, p[2] as province, p[3] as city,
+             cast(p[4] as bigint) as userid, cast(p[5] as bigint) as adid
+      from (select string_split(value, ' ') as p from ad_log))""", "ad_log")
+cte("ad_blocked", f"""
+select userid, min(ts_ms) as blocked_at
+from (select userid, ts_ms, row_number() over (partition by date, userid, adid order by ts_ms) as rn
+      from ad_click_log)
+where rn = {P.AD_THRESHOLD + 1}
+group by userid""", "ad_click_log")
+cte("ad_allowed", """
+select c.* from ad_click_log c left join ad_blocked b using (userid)
+where b.blocked_at is null or c.ts_ms <= b.blocked_at""", "ad_click_log", "ad_blocked")
+
+
+def _daily(src: str) -> str:
+    return f"select date, userid, adid, count(*) as click_count from {src} group by date, userid, adid"
+
+
+def _stat(src: str) -> str:
+    return f"select date, province, city, adid, count(*) as click_count from {src} group by date, province, city, adid"
+
+
+def _top(stat_src: str) -> str:
+    return f"""
+select date, province, adid, click_count
+from (select *, row_number() over (partition by date, province order by click_count desc, adid asc) as rn
+      from (select date, province, adid, cast(sum(click_count) as bigint) as click_count
+            from ({stat_src}) group by date, province, adid))
+where rn <= {P.TOP_ADS}"""
+
+
+def _blacklist(src: str) -> str:
+    return f"select distinct userid from ({_daily(src)}) where click_count > {P.AD_THRESHOLD}"
+
+
+def _trend(src: str) -> str:
+    return f"select date, hour, minute, adid, count(*) as click_count from {src} group by date, hour, minute, adid"
+
+
+SQL["ad_click_log"] = compose(f"select {_CLICK_COLS} from ad_click_log", "ad_click_log")
+SQL["ad_user_daily_clicks"] = compose(_daily("ad_click_log"), "ad_click_log")
+SQL["ad_blacklist"] = compose(_blacklist("ad_click_log"), "ad_click_log")
+SQL["ad_clicks_allowed"] = compose(f"select {_CLICK_COLS} from ad_allowed", "ad_allowed")
+SQL["ad_stat"] = compose(_stat("ad_allowed"), "ad_allowed")
+SQL["ad_province_top3"] = compose(_top(_stat("ad_allowed")), "ad_allowed")
+SQL["ad_click_trend"] = compose(_trend("ad_allowed"), "ad_allowed")
+SQL["ad_recent_hour"] = compose(_trend(
+    f"(select * from ad_allowed where ts_ms - ts_ms % 60000 > "
+    f"(select max(ts_ms) from ad_allowed) - {P.WINDOW_MINUTES * 60000})"), "ad_allowed")
+_W, _S = P.WINDOW_MINUTES, P.SLIDE_MINUTES
+SQL["ad_hourly_sliding"] = compose(f"""
+select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start,
+       strftime(ws + to_minutes({_W}), '%Y-%m-%d %H:%M:%S') as window_end, adid, count(*) as click_count
+from (select adid, unnest(range(b - to_minutes({_W - _S}), b + to_minutes({_S}), to_minutes({_S}))) as ws
+      from (select adid, time_bucket(to_minutes({_S}), ts) as b from ad_allowed))
+group by ws, adid""", "ad_allowed")
+
+# --- keyed merges -----------------------------------------------------------------
+_split_ms = f"(epoch_us(timestamp '{P.SPLIT_TS}') // 1000)"
+cte("ad_early", f"select * from ad_click_log where ts_ms < {_split_ms}", "ad_click_log")
+cte("ad_late", f"select * from ad_click_log where ts_ms >= {_split_ms}", "ad_click_log")
+
+
+def _tagged_merge(t: str, u: str, keys: str, value: str, agg: str) -> str:
+    return f"""
+select {keys}, {agg} as {value},
+       case when max(in_t) = 1 and max(in_u) = 1 then 'updated' when max(in_u) = 1 then 'inserted' else 'kept' end
+         as action
+from (select {keys}, {value}, 1 as in_t, 0 as in_u from ({t})
+      union all
+      select {keys}, {value}, 0 as in_t, 1 as in_u from ({u}))
+group by {keys}"""
+
+
+SQL["lookup_by_key"] = compose(f"""
+select b.date, b.userid, b.adid, b.click_count as batch_count, coalesce(s.click_count, 0) as stored_count
+from ({_daily('ad_late')}) b left join ({_daily('ad_early')}) s using (date, userid, adid)""",
+    "ad_early", "ad_late")
+SQL["upsert_add"] = compose(_tagged_merge(_daily("ad_early"), _daily("ad_late"), "date, userid, adid",
+                                          "click_count", "cast(sum(click_count) as bigint)"),
+                            "ad_early", "ad_late")
+SQL["upsert_set"] = compose(_tagged_merge(
+    _stat("ad_early"),
+    f"select * from ({_stat('ad_click_log')}) where (date, province, city, adid) in "
+    f"(select (date, province, city, adid) from ad_late)",
+    "date, province, city, adid", "click_count", "arg_max(click_count, in_u)"), "ad_early", "ad_late")
+SQL["replace_groups"] = compose(f"""
+select t.*, 'kept' as action from ({_top(_stat('ad_early'))}) t
+where (date, province) not in (select (date, province) from ad_late)
+union all
+select u.*, case when (u.date, u.province) in (select (date, province) from ({_top(_stat('ad_early'))}))
+                 then 'replaced' else 'inserted' end as action
+from ({_top(_stat('ad_click_log'))}) u
+where (date, province) in (select (date, province) from ad_late)""", "ad_early", "ad_late")
+SQL["append_distinct"] = compose(f"""
+select userid, 'kept' as action from ({_blacklist('ad_early')})
+union all
+select userid, 'inserted' from ({_blacklist('ad_click_log')})
+where userid not in (select userid from ({_blacklist('ad_early')}))""", "ad_early", "ad_late")
