@@ -304,3 +304,55 @@ def append_distinct(spark, sf):
     early, _, clicks = _split(spark, sf)
     return M.append_distinct(D.ad_blacklist(early, P.AD_THRESHOLD), D.ad_blacklist(clicks, P.AD_THRESHOLD),
                              ["userid"])
+
+
+# --- utilities as table jobs -------------------------------------------------
+from shopflow.operators import hygiene as H  # noqa: E402
+from shopflow.operators import sinks as K  # noqa: E402
+from shopflow.session import scratch_dir  # noqa: E402
+
+
+@query
+def session_time_gaps(spark, sf):
+    return H.session_time_gaps(_actions(spark, sf))
+
+
+@query
+def daily_activity(spark, sf):
+    day = P.AS_OF_DAY
+    import datetime as _dt
+    prev = (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
+    return H.daily_activity(X.user_visit_action(spark, sf, prev, day), day)
+
+
+@query
+def clean_id_lists(spark, sf):
+    return H.clean_id_lists(_actions(spark, sf))
+
+
+@query
+def packed_sessions(spark, sf):
+    return H.packed_sessions(render_times(_full_info(spark, sf)))
+
+
+# --- sinks -------------------------------------------------------------------
+
+@query
+def sink_append(spark, sf):
+    """The top categories appended twice under two run ids, read back."""
+    path = scratch_dir(spark, "sink-append")
+    top = category_top10(spark, sf)
+    K.append_result(top, path, "run-1")
+    K.append_result(top, path, "run-2")
+    return K.read_back(spark, path)
+
+
+@query
+def sink_overwrite_table(spark, sf):
+    """The area top products saved as a table twice (drop and recreate)."""
+    path = scratch_dir(spark, "sink-table")
+    name = "area_top3_" + path.rsplit("-", 1)[-1]
+    top = area_top3_products(spark, sf)
+    K.overwrite_table(top, name, path)
+    K.overwrite_table(top, name, path)
+    return spark.table(name)

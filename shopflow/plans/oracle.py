@@ -419,3 +419,74 @@ select userid, 'kept' as action from ({_blacklist('ad_early')})
 union all
 select userid, 'inserted' from ({_blacklist('ad_click_log')})
 where userid not in (select userid from ({_blacklist('ad_early')}))""", "ad_early", "ad_late")
+
+# --- utilities as table jobs -----------------------------------------------------
+SQL["session_time_gaps"] = compose("""
+select session_id, count(*) as pair_count, max(gap) as max_gap,
+       count(*) filter (where t < t_next) as forward_steps, count(*) filter (where t > t_next) as back_steps
+from (select session_id, action_time as t, t_next, cast(epoch(t_next) - epoch(action_time) as bigint) as gap
+      from (select session_id, action_time, lead(action_time) over (partition by session_id order by event_id) as t_next
+            from user_visit_action)
+      where t_next is not null)
+group by session_id""", "user_visit_action")
+
+_asof = P.AS_OF_DAY
+SQL["daily_activity"] = compose(f"""
+select k.kind, strftime(date '{_asof}', '%Y%m%d') as day_key, strftime(date '{_asof}' - 1, '%Y%m%d') as prev_day_key,
+       coalesce(c.day_count, 0) as day_count, coalesce(c.prev_day_count, 0) as prev_day_count,
+       coalesce(c.day_count, 0) - coalesce(c.prev_day_count, 0) as diff
+from (values ('search'), ('click'), ('order'), ('pay'), ('view')) k(kind)
+left join (select case when search_keyword is not null then 'search' when click_category_id <> -1 then 'click'
+                       when order_category_ids is not null then 'order' when pay_category_ids is not null then 'pay'
+                       else 'view' end as kind,
+                  count(*) filter (where date = '{_asof}') as day_count,
+                  count(*) filter (where date = strftime(date '{_asof}' - 1, '%Y-%m-%d')) as prev_day_count
+           from user_visit_action
+           where date in ('{_asof}', strftime(date '{_asof}' - 1, '%Y-%m-%d'))
+           group by 1) c using (kind)""", "user_visit_action")
+
+
+def _clean(c: str) -> tuple[str, str]:
+    items = f"string_split(regexp_replace(',' || {c} || ',', '^,|,$', '', 'g'), ',')"
+    clean = (f"list_sort(list_distinct(list_transform(list_filter({items}, lambda x: x <> ''), "
+             f"lambda x: case when length(x) >= 2 then x else lpad(x, 2, '0') end)))")
+    return f"array_to_string({clean}, ',')", f"coalesce(len({items}) - len({clean}), 0)"
+
+
+_clean_cols = [_clean(c) for c in ("order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids")]
+SQL["clean_id_lists"] = compose(f"""
+select event_id, {_clean_cols[0][0]} as order_category_ids, {_clean_cols[1][0]} as order_product_ids,
+       {_clean_cols[2][0]} as pay_category_ids, {_clean_cols[3][0]} as pay_product_ids,
+       {' + '.join(r for _, r in _clean_cols)} as removed_ids
+from user_visit_action where order_category_ids is not null or pay_category_ids is not null""", "user_visit_action")
+
+_PACKED = [("sessionid", "session_id"), ("searchKeywords", "search_keywords"),
+           ("clickCategoryIds", "click_category_ids"), ("visitLength", "visit_length"),
+           ("stepLength", "step_length"), ("startTime", "start_time"), ("age", "age"),
+           ("professional", "professional"), ("sex", "sex"), ("city", "city")]
+
+
+def _packed_value(c: str) -> str:
+    if c == "start_time":
+        return T.format(c="start_time")
+    return f"coalesce(cast({c} as varchar), '')"
+
+
+_step_label = " ".join(
+    f"when step_length between {lo} and {hi} then '{n}'" if hi is not None else f"when step_length >= {lo} then '{n}'"
+    for n, lo, hi in STEP_BUCKETS)
+_repacked = " || '|' || ".join(
+    f"'{k}=' || " + (f"(case {_step_label} else '0' end)" if k == "stepLength" else _packed_value(c))
+    for k, c in sorted(_PACKED))
+SQL["packed_sessions"] = compose(f"""
+select session_id, visit_length, step_length, age,
+       {" || '|' || ".join(f"'{k}=' || {_packed_value(c)}" for k, c in _PACKED)} as packed,
+       {_repacked} as repacked
+from session_full_info""", "session_full_info")
+
+# --- sinks ---------------------------------------------------------------------
+SQL["sink_append"] = compose("""
+select *, 'run-1' as task_id from category_top10
+union all
+select *, 'run-2' as task_id from category_top10""", "category_top10")
+SQL["sink_overwrite_table"] = SQL["area_top3_products"]
