@@ -356,3 +356,57 @@ def sink_overwrite_table(spark, sf):
     K.overwrite_table(top, name, path)
     K.overwrite_table(top, name, path)
     return spark.table(name)
+
+
+# --- streams: the ad log replayed in event-id order, one arrival per batch,
+# the stream restarted from its checkpoint after each (availableNow) ---------
+from shopflow.streaming import ad_stream as R  # noqa: E402
+from shopflow.streaming.changelog import ChangeLog  # noqa: E402
+
+_AVAILABLE = {"availableNow": True}
+
+
+def _replay(spark, sf, start):
+    root = scratch_dir(spark, "stream")
+    src, ckpt, out = f"{root}/feed", f"{root}/checkpoint", f"{root}/out"
+
+    def arrival(_i):
+        R.run_available(lambda: start(R.read_lines(spark, src), out, ckpt))
+
+    R.replay_feed(spark, X.ad_log(spark, sf), src, P.STREAM_BATCHES, arrival)
+    return out
+
+
+@query
+def stream_ad_stat(spark, sf):
+    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(spark, lines, o, c, P.TOP_ADS,
+                                                                   trigger=_AVAILABLE))
+    return ChangeLog(spark, f"{out}/ad_stat", R.STAT_SCHEMA).latest(R.STAT_KEYS, ["click_count"])
+
+
+@query
+def stream_province_top3(spark, sf):
+    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(spark, lines, o, c, P.TOP_ADS,
+                                                                   trigger=_AVAILABLE))
+    return ChangeLog(spark, f"{out}/province_top", R.TOP_SCHEMA).groups(["date", "province"])
+
+
+@query
+def stream_click_trend(spark, sf):
+    out = _replay(spark, sf, lambda lines, o, c: R.click_trend_stream(spark, lines, o, c, trigger=_AVAILABLE))
+    return ChangeLog(spark, f"{out}/click_trend", R.TREND_SCHEMA).latest(R.TREND_KEYS, ["click_count"])
+
+
+@query
+def stream_hourly_sliding(spark, sf):
+    out = _replay(spark, sf, lambda lines, o, c: R.hourly_sliding_stream(
+        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE))
+    return ChangeLog(spark, f"{out}/hourly_sliding", R.SLIDING_SCHEMA).latest(
+        ["window_start", "window_end", "adid"], ["click_count"])
+
+
+@query
+def stream_blacklist(spark, sf):
+    out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(spark, lines, o, c, P.AD_THRESHOLD,
+                                                                     trigger=_AVAILABLE))
+    return ChangeLog(spark, f"{out}/blacklist", R.BLACKLIST_SCHEMA).distinct(["userid"])

@@ -490,3 +490,16 @@ select *, 'run-1' as task_id from category_top10
 union all
 select *, 'run-2' as task_id from category_top10""", "category_top10")
 SQL["sink_overwrite_table"] = SQL["area_top3_products"]
+
+# --- streams: checked against the batch forms over all clicks ---------------------
+SQL["stream_ad_stat"] = compose(_stat("ad_click_log"), "ad_click_log")
+SQL["stream_province_top3"] = compose(_top(_stat("ad_click_log")), "ad_click_log")
+SQL["stream_click_trend"] = compose(_trend("ad_click_log"), "ad_click_log")
+SQL["stream_hourly_sliding"] = compose(f"""
+select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start,
+       strftime(ws + to_minutes({_W}), '%Y-%m-%d %H:%M:%S') as window_end, adid, count(*) as click_count
+from (select adid, unnest(range(b - to_minutes({_W - _S}), b + to_minutes({_S}), to_minutes({_S}))) as ws
+      from (select adid, time_bucket(to_minutes({_S}), ts) as b from ad_click_log))
+where epoch_us(ws + to_minutes({_W})) // 1000 <= (select max(ts_ms) from ad_click_log) - {_W * 60000}
+group by ws, adid""", "ad_click_log")
+SQL["stream_blacklist"] = compose(_blacklist("ad_click_log"), "ad_click_log")
