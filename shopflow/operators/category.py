@@ -8,19 +8,21 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import id_list
 
-_EMPTY = F.array().cast("array<bigint>")
+
+def _empty():
+    return F.array().cast("array<bigint>")
 
 
 def category_events(actions: DataFrame) -> DataFrame:
     """One row per (action, category, kind): the clicked category, and every
     id of the order and pay lists.  One pass over the actions (no union of
     three scans); an action contributes to every kind it carries."""
-    click = F.when(F.col("click_category_id") != -1, F.array("click_category_id")).otherwise(_EMPTY)
+    click = F.when(F.col("click_category_id") != -1, F.array("click_category_id")).otherwise(_empty())
     items = F.concat(
         F.transform(click, lambda c: F.struct(F.lit("click").alias("kind"), c.alias("category_id"))),
-        F.transform(F.coalesce(id_list(F.col("order_category_ids")), _EMPTY),
+        F.transform(F.coalesce(id_list(F.col("order_category_ids")), _empty()),
                     lambda c: F.struct(F.lit("order").alias("kind"), c.alias("category_id"))),
-        F.transform(F.coalesce(id_list(F.col("pay_category_ids")), _EMPTY),
+        F.transform(F.coalesce(id_list(F.col("pay_category_ids")), _empty()),
                     lambda c: F.struct(F.lit("pay").alias("kind"), c.alias("category_id"))),
     )
     return actions.select("session_id", F.inline(items))

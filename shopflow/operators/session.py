@@ -167,6 +167,15 @@ def session_sample_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
             .select("date", "hour", "session_count", "day_session_count", "quota"))
 
 
+def _allow_group_limit(df: DataFrame, k: int) -> None:
+    """The optimizer inserts the per-task top-k only up to
+    ``windowGroupLimitThreshold`` (default 1000); raise it to ``k``."""
+    conf = df.sparkSession.conf
+    key = "spark.sql.optimizer.windowGroupLimitThreshold"
+    if int(conf.get(key, "1000")) < k:
+        conf.set(key, str(k))
+
+
 def sample_order(session_id: Column, seed: int) -> Column:
     return F.md5(F.concat(session_id, F.lit(f"_{seed}")))
 
@@ -180,6 +189,7 @@ def session_sample(sessions: DataFrame, total: int = 100, seed: int = 42) -> Dat
     stratum in each task before the shuffle (window group limit), so a hot
     hour never ships all its sessions to one task.  The quota table has at
     most 24 rows per day, a proven bound, and is broadcast."""
+    _allow_group_limit(sessions, total)
     quota = session_sample_quota(sessions, total).select("date", "hour", "quota")
     keyed = _with_start_keys(sessions).withColumn("h", sample_order(F.col("session_id"), seed))
     w = Window.partitionBy("date", "hour").orderBy("h", "session_id")
