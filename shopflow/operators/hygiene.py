@@ -6,10 +6,11 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import STEP_BUCKETS, in_bucket, pad2, trim_edge_commas
+from shopflow.operators.sequence import consecutive_pairs, id_chunk
 
 # --- Fixed values: field names of the packed session record ----------------
 PACKED_FIELDS = [
@@ -37,20 +38,18 @@ def action_kind():
             .otherwise("view"))
 
 
-def session_time_gaps(actions: DataFrame) -> DataFrame:
+def session_time_gaps(actions: DataFrame, chunk_width: int = 1 << 16) -> DataFrame:
     """Consecutive actions of a session in event-id order: seconds between
     them and whether the next one is later (before/after tests).  Per
     session with at least two actions: pairs, largest gap, steps forward and
     steps back in time."""
-    w = Window.partitionBy("session_id").orderBy("event_id")
     t = F.col("action_time")
-    nxt = F.lead(t).over(w)
-    pairs = (actions.select("session_id", t.alias("t"), nxt.alias("t_next"))
-             .where(F.col("t_next").isNotNull())
+    pairs = (consecutive_pairs(actions, "session_id", ["event_id"],
+                               id_chunk("event_id", chunk_width), ["action_time"])
              .select("session_id",
-                     (F.unix_timestamp("t_next") - F.unix_timestamp("t")).alias("gap"),
-                     (F.col("t") < F.col("t_next")).alias("before"),
-                     (F.col("t") > F.col("t_next")).alias("after")))
+                     (F.unix_timestamp("next_action_time") - F.unix_timestamp(t)).alias("gap"),
+                     (t < F.col("next_action_time")).alias("before"),
+                     (t > F.col("next_action_time")).alias("after")))
     return pairs.groupBy("session_id").agg(
         F.count(F.lit(1)).alias("pair_count"),
         F.max("gap").alias("max_gap"),

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import half_up_text
+from shopflow.operators.sequence import consecutive_pairs, minute_chunk
 
 
 def page_flow_pairs(spark: SparkSession, flow: str) -> DataFrame:
@@ -16,13 +17,13 @@ def page_flow_pairs(spark: SparkSession, flow: str) -> DataFrame:
     return spark.createDataFrame(rows, "step int, from_page bigint, to_page bigint")
 
 
-def page_transitions(actions: DataFrame) -> DataFrame:
+def page_transitions(actions: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Consecutive page pairs inside each session, ordered by (action time,
-    event id)."""
-    w = Window.partitionBy("session_id").orderBy("action_time", "event_id")
-    return (actions.select("session_id", F.col("page_id").alias("from_page"),
-                           F.lead("page_id").over(w).alias("to_page"))
-            .where(F.col("to_page").isNotNull()))
+    event id).  Sessions are split by minute of action time so a hot
+    session spreads over many tasks (``sequence.consecutive_pairs``)."""
+    pairs = consecutive_pairs(actions, "session_id", ["action_time", "event_id"],
+                              minute_chunk("action_time") if chunk is None else chunk, ["page_id"])
+    return pairs.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
 
 
 def page_transition_counts(actions: DataFrame) -> DataFrame:
