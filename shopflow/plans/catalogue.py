@@ -366,6 +366,10 @@ from shopflow.streaming.changelog import ChangeLog  # noqa: E402
 _AVAILABLE = {"availableNow": True}
 
 
+def _state_partitions(spark):
+    return max(8, spark.sparkContext.defaultParallelism)
+
+
 def _replay(spark, sf, start):
     root = scratch_dir(spark, "stream")
     src, ckpt, out = f"{root}/feed", f"{root}/checkpoint", f"{root}/out"
@@ -379,28 +383,30 @@ def _replay(spark, sf, start):
 
 @query
 def stream_ad_stat(spark, sf):
-    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(spark, lines, o, c, P.TOP_ADS,
-                                                                   trigger=_AVAILABLE))
+    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
+        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
     return ChangeLog(spark, f"{out}/ad_stat", R.STAT_SCHEMA).latest(R.STAT_KEYS, ["click_count"])
 
 
 @query
 def stream_province_top3(spark, sf):
-    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(spark, lines, o, c, P.TOP_ADS,
-                                                                   trigger=_AVAILABLE))
+    out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
+        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
     return ChangeLog(spark, f"{out}/province_top", R.TOP_SCHEMA).groups(["date", "province"])
 
 
 @query
 def stream_click_trend(spark, sf):
-    out = _replay(spark, sf, lambda lines, o, c: R.click_trend_stream(spark, lines, o, c, trigger=_AVAILABLE))
+    out = _replay(spark, sf, lambda lines, o, c: R.click_trend_stream(
+        spark, lines, o, c, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
     return ChangeLog(spark, f"{out}/click_trend", R.TREND_SCHEMA).latest(R.TREND_KEYS, ["click_count"])
 
 
 @query
 def stream_hourly_sliding(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.hourly_sliding_stream(
-        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE))
+        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE,
+        state_partitions=_state_partitions(spark)))
     return ChangeLog(spark, f"{out}/hourly_sliding", R.SLIDING_SCHEMA).latest(
         ["window_start", "window_end", "adid"], ["click_count"])
 

@@ -31,13 +31,26 @@ BLACKLIST_SCHEMA = "userid bigint"
 
 
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str,
-           trigger: dict) -> StreamingQuery:
-    return (df.writeStream.outputMode(mode).foreachBatch(fn)
-            .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+           trigger: dict, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a ``foreachBatch`` query.  ``state_partitions`` sizes the state
+    store of a stateful query; it is fixed in the checkpoint at the first
+    start (later restarts keep it), so it is set only while the query starts:
+    the query takes a snapshot of the session configuration then."""
+    spark = df.sparkSession
+    key = "spark.sql.shuffle.partitions"
+    before = spark.conf.get(key)
+    if state_partitions:
+        spark.conf.set(key, str(state_partitions))
+    try:
+        return (df.writeStream.outputMode(mode).foreachBatch(fn)
+                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
+    finally:
+        spark.conf.set(key, before)
 
 
 def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str, top_n: int = 3,
-                   lateness: str = "1 day", trigger: dict | None = None) -> StreamingQuery:
+                   lateness: str = "1 day", trigger: dict | None = None,
+                   state_partitions: int | None = None) -> StreamingQuery:
     """Running click total per (day, province, city, ad) kept in the state
     store (update mode: only changed keys are emitted), merged into
     ``out/ad_stat`` by overwriting upsert; then the top ads of every touched
@@ -58,11 +71,13 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
             touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
 
-    return _start(counts, sink, checkpoint, "update", trigger or {"processingTime": "5 seconds"})
+    return _start(counts, sink, checkpoint, "update", trigger or {"processingTime": "5 seconds"},
+                  state_partitions)
 
 
 def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                       lateness: str = "60 minutes", trigger: dict | None = None) -> StreamingQuery:
+                       lateness: str = "60 minutes", trigger: dict | None = None,
+                       state_partitions: int | None = None) -> StreamingQuery:
     """Clicks per (minute, ad) in event time; updated minutes overwrite
     their row in ``out/click_trend``."""
     clicks = parse_ad_log(lines).withWatermark("ts", lateness)
@@ -73,12 +88,13 @@ def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
                       F.date_format("m.start", "mm").alias("minute"), "adid", "click_count"))
     trend = ChangeLog(spark, f"{out}/click_trend", TREND_SCHEMA)
     return _start(counts, lambda b, i: trend.write(b, i), checkpoint, "update",
-                  trigger or {"processingTime": "5 seconds"})
+                  trigger or {"processingTime": "5 seconds"}, state_partitions)
 
 
 def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                           window_minutes: int = 60, slide_minutes: int = 1,
-                          lateness: str = "60 minutes", trigger: dict | None = None) -> StreamingQuery:
+                          lateness: str = "60 minutes", trigger: dict | None = None,
+                          state_partitions: int | None = None) -> StreamingQuery:
     """Clicks per ad in sliding event-time windows, append mode: a window is
     written once, when the watermark passes its end."""
     clicks = parse_ad_log(lines).withWatermark("ts", lateness)
@@ -90,7 +106,7 @@ def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, check
                       "adid", "click_count"))
     sliding = ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA)
     return _start(counts, lambda b, i: sliding.write(b, i), checkpoint, "append",
-                  trigger or {"processingTime": "5 seconds"})
+                  trigger or {"processingTime": "5 seconds"}, state_partitions)
 
 
 def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
