@@ -361,7 +361,6 @@ def sink_overwrite_table(spark, sf):
 # --- streams: the ad log replayed in event-id order, one arrival per batch,
 # the stream restarted from its checkpoint after each (availableNow) ---------
 from shopflow.streaming import ad_stream as R  # noqa: E402
-from shopflow.streaming.changelog import ChangeLog  # noqa: E402
 
 _AVAILABLE = {"availableNow": True}
 
@@ -381,38 +380,44 @@ def _replay(spark, sf, start):
     return out
 
 
+# Small epochs so the registered runs exercise change-log compaction.
+_COMPACT = 2
+
+
 @query
 def stream_ad_stat(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
-        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
-    return ChangeLog(spark, f"{out}/ad_stat", R.STAT_SCHEMA).latest(R.STAT_KEYS, ["click_count"])
+        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
+        compact_every=_COMPACT))
+    return R.stat_table(spark, out, _COMPACT).current()
 
 
 @query
 def stream_province_top3(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
-        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
-    return ChangeLog(spark, f"{out}/province_top", R.TOP_SCHEMA).groups(["date", "province"])
+        spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
+        compact_every=_COMPACT))
+    return R.province_top_table(spark, out, _COMPACT).current()
 
 
 @query
 def stream_click_trend(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.click_trend_stream(
-        spark, lines, o, c, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
-    return ChangeLog(spark, f"{out}/click_trend", R.TREND_SCHEMA).latest(R.TREND_KEYS, ["click_count"])
+        spark, lines, o, c, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
+        compact_every=_COMPACT))
+    return R.trend_table(spark, out, _COMPACT).current()
 
 
 @query
 def stream_hourly_sliding(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.hourly_sliding_stream(
         spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE,
-        state_partitions=_state_partitions(spark)))
-    return ChangeLog(spark, f"{out}/hourly_sliding", R.SLIDING_SCHEMA).latest(
-        ["window_start", "window_end", "adid"], ["click_count"])
+        state_partitions=_state_partitions(spark), compact_every=_COMPACT))
+    return R.sliding_table(spark, out, _COMPACT).current()
 
 
 @query
 def stream_blacklist(spark, sf):
-    out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(spark, lines, o, c, P.AD_THRESHOLD,
-                                                                     trigger=_AVAILABLE))
-    return ChangeLog(spark, f"{out}/blacklist", R.BLACKLIST_SCHEMA).distinct(["userid"])
+    out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(
+        spark, lines, o, c, P.AD_THRESHOLD, trigger=_AVAILABLE, compact_every=_COMPACT))
+    return R.blacklist_table(spark, out, _COMPACT).current()

@@ -30,6 +30,35 @@ DAILY_SCHEMA = "date string, userid bigint, adid bigint, click_count bigint"
 BLACKLIST_SCHEMA = "userid bigint"
 
 
+# --- result tables (change logs with their merge semantics) ------------------
+
+def stat_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/ad_stat", STAT_SCHEMA, "latest", STAT_KEYS, ["click_count"], compact_every)
+
+
+def province_top_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/province_top", TOP_SCHEMA, "groups", ["date", "province"], (), compact_every)
+
+
+def trend_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/click_trend", TREND_SCHEMA, "latest", TREND_KEYS, ["click_count"],
+                     compact_every)
+
+
+def sliding_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA, "latest",
+                     ["window_start", "window_end", "adid"], ["click_count"], compact_every)
+
+
+def user_daily_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/user_daily", DAILY_SCHEMA, "summed", ["date", "userid", "adid"],
+                     ["click_count"], compact_every)
+
+
+def blacklist_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    return ChangeLog(spark, f"{out}/blacklist", BLACKLIST_SCHEMA, "distinct", ["userid"], (), compact_every)
+
+
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str,
            trigger: dict, state_partitions: int | None = None) -> StreamingQuery:
     """Start a ``foreachBatch`` query.  ``state_partitions`` sizes the state
@@ -50,7 +79,7 @@ def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
 
 def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str, top_n: int = 3,
                    lateness: str = "1 day", trigger: dict | None = None,
-                   state_partitions: int | None = None) -> StreamingQuery:
+                   state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
     """Running click total per (day, province, city, ad) kept in the state
     store (update mode: only changed keys are emitted), merged into
     ``out/ad_stat`` by overwriting upsert; then the top ads of every touched
@@ -61,13 +90,13 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
               .agg(F.count(F.lit(1)).alias("click_count"))
               .select(F.date_format("day.start", "yyyyMMdd").alias("date"), "province", "city", "adid",
                       "click_count"))
-    stat = ChangeLog(spark, f"{out}/ad_stat", STAT_SCHEMA)
-    top = ChangeLog(spark, f"{out}/province_top", TOP_SCHEMA)
+    stat = stat_table(spark, out, compact_every)
+    top = province_top_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         stat.write(batch, batch_id)
         touched = batch.select("date", "province").distinct()
-        stored = stat.latest(STAT_KEYS, ["click_count"], upto=batch_id).join(
+        stored = stat.current(upto=batch_id).join(
             touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
 
@@ -77,7 +106,7 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
 
 def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                        lateness: str = "60 minutes", trigger: dict | None = None,
-                       state_partitions: int | None = None) -> StreamingQuery:
+                       state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
     """Clicks per (minute, ad) in event time; updated minutes overwrite
     their row in ``out/click_trend``."""
     clicks = parse_ad_log(lines).withWatermark("ts", lateness)
@@ -86,7 +115,7 @@ def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
               .select(F.date_format("m.start", "yyyyMMdd").alias("date"),
                       F.date_format("m.start", "HH").alias("hour"),
                       F.date_format("m.start", "mm").alias("minute"), "adid", "click_count"))
-    trend = ChangeLog(spark, f"{out}/click_trend", TREND_SCHEMA)
+    trend = trend_table(spark, out, compact_every)
     return _start(counts, lambda b, i: trend.write(b, i), checkpoint, "update",
                   trigger or {"processingTime": "5 seconds"}, state_partitions)
 
@@ -94,7 +123,7 @@ def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
 def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                           window_minutes: int = 60, slide_minutes: int = 1,
                           lateness: str = "60 minutes", trigger: dict | None = None,
-                          state_partitions: int | None = None) -> StreamingQuery:
+                          state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
     """Clicks per ad in sliding event-time windows, append mode: a window is
     written once, when the watermark passes its end."""
     clicks = parse_ad_log(lines).withWatermark("ts", lateness)
@@ -104,13 +133,14 @@ def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, check
               .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       "adid", "click_count"))
-    sliding = ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA)
+    sliding = sliding_table(spark, out, compact_every)
     return _start(counts, lambda b, i: sliding.write(b, i), checkpoint, "append",
                   trigger or {"processingTime": "5 seconds"}, state_partitions)
 
 
 def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                     threshold: int = 100, trigger: dict | None = None) -> StreamingQuery:
+                     threshold: int = 100, trigger: dict | None = None,
+                     compact_every: int = 100) -> StreamingQuery:
     """The feedback loop, one ``foreachBatch`` per micro-batch:
 
     1. read the blacklist as of the previous batch, drop listed users' clicks;
@@ -120,15 +150,15 @@ def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint
 
     Reads are bounded to batches ≤ the current one, so a replay reproduces
     the same output; writes overwrite the batch's own partition."""
-    daily = ChangeLog(spark, f"{out}/user_daily", DAILY_SCHEMA)
-    black = ChangeLog(spark, f"{out}/blacklist", BLACKLIST_SCHEMA)
+    daily = user_daily_table(spark, out, compact_every)
+    black = blacklist_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
-        listed = black.distinct(["userid"], before=batch_id)
+        listed = black.current(before=batch_id)
         allowed = parse_ad_log(batch).join(listed, "userid", "left_anti")
         counts = D.ad_user_daily_clicks(allowed).persist()
         daily.write(counts, batch_id)
-        totals = daily.summed(["date", "userid", "adid"], "click_count", upto=batch_id).join(
+        totals = daily.current(upto=batch_id).join(
             counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
         new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
                .join(listed, "userid", "left_anti"))

@@ -1,20 +1,21 @@
 """Keyed result tables for stream sinks, without a MERGE-capable format.
 
-Each micro-batch writes its rows into the partition ``batch_id=<n>`` with
-dynamic partition overwrite, so a replayed batch replaces exactly its own
-output (idempotent; the reference's additive upsert double-counts on retry).
-Reading folds the log with the merge semantics of the table:
+Each micro-batch overwrites the directory ``<path>/epoch=<e>/batch_id=<n>``
+(``e = n div K``), so a replayed batch replaces exactly its own output
+(idempotent; the reference's additive upsert double-counts on retry).  Reading folds the log with the merge semantics of
+the table (``kind``):
 
-* ``latest``  – overwriting upsert: per key, the row of the newest batch;
-* ``summed``  – additive upsert: per key, the sum over batches;
-* ``groups``  – replace groups: per group, the rows of the newest batch
-  that touched it;
-* ``distinct``– append-distinct: distinct keys.
+* ``latest``   – overwriting upsert: per key, the row of the newest batch;
+* ``summed``   – additive upsert: per key, the sum over batches;
+* ``groups``   – replace groups: per group (``keys``), the rows of the newest
+  batch that touched it;
+* ``distinct`` – append-distinct: distinct keys.
 
-``upto`` restricts a read to batches ≤ n, which makes a replayed batch see
-exactly the state it saw the first time.  The fold is one aggregation keyed
-by the table key (partial per task); a periodic compaction into a snapshot
-would bound the history a read scans.
+Compaction: the last batch of every epoch also writes the folded table as
+``<path>/_snap/at=<n>``.  A read bounded by batch ``b`` therefore scans one
+snapshot plus at most K batch partitions of one epoch directory: the cost of
+a batch does not grow with the age of the stream.  Bounds also make a
+replayed batch see exactly the state it saw the first time.
 """
 
 from __future__ import annotations
@@ -27,39 +28,77 @@ from pyspark.sql import functions as F
 
 
 class ChangeLog:
-    def __init__(self, spark: SparkSession, path: str, schema: str):
-        self.spark, self.path, self.schema = spark, path, schema
+    def __init__(self, spark: SparkSession, path: str, schema: str, kind: str,
+                 keys: Sequence[str], values: Sequence[str] = (), compact_every: int = 100):
+        assert kind in ("latest", "summed", "groups", "distinct")
+        self.spark, self.path, self.schema, self.kind = spark, path.rstrip("/"), schema, kind
+        self.keys, self.values, self.k = list(keys), list(values), int(compact_every)
 
+    # --- writing -------------------------------------------------------------
     def write(self, df: DataFrame, batch_id: int) -> None:
-        (df.withColumn("batch_id", F.lit(int(batch_id)))
-         .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-         .partitionBy("batch_id").parquet(self.path))
+        b = int(batch_id)
+        # Overwrite of exactly this batch's directory: a replay replaces it.
+        df.write.mode("overwrite").parquet(f"{self.path}/epoch={b // self.k}/batch_id={b}")
+        if b % self.k == self.k - 1:
+            (self.current(upto=b).write.mode("overwrite").parquet(f"{self.path}/_snap/at={b}"))
 
-    def log(self, upto: int | None = None, before: int | None = None) -> DataFrame:
+    # --- reading -------------------------------------------------------------
+    def _read(self, path: str, schema: str) -> DataFrame | None:
         try:
-            df = self.spark.read.schema(f"{self.schema}, batch_id bigint").parquet(self.path)
+            return self.spark.read.schema(schema).parquet(path)
         except AnalysisException:
-            return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
-        if upto is not None:
-            df = df.where(F.col("batch_id") <= upto)
-        if before is not None:
-            df = df.where(F.col("batch_id") < before)
-        return df
+            return None
 
-    def latest(self, keys: Sequence[str], values: Sequence[str], **bounds) -> DataFrame:
-        v = F.max_by(F.struct(*values), F.col("batch_id")).alias("_v")
-        return (self.log(**bounds).groupBy(*keys).agg(v)
-                .select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values]))
+    def _empty(self) -> DataFrame:
+        return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
 
-    def summed(self, keys: Sequence[str], value: str, **bounds) -> DataFrame:
-        return self.log(**bounds).groupBy(*keys).agg(F.sum(value).cast("bigint").alias(value))
+    def log(self, upto: int) -> DataFrame:
+        """Snapshot through the end of the previous epoch, plus this epoch's
+        batches ≤ ``upto``."""
+        epoch = upto // self.k
+        parts = []
+        if epoch > 0:
+            snap = self._read(f"{self.path}/_snap/at={epoch * self.k - 1}", self.schema)
+            if snap is not None:
+                parts.append(snap.withColumn("batch_id", F.lit(epoch * self.k - 1).cast("bigint")))
+        cur = self._read(f"{self.path}/epoch={epoch}", f"{self.schema}, batch_id bigint")
+        if cur is not None:
+            parts.append(cur.where(F.col("batch_id") <= upto))
+        out = self._empty()
+        for p in parts:
+            out = out.unionByName(p)
+        return out
 
-    def groups(self, group_keys: Sequence[str], **bounds) -> DataFrame:
-        log = self.log(**bounds)
-        cols = [c for c in log.columns if c != "batch_id"]
-        newest = log.groupBy(*group_keys).agg(F.max("batch_id").alias("batch_id"))
-        return log.join(newest, [*group_keys, "batch_id"], "left_semi").select(*cols)
+    def last_batch(self) -> int | None:
+        """Newest batch id written (a listing of all epochs; used for the
+        final read-back, not in the per-batch path)."""
+        df = self._read(self.path, f"{self.schema}, epoch bigint, batch_id bigint")
+        if df is None:
+            return None
+        row = df.agg(F.max("batch_id").alias("m")).first()
+        return None if row["m"] is None else int(row["m"])
 
-    def distinct(self, keys: Sequence[str], **bounds) -> DataFrame:
-        return self.log(**bounds).select(*keys).distinct()
+    def current(self, upto: int | None = None, before: int | None = None) -> DataFrame:
+        """The folded table as of batch ``upto`` (or before batch ``before``;
+        with neither, as of the newest batch)."""
+        if before is not None:
+            upto = before - 1
+        elif upto is None:
+            upto = self.last_batch()
+        if upto is None or upto < 0:
+            return self._fold(self._empty())
+        return self._fold(self.log(upto))
 
+    def _fold(self, log: DataFrame) -> DataFrame:
+        cols = [c for c in log.columns if c != "batch_id"]
+        if self.kind == "latest":
+            v = F.max_by(F.struct(*self.values), F.col("batch_id")).alias("_v")
+            return (log.groupBy(*self.keys).agg(v)
+                    .select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in self.values]))
+        if self.kind == "summed":
+            (value,) = self.values
+            return log.groupBy(*self.keys).agg(F.sum(value).cast("bigint").alias(value))
+        if self.kind == "groups":
+            newest = log.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
+            return log.join(newest, [*self.keys, "batch_id"], "left_semi").select(*cols)
+        return log.select(*self.keys).distinct()

@@ -39,13 +39,29 @@ def test_lookup_defaults_to_zero(spark):
 
 
 def test_changelog_replay_is_idempotent(spark):
-    log = ChangeLog(spark, scratch_dir(spark, "test-log"), KV)
+    log = ChangeLog(spark, scratch_dir(spark, "test-log"), KV, "summed", ["k"], ["v"], compact_every=100)
     log.write(spark.createDataFrame([("a", 1)], KV), 0)
     log.write(spark.createDataFrame([("a", 2), ("b", 1)], KV), 1)
     log.write(spark.createDataFrame([("a", 2), ("b", 1)], KV), 1)  # replayed batch
-    assert rows(log.summed(["k"], "v"), "k", "v") == [("a", 3), ("b", 1)]
-    assert rows(log.latest(["k"], ["v"]), "k", "v") == [("a", 2), ("b", 1)]
-    assert rows(log.summed(["k"], "v", upto=0), "k", "v") == [("a", 1)]
+    assert rows(log.current(), "k", "v") == [("a", 3), ("b", 1)]
+    assert rows(log.current(upto=0), "k", "v") == [("a", 1)]
+    assert rows(log.current(before=0), "k", "v") == []
+
+
+def test_changelog_compaction_keeps_every_fold(spark):
+    path = scratch_dir(spark, "test-compact")
+    batches = [[("a", 1)], [("a", 2), ("b", 1)], [("c", 5)], [("a", 7)], [("b", 3)]]
+    kinds = {"summed": ("v",), "latest": ("v",), "distinct": (), "groups": ()}
+    for kind, values in kinds.items():
+        small = ChangeLog(spark, f"{path}/{kind}-2", KV, kind, ["k"], values, compact_every=2)
+        big = ChangeLog(spark, f"{path}/{kind}-100", KV, kind, ["k"], values, compact_every=100)
+        for i, b in enumerate(batches):
+            for log in (small, big):
+                log.write(spark.createDataFrame(b, KV), i)
+            cols = ["k", *values] if kind != "groups" else ["k", "v"]
+            assert rows(small.current(upto=i), *cols) == rows(big.current(upto=i), *cols), (kind, i)
+    summed = ChangeLog(spark, f"{path}/summed-2", KV, "summed", ["k"], ["v"], compact_every=2)
+    assert rows(summed.current(), "k", "v") == [("a", 10), ("b", 4), ("c", 5)]
 
 
 CLICKS = "ts_ms bigint, date string, userid bigint, adid bigint"
