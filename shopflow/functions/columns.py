@@ -58,6 +58,16 @@ def half_up_text(n: Column, d: Column, places: int = 4) -> Column:
                     F.lpad(F.pmod(q, F.lit(scale)).cast("string"), places, "0"))
 
 
+def order_key(ts: str, tie: str) -> Column:
+    """One exact, hash-aggregatable ordering key for (timestamp, long id):
+    ``micros * 10^20 + (id + 2^63)`` as decimal(38,0).  It orders exactly
+    like the pair for any long id and any timestamp before year 4000, and a
+    ``min`` over it stays a hash aggregate (a struct min forces a sort)."""
+    micros = F.unix_micros(F.col(ts)).cast("decimal(38,0)")
+    shifted = F.col(tie).cast("decimal(38,0)") + F.lit(str(2 ** 63)).cast("decimal(38,0)")
+    return micros * F.lit(str(10 ** 20)).cast("decimal(38,0)") + shifted
+
+
 def first_seen_join(cond: Column, order_key: Column, value: Column, sep: str = ",") -> Column:
     """Aggregate: values (already distinct per group) joined in the order of
     their first occurrence.  ``collect_list`` skips rows where ``cond`` is

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import (
-    STEP_BUCKETS, VISIT_BUCKETS, first_seen_join, half_up_ratio, in_bucket, int_div)
+    STEP_BUCKETS, VISIT_BUCKETS, first_seen_join, half_up_ratio, in_bucket, int_div, order_key)
 
 
 def actions_in_range(actions: DataFrame, start_date: str, end_date: str) -> DataFrame:
@@ -25,7 +25,7 @@ def session_rollup(actions: DataFrame) -> DataFrame:
     """Per session: user, first/last action time, visit length (s), step
     length (actions), distinct search keywords and clicked categories in
     first-seen order (time, then event id), comma-joined ('' if none)."""
-    first = F.struct("action_time", "event_id")
+    first = order_key("action_time", "event_id")
     kinds = F.array(
         F.struct(F.lit("b").alias("kind"), F.lit(None).cast("string").alias("v")),
         F.struct(F.lit("k").alias("kind"), F.col("search_keyword").alias("v")),
@@ -39,13 +39,14 @@ def session_rollup(actions: DataFrame) -> DataFrame:
         .groupBy("session_id", "kind", "v")
         .agg(F.min("user_id").alias("user_id"),
              F.min(first).alias("first"),
+             F.min("action_time").alias("start"),
              F.max("action_time").alias("last"),
              F.count(F.lit(1)).alias("n"))
     )
     is_base = F.col("kind") == "b"
     out = per_value.groupBy("session_id").agg(
         F.min("user_id").alias("user_id"),
-        F.min(F.when(is_base, F.col("first.action_time"))).alias("start_time"),
+        F.min(F.when(is_base, F.col("start"))).alias("start_time"),
         F.max(F.when(is_base, F.col("last"))).alias("end_time"),
         F.sum(F.when(is_base, F.col("n"))).alias("step_length"),
         first_seen_join(F.col("kind") == "k", F.col("first"), F.col("v")).alias("search_keywords"),

@@ -125,3 +125,13 @@ def test_multi_day_sample_quota_and_determinism(spark):
     b = sorted(r.session_id for r in S.session_sample(sessions, total=10, seed=7).collect())
     assert a == b and len(a) == sum(q.quota for q in quota)
     assert len({s[:10] for s in a}) == 2  # both days sampled in one pass
+
+
+def test_order_key_orders_like_the_pair(spark):
+    from shopflow.functions.columns import order_key
+    t1, t2 = dt.datetime(2024, 1, 1, 10), dt.datetime(2024, 1, 1, 10, 0, 0, 1)
+    ids = [-(2 ** 63), -5, 0, 7, 2 ** 63 - 1]
+    rows = [(t, i) for t in (t1, t2) for i in ids]
+    df = spark.createDataFrame(rows, "t timestamp, id bigint").withColumn("k", order_key("t", "id"))
+    got = [(r.t, r.id) for r in df.orderBy("k").collect()]
+    assert got == sorted(rows)
