@@ -36,12 +36,12 @@ def upsert_set(target: DataFrame, updates: DataFrame, keys: Sequence[str],
                values: Sequence[str]) -> DataFrame:
     """Insert new keys; overwrite the values of existing keys.  ``updates``
     holds one row per key."""
-    vals = F.struct(*values)
+    # One max_by per value (fixed-width buffers keep this a hash aggregate);
+    # a key has at most one row per side, so all of them pick the same row.
     merged = (_tagged(target, updates, [*keys, *values])
-              .groupBy(*keys).agg(F.max_by(vals, F.col("_in_u")).alias("_v"),
+              .groupBy(*keys).agg(*[F.max_by(v, F.col("_in_u")).alias(v) for v in values],
                                   F.max("_in_t").alias("_in_t"), F.max("_in_u").alias("_in_u")))
-    return merged.select(*keys, *[F.col(f"_v.{v}").alias(v) for v in values],
-                         _action(F.col("_in_t"), F.col("_in_u")).alias("action"))
+    return merged.select(*keys, *values, _action(F.col("_in_t"), F.col("_in_u")).alias("action"))
 
 
 def replace_groups(target: DataFrame, updates: DataFrame, group_keys: Sequence[str]) -> DataFrame:

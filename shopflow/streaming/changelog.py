@@ -92,9 +92,8 @@ class ChangeLog:
     def _fold(self, log: DataFrame) -> DataFrame:
         cols = [c for c in log.columns if c != "batch_id"]
         if self.kind == "latest":
-            v = F.max_by(F.struct(*self.values), F.col("batch_id")).alias("_v")
-            return (log.groupBy(*self.keys).agg(v)
-                    .select(*self.keys, *[F.col(f"_v.{c}").alias(c) for c in self.values]))
+            # one row per key and batch: every max_by picks the newest row
+            return log.groupBy(*self.keys).agg(*[F.max_by(c, F.col("batch_id")).alias(c) for c in self.values])
         if self.kind == "summed":
             (value,) = self.values
             return log.groupBy(*self.keys).agg(F.sum(value).cast("bigint").alias(value))

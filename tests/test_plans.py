@@ -26,7 +26,8 @@ def test_top_n_is_cut_before_the_shuffle(spark, key):
 @pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith(("stream_", "sink_"))))
 def test_no_cartesian_and_no_python_in_batch_plans(spark, key):
     p = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
-    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+    for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython",
+                "SortAggregate"):
         assert bad not in p, bad
 
 
