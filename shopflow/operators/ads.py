@@ -78,9 +78,18 @@ def ad_recent_hour(clicks: DataFrame, minutes: int = 60) -> DataFrame:
 
 def ad_hourly_sliding(clicks: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
     """Clicks per ad in every ``window_minutes`` window sliding by
-    ``slide_minutes`` (event time)."""
-    win = F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
-    return (clicks.groupBy(win.alias("w"), "adid").agg(F.count(F.lit(1)).alias("click_count"))
+    ``slide_minutes`` (event time).
+
+    Clicks are first counted per (minute, ad); only those counts are
+    expanded into the windows that contain the minute.  Windows start and end
+    on whole minutes, so a click and its minute fall in the same windows:
+    the result is exact, and the expansion multiplies (minute, ad) rows
+    instead of clicks."""
+    minute_ts = F.timestamp_millis(F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(MINUTE_MS)))
+    per_minute = (clicks.groupBy(minute_ts.alias("m"), "adid")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    win = F.window("m", f"{window_minutes} minutes", f"{slide_minutes} minutes")
+    return (per_minute.groupBy(win.alias("w"), "adid").agg(F.sum("n").cast("bigint").alias("click_count"))
             .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                     F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                     "adid", "click_count"))
