@@ -421,3 +421,25 @@ def stream_blacklist(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(
         spark, lines, o, c, P.AD_THRESHOLD, trigger=_AVAILABLE, compact_every=_COMPACT))
     return R.blacklist_table(spark, out, _COMPACT).current()
+
+
+def _filtered(spark, sf, table):
+    out = _replay(spark, sf, lambda lines, o, c: R.filtered_ad_stream(
+        spark, lines, o, c, P.AD_THRESHOLD, P.TOP_ADS, trigger=_AVAILABLE, compact_every=_COMPACT))
+    return R.filtered_tables(spark, out, _COMPACT)[table].current()
+
+
+@query
+def stream_filtered_ad_stat(spark, sf):
+    """Running totals over the clicks the per-batch blacklist lets through."""
+    return _filtered(spark, sf, "ad_stat")
+
+
+@query
+def stream_filtered_province_top3(spark, sf):
+    return _filtered(spark, sf, "province_top")
+
+
+@query
+def stream_filtered_click_trend(spark, sf):
+    return _filtered(spark, sf, "click_trend")

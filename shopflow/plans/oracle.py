@@ -317,12 +317,12 @@ where rn <= {P.TOP_PRODUCTS}""", "area_product_info")
 # --- ad statistics -------------------------------------------------------------
 _CLICK_COLS = "ts_ms, date, hour, minute, minute_key, province, city, userid, adid"
 cte("ad_click_log", """
-select ts_ms, epoch_ms(ts_ms) as ts, strftime(epoch_ms(ts_ms), '%Y%m%d') as date,
+select event_id, ts_ms, epoch_ms(ts_ms) as ts, strftime(epoch_ms(ts_ms), '%Y%m%d') as date,
        strftime(epoch_ms(ts_ms), '%H') as hour, strftime(epoch_ms(ts_ms), '%M') as minute,
        strftime(epoch_ms(ts_ms), '%Y%m%d%H%M') as minute_key, province, city, userid, adid
-from (select cast(p[1] as bigint) as ts_ms, p[2] as province, p[3] as city,
+from (select event_id, cast(p[1] as bigint) as ts_ms, p[2] as province, p[3] as city,
              cast(p[4] as bigint) as userid, cast(p[5] as bigint) as adid
-      from (select string_split(value, ' ') as p from ad_log))""", "ad_log")
+      from (select event_id, string_split(value, ' ') as p from ad_log))""", "ad_log")
 cte("ad_blocked", f"""
 select userid, min(ts_ms) as blocked_at
 from (select userid, ts_ms, row_number() over (partition by date, userid, adid order by ts_ms) as rn
@@ -503,3 +503,25 @@ from (select adid, unnest(range(b - to_minutes({_W - _S}), b + to_minutes({_S}),
 where epoch_us(ws + to_minutes({_W})) // 1000 <= (select max(ts_ms) from ad_click_log) - {_W * 60000}
 group by ws, adid""", "ad_click_log")
 SQL["stream_blacklist"] = compose(_blacklist("ad_click_log"), "ad_click_log")
+
+# --- the filtered stream: one micro-batch per arrival; arrival i holds the
+# event-id range i of STREAM_BATCHES equal ranges; a user listed by the end of
+# batch i loses their clicks from batch i + 1 on ---------------------------------
+cte("ad_batched", f"""
+select c.*, (c.event_id - b.lo) // b.step as batch
+from ad_click_log c,
+     (select min(event_id) as lo, (max(event_id) - min(event_id)) // {P.STREAM_BATCHES} + 1 as step
+      from ad_click_log) b""", "ad_click_log")
+
+
+for _i in range(P.STREAM_BATCHES):
+    _src = "ad_batched where batch = 0" if _i == 0 else (
+        f"ad_batched where batch = {_i} and userid not in (select userid from listed_{_i - 1})")
+    cte(f"allowed_{_i}", f"select * from {_src}", "ad_batched", *([f"listed_{_i - 1}"] if _i else []))
+    _so_far = " union all ".join(f"select * from allowed_{j}" for j in range(_i + 1))
+    cte(f"listed_{_i}", _blacklist(f"({_so_far})"), *[f"allowed_{j}" for j in range(_i + 1)])
+cte("ad_stream_allowed", " union all ".join(f"select * from allowed_{j}" for j in range(P.STREAM_BATCHES)),
+    *[f"allowed_{j}" for j in range(P.STREAM_BATCHES)])
+SQL["stream_filtered_ad_stat"] = compose(_stat("ad_stream_allowed"), "ad_stream_allowed")
+SQL["stream_filtered_province_top3"] = compose(_top(_stat("ad_stream_allowed")), "ad_stream_allowed")
+SQL["stream_filtered_click_trend"] = compose(_trend("ad_stream_allowed"), "ad_stream_allowed")

@@ -138,6 +138,20 @@ def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, check
                   trigger or {"processingTime": "5 seconds"}, state_partitions)
 
 
+def _blacklist_step(allowed: DataFrame, batch_id: int, listed: DataFrame, daily: ChangeLog,
+                    black: ChangeLog, threshold: int) -> None:
+    """Add the batch's (day, user, ad) counts, look up the totals of the
+    touched keys, list users over ``threshold`` not listed yet."""
+    counts = D.ad_user_daily_clicks(allowed).persist()
+    daily.write(counts, batch_id)
+    totals = daily.current(upto=batch_id).join(
+        counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
+    new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
+           .join(listed, "userid", "left_anti"))
+    black.write(new, batch_id)
+    counts.unpersist()
+
+
 def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                      threshold: int = 100, trigger: dict | None = None,
                      compact_every: int = 100) -> StreamingQuery:
@@ -148,22 +162,63 @@ def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint
     3. look up the totals of the touched keys, keep those over ``threshold``;
     4. append users not yet listed to ``out/blacklist``.
 
-    Reads are bounded to batches ≤ the current one, so a replay reproduces
-    the same output; writes overwrite the batch's own partition."""
+    Reads are bounded to batches <= the current one, so a replay reproduces
+    the same output; writes overwrite the batch's own directory."""
     daily = user_daily_table(spark, out, compact_every)
     black = blacklist_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         listed = black.current(before=batch_id)
         allowed = parse_ad_log(batch).join(listed, "userid", "left_anti")
-        counts = D.ad_user_daily_clicks(allowed).persist()
-        daily.write(counts, batch_id)
-        totals = daily.current(upto=batch_id).join(
-            counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
-        new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
-               .join(listed, "userid", "left_anti"))
-        black.write(new, batch_id)
-        counts.unpersist()
+        _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
+
+    return _start(lines.select("value"), sink, checkpoint, "append",
+                  trigger or {"processingTime": "5 seconds"})
+
+
+def filtered_tables(spark: SparkSession, out: str, compact_every: int = 100) -> dict[str, ChangeLog]:
+    return {
+        "ad_stat": ChangeLog(spark, f"{out}/ad_stat_filtered", STAT_SCHEMA, "summed", STAT_KEYS,
+                             ["click_count"], compact_every),
+        "province_top": ChangeLog(spark, f"{out}/province_top_filtered", TOP_SCHEMA, "groups",
+                                  ["date", "province"], (), compact_every),
+        "click_trend": ChangeLog(spark, f"{out}/click_trend_filtered", TREND_SCHEMA, "summed", TREND_KEYS,
+                                 ["click_count"], compact_every),
+    }
+
+
+def filtered_ad_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
+                       threshold: int = 100, top_n: int = 3, trigger: dict | None = None,
+                       compact_every: int = 100) -> StreamingQuery:
+    """All statistics of the reference's stream over blacklist-filtered
+    clicks, in one ``foreachBatch`` per micro-batch (its five outputs):
+
+    * the blacklist is read as of the previous batch and listed users'
+      clicks are dropped (the reference's per-batch ``transform``);
+    * the blacklist loop runs on the remaining clicks;
+    * running totals per (day, province, city, ad) and per (minute, ad) are
+      additive change logs: the filter must see the newest blacklist, which a
+      state-store aggregation upstream of ``foreachBatch`` cannot;
+    * the top ``top_n`` ads of every touched (day, province) are ranked over
+      the stored totals and replace that group.
+
+    Every write overwrites the batch's own directory and every read is
+    bounded by the batch id, so a replayed batch reproduces its output."""
+    daily = user_daily_table(spark, out, compact_every)
+    black = blacklist_table(spark, out, compact_every)
+    tables = filtered_tables(spark, out, compact_every)
+    stat, top, trend = tables["ad_stat"], tables["province_top"], tables["click_trend"]
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        listed = black.current(before=batch_id)
+        allowed = parse_ad_log(batch).join(listed, "userid", "left_anti").persist()
+        _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
+        stat.write(D.ad_stat(allowed), batch_id)
+        touched = allowed.select("date", "province").distinct()
+        stored = stat.current(upto=batch_id).join(touched, ["date", "province"], "left_semi")
+        top.write(D.ad_province_top(stored, top_n), batch_id)
+        trend.write(D.ad_click_trend(allowed), batch_id)
+        allowed.unpersist()
 
     return _start(lines.select("value"), sink, checkpoint, "append",
                   trigger or {"processingTime": "5 seconds"})
