@@ -164,6 +164,13 @@ def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint
 
     Reads are bounded to batches <= the current one, so a replay reproduces
     the same output; writes overwrite the batch's own directory."""
+    return _start(lines.select("value"), blacklist_sink(spark, out, threshold, compact_every), checkpoint,
+                  "append", trigger or {"processingTime": "5 seconds"})
+
+
+def blacklist_sink(spark: SparkSession, out: str, threshold: int = 100,
+                   compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of ``blacklist_stream`` (log lines in)."""
     daily = user_daily_table(spark, out, compact_every)
     black = blacklist_table(spark, out, compact_every)
 
@@ -172,8 +179,7 @@ def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint
         allowed = parse_ad_log(batch).join(listed, "userid", "left_anti")
         _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
 
-    return _start(lines.select("value"), sink, checkpoint, "append",
-                  trigger or {"processingTime": "5 seconds"})
+    return sink
 
 
 def filtered_tables(spark: SparkSession, out: str, compact_every: int = 100) -> dict[str, ChangeLog]:
@@ -204,6 +210,13 @@ def filtered_ad_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
 
     Every write overwrites the batch's own directory and every read is
     bounded by the batch id, so a replayed batch reproduces its output."""
+    return _start(lines.select("value"), filtered_sink(spark, out, threshold, top_n, compact_every),
+                  checkpoint, "append", trigger or {"processingTime": "5 seconds"})
+
+
+def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: int = 3,
+                  compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of ``filtered_ad_stream`` (log lines in)."""
     daily = user_daily_table(spark, out, compact_every)
     black = blacklist_table(spark, out, compact_every)
     tables = filtered_tables(spark, out, compact_every)
@@ -220,8 +233,7 @@ def filtered_ad_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
         trend.write(D.ad_click_trend(allowed), batch_id)
         allowed.unpersist()
 
-    return _start(lines.select("value"), sink, checkpoint, "append",
-                  trigger or {"processingTime": "5 seconds"})
+    return sink
 
 
 # --- replay of a log table as an ordered sequence of arrivals ----------------
