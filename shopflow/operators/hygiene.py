@@ -4,8 +4,6 @@ applied over the whole action or session table."""
 
 from __future__ import annotations
 
-import datetime as dt
-
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -57,21 +55,22 @@ def session_time_gaps(actions: DataFrame, chunk_width: int = 1 << 16) -> DataFra
         F.count_if("after").alias("back_steps"))
 
 
-def daily_activity(actions: DataFrame, as_of: str) -> DataFrame:
-    """Actions per kind on ``as_of`` and the day before, with yyyyMMdd day
-    keys and the difference; one conditional aggregate, zero-filled."""
-    day = dt.date.fromisoformat(as_of)
-    prev = day - dt.timedelta(days=1)
-    d = F.col("date")
-    counts = (actions.where(d.isin(day.isoformat(), prev.isoformat()))
+def daily_activity(actions: DataFrame, as_of: str | None = None) -> DataFrame:
+    """Actions per kind on ``as_of`` (today when None) and the day before,
+    with yyyyMMdd day keys, the previous day parsed back from its key, and
+    the difference; one conditional aggregate, zero-filled."""
+    day = F.current_date() if as_of is None else F.to_date(F.lit(as_of))
+    prev = F.date_sub(day, 1)
+    d = F.to_date(F.col("date"))
+    counts = (actions.where(d.between(prev, day))
               .groupBy(action_kind().alias("kind"))
-              .agg(F.count_if(d == day.isoformat()).alias("day_count"),
-                   F.count_if(d == prev.isoformat()).alias("prev_day_count")))
+              .agg(F.count_if(d == day).alias("day_count"),
+                   F.count_if(d == prev).alias("prev_day_count")))
     kinds = actions.sparkSession.createDataFrame([(k,) for k in ACTION_KINDS], "kind string")
-    day_key = F.date_format(F.to_date(F.lit(as_of)), "yyyyMMdd")
-    prev_key = F.date_format(F.date_sub(F.to_date(F.lit(as_of)), 1), "yyyyMMdd")
+    prev_key = F.date_format(prev, "yyyyMMdd")
     return (kinds.join(counts, "kind", "left")
-            .select("kind", day_key.alias("day_key"), prev_key.alias("prev_day_key"),
+            .select("kind", F.date_format(day, "yyyyMMdd").alias("day_key"), prev_key.alias("prev_day_key"),
+                    F.date_format(F.to_date(prev_key, "yyyyMMdd"), "yyyy-MM-dd").alias("prev_day"),
                     F.coalesce("day_count", F.lit(0)).alias("day_count"),
                     F.coalesce("prev_day_count", F.lit(0)).alias("prev_day_count"))
             .withColumn("diff", F.col("day_count") - F.col("prev_day_count")))

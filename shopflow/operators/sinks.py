@@ -20,6 +20,18 @@ def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
     w.saveAsTable(name)
 
 
+def write_partitioned(df: DataFrame, path: str, by: str = "date", within: str = "event_id",
+                      mode: str = "overwrite") -> None:
+    """Store a table partitioned by ``by`` (the action table by day), so a
+    later range read prunes whole directories instead of filtering rows.
+
+    Rows are range-partitioned on (by, within) first: each task writes a few
+    days, and a hot day is split over several tasks by its ``within`` range
+    (deterministic, unlike a random salt, so task retries write the same
+    files)."""
+    df.repartitionByRange(by, within).write.mode(mode).partitionBy(by).parquet(path)
+
+
 def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **props: str) -> None:
     w = df.write.format("jdbc").option("url", url).option("dbtable", table).mode(mode)
     for k, v in props.items():

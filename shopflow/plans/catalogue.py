@@ -347,6 +347,17 @@ def sink_append(spark, sf):
     return K.read_back(spark, path)
 
 
+@query
+def actions_partitioned_range(spark, sf):
+    """The actions stored partitioned by day, then a day range read back
+    with partition pruning (same rows as ``actions_in_range``)."""
+    from shopflow.sources.tables import read_day_range
+    path = scratch_dir(spark, "actions-by-day")
+    K.write_partitioned(_actions(spark, sf), path, "date")
+    acts = read_day_range(spark, path, P.RANGE_START, P.RANGE_END)
+    return render_times(acts.select(*[c for c in X.user_visit_action(spark, sf).columns]))
+
+
 @query
 def sink_overwrite_table(spark, sf):
     """The area top products saved as a table twice (drop and recreate)."""

@@ -433,6 +433,7 @@ group by session_id""", "user_visit_action")
 _asof = P.AS_OF_DAY
 SQL["daily_activity"] = compose(f"""
 select k.kind, strftime(date '{_asof}', '%Y%m%d') as day_key, strftime(date '{_asof}' - 1, '%Y%m%d') as prev_day_key,
+       strftime(date '{_asof}' - 1, '%Y-%m-%d') as prev_day,
        coalesce(c.day_count, 0) as day_count, coalesce(c.prev_day_count, 0) as prev_day_count,
        coalesce(c.day_count, 0) - coalesce(c.prev_day_count, 0) as diff
 from (values ('search'), ('click'), ('order'), ('pay'), ('view')) k(kind)
@@ -490,6 +491,7 @@ select *, 'run-1' as task_id from category_top10
 union all
 select *, 'run-2' as task_id from category_top10""", "category_top10")
 SQL["sink_overwrite_table"] = SQL["area_top3_products"]
+SQL["actions_partitioned_range"] = SQL["actions_in_range"]
 
 # --- streams: checked against the batch forms over all clicks ---------------------
 SQL["stream_ad_stat"] = compose(_stat("ad_click_log"), "ad_click_log")

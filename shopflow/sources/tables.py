@@ -12,3 +12,12 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     scan because callers only ever select / filter on the result."""
     use_utc(spark)
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+
+
+def read_day_range(spark: SparkSession, path: str, start_date: str, end_date: str,
+                   by: str = "date") -> DataFrame:
+    """Read a day-partitioned table for an inclusive range: the predicate
+    is on the partition column, so only the matching directories are listed
+    and read (PartitionFilters)."""
+    from pyspark.sql import functions as F
+    return spark.read.parquet(path).where(F.col(by).between(start_date, end_date))

@@ -35,3 +35,14 @@ def test_projection_is_pruned(spark):
     p = plan(E.queries()["category_touched"](spark, SF_SMALL))
     # only the two columns the category ids derive from are read
     assert "ReadSchema: struct<event_type:string,props:string>" in p
+
+
+def test_day_partitioned_store_prunes_directories(spark):
+    from shopflow.operators.sinks import write_partitioned
+    from shopflow.session import scratch_dir
+    from shopflow.sources.fixtures import user_visit_action
+    from shopflow.sources.tables import read_day_range
+    path = scratch_dir(spark, "pruning")
+    write_partitioned(user_visit_action(spark, SF_SMALL), path)
+    p = plan(read_day_range(spark, path, "2024-01-05", "2024-01-06"))
+    assert "PartitionFilters: [isnotnull(date" in p and "2024-01-05" in p
