@@ -4,14 +4,27 @@ computed column to the name used by the DuckDB oracle."""
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from shopflow.functions.columns import render_times
+from shopflow.operators import ads as D
+from shopflow.operators import area as A
+from shopflow.operators import category as C
+from shopflow.operators import hygiene as H
+from shopflow.operators import merge as M
+from shopflow.operators import pageflow as G
 from shopflow.operators import session as S
+from shopflow.operators import sinks as K
 from shopflow.plans import params as P
+from shopflow.session import scratch_dir
 from shopflow.sources import fixtures as X
+from shopflow.sources.adlog import parse_ad_log
+from shopflow.sources.tables import read_day_range
+from shopflow.streaming import ad_stream as R
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -93,7 +106,6 @@ def session_sample_detail(spark, sf):
 
 
 # --- categories --------------------------------------------------------------
-from shopflow.operators import category as C  # noqa: E402
 
 
 @query
@@ -142,7 +154,6 @@ def category_top10_sessions(spark, sf):
 
 
 # --- page conversion ---------------------------------------------------------
-from shopflow.operators import pageflow as G  # noqa: E402
 
 
 @query
@@ -167,7 +178,6 @@ def page_conversion_packed(spark, sf):
 
 
 # --- area top products -------------------------------------------------------
-from shopflow.operators import area as A  # noqa: E402
 
 
 def _area_counts(spark, sf):
@@ -196,11 +206,6 @@ def area_top3_products(spark, sf):
 
 
 # --- ad statistics (batch) ---------------------------------------------------
-from pyspark.sql import functions as F  # noqa: E402
-
-from shopflow.operators import ads as D  # noqa: E402
-from shopflow.operators import merge as M  # noqa: E402
-from shopflow.sources.adlog import parse_ad_log  # noqa: E402
 
 
 def _clicks(spark, sf):
@@ -307,9 +312,6 @@ def append_distinct(spark, sf):
 
 
 # --- utilities as table jobs -------------------------------------------------
-from shopflow.operators import hygiene as H  # noqa: E402
-from shopflow.operators import sinks as K  # noqa: E402
-from shopflow.session import scratch_dir  # noqa: E402
 
 
 @query
@@ -320,8 +322,7 @@ def session_time_gaps(spark, sf):
 @query
 def daily_activity(spark, sf):
     day = P.AS_OF_DAY
-    import datetime as _dt
-    prev = (_dt.date.fromisoformat(day) - _dt.timedelta(days=1)).isoformat()
+    prev = (dt.date.fromisoformat(day) - dt.timedelta(days=1)).isoformat()
     return H.daily_activity(X.user_visit_action(spark, sf, prev, day), day)
 
 
@@ -351,7 +352,6 @@ def sink_append(spark, sf):
 def actions_partitioned_range(spark, sf):
     """The actions stored partitioned by day, then a day range read back
     with partition pruning (same rows as ``actions_in_range``)."""
-    from shopflow.sources.tables import read_day_range
     path = scratch_dir(spark, "actions-by-day")
     K.write_partitioned(_actions(spark, sf), path, "date")
     acts = read_day_range(spark, path, P.RANGE_START, P.RANGE_END)
@@ -371,7 +371,6 @@ def sink_overwrite_table(spark, sf):
 
 # --- streams: the ad log replayed in event-id order, one arrival per batch,
 # the stream restarted from its checkpoint after each (availableNow) ---------
-from shopflow.streaming import ad_stream as R  # noqa: E402
 
 _AVAILABLE = {"availableNow": True}
 
