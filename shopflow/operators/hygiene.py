@@ -92,7 +92,7 @@ def clean_id_lists(actions: DataFrame, wrap: bool = True) -> DataFrame:
         out.append(F.array_join(clean, ",").alias(c))
         removed = removed + F.coalesce(F.size(items) - F.size(clean), F.lit(0))
     has_list = F.col("order_category_ids").isNotNull() | F.col("pay_category_ids").isNotNull()
-    return actions.where(has_list).select(*out, removed.alias("removed_ids"))
+    return actions.where(has_list).select(*out, removed.cast("bigint").alias("removed_ids"))
 
 
 def pack_session(sessions: DataFrame) -> DataFrame:

@@ -353,9 +353,10 @@ def actions_partitioned_range(spark, sf):
     """The actions stored partitioned by day, then a day range read back
     with partition pruning (same rows as ``actions_in_range``)."""
     path = scratch_dir(spark, "actions-by-day")
-    K.write_partitioned(_actions(spark, sf), path, "date")
-    acts = read_day_range(spark, path, P.RANGE_START, P.RANGE_END)
-    return render_times(acts.select(*[c for c in X.user_visit_action(spark, sf).columns]))
+    acts = _actions(spark, sf)
+    K.write_partitioned(acts, path, "date")
+    back = read_day_range(spark, path, P.RANGE_START, P.RANGE_END, schema=acts.schema)
+    return render_times(back.select(*acts.columns))
 
 
 @query

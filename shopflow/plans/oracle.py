@@ -151,9 +151,10 @@ select date, hour, count(*) as session_count from session_start_keys group by da
 
 cte("session_sample_quota", f"""
 select date, hour, session_count, day_session_count,
-       least(session_count, session_count * ({P.SAMPLE_TOTAL} // (select count(distinct date) from session_hour_counts))
-             // day_session_count) as quota
-from (select *, sum(session_count) over (partition by date) as day_session_count from session_hour_counts)""",
+       cast(least(session_count, session_count * ({P.SAMPLE_TOTAL} // (select count(distinct date) from session_hour_counts))
+                  // day_session_count) as bigint) as quota
+from (select *, cast(sum(session_count) over (partition by date) as bigint) as day_session_count
+      from session_hour_counts)""",
     "session_hour_counts")
 
 cte("session_sample", f"""

@@ -15,9 +15,11 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def read_day_range(spark: SparkSession, path: str, start_date: str, end_date: str,
-                   by: str = "date") -> DataFrame:
+                   by: str = "date", schema=None) -> DataFrame:
     """Read a day-partitioned table for an inclusive range: the predicate
     is on the partition column, so only the matching directories are listed
-    and read (PartitionFilters)."""
+    and read (PartitionFilters).  With ``schema`` the stored types are kept
+    (partition discovery would turn a yyyy-MM-dd string into a date)."""
     from pyspark.sql import functions as F
-    return spark.read.parquet(path).where(F.col(by).between(start_date, end_date))
+    reader = spark.read if schema is None else spark.read.schema(schema)
+    return reader.parquet(path).where(F.col(by).between(start_date, end_date))

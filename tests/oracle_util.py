@@ -31,7 +31,14 @@ def duck(sf_dir):
     return con
 
 
+SPARK_TO_DUCK = {"LongType()": "BIGINT", "IntegerType()": "INTEGER", "DoubleType()": "DOUBLE",
+                 "StringType()": "VARCHAR", "BooleanType()": "BOOLEAN"}
+
+
 def compare(spark_df, con, sql):
+    s_types = {f.name: SPARK_TO_DUCK.get(repr(f.dataType), repr(f.dataType)) for f in spark_df.schema.fields}
+    d_types = {r[0]: r[1] for r in con.execute(f"describe {sql}").fetchall()}
+    assert s_types == d_types, (s_types, d_types)
     s_cols, s_rows = spark_df.columns, [tuple(r) for r in spark_df.collect()]
     cur = con.execute(sql)
     d_cols, d_rows = [d[0] for d in cur.description], cur.fetchall()

@@ -24,7 +24,7 @@ def test_batch_query_matches_oracle(spark, con, key):
     compare(E.queries()[key](spark, SF_SMALL), con, SQL[key])
 
 
-@pytest.mark.parametrize("key", ["stream_ad_stat", "stream_blacklist", "stream_hourly_sliding"])
+@pytest.mark.parametrize("key", sorted(k for k in E.queries() if k.startswith("stream_")))
 def test_stream_matches_batch_oracle(spark, con, key):
     compare(E.queries()[key](spark, SF_SMALL), con, SQL[key])
 
