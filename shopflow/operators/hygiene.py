@@ -36,7 +36,7 @@ def action_kind():
             .otherwise("view"))
 
 
-def session_time_gaps(actions: DataFrame, chunk_width: int = 1 << 16) -> DataFrame:
+def session_time_gaps(actions: DataFrame, chunk_width: int = 1 << 22) -> DataFrame:
     """Consecutive actions of a session in event-id order: seconds between
     them and whether the next one is later (before/after tests).  Per
     session with at least two actions: pairs, largest gap, steps forward and

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import half_up_text
-from shopflow.operators.sequence import consecutive_pairs, minute_chunk
+from shopflow.operators.sequence import consecutive_pairs, second_chunk
 
 
 def page_flow_pairs(spark: SparkSession, flow: str) -> DataFrame:
@@ -19,10 +19,10 @@ def page_flow_pairs(spark: SparkSession, flow: str) -> DataFrame:
 
 def page_transitions(actions: DataFrame, chunk: Column | None = None) -> DataFrame:
     """Consecutive page pairs inside each session, ordered by (action time,
-    event id).  Sessions are split by minute of action time so a hot
-    session spreads over many tasks (``sequence.consecutive_pairs``)."""
+    event id).  A hot session is split by second of action time so it
+    spreads over many tasks (``sequence.consecutive_pairs``)."""
     pairs = consecutive_pairs(actions, "session_id", ["action_time", "event_id"],
-                              minute_chunk("action_time") if chunk is None else chunk, ["page_id"])
+                              second_chunk("action_time") if chunk is None else chunk, ["page_id"])
     return pairs.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
 
 

@@ -1,20 +1,25 @@
-"""Consecutive rows inside a group, without putting a whole group into one
+"""Consecutive rows inside a group, without putting a hot group into one
 task.
 
 ``lead`` over ``partitionBy(group)`` sends every row of a group to a single
 task; one hot session (a crawler holding a third of all actions) would then
-be one task.  Here the group is split into chunks by a column that is
-monotone in the sort order (minute of the action time, or an event-id
-range):
-
-1. ``lead`` inside each (group, chunk) gives every pair except the one that
-   crosses from a chunk to the next;
-2. each chunk contributes at most two boundary rows (its first and last); a
-   window over the boundary rows of a group links each chunk's last row to
-   the following chunk's first row.
-
-Step 2 sees at most two rows per chunk, so a hot group costs at most
-2 × (number of chunks) rows in one task, independent of its row count.
+be one task.  Here:
+
+1. one partially aggregated pass counts rows per group; groups above
+   ``hot_rows`` are *hot* (at most rows / hot_rows of them; the list is
+   checked against ``max_hot_groups`` before it is used as a literal set,
+   beyond that it is joined);
+2. a hot group is split into chunks by a column that is monotone in the
+   sort order (minute of the action time, or an event-id range); every
+   other group is one chunk, so ordinary data pays no extra shuffle;
+3. ``lead`` inside each (group, chunk) gives every pair except those that
+   cross from a chunk to the next;
+4. each chunk of a hot group contributes at most two boundary rows (its
+   first and last); a window over the boundary rows of a group links each
+   chunk's last row to the following chunk's first row.
+
+Step 4 sees at most two rows per chunk, so a hot group costs at most
+2 x (number of chunks) rows in one task, independent of its row count.
 """
 
 from __future__ import annotations
@@ -24,14 +29,32 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+HOT_ROWS = 1_000_000
+MAX_HOT_GROUPS = 10_000
+
+
+def hot_group_flag(df: DataFrame, group: str, hot_rows: int = HOT_ROWS,
+                   max_hot_groups: int = MAX_HOT_GROUPS) -> tuple[DataFrame, Column]:
+    """(df with a boolean ``_hot`` column source, the flag column)."""
+    counts = df.groupBy(group).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > hot_rows)
+    keys = [r[0] for r in counts.select(group).limit(max_hot_groups + 1).collect()]
+    if len(keys) <= max_hot_groups:
+        # a checked, bounded key list: an in-set test, no join
+        return df, (F.col(group).isin(keys) if keys else F.lit(False))
+    marked = df.join(counts.select(group, F.lit(True).alias("_hot")), group, "left")
+    return marked, F.coalesce(F.col("_hot"), F.lit(False))
+
 
 def consecutive_pairs(df: DataFrame, group: str, order: Sequence[str], chunk: Column,
-                      cols: Sequence[str]) -> DataFrame:
+                      cols: Sequence[str], hot_rows: int = HOT_ROWS,
+                      max_hot_groups: int = MAX_HOT_GROUPS) -> DataFrame:
     """Rows (group, c..., next_c...) for every row that has a successor in
     its group under ``order`` (which must be a total order, e.g. ending in a
     unique id).  ``chunk`` must be non-decreasing along ``order``."""
     keep = list(dict.fromkeys([*order, *cols]))
-    d = df.select(group, *keep, chunk.alias("_chunk"))
+    src, hot = hot_group_flag(df, group, hot_rows, max_hot_groups)
+    d = src.select(group, *keep, hot.alias("_hot"),
+                   F.when(hot, chunk.cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("_chunk"))
     w = Window.partitionBy(group, "_chunk").orderBy(*order)
     marked = d.select(
         "*",
@@ -41,7 +64,8 @@ def consecutive_pairs(df: DataFrame, group: str, order: Sequence[str], chunk: Co
     out = [group, *cols, *[f"next_{c}" for c in cols]]
     inside = marked.where(~F.col("_last")).select(*out)
     wb = Window.partitionBy(group).orderBy(*order)
-    boundary = marked.where(F.col("_first") | F.col("_last")).select(group, *keep, "_last")
+    boundary = (marked.where(F.col("_hot") & (F.col("_first") | F.col("_last")))
+                .select(group, *keep, "_last"))
     across = (boundary.select(
         group, *keep, "_last",
         *[F.lead(c).over(wb).alias(f"next_{c}") for c in cols],
@@ -50,9 +74,15 @@ def consecutive_pairs(df: DataFrame, group: str, order: Sequence[str], chunk: Co
     return inside.unionByName(across)
 
 
+def second_chunk(ts: str) -> Column:
+    """Chunk of a hot group ordered by time: one per second."""
+    return F.unix_timestamp(ts)
+
+
 def minute_chunk(ts: str) -> Column:
     return F.floor(F.unix_timestamp(ts) / 60)
 
 
-def id_chunk(id_col: str, width: int = 1 << 16) -> Column:
+def id_chunk(id_col: str, width: int = 1 << 22) -> Column:
+    """Chunk of a hot group ordered by a long id: one per ``width`` ids."""
     return F.floor(F.col(id_col) / width)

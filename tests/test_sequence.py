@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from shopflow.operators.sequence import consecutive_pairs, id_chunk, minute_chunk
+from shopflow.operators.sequence import consecutive_pairs, id_chunk, minute_chunk, second_chunk
 from shopflow.sources.fixtures import user_visit_action
 from tests.conftest import SF_SMALL
 
@@ -22,11 +22,14 @@ BY_ID, BY_TIME = ["event_id"], ["action_time", "event_id"]
 
 @pytest.mark.parametrize("chunk,order", [
     (lambda: id_chunk("event_id", 1), BY_ID), (lambda: id_chunk("event_id", 3), BY_ID),
-    (lambda: minute_chunk("action_time"), BY_TIME),
+    (lambda: minute_chunk("action_time"), BY_TIME), (lambda: second_chunk("action_time"), BY_TIME),
     (lambda: F.floor(F.unix_timestamp("action_time") / 7), BY_TIME), (lambda: F.lit(0), BY_TIME)])
-def test_chunked_pairs_equal_plain_lead(spark, chunk, order):
+@pytest.mark.parametrize("hot_rows,max_hot", [(0, 10_000), (3, 10_000), (3, 5), (10 ** 9, 10)])
+def test_chunked_pairs_equal_plain_lead(spark, chunk, order, hot_rows, max_hot):
+    # hot_rows 0: every session is split; 3: only sessions with > 3 actions;
+    # max_hot 5: the hot list is too long for a literal set and is joined
     acts = user_visit_action(spark, SF_SMALL)
-    got = consecutive_pairs(acts, "session_id", order, chunk(), ["page_id"])
+    got = consecutive_pairs(acts, "session_id", order, chunk(), ["page_id"], hot_rows, max_hot)
     want = plain(acts, order)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.count() == want.count()
