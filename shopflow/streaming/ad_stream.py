@@ -33,16 +33,18 @@ BLACKLIST_SCHEMA = "userid bigint"
 # --- result tables (change logs with their merge semantics) ------------------
 
 def stat_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/ad_stat", STAT_SCHEMA, "latest", STAT_KEYS, ["click_count"], compact_every)
+    return ChangeLog(spark, f"{out}/ad_stat", STAT_SCHEMA, "latest", STAT_KEYS, ["click_count"], compact_every,
+                     "date")
 
 
 def province_top_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/province_top", TOP_SCHEMA, "groups", ["date", "province"], (), compact_every)
+    return ChangeLog(spark, f"{out}/province_top", TOP_SCHEMA, "groups", ["date", "province"], (), compact_every,
+                     "date")
 
 
 def trend_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
     return ChangeLog(spark, f"{out}/click_trend", TREND_SCHEMA, "latest", TREND_KEYS, ["click_count"],
-                     compact_every)
+                     compact_every, "date")
 
 
 def sliding_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
@@ -52,13 +54,24 @@ def sliding_table(spark: SparkSession, out: str, compact_every: int = 100) -> Ch
 
 def user_daily_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
     return ChangeLog(spark, f"{out}/user_daily", DAILY_SCHEMA, "summed", ["date", "userid", "adid"],
-                     ["click_count"], compact_every)
+                     ["click_count"], compact_every, "date")
 
 
 def blacklist_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
     return ChangeLog(spark, f"{out}/blacklist", BLACKLIST_SCHEMA, "distinct", ["userid"], (), compact_every)
 
 
+MAX_TOUCHED_DAYS = 1000
+
+
+def touched_days(df: DataFrame) -> list[str] | None:
+    """The days a micro-batch touches, to prune stored tables: a bounded
+    list (a watermarked stream touches one or two days); None, i.e. no
+    pruning, when a backfill batch spans more than MAX_TOUCHED_DAYS."""
+    days = [r[0] for r in df.select("date").distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
+    return days if len(days) <= MAX_TOUCHED_DAYS else None
+
+
 def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str,
            trigger: dict, state_partitions: int | None = None) -> StreamingQuery:
     """Start a ``foreachBatch`` query.  ``state_partitions`` sizes the state
@@ -96,7 +109,7 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
     def sink(batch: DataFrame, batch_id: int) -> None:
         stat.write(batch, batch_id)
         touched = batch.select("date", "province").distinct()
-        stored = stat.current(upto=batch_id).join(
+        stored = stat.current(upto=batch_id, only=touched_days(batch)).join(
             touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
 
@@ -144,7 +157,7 @@ def _blacklist_step(allowed: DataFrame, batch_id: int, listed: DataFrame, daily:
     touched keys, list users over ``threshold`` not listed yet."""
     counts = D.ad_user_daily_clicks(allowed).persist()
     daily.write(counts, batch_id)
-    totals = daily.current(upto=batch_id).join(
+    totals = daily.current(upto=batch_id, only=touched_days(counts)).join(
         counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
     new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
            .join(listed, "userid", "left_anti"))
@@ -185,11 +198,11 @@ def blacklist_sink(spark: SparkSession, out: str, threshold: int = 100,
 def filtered_tables(spark: SparkSession, out: str, compact_every: int = 100) -> dict[str, ChangeLog]:
     return {
         "ad_stat": ChangeLog(spark, f"{out}/ad_stat_filtered", STAT_SCHEMA, "summed", STAT_KEYS,
-                             ["click_count"], compact_every),
+                             ["click_count"], compact_every, "date"),
         "province_top": ChangeLog(spark, f"{out}/province_top_filtered", TOP_SCHEMA, "groups",
-                                  ["date", "province"], (), compact_every),
+                                  ["date", "province"], (), compact_every, "date"),
         "click_trend": ChangeLog(spark, f"{out}/click_trend_filtered", TREND_SCHEMA, "summed", TREND_KEYS,
-                                 ["click_count"], compact_every),
+                                 ["click_count"], compact_every, "date"),
     }
 
 
@@ -228,7 +241,8 @@ def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: in
         _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
         stat.write(D.ad_stat(allowed), batch_id)
         touched = allowed.select("date", "province").distinct()
-        stored = stat.current(upto=batch_id).join(touched, ["date", "province"], "left_semi")
+        stored = stat.current(upto=batch_id, only=touched_days(allowed)).join(
+            touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
         trend.write(D.ad_click_trend(allowed), batch_id)
         allowed.unpersist()

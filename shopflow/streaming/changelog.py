@@ -12,9 +12,11 @@ the table (``kind``):
 * ``distinct`` – append-distinct: distinct keys.
 
 Compaction: the last batch of every epoch also writes the folded table as
-``<path>/_snap/at=<n>``.  A read bounded by batch ``b`` therefore scans one
-snapshot plus at most K batch partitions of one epoch directory: the cost of
-a batch does not grow with the age of the stream.  Bounds also make a
+``<path>/_snap/at=<n>`` (partitioned by ``partition_by``, the day).  A read
+bounded by batch ``b`` scans one snapshot plus at most K batch directories of
+one epoch, and a read restricted to the days a batch touched (``only``)
+prunes the snapshot to those days: the cost of a batch grows neither with
+the age of the stream nor with the number of days stored.  Bounds also make a
 replayed batch see exactly the state it saw the first time.
 """
 
@@ -29,10 +31,12 @@ from pyspark.sql import functions as F
 
 class ChangeLog:
     def __init__(self, spark: SparkSession, path: str, schema: str, kind: str,
-                 keys: Sequence[str], values: Sequence[str] = (), compact_every: int = 100):
+                 keys: Sequence[str], values: Sequence[str] = (), compact_every: int = 100,
+                 partition_by: str | None = None):
         assert kind in ("latest", "summed", "groups", "distinct")
         self.spark, self.path, self.schema, self.kind = spark, path.rstrip("/"), schema, kind
         self.keys, self.values, self.k = list(keys), list(values), int(compact_every)
+        self.partition_by = partition_by
 
     # --- writing -------------------------------------------------------------
     def write(self, df: DataFrame, batch_id: int) -> None:
@@ -40,7 +44,10 @@ class ChangeLog:
         # Overwrite of exactly this batch's directory: a replay replaces it.
         df.write.mode("overwrite").parquet(f"{self.path}/epoch={b // self.k}/batch_id={b}")
         if b % self.k == self.k - 1:
-            (self.current(upto=b).write.mode("overwrite").parquet(f"{self.path}/_snap/at={b}"))
+            w = self.current(upto=b).write.mode("overwrite")
+            if self.partition_by:
+                w = w.partitionBy(self.partition_by)
+            w.parquet(f"{self.path}/_snap/at={b}")
 
     # --- reading -------------------------------------------------------------
     def _read(self, path: str, schema: str) -> DataFrame | None:
@@ -52,9 +59,10 @@ class ChangeLog:
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
 
-    def log(self, upto: int) -> DataFrame:
+    def log(self, upto: int, only: Sequence | None = None) -> DataFrame:
         """Snapshot through the end of the previous epoch, plus this epoch's
-        batches ≤ ``upto``."""
+        batches ≤ ``upto``; with ``only``, just the rows whose partition
+        value is listed (snapshot directories are pruned)."""
         epoch = upto // self.k
         parts = []
         if epoch > 0:
@@ -64,6 +72,8 @@ class ChangeLog:
         cur = self._read(f"{self.path}/epoch={epoch}", f"{self.schema}, batch_id bigint")
         if cur is not None:
             parts.append(cur.where(F.col("batch_id") <= upto))
+        if only is not None and self.partition_by:
+            parts = [p.where(F.col(self.partition_by).isin(list(only))) for p in parts]
         out = self._empty()
         for p in parts:
             out = out.unionByName(p)
@@ -78,16 +88,18 @@ class ChangeLog:
         row = df.agg(F.max("batch_id").alias("m")).first()
         return None if row["m"] is None else int(row["m"])
 
-    def current(self, upto: int | None = None, before: int | None = None) -> DataFrame:
+    def current(self, upto: int | None = None, before: int | None = None,
+                only: Sequence | None = None) -> DataFrame:
         """The folded table as of batch ``upto`` (or before batch ``before``;
-        with neither, as of the newest batch)."""
+        with neither, as of the newest batch), restricted to the partition
+        values ``only`` when given."""
         if before is not None:
             upto = before - 1
         elif upto is None:
             upto = self.last_batch()
         if upto is None or upto < 0:
             return self._fold(self._empty())
-        return self._fold(self.log(upto))
+        return self._fold(self.log(upto, only))
 
     def _fold(self, log: DataFrame) -> DataFrame:
         cols = [c for c in log.columns if c != "batch_id"]

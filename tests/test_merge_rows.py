@@ -75,3 +75,16 @@ def test_event_exact_blacklist_keeps_clicks_until_listed(spark):
     # user 1's third click on ad 1 (ts 3) takes the count over 2: kept, later ones dropped
     assert allowed == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 9)]
     assert rows(D.ad_blacklist(clicks, threshold=2), "userid") == [(1,)]
+
+
+def test_changelog_reads_prune_days(spark):
+    schema = "date string, k string, v bigint"
+    path = scratch_dir(spark, "test-days")
+    log = ChangeLog(spark, path, schema, "summed", ["date", "k"], ["v"], compact_every=2, partition_by="date")
+    log.write(spark.createDataFrame([("d1", "a", 1), ("d2", "a", 2)], schema), 0)
+    log.write(spark.createDataFrame([("d2", "a", 3)], schema), 1)   # snapshot at 1, by day
+    log.write(spark.createDataFrame([("d3", "b", 4)], schema), 2)
+    assert rows(log.current(), "date", "k", "v") == [("d1", "a", 1), ("d2", "a", 5), ("d3", "b", 4)]
+    assert rows(log.current(upto=2, only=["d2"]), "date", "k", "v") == [("d2", "a", 5)]
+    p = log.log(2, ["d2"])._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(date" in p
