@@ -107,11 +107,14 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
     top = province_top_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
+        # the batch output is used three times: compute the aggregation once
+        batch = batch.persist()
         stat.write(batch, batch_id)
         touched = batch.select("date", "province").distinct()
         stored = stat.current(upto=batch_id, only=touched_days(batch)).join(
             touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
+        batch.unpersist()
 
     return _start(counts, sink, checkpoint, "update", trigger or {"processingTime": "5 seconds"},
                   state_partitions)
