@@ -511,10 +511,9 @@ SQL["stream_blacklist"] = compose(_blacklist("ad_click_log"), "ad_click_log")
 # event-id range i of STREAM_BATCHES equal ranges; a user listed by the end of
 # batch i loses their clicks from batch i + 1 on ---------------------------------
 cte("ad_batched", f"""
-select c.*, (c.event_id - b.lo) // b.step as batch
-from ad_click_log c,
-     (select min(event_id) as lo, (max(event_id) - min(event_id)) // {P.STREAM_BATCHES} + 1 as step
-      from ad_click_log) b""", "ad_click_log")
+select c.*, (c.event_id - (select min(event_id) from ad_click_log))
+            // (select (max(event_id) - min(event_id)) // {P.STREAM_BATCHES} + 1 from ad_click_log) as batch
+from ad_click_log c""", "ad_click_log")
 
 
 for _i in range(P.STREAM_BATCHES):
