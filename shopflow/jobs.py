@@ -1,10 +1,12 @@
 """The reference's four applications as callable jobs.
 
 Each takes the input tables as DataFrames (any source: Hive tables, parquet,
-the fixture views), the task parameters as keyword arguments, and appends its
-results, tagged with ``task_id``, under ``out`` (one directory per result
-table, named like the reference's result tables).  The ad stream returns its
-running ``StreamingQuery``.
+the fixture views) and the task parameters as keyword arguments, and appends
+its results, tagged with ``task_id``, under ``out`` (one directory per result
+table, named like the reference's result tables).  An action table in the
+reference's own format (text times, no event id) is normalized by
+``sources.tables.normalize_actions``.  The ad stream returns its running
+``StreamingQuery``.
 """
 
 from __future__ import annotations
@@ -22,6 +24,7 @@ from shopflow.operators import session as S
 from shopflow.operators.sinks import append_result
 from shopflow.session import checkpoint_root
 from shopflow.sources.adlog import read_ad_log_stream
+from shopflow.sources.tables import normalize_actions
 from shopflow.streaming import ad_stream as R
 
 
@@ -43,7 +46,7 @@ def session_statistics(spark: SparkSession, actions: DataFrame, users: DataFrame
     the lineage so a lost executor never re-runs the roll-up."""
     task = _task(task_id)
     checkpoint_root(spark)
-    acts = S.actions_in_range(actions, start_date, end_date)
+    acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     sessions = S.session_filtered(S.session_full_info(S.session_rollup(acts), users), **filters).checkpoint()
     append_result(S.session_stat(sessions), f"{out}/session_stat", task)
     sample = S.session_sample(sessions, sample_total, seed)
@@ -62,7 +65,7 @@ def page_conversion(spark: SparkSession, actions: DataFrame, out: str, start_dat
     """Step conversion rates along ``target_page_flow`` ("1,2,3,…"): the
     per-step table and the packed ``a_b=rate|…`` string."""
     task = _task(task_id)
-    acts = S.actions_in_range(actions, start_date, end_date)
+    acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     conversion = G.page_conversion(G.page_flow_counts(spark, acts, target_page_flow))
     append_result(conversion, f"{out}/page_split_convert_rate_steps", task)
     append_result(G.page_conversion_packed(conversion), f"{out}/page_split_convert_rate", task)
@@ -75,7 +78,7 @@ def area_top_products(spark: SparkSession, actions: DataFrame, city_dim: DataFra
     """The ``n`` most clicked products per area with city list, product
     status and area level."""
     task = _task(task_id)
-    acts = S.actions_in_range(actions, start_date, end_date)
+    acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     counts = A.area_product_counts(A.area_clicks(acts, city_dim))
     top = A.area_top_products(A.area_product_info(counts, products), n, levels)
     append_result(top, f"{out}/area_top3_product", task)
