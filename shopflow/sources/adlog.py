@@ -40,6 +40,10 @@ def read_ad_log_stream(spark: SparkSession, path: str, fmt: str = "text",
     ``subscribe`` options (the connector jar must be on the classpath).
     """
     reader = spark.readStream.format(fmt)
+    if fmt == "kafka":
+        # The reference's consumer starts at the newest offsets; offsets are
+        # tracked in the query checkpoint, never auto-committed.
+        options = {"startingOffsets": "latest", **options}
     for k, v in options.items():
         reader = reader.option(k, v)
     if fmt == "kafka":
