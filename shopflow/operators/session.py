@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import (
     STEP_BUCKETS, VISIT_BUCKETS, first_seen_join, half_up_ratio, in_bucket, int_div, order_key)
+from shopflow.operators.joins import DIMENSION_MAX_ROWS
 
 
 def actions_in_range(actions: DataFrame, start_date: str, end_date: str) -> DataFrame:
@@ -202,8 +203,12 @@ def session_sample(sessions: DataFrame, total: int = 100, seed: int = 42) -> Dat
 
 def session_sample_detail(actions: DataFrame, sample: DataFrame, total: int = 100) -> DataFrame:
     """Actions of the sampled sessions (the reference's SessionDetail).  The
-    sample holds at most ``total`` sessions, so it is broadcast."""
-    return actions.join(F.broadcast(sample.select("session_id")), "session_id", "left_semi").select(
+    sample holds at most ``total`` sessions: it is broadcast when that bound
+    is below the dimension limit, else the semi-join shuffles."""
+    ids = sample.select("session_id")
+    if total <= DIMENSION_MAX_ROWS:
+        ids = F.broadcast(ids)
+    return actions.join(ids, "session_id", "left_semi").select(
         "user_id", "session_id", "page_id", "action_time", "search_keyword",
         "click_category_id", "click_product_id", "order_category_ids", "order_product_ids",
         "pay_category_ids", "pay_product_ids")
