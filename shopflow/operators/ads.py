@@ -35,12 +35,22 @@ def ad_blocked_at(clicks: DataFrame, threshold: int = 100) -> DataFrame:
     return nth.groupBy("userid").agg(F.min("ts_ms").alias("blocked_at"))
 
 
-def ad_clicks_allowed(clicks: DataFrame, threshold: int = 100) -> DataFrame:
+MAX_BROADCAST_USERS = 100_000
+
+
+def ad_clicks_allowed(clicks: DataFrame, threshold: int = 100,
+                      max_broadcast_users: int = MAX_BROADCAST_USERS) -> DataFrame:
     """Event-exact blacklist policy: a user's clicks are kept up to and
-    including the click that listed them; later clicks are dropped.  The
-    listed-user table grows with the users, so it is joined by shuffle
-    (AQE splits a hot user's partition)."""
+    including the click that listed them; later clicks are dropped.
+
+    The listed users are computed first (at most ``max_broadcast_users + 1``
+    rows are fetched).  Within that checked bound they are broadcast, so the
+    click log is filtered where it lies instead of being shuffled by user;
+    beyond it the join shuffles (AQE splits a hot user's partition)."""
     blocked = ad_blocked_at(clicks, threshold)
+    rows = blocked.limit(max_broadcast_users + 1).collect()
+    if len(rows) <= max_broadcast_users:
+        blocked = F.broadcast(clicks.sparkSession.createDataFrame(rows, "userid bigint, blocked_at bigint"))
     return (clicks.join(blocked, "userid", "left")
             .where(F.col("blocked_at").isNull() | (F.col("ts_ms") <= F.col("blocked_at")))
             .drop("blocked_at"))

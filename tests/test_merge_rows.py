@@ -71,9 +71,11 @@ def test_event_exact_blacklist_keeps_clicks_until_listed(spark):
     clicks = spark.createDataFrame(
         [(1, "d", 1, 1), (2, "d", 1, 1), (3, "d", 1, 1), (4, "d", 1, 2), (5, "e", 1, 1),
          (1, "d", 2, 1), (9, "d", 2, 1)], CLICKS)
-    allowed = rows(D.ad_clicks_allowed(clicks, threshold=2), "userid", "ts_ms")
-    # user 1's third click on ad 1 (ts 3) takes the count over 2: kept, later ones dropped
-    assert allowed == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 9)]
+    # user 1's third click on ad 1 (ts 3) takes the count over 2: kept, later ones dropped;
+    # same result with the listed users broadcast and with the shuffle join
+    for limit in (100, 0):
+        allowed = rows(D.ad_clicks_allowed(clicks, threshold=2, max_broadcast_users=limit), "userid", "ts_ms")
+        assert allowed == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 9)]
     assert rows(D.ad_blacklist(clicks, threshold=2), "userid") == [(1,)]
 
 

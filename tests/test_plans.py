@@ -17,12 +17,24 @@ def test_date_range_reaches_the_scan(spark):
 
 
 @pytest.mark.parametrize("key", ["category_top10_sessions", "area_top3_products", "ad_province_top3",
-                                 "ad_clicks_allowed", "session_sample"])
+                                 "session_sample"])
 def test_top_n_is_cut_before_the_shuffle(spark, key):
     p = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
     assert "WindowGroupLimit" in p
 
 
+def test_blacklist_ranks_only_threshold_plus_one_clicks(spark):
+    from shopflow.operators.ads import ad_blocked_at
+    from shopflow.plans.catalogue import _clicks
+    p = ad_blocked_at(_clicks(spark, SF_SMALL), 2)._jdf.queryExecution().sparkPlan().toString()
+    assert "WindowGroupLimit" in p and ", 3, Partial" in p
+
+
+def test_small_blacklist_is_broadcast_not_shuffled(spark):
+    p = plan(E.queries()["ad_clicks_allowed"](spark, SF_SMALL))
+    assert "BroadcastHashJoin [userid" in p and "SortMergeJoin" not in p
+
+
 @pytest.mark.parametrize("key", sorted(k for k in E.queries() if not k.startswith(("stream_", "sink_"))))
 def test_no_cartesian_and_no_python_in_batch_plans(spark, key):
     p = E.queries()[key](spark, SF_SMALL)._jdf.queryExecution().sparkPlan().toString()
