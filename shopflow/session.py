@@ -23,10 +23,28 @@ DEFAULT_CONF = {
 }
 
 
-def build_session(master: str = "local[8]", shuffle_partitions: int = 8,
-                  app: str = "shopflow", extra: dict | None = None) -> SparkSession:
-    builder = SparkSession.builder.master(master).appName(app)
+# On a cluster: many initial shuffle partitions, coalesced by AQE to a target
+# size (not to the core count), so every reduce task fits executor memory
+# whatever the stage's volume; skewed partitions are split by AQE.
+CLUSTER_CONF = {
+    "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
+    "spark.sql.files.maxPartitionBytes": "128m",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+}
+
+
+def build_session(master: str | None = "local[8]", shuffle_partitions: int = 8,
+                  app: str = "shopflow", extra: dict | None = None, cluster: bool = False) -> SparkSession:
+    """``cluster=True`` adds CLUSTER_CONF and leaves the master to
+    spark-submit when ``master`` is None; pass shuffle_partitions of the
+    order of the largest shuffle's bytes / 128 MB."""
+    builder = SparkSession.builder.appName(app)
+    if master:
+        builder = builder.master(master)
     conf = dict(DEFAULT_CONF)
+    if cluster:
+        conf.update(CLUSTER_CONF)
     conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
     for k, v in conf.items():
