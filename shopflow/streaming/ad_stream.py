@@ -155,12 +155,13 @@ def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, check
 
 
 def _blacklist_step(allowed: DataFrame, batch_id: int, listed: DataFrame, daily: ChangeLog,
-                    black: ChangeLog, threshold: int) -> None:
+                    black: ChangeLog, threshold: int, days: list[str] | None = None) -> None:
     """Add the batch's (day, user, ad) counts, look up the totals of the
-    touched keys, list users over ``threshold`` not listed yet."""
+    touched keys, list users over ``threshold`` not listed yet.  ``days``:
+    the batch's days when the caller has them already."""
     counts = D.ad_user_daily_clicks(allowed).persist()
     daily.write(counts, batch_id)
-    totals = daily.current(upto=batch_id, only=touched_days(counts)).join(
+    totals = daily.current(upto=batch_id, only=touched_days(counts) if days is None else days).join(
         counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
     new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
            .join(listed, "userid", "left_anti"))
@@ -241,11 +242,11 @@ def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: in
     def sink(batch: DataFrame, batch_id: int) -> None:
         listed = black.current(before=batch_id)
         allowed = parse_ad_log(batch).join(listed, "userid", "left_anti").persist()
-        _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
+        days = touched_days(allowed)
+        _blacklist_step(allowed, batch_id, listed, daily, black, threshold, days)
         stat.write(D.ad_stat(allowed), batch_id)
         touched = allowed.select("date", "province").distinct()
-        stored = stat.current(upto=batch_id, only=touched_days(allowed)).join(
-            touched, ["date", "province"], "left_semi")
+        stored = stat.current(upto=batch_id, only=days).join(touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
         trend.write(D.ad_click_trend(allowed), batch_id)
         allowed.unpersist()
