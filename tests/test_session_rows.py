@@ -135,3 +135,10 @@ def test_order_key_orders_like_the_pair(spark):
     df = spark.createDataFrame(rows, "t timestamp, id bigint").withColumn("k", order_key("t", "id"))
     got = [(r.t, r.id) for r in df.orderBy("k").collect()]
     assert got == sorted(rows)
+
+
+def test_integer_division_is_exact_beyond_double_precision(spark):
+    from shopflow.functions.columns import int_div
+    a, b = 2 ** 62 + 7, 3
+    r = spark.createDataFrame([(a, b)], "a bigint, b bigint").select(int_div(F.col("a"), F.col("b")).alias("q")).first()
+    assert r.q == a // b
