@@ -143,9 +143,14 @@ def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, check
     """Clicks per ad in sliding event-time windows, append mode: a window is
     written once, when the watermark passes its end."""
     clicks = parse_ad_log(lines).withWatermark("ts", lateness)
-    counts = (clicks.groupBy(F.window("ts", f"{window_minutes} minutes", f"{slide_minutes} minutes")
-                             .alias("w"), "adid")
-              .agg(F.count(F.lit(1)).alias("click_count"))
+    # Two chained stateful aggregations: clicks → closed (minute, ad) counts
+    # → sliding windows over those counts.  Each click updates one state row;
+    # only per-minute rows are expanded into the window_minutes windows.
+    per_minute = (clicks.groupBy(F.window("ts", "1 minute").alias("m"), "adid")
+                  .agg(F.count(F.lit(1)).alias("n")))
+    counts = (per_minute.groupBy(F.window(F.window_time("m"), f"{window_minutes} minutes",
+                                          f"{slide_minutes} minutes").alias("w"), "adid")
+              .agg(F.sum("n").cast("bigint").alias("click_count"))
               .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
                       F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
                       "adid", "click_count"))
