@@ -79,6 +79,16 @@ class ChangeLog:
             out = out.unionByName(p)
         return out
 
+    def retired_paths(self, upto: int) -> list[str]:
+        """Directories no read bounded at ``upto`` or later touches again:
+        the epochs before the current one and all snapshots but the newest.
+        Computed from the epoch arithmetic, without listing; removing them is
+        left to the storage's lifecycle rules (this class never deletes)."""
+        epoch = upto // self.k
+        old_epochs = [f"{self.path}/epoch={e}" for e in range(epoch)]
+        old_snaps = [f"{self.path}/_snap/at={e * self.k - 1}" for e in range(1, epoch)]
+        return old_epochs + old_snaps
+
     def last_batch(self) -> int | None:
         """Newest batch id written (a listing of all epochs; used for the
         final read-back, not in the per-batch path)."""

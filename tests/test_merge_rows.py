@@ -90,3 +90,18 @@ def test_changelog_reads_prune_days(spark):
     assert rows(log.current(upto=2, only=["d2"]), "date", "k", "v") == [("d2", "a", 5)]
     p = log.log(2, ["d2"])._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(date" in p
+
+
+def test_changelog_retired_paths_are_never_read(spark):
+    path = scratch_dir(spark, "test-retire")
+    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
+    for i in range(7):
+        log.write(spark.createDataFrame([("a", 1)], KV), i)
+    retired = log.retired_paths(6)
+    assert retired == [f"{path}/epoch=0", f"{path}/epoch=1", f"{path}/epoch=2",
+                       f"{path}/_snap/at=1", f"{path}/_snap/at=3"]
+    # the bounded read uses only the newest snapshot and the current epoch
+    files = log.log(6).inputFiles()
+    assert files and all("/_snap/at=5/" in f or "/epoch=3/" in f for f in files)
+    assert not any(r.rsplit("/", 1)[-1] in f.split(path)[-1].split("/")[1:3] for f in files for r in retired)
+    assert rows(log.current(upto=6), "k", "v") == [("a", 7)]
