@@ -33,3 +33,20 @@ def test_chunked_pairs_equal_plain_lead(spark, chunk, order, hot_rows, max_hot):
     want = plain(acts, order)
     assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
     assert got.count() == want.count()
+
+
+def test_a_session_with_a_third_of_all_rows_is_split(spark):
+    from shopflow.operators.sequence import hot_group_flag
+    acts = user_visit_action(spark, SF_SMALL)
+    skewed = acts.withColumn("session_id", F.when(F.col("event_id") % 3 == 0, F.lit("hot"))
+                             .otherwise(F.col("session_id")))
+    n_hot = skewed.where(F.col("session_id") == "hot").count()
+    assert n_hot * 3 >= acts.count() - 2
+    _, flag = hot_group_flag(skewed, "session_id", hot_rows=100)
+    assert [r.session_id for r in skewed.where(flag).select("session_id").distinct().collect()] == ["hot"]
+    # the hot session spreads over many chunks (one per second of its actions)
+    chunks = skewed.where(flag).select(second_chunk("action_time")).distinct().count()
+    assert chunks > n_hot // 2
+    got = consecutive_pairs(skewed, "session_id", BY_TIME, second_chunk("action_time"), ["page_id"], hot_rows=100)
+    want = plain(skewed, BY_TIME)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
