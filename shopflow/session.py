@@ -31,6 +31,11 @@ CLUSTER_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "256m",
+    # Stream state on local disk (RocksDB) instead of the executor heap, with
+    # changelog checkpoints: state of any size, cheap per-batch commits.
+    "spark.sql.streaming.stateStore.providerClass":
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
 
 
