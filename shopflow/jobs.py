@@ -22,13 +22,14 @@ from shopflow.operators import category as C
 from shopflow.operators import pageflow as G
 from shopflow.operators import session as S
 from shopflow.operators.sinks import append_result
-from shopflow.session import checkpoint_root
+from shopflow.session import checkpoint_root, use_utc
 from shopflow.sources.adlog import read_ad_log_stream
 from shopflow.sources.tables import normalize_actions
 from shopflow.streaming import ad_stream as R
 
 
-def _task(task_id: str | None) -> str:
+def _task(spark: SparkSession, task_id: str | None) -> str:
+    use_utc(spark)  # every date key and epoch conversion is defined in UTC
     return task_id or uuid.uuid4().hex
 
 
@@ -44,7 +45,7 @@ def session_statistics(spark: SparkSession, actions: DataFrame, users: DataFrame
     The filtered sessions feed five results; they are checkpointed once
     (reliable checkpoint in the shared ``spark.checkpoint.dir``), which cuts
     the lineage so a lost executor never re-runs the roll-up."""
-    task = _task(task_id)
+    task = _task(spark, task_id)
     checkpoint_root(spark)
     acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     sessions = S.session_filtered(S.session_full_info(S.session_rollup(acts), users), **filters).checkpoint()
@@ -64,7 +65,7 @@ def page_conversion(spark: SparkSession, actions: DataFrame, out: str, start_dat
                     target_page_flow: str, task_id: str | None = None) -> str:
     """Step conversion rates along ``target_page_flow`` ("1,2,3,…"): the
     per-step table and the packed ``a_b=rate|…`` string."""
-    task = _task(task_id)
+    task = _task(spark, task_id)
     acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     conversion = G.page_conversion(G.page_flow_counts(spark, acts, target_page_flow))
     append_result(conversion, f"{out}/page_split_convert_rate_steps", task)
@@ -77,7 +78,7 @@ def area_top_products(spark: SparkSession, actions: DataFrame, city_dim: DataFra
                       levels: dict[str, str] = A.REFERENCE_AREA_LEVELS) -> str:
     """The ``n`` most clicked products per area with city list, product
     status and area level."""
-    task = _task(task_id)
+    task = _task(spark, task_id)
     acts = S.actions_in_range(normalize_actions(actions), start_date, end_date)
     counts = A.area_product_counts(A.area_clicks(acts, city_dim))
     top = A.area_top_products(A.area_product_info(counts, products), n, levels)

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from shopflow.session import use_utc
+
 
 def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``ts_ms province city userid adid`` → typed columns, parsed once.
@@ -39,6 +41,7 @@ def read_ad_log_stream(spark: SparkSession, path: str, fmt: str = "text",
     ``fmt="kafka"`` takes the usual ``kafka.bootstrap.servers`` /
     ``subscribe`` options (the connector jar must be on the classpath).
     """
+    use_utc(spark)  # day / minute keys of the stream are UTC, as in the batch forms
     reader = spark.readStream.format(fmt)
     if fmt == "kafka":
         # The reference's consumer starts at the newest offsets; offsets are

@@ -75,3 +75,17 @@ def test_late_row_behind_watermark_is_dropped_and_restart_adds_nothing(spark):
     run()  # restart with no new input
     got = {(r.hour, r.minute): r.click_count for r in R.trend_table(spark, out).current().collect()}
     assert got == {("12", "00"): 1, ("15", "00"): 2}
+
+
+def test_stream_day_keys_are_utc_whatever_the_session_zone(spark):
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        root = scratch_dir(spark, "tz")
+        src, ckpt, out = f"{root}/feed", f"{root}/ckpt", f"{root}/out"
+        _write(spark, src, [_line(dt.datetime(2024, 1, 2, 1, 30))])  # 01:30 UTC = previous day in New York
+        R.run_available(lambda: R.click_trend_stream(spark, R.read_lines(spark, src), out, ckpt,
+                                                     trigger={"availableNow": True}, state_partitions=2))
+        r = R.trend_table(spark, out).current().first()
+        assert (r.date, r.hour, r.minute) == ("20240102", "01", "30")
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
