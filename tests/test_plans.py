@@ -58,3 +58,11 @@ def test_day_partitioned_store_prunes_directories(spark):
     write_partitioned(user_visit_action(spark, SF_SMALL), path)
     p = plan(read_day_range(spark, path, "2024-01-05", "2024-01-06"))
     assert "PartitionFilters: [isnotnull(date" in p and "2024-01-05" in p
+
+
+def test_ordinary_sessions_pay_no_extra_shuffle_for_hot_session_handling(spark):
+    # no session of the fixture exceeds hot_rows: one window shuffle by session,
+    # the boundary branch for hot sessions is pruned away
+    p = plan(E.queries()["page_transition_counts"](spark, SF_SMALL))
+    assert p.count("Exchange hashpartitioning(session_id") == 1
+    assert p.count("Window [") == 1
