@@ -32,7 +32,7 @@ _STEP = np.uint64(0x9E3779B97F4A7C15)
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
-class _WordHash(dict):
+class WordHash(dict):
     """64-bit hashes of words, kept for words met before."""
 
     def __missing__(self, word: bytes) -> int:
@@ -105,7 +105,7 @@ def band_keys(sets: list[np.ndarray], bands: int, rows: int) -> np.ndarray:
 
 def _fingerprints(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataFrame:
     def run(batches):
-        known = _WordHash()
+        known = WordHash()
         for batch in batches:
             for lo in range(0, batch.num_rows, 1024):
                 part = batch.slice(lo, 1024)
@@ -127,7 +127,7 @@ def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
     """(cid, set) of the wanted classes (cid, rep, digest): the text of each
     class's smallest document is read again."""
     def run(batches):
-        known = _WordHash()
+        known = WordHash()
         for batch in batches:
             sets = [shingle_set(t.as_py(), shingle, known).tobytes() for t in batch.column(0)]
             yield pa.RecordBatch.from_arrays([

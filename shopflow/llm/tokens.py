@@ -11,9 +11,8 @@ import numpy as np
 _WS = "".join(map(chr, (*range(9, 14), 0x20, 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 # Runs of Latin letters, all of them in the tokenizer's letter class: a run ends
 # one of its matches when white space or one of .,;:!? follows.
-_LETTERS = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((65, 90), (97, 122), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0x24F)))
-_CHUNK = re.compile(f"[{_WS}]*[{_LETTERS}]+(?=[{_WS}.,;:!?]|\\Z)|[{_WS}]*[^{_WS}]+|[{_WS}]+")
-_WORD = re.compile(f" [{_LETTERS}]+")
+_LETTERS = "".join(f"{chr(a)}-{chr(b)}" for a, b in ((65, 90), (97, 122), (0xC0, 0xD6), (0xD8, 0xF6), (0xF8, 0xFF)))
+_CHUNK = re.compile(f"[ \\n]*[{_LETTERS}]+(?=[ \\n.,;:!?]|\\Z)|[{_WS}]*[^{_WS}]+|[{_WS}]+")
 _CUT = re.compile(f"(?<=[^{_WS}])(?=[{_WS}])")
 _SLICE = 1 << 20
 _LONG = 64
@@ -27,16 +26,24 @@ def default_tokenizer_path() -> str:
 
 
 class ChunkTokenizer:
-    """Ids as little-endian uint32 bytes.  Chunks seen before come from a
-    cache of at most ``cache`` short chunks (emptied when full); ids always
-    come from the ``tokenizers`` library.  Special-token strings in a text
+    """Ids as little-endian uint32 bytes.  Ids always come from the
+    ``tokenizers`` library; short chunks met before come from a cache of at
+    most ``cache`` entries.  A full cache keeps what it has, since frequent
+    chunks are met early, and starts anew when the text has drifted so far
+    that over DRIFT of the chunks miss it.  Special-token strings in a text
     are ordinary text."""
 
+    DRIFT, WATCH = 0.3, 2_000_000
+
     def __init__(self, path: str, cache: int = 700_000):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
+        vocab = self.model.get_vocab()
+        self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)  # bytes per id: one character each in the vocabulary
+        self.width[list(vocab.values())] = [len(t) for t in vocab]
         self.cache, self.size = {}, cache
+        self.met = self.missed = 0
 
     def _slices(self, text: str):
         at = 0
@@ -48,39 +55,43 @@ class ChunkTokenizer:
         yield text[at:] if at else text
 
     def _encode_new(self, new: list[str]) -> dict[str, bytes]:
-        """Ids of chunks not met before.  Single words go through the library
-        joined, since each is one match of its own there; the rest one by one."""
-        words = [c for c in new if _WORD.fullmatch(c)]
+        """Ids of chunks not met before.  Chunks that start with white space
+        and end without go through the library joined, since no match of its
+        own crosses such a seam, and are told apart by bytes per id."""
+        joined = [c for c in new if c[0] in _WS and c[-1] not in _WS]
         fresh = {}
-        if words:
-            got = self.model.encode("".join(words), add_special_tokens=False)
-            data, of = np.asarray(got.ids, dtype="<u4").tobytes(), np.asarray(got.word_ids)
-            ends = (4 * np.searchsorted(of, np.arange(len(words)), side="right")).tolist()
+        if joined:
+            ids = np.asarray(self.model.encode_batch_fast(["".join(joined)], add_special_tokens=False)[0].ids, dtype="<u4")
+            data, done = ids.tobytes(), np.cumsum(self.width[ids])
+            ends = np.cumsum([len(c.encode("utf-8", "surrogatepass")) for c in joined])
             at = 0
-            for c, end in zip(words, ends):
+            for c, end in zip(joined, (4 * np.searchsorted(done, ends) + 4).tolist()):
                 fresh[c] = data[at:end]
                 at = end
-        rest = [c for c in new if c not in fresh]
-        if rest:
-            got = self.model.encode_batch_fast(rest, add_special_tokens=False)
-            fresh.update((c, np.asarray(e.ids, dtype="<u4").tobytes()) for c, e in zip(rest, got))
+        for c in new:
+            if c not in fresh:
+                fresh[c] = np.asarray(self.model.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return fresh
 
     def encode(self, text: str) -> bytes:
         out = []
         for piece in self._slices(text):
             chunks = _CHUNK.findall(piece)
-            if len(self.cache) > self.size:
-                self.cache.clear()
             known = self.cache
-            new = [c for c in set(chunks) if c not in known]
+            new = list(set(chunks).difference(known))
+            self.met += len(chunks)
+            self.missed += len(new)
             if new:
                 fresh = self._encode_new(new)
-                known.update((c, v) for c, v in fresh.items() if len(c) <= _LONG)
-                if any(len(c) > _LONG for c in new):
-                    out.append(b"".join([known[c] if c in known else fresh[c] for c in chunks]))
-                    continue
-            out.append(b"".join(map(known.__getitem__, chunks)))
+                if len(known) < self.size:
+                    known.update((c, v) for c, v in fresh.items() if len(c) <= _LONG)
+                out.append(b"".join([known[c] if c in known else fresh[c] for c in chunks]))
+            else:
+                out.append(b"".join(map(known.__getitem__, chunks)))
+            if self.met > self.WATCH:
+                if len(known) >= self.size and self.missed > self.DRIFT * self.met:
+                    known.clear()
+                self.met = self.missed = 0
         return out[0] if len(out) == 1 else b"".join(out)
 
 

@@ -7,7 +7,7 @@ phrase do not count.  The sum of the weights, divided by 1 + log10(1 + words),
 is calibrated into a score between 0 and 1.
 
 Entries and weights are learned from labelled rows: a word, or the beginning
-of words (4 to 6 letters), enters when its documents are mostly labelled
+of words (4 to 8 letters), enters when its documents are mostly labelled
 toxic; its weight is the log ratio of its document frequencies.  A few seed
 words join with a set weight where the labelled rows do not show them.
 """
@@ -25,13 +25,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.llm.common import written
+from shopflow.llm.minhash import WordHash, shingle_set
 
 SAMPLE_ROWS = 20_000
 MAX_ENTRIES = 2_000
-MIN_WEIGHT = 2.0
+MIN_WEIGHT = 3.0
 MIN_SHARE = 0.01
 THRESHOLD = 0.3
-PREFIXES = (4, 5, 6)
+PREFIXES = (4, 5, 6, 7, 8)
 BIN = 0.05
 BINS = 800
 
@@ -181,13 +182,18 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """(entries, score per bin of the normalised weight) from at most
     ``sample_rows`` labelled rows outside the held-out quarter (crc32 of the
     doc_id as text, modulo 4, is 2).  Which rows: those of smallest hash of
-    the id.  Equal texts count once.  Null ids and labels are ignored; of
+    the id.  Texts that share the smallest hash of their five-word runs, as
+    copies and most near copies do, count once, lest the chance words of a
+    much-copied text become entries.  Null ids and labels are ignored; of
     conflicting labels toxic wins."""
     ids = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
-    sample = written(docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id")
-                     .groupBy("text").agg(F.max("toxic").alias("toxic")), "labelled")
+    labelled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
+        F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
+    sample = written(_with_lead(labelled).groupBy("lead")
+                     .agg(F.min_by("text", F.struct("doc_id", "text")).alias("text"), F.max("toxic").alias("toxic"))
+                     .select("text", "toxic"), "labelled")
     entries = _lexicon(_counted(sample))
     # graded on the rows that the weights come from; the entries are few against them
     hist = (_scored(sample.withColumn("doc_id", F.lit(0).cast("long")), entries, None, keep=("toxic",))
@@ -202,6 +208,19 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return entries, np.clip(0.98 * share + 0.02 * (1 - np.exp(-BIN * np.arange(BINS))), 0.0, 1.0)
 
 
+def _with_lead(sample: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) and ``lead``, the smallest hash among the
+    five-word runs of the text (null without words)."""
+    def run(batches):
+        known = WordHash()
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), 5, known) for t in batch.column(1)]
+            lead = pa.array([int(s[0]) >> 1 if len(s) else None for s in sets], type=pa.int64())
+            yield pa.RecordBatch.from_arrays([*batch.columns, lead], names=["doc_id", "text", "toxic", "lead"])
+
+    return sample.mapInArrow(run, "doc_id long, text string, toxic int, lead long")
+
+
 def held_out(doc_id):
     return F.crc32(doc_id.cast("string").cast("binary")) % 4 == 2
 
