@@ -6,6 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from shopflow.operators.joins import first_per_key
+
 MINUTE_MS = 60_000
 
 CLICK_COLS = ["ts_ms", "date", "hour", "minute", "minute_key", "province", "city", "userid", "adid"]
@@ -24,33 +26,26 @@ def ad_blacklist(clicks: DataFrame, threshold: int = 100) -> DataFrame:
 def ad_blocked_at(clicks: DataFrame, threshold: int = 100) -> DataFrame:
     """Per user, the time of the first click that takes some daily (user,
     ad) count over ``threshold``.  Only the first threshold+1 clicks of each
-    (day, user, ad) are ranked: ``rn <= threshold + 1`` is cut inside every
-    task before the shuffle, so a user with millions of clicks ships at most
-    threshold + 1 rows per task and key."""
-    w = Window.partitionBy("date", "userid", "adid").orderBy("ts_ms")
-    nth = (clicks.select("date", "userid", "adid", "ts_ms")
+    (day, user, ad) are ranked (``first_per_key``), so a user with millions
+    of clicks ships at most threshold + 1 rows per task and key, whatever the
+    threshold."""
+    keys = ["date", "userid", "adid"]
+    w = Window.partitionBy(*keys).orderBy("ts_ms")
+    nth = (first_per_key(clicks.select(*keys, "ts_ms"), keys, ["ts_ms"], threshold + 1)
            .withColumn("rn", F.row_number().over(w))
            .where(F.col("rn") <= threshold + 1)
            .where(F.col("rn") == threshold + 1))
     return nth.groupBy("userid").agg(F.min("ts_ms").alias("blocked_at"))
 
 
-MAX_BROADCAST_USERS = 100_000
-
-
-def ad_clicks_allowed(clicks: DataFrame, threshold: int = 100,
-                      max_broadcast_users: int = MAX_BROADCAST_USERS) -> DataFrame:
+def ad_clicks_allowed(clicks: DataFrame, threshold: int = 100) -> DataFrame:
     """Event-exact blacklist policy: a user's clicks are kept up to and
     including the click that listed them; later clicks are dropped.
 
-    The listed users are computed first (at most ``max_broadcast_users + 1``
-    rows are fetched).  Within that checked bound they are broadcast, so the
-    click log is filtered where it lies instead of being shuffled by user;
-    beyond it the join shuffles (AQE splits a hot user's partition)."""
+    The listed users are a left join away: adaptive execution broadcasts
+    them when their measured size allows and else splits a hot user's
+    partition; no job runs while the plan is built."""
     blocked = ad_blocked_at(clicks, threshold)
-    rows = blocked.limit(max_broadcast_users + 1).collect()
-    if len(rows) <= max_broadcast_users:
-        blocked = F.broadcast(clicks.sparkSession.createDataFrame(rows, "userid bigint, blocked_at bigint"))
     return (clicks.join(blocked, "userid", "left")
             .where(F.col("blocked_at").isNull() | (F.col("ts_ms") <= F.col("blocked_at")))
             .drop("blocked_at"))

@@ -33,8 +33,14 @@ def category_touched(actions: DataFrame) -> DataFrame:
 
 
 def _kind_counts(actions: DataFrame, kind: str, name: str) -> DataFrame:
-    return (category_events(actions).where(F.col("kind") == kind)
-            .groupBy("category_id").agg(F.count(F.lit(1)).alias(name)))
+    """Reads the one column of the kind: filtered and projected before its
+    list is opened."""
+    if kind == "click":
+        ids = actions.where(F.col("click_category_id") != -1).select(F.col("click_category_id").alias("category_id"))
+    else:
+        column = f"{kind}_category_ids"
+        ids = actions.where(F.col(column).isNotNull()).select(F.explode(id_list(F.col(column))).alias("category_id"))
+    return ids.groupBy("category_id").agg(F.count(F.lit(1)).alias(name))
 
 
 def category_click_counts(actions: DataFrame) -> DataFrame:

@@ -4,7 +4,7 @@ applied over the whole action or session table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shopflow.functions.columns import STEP_BUCKETS, in_bucket, pad2, trim_edge_commas
@@ -79,15 +79,14 @@ def daily_activity(actions: DataFrame, as_of: str | None = None) -> DataFrame:
 LIST_COLS = ["order_category_ids", "order_product_ids", "pay_category_ids", "pay_product_ids"]
 
 
-def clean_id_lists(actions: DataFrame, wrap: bool = True) -> DataFrame:
+def clean_id_lists(actions: DataFrame) -> DataFrame:
     """Per action carrying an order or pay list: each list with its edge
     commas stripped, empty ids dropped, ids padded to two digits, distinct
     and sorted; plus how many raw items were removed in all."""
     out = [F.col("event_id")]
     removed = F.lit(0)
     for c in LIST_COLS:
-        raw = F.concat(F.lit(","), F.col(c), F.lit(",")) if wrap else F.col(c)
-        items = F.split(trim_edge_commas(raw), ",")
+        items = F.split(trim_edge_commas(F.col(c)), ",")
         clean = F.array_sort(F.array_distinct(F.transform(F.filter(items, lambda x: x != ""), pad2)))
         out.append(F.array_join(clean, ",").alias(c))
         removed = removed + F.coalesce(F.size(items) - F.size(clean), F.lit(0))
@@ -95,10 +94,26 @@ def clean_id_lists(actions: DataFrame, wrap: bool = True) -> DataFrame:
     return actions.where(has_list).select(*out, removed.cast("bigint").alias("removed_ids"))
 
 
+# A value's own separators, and the sign that marks them, are percent-encoded.
+ESCAPES = [("%", "%25"), ("|", "%7C"), ("=", "%3D")]
+
+
+def escaped(value: Column) -> Column:
+    for sign, code in ESCAPES:
+        value = F.replace(value, F.lit(sign), F.lit(code))
+    return value
+
+
+def unescaped(value: Column) -> Column:
+    for sign, code in reversed(ESCAPES):
+        value = F.replace(value, F.lit(code), F.lit(sign))
+    return value
+
+
 def pack_session(sessions: DataFrame) -> DataFrame:
     """Session info packed as ``key=value|key=value`` (the reference's
-    intermediate record)."""
-    parts = [F.concat(F.lit(f"{k}="), F.coalesce(F.col(c).cast("string"), F.lit(""))) for k, c in PACKED_FIELDS]
+    intermediate record), separators inside a value escaped."""
+    parts = [F.concat(F.lit(f"{k}="), escaped(F.coalesce(F.col(c).cast("string"), F.lit("")))) for k, c in PACKED_FIELDS]
     return sessions.select("session_id", F.concat_ws("|", *parts).alias("packed"))
 
 
@@ -117,7 +132,7 @@ def packed_sessions(sessions: DataFrame, field: str = "stepLength") -> DataFrame
     repacked = F.array_join(F.transform(F.array_sort(F.map_entries(replaced)),
                                         lambda e: F.concat(e["key"], F.lit("="), e["value"])), "|")
     return packed.select(
-        m["sessionid"].alias("session_id"),
+        unescaped(m["sessionid"]).alias("session_id"),
         m["visitLength"].cast("bigint").alias("visit_length"),
         steps.alias("step_length"),
         m["age"].cast("int").alias("age"),

@@ -57,9 +57,18 @@ def replace_groups(target: DataFrame, updates: DataFrame, group_keys: Sequence[s
 
 
 def append_distinct(target: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Append the rows of ``new`` whose key is not yet in ``target``."""
-    added = new.select(*keys).distinct().join(target.select(*keys), list(keys), "left_anti")
-    return (target.select(*keys).distinct().withColumn("action", F.lit("kept"))
+    """Append the rows of ``new`` whose key is not yet in ``target``, with all
+    columns of ``target``; one row per key, the smallest where several have it."""
+    rest = [c for c in target.columns if c not in keys]
+
+    def one_per_key(df: DataFrame) -> DataFrame:
+        if not rest:
+            return df.select(*keys).distinct()
+        return (df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("_row"))
+                .select(*[F.col(c) if c in keys else F.col(f"_row.{c}") for c in target.columns]))
+
+    added = one_per_key(new).join(target.select(*keys), list(keys), "left_anti")
+    return (one_per_key(target).withColumn("action", F.lit("kept"))
             .unionByName(added.withColumn("action", F.lit("inserted"))))
 
 

@@ -17,13 +17,15 @@ def page_flow_pairs(spark: SparkSession, flow: str) -> DataFrame:
     return spark.createDataFrame(rows, "step int, from_page bigint, to_page bigint")
 
 
-def page_transitions(actions: DataFrame, chunk: Column | None = None) -> DataFrame:
+def page_transitions(actions: DataFrame, chunk: Column | None = None, keep_last: bool = False) -> DataFrame:
     """Consecutive page pairs inside each session, ordered by (action time,
     event id).  A hot session is split by second of action time so it
-    spreads over many tasks (``sequence.consecutive_pairs``)."""
+    spreads over many tasks (``sequence.consecutive_pairs``).  With
+    ``keep_last`` a session's last action is there too, ``has_next`` false."""
     pairs = consecutive_pairs(actions, "session_id", ["action_time", "event_id"],
-                              second_chunk("action_time") if chunk is None else chunk, ["page_id"])
-    return pairs.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"))
+                              second_chunk("action_time") if chunk is None else chunk, ["page_id"], keep_last=keep_last)
+    return pairs.select("session_id", F.col("page_id").alias("from_page"), F.col("next_page_id").alias("to_page"),
+                        *(["has_next"] if keep_last else []))
 
 
 def page_transition_counts(actions: DataFrame) -> DataFrame:
@@ -33,20 +35,17 @@ def page_transition_counts(actions: DataFrame) -> DataFrame:
 
 def page_flow_counts(spark: SparkSession, actions: DataFrame, flow: str) -> DataFrame:
     """Step 0: actions on the start page; step i: transitions of the i-th
-    target pair, zero-filled.  The pair table (bounded by the flow length) is
-    broadcast into the transitions before they are counted."""
-    pairs = page_flow_pairs(spark, flow)
-    start = int(flow.split(",")[0])
-    counted = (page_transitions(actions)
-               .join(F.broadcast(pairs), ["from_page", "to_page"])
-               .groupBy("step").agg(F.count(F.lit(1)).alias("pair_count")))
-    steps = (pairs.join(counted, "step", "left")
-             .select("step", F.concat_ws("_", "from_page", "to_page").alias("page_pair"),
-                     F.coalesce("pair_count", F.lit(0)).alias("pair_count")))
-    start_row = actions.where(F.col("page_id") == start).agg(
-        F.lit(0).alias("step"), F.lit(str(start)).alias("page_pair"),
-        F.count(F.lit(1)).alias("pair_count"))
-    return steps.unionByName(start_row)
+    target pair.  All steps are conditional counts of one aggregate over one
+    pass of the transitions (as many counts as the flow has pages), turned
+    into rows at the end."""
+    pages = [int(p) for p in flow.split(",") if p.strip()]
+    steps = [F.count_if(F.col("from_page") == pages[0])]
+    steps += [F.count_if(F.col("has_next") & (F.col("from_page") == a) & (F.col("to_page") == b)) for a, b in zip(pages, pages[1:])]
+    names = [str(pages[0]), *[f"{a}_{b}" for a, b in zip(pages, pages[1:])]]
+    counted = page_transitions(actions, keep_last=True).agg(*[n.alias(f"n{i}") for i, n in enumerate(steps)])
+    rows = F.array(*[F.struct(F.lit(i).alias("step"), F.lit(name).alias("page_pair"), F.col(f"n{i}").alias("pair_count"))
+                     for i, name in enumerate(names)])
+    return counted.select(F.inline(rows))
 
 
 def page_conversion(flow_counts: DataFrame) -> DataFrame:

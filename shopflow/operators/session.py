@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from shopflow.functions.columns import (
     STEP_BUCKETS, VISIT_BUCKETS, first_seen_join, half_up_ratio, in_bucket, int_div, order_key)
-from shopflow.operators.joins import DIMENSION_MAX_ROWS
+from shopflow.operators.joins import DIMENSION_MAX_ROWS, first_per_key
 
 
 def actions_in_range(actions: DataFrame, start_date: str, end_date: str) -> DataFrame:
@@ -169,15 +169,6 @@ def session_sample_quota(sessions: DataFrame, total: int = 100) -> DataFrame:
             .select("date", "hour", "session_count", "day_session_count", "quota"))
 
 
-def _allow_group_limit(df: DataFrame, k: int) -> None:
-    """The optimizer inserts the per-task top-k only up to
-    ``windowGroupLimitThreshold`` (default 1000); raise it to ``k``."""
-    conf = df.sparkSession.conf
-    key = "spark.sql.optimizer.windowGroupLimitThreshold"
-    if int(conf.get(key, "1000")) < k:
-        conf.set(key, str(k))
-
-
 def sample_order(session_id: Column, seed: int) -> Column:
     return F.md5(F.concat(session_id, F.lit(f"_{seed}")))
 
@@ -187,15 +178,15 @@ def session_sample(sessions: DataFrame, total: int = 100, seed: int = 42) -> Dat
     first ``quota`` sessions by a seeded hash.
 
     Every quota is at most ``total``, so ``rn <= total`` is added as a
-    literal bound: the optimizer then keeps only the top ``total`` rows per
-    stratum in each task before the shuffle (window group limit), so a hot
-    hour never ships all its sessions to one task.  The quota table has at
+    literal bound: only the top ``total`` rows per stratum of each task or
+    salt pass on (``first_per_key``), so a hot hour is never ranked whole in
+    one task.  The quota table has at
     most 24 rows per day, a proven bound, and is broadcast."""
-    _allow_group_limit(sessions, total)
     quota = session_sample_quota(sessions, total).select("date", "hour", "quota")
     keyed = _with_start_keys(sessions).withColumn("h", sample_order(F.col("session_id"), seed))
     w = Window.partitionBy("date", "hour").orderBy("h", "session_id")
-    ranked = keyed.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= total)
+    few = first_per_key(keyed, ["date", "hour"], ["h", "session_id"], total)
+    ranked = few.withColumn("rn", F.row_number().over(w)).where(F.col("rn") <= total)
     return (ranked.join(F.broadcast(quota), ["date", "hour"])
             .where(F.col("rn") <= F.col("quota"))
             .select("session_id", "start_time", "search_keywords", "click_category_ids"))

@@ -3,12 +3,16 @@ or write through JDBC (the reference's MySQL tables)."""
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def append_result(df: DataFrame, path: str, task_id: str, fmt: str = "parquet") -> None:
-    df.withColumn("task_id", F.lit(task_id)).write.mode("append").format(fmt).save(path)
+    """Store the result of one run as the ``task_id`` partition of ``path``.
+    A rerun with the same id replaces its own rows and nothing else."""
+    df.write.mode("overwrite").format(fmt).save(f"{path.rstrip('/')}/task_id={quote(task_id, safe='')}")
 
 
 def overwrite_table(df: DataFrame, name: str, path: str | None = None) -> None:
@@ -40,4 +44,7 @@ def write_jdbc(df: DataFrame, url: str, table: str, mode: str = "append", **prop
 
 
 def read_back(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
-    return spark.read.format(fmt).load(path)
+    """The stored runs; a task id is text even where it looks like a number."""
+    found = spark.read.format(fmt).load(path).schema
+    fields = [T.StructField(f.name, T.StringType()) if f.name == "task_id" else f for f in found.fields]
+    return spark.read.schema(T.StructType(fields)).format(fmt).load(path)

@@ -22,7 +22,7 @@ from shopflow.operators import sinks as K
 from shopflow.plans import params as P
 from shopflow.session import scratch_dir
 from shopflow.sources import fixtures as X
-from shopflow.sources.adlog import parse_ad_log
+from shopflow.sources.adlog import parse_ad_log, rejected_lines
 from shopflow.sources.tables import read_day_range
 from shopflow.streaming import ad_stream as R
 
@@ -153,9 +153,44 @@ def category_top10_sessions(spark, sf):
     return C.category_top_sessions(_session_category_clicks(spark, sf), P.TOP_SESSIONS)
 
 
+# --- the session job's main path: filter sessions, join back, then rank ------
+
+@query
+def session_filtered_places(spark, sf):
+    return render_times(S.session_filtered(_full_info(spark, sf), **P.FILTER_PLACES))
+
+
+def _filtered_actions(spark, sf):
+    acts = _actions(spark, sf)
+    sessions = S.session_filtered(S.session_full_info(S.session_rollup(acts), X.user_info(spark, sf)), **P.FILTER)
+    return S.filtered_session_actions(acts, sessions)
+
+
+@query
+def filtered_category_top10(spark, sf):
+    return C.category_top(C.category_full_counts(_filtered_actions(spark, sf)), P.TOP_CATEGORIES)
+
+
+@query
+def filtered_category_top10_sessions(spark, sf):
+    acts = _filtered_actions(spark, sf)
+    top = C.category_top(C.category_full_counts(acts), P.TOP_CATEGORIES)
+    return C.category_top_sessions(C.session_category_clicks(acts, top), P.TOP_SESSIONS)
+
+
 # --- page conversion ---------------------------------------------------------
 
 
+def _ranged_actions(spark, sf):
+    acts = X.user_visit_action(spark, sf, P.RANGE_START, P.RANGE_END)
+    return S.actions_in_range(acts, P.RANGE_START, P.RANGE_END)
+
+
+@query
+def page_conversion_in_range(spark, sf):
+    return G.page_conversion(G.page_flow_counts(spark, _ranged_actions(spark, sf), P.PAGE_FLOW))
+
+
 @query
 def page_transition_counts(spark, sf):
     return G.page_transition_counts(_actions(spark, sf))
@@ -205,6 +240,12 @@ def area_top3_products(spark, sf):
     return A.area_top_products(info, P.TOP_PRODUCTS, P.AREA_LEVELS)
 
 
+@query
+def area_top3_in_range(spark, sf):
+    counts = A.area_product_counts(A.area_clicks(_ranged_actions(spark, sf), X.city_area(spark, sf)))
+    return A.area_top_products(A.area_product_info(counts, X.product_info(spark, sf)), P.TOP_PRODUCTS, P.AREA_LEVELS)
+
+
 # --- ad statistics (batch) ---------------------------------------------------
 
 
@@ -221,6 +262,18 @@ def ad_click_log(spark, sf):
     return _clicks(spark, sf).select(*D.CLICK_COLS)
 
 
+@query
+def ad_log_dirty_clicks(spark, sf):
+    """The clicks of a log with broken lines."""
+    return parse_ad_log(X.ad_log_dirty(spark, sf)).select(*D.CLICK_COLS)
+
+
+@query
+def ad_log_rejects(spark, sf):
+    """The broken lines of that log, with the reason."""
+    return rejected_lines(X.ad_log_dirty(spark, sf))
+
+
 @query
 def ad_user_daily_clicks(spark, sf):
     return D.ad_user_daily_clicks(_clicks(spark, sf))
@@ -328,7 +381,9 @@ def daily_activity(spark, sf):
 
 @query
 def clean_id_lists(spark, sf):
-    return H.clean_id_lists(_actions(spark, sf))
+    """The fixture's lists have clean edges: they are wrapped in commas here."""
+    wrapped = {c: F.concat(F.lit(","), F.col(c), F.lit(",")) for c in H.LIST_COLS}
+    return H.clean_id_lists(_actions(spark, sf).withColumns(wrapped))
 
 
 @query
@@ -422,9 +477,8 @@ def stream_click_trend(spark, sf):
 @query
 def stream_hourly_sliding(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.hourly_sliding_stream(
-        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE,
-        state_partitions=_state_partitions(spark), compact_every=_COMPACT))
-    return R.sliding_table(spark, out, _COMPACT).current()
+        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE, compact_every=_COMPACT))
+    return R.sliding_table(spark, out, _COMPACT).current().drop("date")
 
 
 @query

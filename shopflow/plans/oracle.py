@@ -6,9 +6,15 @@ intermediate results are common table expressions, prepended as needed.
 
 from __future__ import annotations
 
-from shopflow.functions.columns import STEP_BUCKETS, VISIT_BUCKETS
+import re
+
 from shopflow.plans import params as P
 
+# Written out, not imported from the code under test: (label, from, to).
+VISIT_BUCKETS = [("1s_3s", 1, 3), ("4s_6s", 4, 6), ("7s_9s", 7, 9), ("10s_30s", 10, 30), ("30s_60s", 31, 60),
+                 ("1m_3m", 61, 180), ("3m_10m", 181, 600), ("10m_30m", 601, 1800), ("30m", 1801, None)]
+STEP_BUCKETS = [("1_3", 1, 3), ("4_6", 4, 6), ("7_9", 7, 9), ("10_30", 10, 30), ("30_60", 31, 60), ("60", 61, None)]
+
 CTES: dict[str, tuple[str, tuple[str, ...]]] = {}
 
 
@@ -378,6 +384,28 @@ from (select adid, unnest(range(b - to_minutes({_W - _S}), b + to_minutes({_S}),
       from (select adid, time_bucket(to_minutes({_S}), ts) as b from ad_allowed))
 group by ws, adid""", "ad_allowed")
 
+# --- broken lines: what does not parse is rejected with a reason -----------------
+cte("ad_log_dirty", """
+select event_id, case event_id % 40
+    when 0 then array_to_string(p[1:4], ' ')
+    when 1 then array_to_string(p[1:3] || ['x'] || p[4:5], ' ')
+    when 2 then array_to_string(['oops'] || p[2:5], ' ')
+    when 3 then array_to_string(p[1:3] || ['abc'] || p[5:5], ' ')
+    when 4 then '' else value end as value
+from (select event_id, value, string_split(value, ' ') as p from ad_log)""", "ad_log")
+cte("ad_dirty_parsed", """
+select value, try_cast(p[1] as bigint) as ts_ms, p[2] as province, p[3] as city,
+       try_cast(p[4] as bigint) as userid, try_cast(p[5] as bigint) as adid,
+       case when len(p) <> 5 then 'not five fields' when try_cast(p[1] as bigint) is null then 'bad time'
+            when try_cast(p[4] as bigint) is null or try_cast(p[5] as bigint) is null then 'bad user or ad' end as reason
+from (select value, string_split(value, ' ') as p from ad_log_dirty)""", "ad_log_dirty")
+SQL["ad_log_rejects"] = compose("select value, reason from ad_dirty_parsed where reason is not null", "ad_dirty_parsed")
+SQL["ad_log_dirty_clicks"] = compose("""
+select ts_ms, strftime(epoch_ms(ts_ms), '%Y%m%d') as date, strftime(epoch_ms(ts_ms), '%H') as hour,
+       strftime(epoch_ms(ts_ms), '%M') as minute, strftime(epoch_ms(ts_ms), '%Y%m%d%H%M') as minute_key,
+       province, city, userid, adid
+from ad_dirty_parsed where reason is null""", "ad_dirty_parsed")
+
 # --- keyed merges -----------------------------------------------------------------
 _split_ms = f"(epoch_us(timestamp '{P.SPLIT_TS}') // 1000)"
 cte("ad_early", f"select * from ad_click_log where ts_ms < {_split_ms}", "ad_click_log")
@@ -486,6 +514,46 @@ select session_id, visit_length, step_length, age,
        {_repacked} as repacked
 from session_full_info""", "session_full_info")
 
+# --- the composed paths: the same statements over filtered or ranged actions -----
+
+
+def over(actions: str, suffix: str, *names: str) -> None:
+    """Copies of the statements ``names`` that read ``actions`` and each other."""
+    swap = {"user_visit_action": actions, **{n: f"{n}{suffix}" for n in names}}
+    for n in names:
+        sql, deps = CTES[n]
+        for a, b in swap.items():
+            sql = re.sub(rf"\b{a}\b", b, sql)
+        cte(f"{n}{suffix}", sql, *[swap.get(d, d) for d in deps])
+
+
+_PL = P.FILTER_PLACES
+SQL["session_filtered_places"] = compose(f"""
+select {_rollup_cols}, age, professional, sex, city from session_full_info
+where coalesce(city in ({_quote_list(_PL['cities'])}), false) and {_overlap('click_category_ids', _PL['category_ids'])}""",
+    "session_full_info")
+cte("actions_of_filtered", """
+select * from user_visit_action where session_id in (select session_id from session_filtered)""",
+    "user_visit_action", "session_filtered")
+cte("actions_ranged", f"select * from user_visit_action where date between '{P.RANGE_START}' and '{P.RANGE_END}'",
+    "user_visit_action")
+over("actions_of_filtered", "_f", "category_events", "category_full_counts", "category_top10", "session_category_clicks")
+over("actions_ranged", "_r", "page_transitions", "page_flow_counts", "page_conversion",
+     "area_clicks", "area_product_counts", "area_product_info")
+SQL["filtered_category_top10"] = compose("select * from category_top10_f", "category_top10_f")
+SQL["filtered_category_top10_sessions"] = compose(f"""
+select category_id, session_id, click_count
+from (select *, row_number() over (partition by category_id order by click_count desc, session_id asc) as rn
+      from session_category_clicks_f)
+where rn <= {P.TOP_SESSIONS}""", "session_category_clicks_f")
+SQL["page_conversion_in_range"] = compose("select * from page_conversion_r", "page_conversion_r")
+SQL["area_top3_in_range"] = compose(f"""
+select area, case {_level_case} else 'D_Level' end as area_level, pid, city_infos,
+       cast(click_count as bigint) as click_count, product_name, product_status
+from (select *, row_number() over (partition by area order by click_count desc, pid asc) as rn
+      from area_product_info_r)
+where rn <= {P.TOP_PRODUCTS}""", "area_product_info_r")
+
 # --- sinks ---------------------------------------------------------------------
 SQL["sink_append"] = compose("""
 select *, 'run-1' as task_id from category_top10
@@ -503,7 +571,6 @@ select strftime(ws, '%Y-%m-%d %H:%M:%S') as window_start,
        strftime(ws + to_minutes({_W}), '%Y-%m-%d %H:%M:%S') as window_end, adid, count(*) as click_count
 from (select adid, unnest(range(b - to_minutes({_W - _S}), b + to_minutes({_S}), to_minutes({_S}))) as ws
       from (select adid, time_bucket(to_minutes({_S}), ts) as b from ad_click_log))
-where epoch_us(ws + to_minutes({_W})) // 1000 <= (select max(ts_ms) from ad_click_log) - {_W * 60000}
 group by ws, adid""", "ad_click_log")
 SQL["stream_blacklist"] = compose(_blacklist("ad_click_log"), "ad_click_log")
 

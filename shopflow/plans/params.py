@@ -6,6 +6,7 @@ RANGE_START, RANGE_END = "2024-01-05", "2024-01-20"
 FILTER = dict(start_age=20, end_age=50, sex="male",
               professionals=["BUILDING", "MACHINERY"], keywords=["kw1", "kw3", "kw5"])
 FILTER_AGE_ONLY = dict(start_age=20, end_age=50)
+FILTER_PLACES = dict(cities=["NATION_1", "NATION_4", "NATION_7", "NATION_12"], category_ids=[3, 14, 15, 92])
 SAMPLE_TOTAL, SAMPLE_SEED = 3000, 42
 TOP_CATEGORIES, TOP_SESSIONS = 10, 10
 PAGE_FLOW = "1,2,3,4,5,6,7"

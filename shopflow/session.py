@@ -1,12 +1,13 @@
 """Spark session construction and the shared scratch location.
 
 Scratch data (stream checkpoints, keyed result tables, sink round-trips) goes
-under the cluster's ``spark.checkpoint.dir``.  Only when the session has none
-(local tests) is a directory under /tmp created and registered.
+under the cluster's ``spark.checkpoint.dir``.  Only on a local master without one
+(tests) is a directory under /tmp created and registered; on any other master that is an error.
 """
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -74,7 +75,10 @@ def checkpoint_root(spark: SparkSession) -> str:
     if conf_dir:
         sc.setCheckpointDir(conf_dir)
         return sc.getCheckpointDir() or conf_dir
-    # Tests and local runs only: the session names no shared folder.
+    # Tests and local runs only: elsewhere every executor would have a /tmp
+    # of its own, and reading scratch data back would miss parts of it.
+    if not re.fullmatch(r"local(\[[^\]]*\])?", sc.master):
+        raise RuntimeError(f"spark.checkpoint.dir must name a shared folder when the master is {sc.master}")
     sc.setCheckpointDir(tempfile.mkdtemp(prefix="shopflow-", dir="/tmp"))
     return sc.getCheckpointDir()
 

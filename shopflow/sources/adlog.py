@@ -2,26 +2,47 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shopflow.session import use_utc
 
 
+def _fields(value_col: str) -> tuple[Column, Column, Column, Column]:
+    """(fields, time, user and ad of a line); the numbers are null where the
+    text is none."""
+    parts = F.split(F.col(value_col).cast("string"), " ")
+    number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
+    return parts, number(0), number(3), number(4)
+
+
+def _reason(value_col: str) -> Column:
+    """Why a line is no click; null for a click."""
+    parts, ts_ms, userid, adid = _fields(value_col)
+    return (F.when(F.col(value_col).isNull(), "null line")
+            .when(F.size(parts) != 5, "not five fields")
+            .when(ts_ms.isNull(), "bad time")
+            .when(userid.isNull() | adid.isNull(), "bad user or ad"))
+
+
+def rejected_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
+    """(value, reason) of the lines that ``parse_ad_log`` leaves out."""
+    return (lines.select(F.col(value_col).cast("string").alias("value"), _reason(value_col).alias("reason"))
+            .where(F.col("reason").isNotNull()))
+
+
 def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """``ts_ms province city userid adid`` → typed columns, parsed once.
 
-    Adds the timestamp and the keys the statistics group by: ``date``
-    (yyyyMMdd), ``hour``, ``minute`` and ``minute_key`` (yyyyMMddHHmm).
+    A click has exactly five fields and numbers where numbers belong; other
+    lines are left to ``rejected_lines``.  Adds the timestamp and the keys
+    the statistics group by: ``date`` (yyyyMMdd), ``hour``, ``minute`` and
+    ``minute_key`` (yyyyMMddHHmm).
     """
-    parts = F.split(F.col(value_col).cast("string"), " ")
-    parsed = lines.select(
-        parts.getItem(0).cast("bigint").alias("ts_ms"),
-        parts.getItem(1).alias("province"),
-        parts.getItem(2).alias("city"),
-        parts.getItem(3).cast("bigint").alias("userid"),
-        parts.getItem(4).cast("bigint").alias("adid"),
-    )
+    parts, ts_ms, userid, adid = _fields(value_col)
+    parsed = lines.where(_reason(value_col).isNull()).select(
+        ts_ms.alias("ts_ms"), F.get(parts, F.lit(1)).alias("province"), F.get(parts, F.lit(2)).alias("city"),
+        userid.alias("userid"), adid.alias("adid"))
     ts = F.timestamp_millis("ts_ms")
     return parsed.select(
         "ts_ms", ts.alias("ts"),

@@ -126,3 +126,17 @@ def ad_log(spark: SparkSession, sf_dir: str) -> DataFrame:
         " ", ms.cast("string"), F.regexp_replace("r_name", " ", "-"), F.col("n_name"),
         F.col("user_id").cast("string"), (_k() % 20).cast("string"))
     return joined.select("event_id", value.alias("value"))
+
+
+def ad_log_dirty(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log with five kinds of broken lines, chosen by event id."""
+    part = F.split("value", " ")
+    kind = F.col("event_id") % 40
+
+    def line(*fields):
+        return F.concat_ws(" ", *[F.lit(f) if isinstance(f, str) else part.getItem(f) for f in fields])
+
+    value = (F.when(kind == 0, line(0, 1, 2, 3)).when(kind == 1, line(0, 1, 2, "x", 3, 4))
+             .when(kind == 2, line("oops", 1, 2, 3, 4)).when(kind == 3, line(0, 1, 2, "abc", 4))
+             .when(kind == 4, F.lit("")).otherwise(F.col("value")))
+    return ad_log(spark, sf_dir).select("event_id", value.alias("value"))

@@ -3,9 +3,11 @@ trend, sliding hourly totals and the click-fraud blacklist.
 
 Every query reads log lines from a streaming source (text files here, Kafka
 by option), parses them once and writes through ``foreachBatch`` into
-change-log tables (``ChangeLog``), so replays are idempotent.  Stateful
-aggregations carry an event-time watermark so their state is bounded (the
-reference keeps every key forever).
+change-log tables (``ChangeLog``), so replays are idempotent.  No click is
+lost for being late: the running counts keep their state, as the reference
+does, unless a ``lateness`` is given, and the sliding totals are additive
+tables that late clicks and open windows update like any other.  Lines that
+do not parse go to a reject table.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import ads as D
-from shopflow.sources.adlog import parse_ad_log, read_ad_log_stream
+from shopflow.sources.adlog import parse_ad_log, read_ad_log_stream, rejected_lines
 from shopflow.streaming.changelog import ChangeLog
 
 STAT_KEYS = ["date", "province", "city", "adid"]
@@ -25,7 +27,8 @@ TREND_KEYS = ["date", "hour", "minute", "adid"]
 STAT_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
 TOP_SCHEMA = "date string, province string, adid bigint, click_count bigint"
 TREND_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
-SLIDING_SCHEMA = "window_start string, window_end string, adid bigint, click_count bigint"
+SLIDING_SCHEMA = "date string, window_start string, window_end string, adid bigint, click_count bigint"
+REJECT_SCHEMA = "value string, reason string"
 DAILY_SCHEMA = "date string, userid bigint, adid bigint, click_count bigint"
 BLACKLIST_SCHEMA = "userid bigint"
 
@@ -48,8 +51,8 @@ def trend_table(spark: SparkSession, out: str, compact_every: int = 100) -> Chan
 
 
 def sliding_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA, "latest",
-                     ["window_start", "window_end", "adid"], ["click_count"], compact_every)
+    return ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA, "summed",
+                     ["date", "window_start", "window_end", "adid"], ["click_count"], compact_every, "date")
 
 
 def user_daily_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
@@ -61,6 +64,11 @@ def blacklist_table(spark: SparkSession, out: str, compact_every: int = 100) ->
     return ChangeLog(spark, f"{out}/blacklist", BLACKLIST_SCHEMA, "distinct", ["userid"], (), compact_every)
 
 
+def reject_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
+    """Lines that do not parse, with the reason; never rewritten."""
+    return ChangeLog(spark, f"{out}/rejects", REJECT_SCHEMA, "append", (), (), compact_every)
+
+
 MAX_TOUCHED_DAYS = 1000
 
 
@@ -91,14 +99,18 @@ def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str,
 
 
 def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str, top_n: int = 3,
-                   lateness: str = "1 day", trigger: dict | None = None,
+                   lateness: str | None = None, trigger: dict | None = None,
                    state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
     """Running click total per (day, province, city, ad) kept in the state
-    store (update mode: only changed keys are emitted), merged into
+    store (update mode: only changed keys are emitted; on a cluster the state
+    is in RocksDB), merged into
     ``out/ad_stat`` by overwriting upsert; then the top ads of every touched
     (day, province), ranked over the stored totals, replace their group in
-    ``out/province_top``."""
-    clicks = parse_ad_log(lines).withWatermark("ts", lateness)
+    ``out/province_top``.  Without ``lateness`` the state never expires and
+    every click counts, however late; with it, state older than that is
+    dropped and so are the clicks behind it.  Start ``reject_stream`` beside
+    it to keep the lines that do not parse."""
+    clicks = _on_time(parse_ad_log(lines), lateness)
     counts = (clicks.groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "adid")
               .agg(F.count(F.lit(1)).alias("click_count"))
               .select(F.date_format("day.start", "yyyyMMdd").alias("date"), "province", "city", "adid",
@@ -121,11 +133,11 @@ def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint:
 
 
 def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                       lateness: str = "60 minutes", trigger: dict | None = None,
+                       lateness: str | None = None, trigger: dict | None = None,
                        state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
     """Clicks per (minute, ad) in event time; updated minutes overwrite
-    their row in ``out/click_trend``."""
-    clicks = parse_ad_log(lines).withWatermark("ts", lateness)
+    their row in ``out/click_trend``.  ``lateness`` as in ``ad_stat_stream``."""
+    clicks = _on_time(parse_ad_log(lines), lateness)
     counts = (clicks.groupBy(F.window("ts", "1 minute").alias("m"), "adid")
               .agg(F.count(F.lit(1)).alias("click_count"))
               .select(F.date_format("m.start", "yyyyMMdd").alias("date"),
@@ -137,26 +149,43 @@ def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoi
 
 
 def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                          window_minutes: int = 60, slide_minutes: int = 1,
-                          lateness: str = "60 minutes", trigger: dict | None = None,
-                          state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
-    """Clicks per ad in sliding event-time windows, append mode: a window is
-    written once, when the watermark passes its end."""
-    clicks = parse_ad_log(lines).withWatermark("ts", lateness)
-    # Two chained stateful aggregations: clicks → closed (minute, ad) counts
-    # → sliding windows over those counts.  Each click updates one state row;
-    # only per-minute rows are expanded into the window_minutes windows.
-    per_minute = (clicks.groupBy(F.window("ts", "1 minute").alias("m"), "adid")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    counts = (per_minute.groupBy(F.window(F.window_time("m"), f"{window_minutes} minutes",
-                                          f"{slide_minutes} minutes").alias("w"), "adid")
-              .agg(F.sum("n").cast("bigint").alias("click_count"))
-              .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                      F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-                      "adid", "click_count"))
+                          window_minutes: int = 60, slide_minutes: int = 1, trigger: dict | None = None,
+                          compact_every: int = 100) -> StreamingQuery:
+    """Clicks per ad in sliding event-time windows.  Every micro-batch adds
+    its own counts to the windows they fall in (``out/hourly_sliding``,
+    additive, by day), so the table holds the windows that are still open
+    and counts late clicks; it is current after every batch."""
+    return _start(lines.select("value"), sliding_sink(spark, out, window_minutes, slide_minutes, compact_every),
+                  checkpoint, "append", trigger or {"processingTime": "5 seconds"})
+
+
+def sliding_sink(spark: SparkSession, out: str, window_minutes: int = 60, slide_minutes: int = 1,
+                 compact_every: int = 100) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of ``hourly_sliding_stream``: the clicks
+    of a batch are counted per (minute, ad), and only those counts are
+    expanded into windows."""
     sliding = sliding_table(spark, out, compact_every)
-    return _start(counts, lambda b, i: sliding.write(b, i), checkpoint, "append",
-                  trigger or {"processingTime": "5 seconds"}, state_partitions)
+    rejects = reject_table(spark, out, compact_every)
+
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        counts = D.ad_hourly_sliding(parse_ad_log(batch), window_minutes, slide_minutes)
+        day = F.regexp_replace(F.substring("window_start", 1, 10), "-", "")
+        sliding.write(counts.withColumn("date", day), batch_id)
+        rejects.write(rejected_lines(batch), batch_id)
+
+    return sink
+
+
+def _on_time(clicks: DataFrame, lateness: str | None) -> DataFrame:
+    return clicks.withWatermark("ts", lateness) if lateness else clicks
+
+
+def reject_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
+                  trigger: dict | None = None, compact_every: int = 100) -> StreamingQuery:
+    """Lines that do not parse, into ``out/rejects``."""
+    rejects = reject_table(spark, out, compact_every)
+    return _start(rejected_lines(lines), lambda b, i: rejects.write(b, i), checkpoint, "append",
+                  trigger or {"processingTime": "5 seconds"})
 
 
 def _blacklist_step(allowed: DataFrame, batch_id: int, listed: DataFrame, daily: ChangeLog,
@@ -195,11 +224,13 @@ def blacklist_sink(spark: SparkSession, out: str, threshold: int = 100,
     """The ``foreachBatch`` function of ``blacklist_stream`` (log lines in)."""
     daily = user_daily_table(spark, out, compact_every)
     black = blacklist_table(spark, out, compact_every)
+    rejects = reject_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         listed = black.current(before=batch_id)
         allowed = parse_ad_log(batch).join(listed, "userid", "left_anti")
         _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
+        rejects.write(rejected_lines(batch), batch_id)
 
     return sink
 
@@ -243,6 +274,7 @@ def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: in
     black = blacklist_table(spark, out, compact_every)
     tables = filtered_tables(spark, out, compact_every)
     stat, top, trend = tables["ad_stat"], tables["province_top"], tables["click_trend"]
+    rejects = reject_table(spark, out, compact_every)
 
     def sink(batch: DataFrame, batch_id: int) -> None:
         listed = black.current(before=batch_id)
@@ -254,6 +286,7 @@ def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: in
         stored = stat.current(upto=batch_id, only=days).join(touched, ["date", "province"], "left_semi")
         top.write(D.ad_province_top(stored, top_n), batch_id)
         trend.write(D.ad_click_trend(allowed), batch_id)
+        rejects.write(rejected_lines(batch), batch_id)
         allowed.unpersist()
 
     return sink

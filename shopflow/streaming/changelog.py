@@ -9,15 +9,21 @@ the table (``kind``):
 * ``summed``   – additive upsert: per key, the sum over batches;
 * ``groups``   – replace groups: per group (``keys``), the rows of the newest
   batch that touched it;
-* ``distinct`` – append-distinct: distinct keys.
-
-Compaction: the last batch of every epoch also writes the folded table as
-``<path>/_snap/at=<n>`` (partitioned by ``partition_by``, the day).  A read
-bounded by batch ``b`` scans one snapshot plus at most K batch directories of
-one epoch, and a read restricted to the days a batch touched (``only``)
-prunes the snapshot to those days: the cost of a batch grows neither with
-the age of the stream nor with the number of days stored.  Bounds also make a
-replayed batch see exactly the state it saw the first time.
+* ``distinct`` – append-distinct: distinct keys;
+* ``append``   – plain append: all rows of all batches, never rewritten.
+
+``K`` (``compact_every``) is part of the stored table (``<path>/_table``):
+opening it with another value is an error.
+
+Compaction: the last batch of every epoch folds the days (``partition_by``)
+that the epoch touched into ``<path>/_snap/at=<n>`` and writes
+``<path>/_index/at=<n>``, which names the newest snapshot of every day; days
+without new rows are not rewritten.  (A table without days is one day.)  A
+read bounded by batch ``b`` takes the named snapshots and at most K batch
+directories of one epoch, and a read restricted to the days a batch touched
+(``only``) opens those days' snapshots alone.  Whatever the index or the
+batch numbers say must exist, does: a missing directory fails the read.
+Bounds also make a replayed batch see exactly the state it saw the first time.
 """
 
 from __future__ import annotations
@@ -28,73 +34,136 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+_INDEX_SCHEMA = "day string, at bigint"
+_META_SCHEMA = "compact_every bigint, kind string, partition_by string"
+
 
 class ChangeLog:
     def __init__(self, spark: SparkSession, path: str, schema: str, kind: str,
                  keys: Sequence[str], values: Sequence[str] = (), compact_every: int = 100,
                  partition_by: str | None = None):
-        assert kind in ("latest", "summed", "groups", "distinct")
+        assert kind in ("latest", "summed", "groups", "distinct", "append")
         self.spark, self.path, self.schema, self.kind = spark, path.rstrip("/"), schema, kind
         self.keys, self.values, self.k = list(keys), list(values), int(compact_every)
         self.partition_by = partition_by
+        self._checked = False
+
+    # --- the table's fixed settings ------------------------------------------
+    def _check(self, create: bool = False) -> bool:
+        """Whether the table exists; its stored settings must be this one's."""
+        if self._checked:
+            return True
+        mine = (self.k, self.kind, self.partition_by)
+        stored = self._read_if_there(f"{self.path}/_table", _META_SCHEMA)
+        row = stored.first() if stored is not None else None
+        if row is None:
+            if not create:
+                return False
+            (self.spark.createDataFrame([mine], _META_SCHEMA).coalesce(1).write.mode("overwrite")
+             .parquet(f"{self.path}/_table"))
+        elif tuple(row) != mine:
+            raise ValueError(f"{self.path} is stored with (compact_every, kind, partition_by) = {tuple(row)}, not {mine}")
+        self._checked = True
+        return True
 
     # --- writing -------------------------------------------------------------
     def write(self, df: DataFrame, batch_id: int) -> None:
         b = int(batch_id)
+        self._check(create=True)
         # Overwrite of exactly this batch's directory: a replay replaces it.
         df.write.mode("overwrite").parquet(f"{self.path}/epoch={b // self.k}/batch_id={b}")
-        if b % self.k == self.k - 1:
-            w = self.current(upto=b).write.mode("overwrite")
-            if self.partition_by:
-                w = w.partitionBy(self.partition_by)
-            w.parquet(f"{self.path}/_snap/at={b}")
+        if self.kind != "append" and b % self.k == self.k - 1:
+            self._compact(b)
+
+    def _compact(self, b: int) -> None:
+        """Fold the days of the epoch that ends with batch ``b``."""
+        days = [""]
+        if self.partition_by:
+            days = [r[0] for r in self._epoch(b // self.k, b).select(self.partition_by).distinct().collect()]
+        folded = self.current(upto=b, only=days if self.partition_by else None)
+        w = folded.write.mode("overwrite")
+        if self.partition_by:
+            w = w.partitionBy(self.partition_by)
+        w.parquet(f"{self.path}/_snap/at={b}")
+        index = {**self._index(b // self.k), **{d: b for d in days}}
+        (self.spark.createDataFrame(list(index.items()), _INDEX_SCHEMA).coalesce(1).write.mode("overwrite")
+         .parquet(f"{self.path}/_index/at={b}"))
 
     # --- reading -------------------------------------------------------------
-    def _read(self, path: str, schema: str) -> DataFrame | None:
+    def _read_if_there(self, path: str, schema: str) -> DataFrame | None:
         try:
             return self.spark.read.schema(schema).parquet(path)
-        except AnalysisException:
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
             return None
 
     def _empty(self) -> DataFrame:
         return self.spark.createDataFrame([], f"{self.schema}, batch_id bigint")
 
+    def _epoch(self, epoch: int, upto: int) -> DataFrame:
+        return (self.spark.read.schema(f"{self.schema}, batch_id bigint").parquet(f"{self.path}/epoch={epoch}")
+                .where(F.col("batch_id") <= upto))
+
+    def _index(self, epoch: int) -> dict[str, int]:
+        """Newest snapshot of every day before ``epoch``: a row per stored day."""
+        if epoch == 0:
+            return {}
+        rows = self.spark.read.schema(_INDEX_SCHEMA).parquet(f"{self.path}/_index/at={epoch * self.k - 1}").collect()
+        return {r["day"]: r["at"] for r in rows}
+
     def log(self, upto: int, only: Sequence | None = None) -> DataFrame:
-        """Snapshot through the end of the previous epoch, plus this epoch's
-        batches ≤ ``upto``; with ``only``, just the rows whose partition
-        value is listed (snapshot directories are pruned)."""
+        """The snapshots through the end of the previous epoch, plus this
+        epoch's batches ≤ ``upto``; with ``only``, just the rows whose
+        partition value is listed (other days' snapshots are not opened)."""
+        if self.kind == "append":
+            return (self.spark.read.schema(f"{self.schema}, epoch bigint, batch_id bigint").parquet(self.path)
+                    .where(F.col("batch_id") <= upto).drop("epoch"))
         epoch = upto // self.k
-        parts = []
-        if epoch > 0:
-            snap = self._read(f"{self.path}/_snap/at={epoch * self.k - 1}", self.schema)
-            if snap is not None:
-                parts.append(snap.withColumn("batch_id", F.lit(epoch * self.k - 1).cast("bigint")))
-        cur = self._read(f"{self.path}/epoch={epoch}", f"{self.schema}, batch_id bigint")
-        if cur is not None:
-            parts.append(cur.where(F.col("batch_id") <= upto))
+        index = self._index(epoch)
+        current = self._epoch(epoch, upto)
         if only is not None and self.partition_by:
-            parts = [p.where(F.col(self.partition_by).isin(list(only))) for p in parts]
-        out = self._empty()
-        for p in parts:
-            out = out.unionByName(p)
-        return out
-
-    def retired_paths(self, upto: int) -> list[str]:
+            wanted = set(only)
+            index = {d: at for d, at in index.items() if d in wanted}
+            current = current.where(F.col(self.partition_by).isin(list(wanted)))
+        out = self._empty().unionByName(current)
+        if not index:
+            return out
+        cols = self._empty().drop("batch_id").columns
+        if self.partition_by:
+            paths = [self._snapshot(d, at) for d, at in index.items()]
+            snaps = self.spark.read.schema(f"{self.schema}, at bigint").option("basePath", f"{self.path}/_snap").parquet(*paths)
+        else:
+            snaps = self.spark.read.schema(self.schema).parquet(self._snapshot("", index[""]))
+        return out.unionByName(snaps.select(*cols).withColumn("batch_id", F.lit(epoch * self.k - 1).cast("bigint")))
+
+    def retired_paths(self, upto: int, since_epoch: int = 0) -> list[str]:
         """Directories no read bounded at ``upto`` or later touches again:
-        the epochs before the current one and all snapshots but the newest.
-        Computed from the epoch arithmetic, without listing; removing them is
-        left to the storage's lifecycle rules (this class never deletes)."""
+        the epochs before the current one, and the snapshots that a
+        compaction from ``since_epoch`` on replaced.  Removing them is left
+        to the storage's lifecycle rules (this class never deletes)."""
+        if self.kind == "append":
+            return []
         epoch = upto // self.k
-        old_epochs = [f"{self.path}/epoch={e}" for e in range(epoch)]
-        old_snaps = [f"{self.path}/_snap/at={e * self.k - 1}" for e in range(1, epoch)]
-        return old_epochs + old_snaps
+        out = [f"{self.path}/epoch={e}" for e in range(since_epoch, epoch)]
+        before = self._index(since_epoch)
+        for e in range(since_epoch + 1, epoch + 1):
+            now = self._index(e)
+            out += [self._snapshot(d, at) for d, at in sorted(before.items()) if now[d] != at]
+            before = now
+        return out
+
+    def _snapshot(self, day: str | None, at: int) -> str:
+        if not self.partition_by:
+            return f"{self.path}/_snap/at={at}"
+        return f"{self.path}/_snap/at={at}/{self.partition_by}={'__HIVE_DEFAULT_PARTITION__' if day is None else day}"
 
     def last_batch(self) -> int | None:
         """Newest batch id written (a listing of all epochs; used for the
         final read-back, not in the per-batch path)."""
-        df = self._read(self.path, f"{self.schema}, epoch bigint, batch_id bigint")
-        if df is None:
+        if not self._check():
             return None
+        df = self._read_if_there(self.path, f"{self.schema}, epoch bigint, batch_id bigint")
         row = df.agg(F.max("batch_id").alias("m")).first()
         return None if row["m"] is None else int(row["m"])
 
@@ -107,7 +176,7 @@ class ChangeLog:
             upto = before - 1
         elif upto is None:
             upto = self.last_batch()
-        if upto is None or upto < 0:
+        if upto is None or upto < 0 or not self._check():
             return self._fold(self._empty())
         return self._fold(self.log(upto, only))
 
@@ -122,4 +191,6 @@ class ChangeLog:
         if self.kind == "groups":
             newest = log.groupBy(*self.keys).agg(F.max("batch_id").alias("batch_id"))
             return log.join(newest, [*self.keys, "batch_id"], "left_semi").select(*cols)
+        if self.kind == "append":
+            return log.select(*cols)
         return log.select(*self.keys).distinct()

@@ -10,8 +10,8 @@ def test_clean_id_lists_edges(spark):
             action("s", 4, 0, orders="123"), action("s", 5, 0)]
     got = {r.event_id: (r.order_category_ids, r.pay_category_ids, r.removed_ids)
            for r in H.clean_id_lists(spark.createDataFrame(rows, ACTION_SCHEMA)).collect()}
-    # wrapped in commas first: ",,,1,,," → items ['', '', '1', '', ''] after the edge trim
-    assert got[1] == ("01", None, 4)        # an absent list stays absent (null)
+    # ",,1,," → items ['', '1', ''] after the edge trim
+    assert got[1] == ("01", None, 2)        # an absent list stays absent (null)
     assert got[2] == ("07", None, 2)        # padding makes 7 and 07 the same id
     assert got[3][1] == ""                   # an empty list stays empty
     assert got[4][0] == "123"                # longer ids are never cut
@@ -30,6 +30,15 @@ def test_packed_session_round_trip(spark):
     assert keys == sorted(keys) and "stepLength=4_6" in r.repacked
 
 
+def test_packed_session_escapes_its_separators(spark):
+    sessions = spark.createDataFrame(
+        [("s=1|x%7C", "red|age=5", "3", 65, 4, "2024-01-01 10:00:00", 30, "p", "male", "c")],
+        "session_id string, search_keywords string, click_category_ids string, visit_length bigint, "
+        "step_length bigint, start_time string, age int, professional string, sex string, city string")
+    r = H.packed_sessions(sessions).first()
+    assert (r.session_id, r.age) == ("s=1|x%7C", 30) and "searchKeywords=red%7Cage%3D5" in r.packed
+
+
 def test_time_gaps_forward_and_back(spark):
     rows = [action("s", 1, 10), action("s", 2, 4), action("s", 3, 30), action("t", 9, 0)]
     r = {x.session_id: x for x in H.session_time_gaps(spark.createDataFrame(rows, ACTION_SCHEMA)).collect()}

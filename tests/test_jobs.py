@@ -57,15 +57,35 @@ def test_ad_statistics_job_on_text_source(spark):
     assert rows(R.blacklist_table(spark, out).current()) == rows(E.queries()["ad_blacklist"](spark, SF_SMALL))
 
 
+def test_session_statistics_job_ranks_the_filtered_sessions(spark):
+    out = scratch_dir(spark, "job-filtered")
+    acts = X.user_visit_action(spark, SF_SMALL)
+    for _ in range(2):  # a rerun of the task replaces its rows
+        jobs.session_statistics(spark, acts, X.user_info(spark, SF_SMALL), out, "2024-01-01", "2024-01-31",
+                                task_id="f", **P.FILTER)
+    top = rows(spark.read.parquet(f"{out}/top10_category").drop("task_id"))
+    assert top and top == rows(E.queries()["filtered_category_top10"](spark, SF_SMALL))
+    sessions = rows(spark.read.parquet(f"{out}/top10_session").drop("task_id"))
+    assert sessions and sessions == rows(E.queries()["filtered_category_top10_sessions"](spark, SF_SMALL))
+
+
 def test_jobs_accept_the_reference_action_format(spark):
-    # action_time as text and no event id, as the reference's table stores it
+    # action_time as text and no event id, as the reference's table stores it;
+    # one action per second of a session, so that no tie-break matters
     acts = X.user_visit_action(spark, SF_SMALL)
+    first = acts.groupBy("session_id", "action_time").agg(F.min("event_id").alias("event_id")).select("event_id")
+    acts = acts.join(first, "event_id", "left_semi")
     raw = acts.withColumn("action_time", F.date_format("action_time", "yyyy-MM-dd HH:mm:ss")).drop("event_id")
     out = scratch_dir(spark, "job-raw")
-    jobs.page_conversion(spark, raw, out, "2024-01-01", "2024-01-31", P.PAGE_FLOW, task_id="r")
+    flow = "1,2,3,4,5"
+    jobs.page_conversion(spark, raw, out, "2024-01-01", "2024-01-31", flow, task_id="r")
     steps = spark.read.parquet(f"{out}/page_split_convert_rate_steps").drop("task_id")
-    want = E.queries()["page_conversion"](spark, SF_SMALL)
-    # pair counts may differ only where two actions of a session share a second;
-    # the start-page count and the step set are independent of the tie-break
-    assert sorted(r.step for r in steps.collect()) == sorted(r.step for r in want.collect())
-    assert steps.count() == want.count()
+    pages = {}
+    for r in acts.select("session_id", "action_time", "page_id").collect():
+        pages.setdefault(r.session_id, []).append((r.action_time, r.page_id))
+    pairs = [(a, b) for v in pages.values() for (_, a), (_, b) in zip(sorted(v), sorted(v)[1:])]
+    want = {"1": sum(p == 1 for v in pages.values() for _, p in v)}
+    want.update({f"{a}_{a + 1}": pairs.count((a, a + 1)) for a in range(1, 5)})
+    got = {r.page_pair: (r.pair_count, r.prev_count) for r in steps.collect()}
+    before = {"1_2": "1", "2_3": "1_2", "3_4": "2_3", "4_5": "3_4"}
+    assert got == {p: (want[p], want[q]) for p, q in before.items()} and sum(want.values()) > want["1"]

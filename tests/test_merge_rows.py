@@ -1,7 +1,11 @@
 """Keyed merges, the change log and the event-exact blacklist."""
 
+import pytest
+from pyspark.errors import AnalysisException
+
 from shopflow.operators import ads as D
 from shopflow.operators import merge as M
+from shopflow.operators.sinks import append_result, read_back
 from shopflow.session import scratch_dir
 from shopflow.streaming.changelog import ChangeLog
 
@@ -71,11 +75,9 @@ def test_event_exact_blacklist_keeps_clicks_until_listed(spark):
     clicks = spark.createDataFrame(
         [(1, "d", 1, 1), (2, "d", 1, 1), (3, "d", 1, 1), (4, "d", 1, 2), (5, "e", 1, 1),
          (1, "d", 2, 1), (9, "d", 2, 1)], CLICKS)
-    # user 1's third click on ad 1 (ts 3) takes the count over 2: kept, later ones dropped;
-    # same result with the listed users broadcast and with the shuffle join
-    for limit in (100, 0):
-        allowed = rows(D.ad_clicks_allowed(clicks, threshold=2, max_broadcast_users=limit), "userid", "ts_ms")
-        assert allowed == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 9)]
+    # user 1's third click on ad 1 (ts 3) takes the count over 2: kept, later ones dropped
+    allowed = rows(D.ad_clicks_allowed(clicks, threshold=2), "userid", "ts_ms")
+    assert allowed == [(1, 1), (1, 2), (1, 3), (2, 1), (2, 9)]
     assert rows(D.ad_blacklist(clicks, threshold=2), "userid") == [(1,)]
 
 
@@ -88,8 +90,64 @@ def test_changelog_reads_prune_days(spark):
     log.write(spark.createDataFrame([("d3", "b", 4)], schema), 2)
     assert rows(log.current(), "date", "k", "v") == [("d1", "a", 1), ("d2", "a", 5), ("d3", "b", 4)]
     assert rows(log.current(upto=2, only=["d2"]), "date", "k", "v") == [("d2", "a", 5)]
-    p = log.log(2, ["d2"])._jdf.queryExecution().executedPlan().toString()
-    assert "PartitionFilters: [isnotnull(date" in p
+    # only the wanted day's snapshot is opened
+    assert {f.split("/_snap/")[1].split("/part-")[0] for f in log.log(2, ["d2"]).inputFiles() if "/_snap/" in f} == {"at=1/date=d2"}
+    log.write(spark.createDataFrame([("d2", "a", 1)], schema), 3)   # snapshot at 3: d1 had no new rows
+    log.write(spark.createDataFrame([("d3", "b", 1)], schema), 4)
+    opened = sorted({f.split("/_snap/")[1].split("/part-")[0] for f in log.log(4).inputFiles() if "/_snap/" in f})
+    assert opened == ["at=1/date=d1", "at=3/date=d2", "at=3/date=d3"]
+    assert rows(log.current(), "date", "k", "v") == [("d1", "a", 1), ("d2", "a", 6), ("d3", "b", 5)]
+
+
+def test_changelog_refuses_another_epoch_length(spark):
+    path = scratch_dir(spark, "test-reopen")
+    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=4)
+    for i in range(6):
+        log.write(spark.createDataFrame([("a", 1)], KV), i)
+    other = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=3)
+    with pytest.raises(ValueError):
+        other.write(spark.createDataFrame([("a", 1)], KV), 6)
+    with pytest.raises(ValueError):
+        other.current()
+    again = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=4)
+    again.write(spark.createDataFrame([("a", 1)], KV), 6)
+    assert rows(again.current(), "k", "v") == [("a", 7)]
+
+
+def test_changelog_fails_on_a_missing_snapshot(spark):
+    path = scratch_dir(spark, "test-missing")
+    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
+    for i in (0, 1, 2):
+        log.write(spark.createDataFrame([("a", 1)], KV), i)
+    elsewhere = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
+    elsewhere._index = lambda epoch: {"": 99}
+    with pytest.raises(AnalysisException):
+        elsewhere.current(upto=2).collect()
+    with pytest.raises(AnalysisException):
+        log.current(upto=6).collect()  # no such epoch
+
+
+def test_changelog_append_keeps_all_rows_without_rewriting(spark):
+    path = scratch_dir(spark, "test-append")
+    log = ChangeLog(spark, path, KV, "append", (), (), compact_every=2)
+    for i in range(5):
+        log.write(spark.createDataFrame([("a", i)], KV), i)
+    assert rows(log.current(), "k", "v") == [("a", i) for i in range(5)]
+    assert rows(log.current(upto=1), "k", "v") == [("a", 0), ("a", 1)]
+    assert not any("/_snap/" in f for f in log.log(4).inputFiles())
+
+
+def test_append_distinct_keeps_all_columns(spark):
+    a = spark.createDataFrame([(1, "old")], "userid bigint, note string")
+    b = spark.createDataFrame([(1, "new"), (2, "z"), (2, "y")], "userid bigint, note string")
+    assert rows(M.append_distinct(a, b, ["userid"]), "userid", "note", "action") == [(1, "old", "kept"), (2, "y", "inserted")]
+
+
+def test_rerun_of_a_task_replaces_its_rows(spark):
+    path = scratch_dir(spark, "test-task")
+    for task, v in (("007", 1), ("b", 2), ("007", 3)):
+        append_result(spark.createDataFrame([("a", v)], KV), path, task)
+    assert rows(read_back(spark, path), "k", "v", "task_id") == [("a", 2, "b"), ("a", 3, "007")]
 
 
 def test_changelog_retired_paths_are_never_read(spark):

@@ -58,7 +58,7 @@ def _write(spark, src, lines):
     spark.createDataFrame([(v,) for v in lines], "value string").coalesce(1).write.mode("append").text(src)
 
 
-def test_late_row_behind_watermark_is_dropped_and_restart_adds_nothing(spark):
+def test_late_rows_count_and_a_restart_adds_nothing(spark):
     root = scratch_dir(spark, "late")
     src, ckpt, out = f"{root}/feed", f"{root}/ckpt", f"{root}/out"
     t0 = dt.datetime(2024, 1, 1, 12, 0, 30)
@@ -69,12 +69,70 @@ def test_late_row_behind_watermark_is_dropped_and_restart_adds_nothing(spark):
 
     _write(spark, src, [_line(t0), _line(t0 + dt.timedelta(hours=3))])
     run()
-    _write(spark, src, [_line(t0 + dt.timedelta(seconds=5)),           # 3 h late: behind the 60 min watermark
+    _write(spark, src, [_line(t0 + dt.timedelta(seconds=5)),            # 3 h late
                         _line(t0 + dt.timedelta(hours=3, seconds=1))])  # on time
     run()
     run()  # restart with no new input
     got = {(r.hour, r.minute): r.click_count for r in R.trend_table(spark, out).current().collect()}
-    assert got == {("12", "00"): 1, ("15", "00"): 2}
+    assert got == {("12", "00"): 2, ("15", "00"): 2}
+
+
+def test_out_of_order_arrivals_equal_the_batch_forms(spark):
+    from shopflow.operators import ads as D
+    from shopflow.sources.adlog import parse_ad_log
+    root = scratch_dir(spark, "disorder")
+    src, out = f"{root}/feed", f"{root}/out"
+    parts = _arrivals(spark, 4)
+    for i in (3, 1, 0, 2):
+        parts[i].write.mode("append").text(src)
+        lines = R.read_lines(spark, src)
+        R.run_available(lambda: R.ad_stat_stream(spark, lines, f"{out}/a", f"{root}/c1", trigger={"availableNow": True},
+                                                 state_partitions=2, compact_every=2))
+        R.run_available(lambda: R.hourly_sliding_stream(spark, lines, f"{out}/b", f"{root}/c2", trigger={"availableNow": True},
+                                                        compact_every=2))
+    clicks = parse_ad_log(X.ad_log(spark, SF_SMALL))
+    assert rows(R.stat_table(spark, f"{out}/a", 2).current()) == rows(D.ad_stat(clicks))
+    assert rows(R.sliding_table(spark, f"{out}/b", 2).current().drop("date")) == rows(D.ad_hourly_sliding(clicks))
+
+
+def test_a_bad_line_is_kept_as_a_reject_and_stops_nothing(spark):
+    root = scratch_dir(spark, "bad")
+    src, ckpt, out = f"{root}/feed", f"{root}/ckpt", f"{root}/out"
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 30)
+    good = _line(t0)
+    ms = good.split(" ")[0]
+    bad = ["oops P C 1 2", "1 2 3", f"{ms} New York C 1 2", f"{ms} P C x 2", ""]
+    _write(spark, src, [good, *bad, _line(t0 + dt.timedelta(seconds=1))])
+    R.run_available(lambda: R.filtered_ad_stream(spark, R.read_lines(spark, src), out, ckpt, trigger={"availableNow": True}))
+    assert [r.click_count for r in R.filtered_tables(spark, out)["ad_stat"].current().collect()] == [2]
+    assert sorted(r.value for r in R.reject_table(spark, out).current().collect()) == sorted(bad)
+    R.run_available(lambda: R.reject_stream(spark, R.read_lines(spark, src), f"{out}/2", f"{root}/ckpt2", trigger={"availableNow": True}))
+    assert R.reject_table(spark, f"{out}/2").current().count() == len(bad)
+
+
+def test_scratch_needs_a_shared_folder_off_a_local_master():
+    import pytest
+
+    from shopflow.session import checkpoint_root
+
+    class Conf:
+        def get(self, key, default=None):
+            return default
+
+    class Context:
+        master = "spark://host:7077"
+
+        def getCheckpointDir(self):
+            return None
+
+        def getConf(self):
+            return Conf()
+
+    class Session:
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        checkpoint_root(Session())
 
 
 def test_stream_day_keys_are_utc_whatever_the_session_zone(spark):
