@@ -1,3 +1,138 @@
-"""DuckDB SQL for the operators that SQL can express."""
+"""DuckDB SQL for the operators that SQL can express: the licence scan, the
+URL rules stay with their model, and exact counts of the decontamination."""
 
-SQL: dict[str, str] = {}
+from shopflow.llm.licenses import PERCENT, PHRASES, TEMPLATES
+
+_WORDS = r"regexp_extract_all({0}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+_FOLD = f"translate(coalesce({{0}}, ''), '{_UPPER}', '{_LOWER}')"
+
+
+def _starts(phrase: str) -> str:
+    return "(" + " and ".join(f"w[i + {k}] = '{x}'" for k, x in enumerate(phrase.split())) + ")"
+
+
+_LICENSES = f"""
+with folded as (
+  select row_number() over () as r, doc_id, {_FOLD.format('text')} as t from documents
+), worded as (
+  select r, doc_id, t, {_WORDS.format('t')} as w from folded
+), placed as (
+  select r, doc_id, t, len(w) as n_words,
+         list_filter(range(1, len(w) + 1), lambda i: {' or '.join(_starts(p) for p, _ in PHRASES)}) as p,
+         list_filter([{', '.join(f"case when len(list_filter(range(1, len(w) + 1), lambda i: {_starts(p)})) > 0 then '{name}' end" for p, name in PHRASES)}],
+                     lambda x: x is not null) as base
+  from worded
+), templates(label, words) as (
+  values {', '.join(f"('{label}', {sorted(set(t.split()))})" for label, t in TEMPLATES)}
+), blocks as (
+  select r, unnest(list_distinct(list_concat(string_split(t, chr(10)), regexp_split_to_array(t, '\n[ \t\r]*\n')))) as b from folded
+), sets as (
+  select r, list_distinct({_WORDS.format('b')}) as s from blocks
+), found as (
+  select r, list_distinct(list(label)) as more, max(len(list_intersect(s, words)) / len(words)) as best
+  from sets, templates where 100 * len(list_intersect(s, words)) >= {PERCENT} * len(words) group by r
+)
+select doc_id, n_words, len(p) as n_base, list_min(p) - 1 as first_word, list_max(p) - 1 as last_word,
+       array_to_string(list_sort(base), ',') as base_labels,
+       array_to_string(list_sort(list_distinct(list_concat(base, coalesce(more, [])))), ',') as labels,
+       case when len(p) > 0 then 1.0::double else coalesce(best, 0.0)::double end as score
+from placed left join found using (r)
+"""
+
+_OVERLAP = f"""
+with docs as (
+  select row_number() over () as r, doc_id, {_WORDS.format(_FOLD.format('text'))} as w from documents
+), items as (
+  select cast(item_id as varchar) as item, {_WORDS.format(_FOLD.format('text'))} as w from benchmark
+), patterns as (
+  select item, least(13, len(w)) as m, unnest(range(1, len(w) - least(13, len(w)) + 2)) as i, w from items where len(w) > 0
+), pats as (
+  select distinct item, m, array_to_string(w[i:i + m - 1], ' ') as p from patterns
+), sizes as (
+  select distinct m from pats
+), places as (
+  select r, m, w, unnest(range(1, len(w) - m + 2)) as i from docs, sizes where len(w) >= m
+), hits as (
+  select r, i, places.m, item from places join pats on pats.m = places.m and array_to_string(w[i:i + places.m - 1], ' ') = p
+), counted as (
+  select r, count(distinct j) as n_hit from (select r, unnest(range(i, i + m)) as j from hits) group by r
+), owners as (
+  select r, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as items from hits group by r
+)
+select doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(items, '')) as items_sha256,
+       coalesce(n_hit, 0) > 0 and 20 * coalesce(n_hit, 0) >= len(w) as contaminated
+from docs left join counted using (r) left join owners using (r)
+"""
+
+_WARC = """
+with rows as (
+  select page_id, coalesce(html, '') as h from pages
+), hashed as (
+  select page_id, cast(strlen(h) as bigint) as payload_bytes, sha1(h) as payload_digest from rows
+), marked as (
+  select *, max(page_id) over (partition by payload_digest) as newest from hashed
+)
+select page_id, payload_bytes, payload_digest,
+       case when payload_bytes >= 1000 and page_id is distinct from newest then 'revisit' else 'response' end as record_type,
+       case when payload_bytes >= 1000 and page_id is distinct from newest then newest end as refers_to
+from marked
+"""
+
+_SHINGLES = rf"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all({_FOLD.format('text')}, '[^\x20\x09-\x0D]+') as w from documents
+), shingled as (
+  select r, doc_id, list_distinct(case when len(w) = 0 then [] when len(w) < 4 then [array_to_string(w, ' ')]
+         else list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) end) as s from docs
+), classes as (
+  select min(r) as c, list_sort(s) as s, len(list_sort(s)) as n, min(doc_id) as low from shingled group by list_sort(s)
+), posted as (
+  select c, n, unnest(s) as x from classes
+), shared as (
+  select a.c as a, b.c as b, count(*) as k, any_value(a.n) as na, any_value(b.n) as nb
+  from posted a join posted b on a.x = b.x and a.c < b.c and 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n) group by a.c, b.c
+), links as (
+  select a, b from shared where 100 * k >= 80 * (na + nb - k)
+), linked as (
+  select a, b from links union all select b, a from links
+), reach as (
+  with recursive walk(a, b) as (select c, c from classes union select walk.a, linked.b from walk join linked on walk.b = linked.a)
+  select a, b from walk
+), roots as (
+  select reach.a as c, min(classes.low) as low from reach join classes on classes.c = reach.b group by reach.a
+)
+select doc_id, cast(len(shingled.s) as bigint) as n_shingles,
+       case when len(shingled.s) = 0 then doc_id else roots.low end as component_id,
+       doc_id = case when len(shingled.s) = 0 then doc_id else roots.low end as kept
+from shingled join classes on classes.s = list_sort(shingled.s) join roots on roots.c = classes.c
+"""
+
+_VECTORS = """
+with vecs as (
+  select row_number() over () as r, vec_id, embedding::double[] as e from embeddings
+), usable as (
+  select r, vec_id, e from vecs
+  where e is not null and len(list_filter(e, lambda x: x is null or not isfinite(x))) = 0 and len(list_filter(e, lambda x: x <> 0)) > 0
+), links as (
+  select a.r as a, b.r as b from usable a join usable b on a.r <> b.r and len(a.e) = len(b.e) where list_cosine_similarity(a.e, b.e) >= 0.9
+), reach as (
+  with recursive walk(a, b) as (select r, r from vecs union select walk.a, links.b from walk join links on walk.b = links.a)
+  select a, b from walk
+), roots as (
+  select reach.a as r, min(vecs.vec_id) as low from reach join vecs on vecs.r = reach.b group by reach.a
+), counted as (
+  select a as r, count(*) as n from links group by a
+)
+select vec_id, coalesce(n, 0) as n_links, low as component_id, vec_id = low as kept
+from vecs join roots using (r) left join counted using (r)
+"""
+
+SQL: dict[str, str] = {
+    "op3_license_scan": _LICENSES,
+    "op4_warc_captures": _WARC,
+    "op7_itq_hamming_dedup": _VECTORS,
+    "op8_circulant_minhash": _SHINGLES,
+    "op9_benchmark_decontamination": _OVERLAP,
+}

@@ -71,26 +71,25 @@ def read_spans(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
     """Per stored row: id, start (ids of all rows before it), n_tokens (as
     counted in the list) and ids_crc32 over the ids as little-endian uint32."""
     stored = spark.read.parquet(path).select(
-        F.col("_metadata.file_name").alias("_file"), F.col(id_col), F.col("ids"))
-    schema = f"_file string, `{id_col}` {dict(stored.dtypes)[id_col]}, n_tokens long, ids_crc32 long"
+        F.col("_metadata.file_name").alias("_file"), F.col("_metadata.row_index").alias("_row"), F.col(id_col), F.col("ids"))
+    schema = f"_file string, _row long, `{id_col}` {dict(stored.dtypes)[id_col]}, n_tokens long, ids_crc32 long"
 
     def digest(batches):
         for batch in batches:
-            ids = batch.column(2)
+            ids = batch.column(3)
             flat = memoryview(np.ascontiguousarray(ids.values.to_numpy(zero_copy_only=False), dtype="<u4")).cast("B")
             off = ids.offsets.to_numpy()
             crc = [zlib.crc32(flat[4 * a:4 * b]) for a, b in zip(off[:-1].tolist(), off[1:].tolist())]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(np.diff(off).astype(np.int64)), pa.array(crc, type=pa.int64())],
-                names=["_file", id_col, "n_tokens", "ids_crc32"])
+                [*batch.columns[:3], pa.array(np.diff(off).astype(np.int64)), pa.array(crc, type=pa.int64())],
+                names=["_file", "_row", id_col, "n_tokens", "ids_crc32"])
 
     rows = stored.mapInArrow(digest, schema)
     files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.sum("n_tokens").alias("_sum"))
     before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
     # a file is one range partition: its rows fit one task as they did when written
-    inside = Window.partitionBy("_file").orderBy(F.col(id_col).asc_nulls_first(), "n_tokens", "ids_crc32").rowsBetween(
-        Window.unboundedPreceding, -1)
+    inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
     return (rows.withColumn("_in", F.coalesce(F.sum("n_tokens").over(inside), F.lit(0)))
             .join(starts, "_file")
             .select(id_col, (F.col("_start") + F.col("_in")).alias("start"), "n_tokens", "ids_crc32"))
