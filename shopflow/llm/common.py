@@ -3,8 +3,11 @@
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from pathlib import Path
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -59,3 +62,40 @@ def gapless_rank(df: DataFrame, key: str, order: list[str], n_rows: int, out: st
             .join(starts, [key, "_bucket"])
             .withColumn(out, (F.col("_start") + F.col("_rank")).cast("long"))
             .drop("_bucket", "_rank", "_start"))
+
+
+def blocks(members: DataFrame, keys: list[str], id_col: str, chunk: int) -> DataFrame:
+    """``members`` (keys, id, ...) dealt for comparing the members of each key
+    pair by pair, with ``part``, ``i`` and ``j``: a key of at most ``chunk``
+    members is the block (0, 0); a larger one is cut into parts of about half
+    a chunk by hash, and each pair of parts i <= j is a block, so no block
+    holds much more than ``chunk`` members whatever the key holds."""
+    large = members.groupBy(*keys).count().filter(F.col("count") > chunk).select(
+        *keys, F.ceil(F.col("count") / (chunk / 2)).cast("int").alias("_parts"))
+    return (members.join(large, keys, "left").withColumn("_parts", F.coalesce("_parts", F.lit(1)))
+            .withColumn("part", F.pmod(F.xxhash64(id_col), F.col("_parts")).cast("int"))
+            .withColumn("_other", F.explode(F.sequence(F.lit(0), F.col("_parts") - 1)))
+            .withColumn("i", F.least("part", "_other")).withColumn("j", F.greatest("part", "_other"))
+            .drop("_parts", "_other"))
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """Tables of consecutive rows that agree in the (integer) ``keys``, from
+    batches sorted by them; runs of a single row are left out."""
+    rest = None
+    for batch in batches:
+        table = pa.Table.from_batches([batch])
+        table = pa.concat_tables([rest, table]) if rest is not None else table
+        if not table.num_rows:
+            continue
+        same = np.ones(table.num_rows - 1, dtype=bool)
+        for c in keys:
+            v = table.column(c).to_numpy()
+            same &= v[1:] == v[:-1]
+        cuts = np.concatenate([[0], np.flatnonzero(~same) + 1]).tolist()
+        for a, b in zip(cuts[:-1], cuts[1:]):
+            if b - a > 1:
+                yield table.slice(a, b - a)
+        rest = table.slice(cuts[-1])
+    if rest is not None and rest.num_rows > 1:
+        yield rest

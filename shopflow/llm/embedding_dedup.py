@@ -10,8 +10,8 @@ OCCUPANCY vectors at every size, and the number of tables follows from the
 chance that a pair at the threshold shares no key.
 
 Equal vectors are one class.  A bucket larger than CHUNK classes is dealt into
-chunks, and every pair of chunks is a block of its own, so no block is larger
-than two chunks.  Blocks give counts and one edge per vector, never pairs.
+parts, and every pair of parts is a block of its own, so no block is larger
+than a chunk.  Blocks give counts and one edge per vector, never pairs.
 """
 
 from __future__ import annotations
@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import written
+from shopflow.llm.common import blocks, runs, written
 from shopflow.llm.components import components
 
 SAMPLE = 10_000
@@ -81,11 +81,11 @@ def _unit(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         run, "id long, digest binary, dims int, unit binary")
 
 
-def _block(units, counts, keys, chunks, i: int, j: int, t: int, cids, threshold: float):
+def _block(units, counts, keys, parts, i: int, j: int, t: int, cids, threshold: float):
     """(cid, links, low) of the members of one block."""
     x = np.frombuffer(b"".join(units)).reshape(len(units), -1)
-    left = np.flatnonzero(chunks == i)
-    right = left if i == j else np.flatnonzero(chunks == j)
+    left = np.flatnonzero(parts == i)
+    right = left if i == j else np.flatnonzero(parts == j)
     links = np.zeros(len(units), dtype=np.int64)
     low = cids.copy()
     for lo in range(0, len(left), 512):
@@ -110,28 +110,13 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
         head = {c: table.column(c)[0].as_py() for c in ("t", "i", "j")}
         keys = np.array(table.column("keys").to_pylist(), dtype=np.int64)
         col = lambda c: table.column(c).to_numpy()
-        cids, links, low = _block(table.column("unit").to_pylist(), col("c"), keys, col("chunk"), head["i"], head["j"],
+        cids, links, low = _block(table.column("unit").to_pylist(), col("c"), keys, col("part"), head["i"], head["j"],
                                   head["t"], col("cid"), threshold)
         return pa.RecordBatch.from_arrays([pa.array(cids), pa.array(links), pa.array(low)], names=["cid", "links", "low"])
 
     def run(batches):
-        rest = None
-        for batch in batches:
-            table = pa.Table.from_batches([batch])
-            table = pa.concat_tables([rest, table]) if rest is not None else table
-            if not table.num_rows:
-                continue
-            same = np.ones(table.num_rows - 1, dtype=bool)
-            for c in ("t", "key", "i", "j"):
-                v = table.column(c).to_numpy()
-                same &= v[1:] == v[:-1]
-            cuts = np.concatenate([[0], np.flatnonzero(~same) + 1])
-            for a, b in zip(cuts[:-1].tolist(), cuts[1:].tolist()):
-                if b - a > 1:
-                    yield emit(table.slice(a, b - a))
-            rest = table.slice(int(cuts[-1]))
-        if rest is not None and rest.num_rows > 1:
-            yield emit(rest)
+        for table in runs(batches, ["t", "key", "i", "j"]):
+            yield emit(table)
 
     return rows.mapInArrow(run, "cid long, links long, low long")
 
@@ -173,14 +158,9 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
 
     coded = written(usable.select("cid", "c", "unit").mapInArrow(encode, "cid long, c long, unit binary, keys array<long>"), "codes")
     light = coded.select("cid", F.posexplode("keys").alias("t", "key"))
-    large = light.groupBy("t", "key").count().filter(F.col("count") > CHUNK).select(
-        "t", "key", F.ceil(F.col("count") / (CHUNK // 2)).cast("int").alias("parts"))
-    dealt = (light.join(large, ["t", "key"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-             .withColumn("chunk", F.pmod(F.xxhash64("cid"), F.col("parts")).cast("int"))
-             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-             .select("cid", "t", "key", "chunk", F.least("chunk", "other").alias("i"), F.greatest("chunk", "other").alias("j")))
-    blocks = (dealt.join(coded, "cid").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j"))
-    found = written(_compare(blocks, threshold).groupBy("cid").agg(F.sum("links").alias("links"), F.min("low").alias("low")), "vector-links")
+    dealt = blocks(light, ["t", "key"], "cid", CHUNK)
+    rows = dealt.join(coded, "cid").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
+    found = written(_compare(rows, threshold).groupBy("cid").agg(F.sum("links").alias("links"), F.min("low").alias("low")), "vector-links")
     labels = components(found, "cid", "low").withColumnRenamed("id", "cid")
     named = (classes.join(labels, "cid", "left").join(found.select("cid", "links"), "cid", "left")
              .select("digest", "rep", "c", F.coalesce("component", "cid").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))

@@ -5,9 +5,11 @@ circular shift by k, gives signature coordinate k: two permutations make all
 BANDS * ROWS coordinates.  Equal coordinates of a band make documents
 candidates.  Documents with equal shingle sets form one class before banding,
 so a large group of copies costs one row per band.  Inside a bucket every
-class is checked against the smallest one; only classes that are then still
-in different components are checked against each other.  A link needs the
-exact Jaccard similarity of the full sets.
+class is checked against the smallest one; buckets whose classes are then
+still in different components are checked in full, small ones pair by pair,
+larger ones in blocks of at most CHUNK sets, out of which only the links'
+spanning edges come.  A link needs the exact Jaccard similarity of the full
+sets.
 """
 
 from __future__ import annotations
@@ -19,11 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import written
+from shopflow.llm.common import blocks, runs, written
 from shopflow.llm.components import components
 
 BANDS, ROWS = 40, 6
 BLOCK = 1 << 15
+PAIRS_UP_TO = 8
+CHUNK = 1024
 _M1, _M2 = np.uint32(0x7FEB352D), np.uint32(0x846CA68B)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -53,7 +57,7 @@ def shingle_set(text: str | None, size: int, known: dict) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(known) > 700_000:
+    if len(known) > 400_000:
         known.clear()
     h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     k = min(size, len(words))
@@ -160,6 +164,68 @@ def _linked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a long, b long")
 
 
+def shared_counts(sets: list[np.ndarray]) -> np.ndarray:
+    """Matrix of the sizes of all pairwise intersections."""
+    m = len(sets)
+    owner = np.repeat(np.arange(m), [len(s) for s in sets])
+    values = np.concatenate(sets)
+    order = np.argsort(values, kind="stable")
+    values, owner = values[order], owner[order]
+    starts = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]]))
+    held = np.diff(np.concatenate([starts, [len(values)]]))  # documents per shingle
+    out = np.zeros(m * m, dtype=np.float32)
+    for p in range(2, 9):
+        at = starts[held == p]
+        a, b = np.triu_indices(p, 1)
+        for lo in range(0, len(at), 1 << 16):
+            docs = owner[at[lo:lo + (1 << 16), None] + np.arange(p)]
+            out += np.bincount((docs[:, a] * m + docs[:, b]).ravel(), minlength=m * m).astype(np.float32)
+    out = out.reshape(m, m)
+    often = np.flatnonzero(held > 8)
+    for lo in range(0, len(often), 4096):
+        some = often[lo:lo + 4096]
+        rows = np.concatenate([owner[starts[k]:starts[k] + held[k]] for k in some])
+        x = np.zeros((m, len(some)), dtype=np.float32)
+        x[rows, np.repeat(np.arange(len(some)), held[some])] = 1
+        out += np.triu(x @ x.T, 1)
+    return out + out.T
+
+
+def _spanning(sets: list[np.ndarray], parts: np.ndarray, i: int, j: int, percent: int) -> np.ndarray:
+    """For every set of a block the smallest index that it is connected to by
+    links of the block (within part i, or between parts i and j)."""
+    n = np.array([len(s) for s in sets], dtype=np.float32)
+    inter = shared_counts(sets)
+    link = 100 * inter >= percent * (n[:, None] + n[None, :] - inter)
+    if i != j:
+        link &= parts[:, None] != parts[None, :]
+    np.fill_diagonal(link, True)
+    label = np.arange(len(sets))
+    while True:
+        new = np.where(link, label[None, :], len(sets)).min(axis=1)
+        new = new[new]
+        if (new == label).all():
+            return label
+        label = new
+
+
+def _linked_in_blocks(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Spanning edges (a, b) of the links among the members (key, cid) of each
+    key, compared in blocks."""
+    rows = (blocks(members, ["key"], "cid", CHUNK).join(sets, "cid")
+            .repartition("key", "i", "j").sortWithinPartitions("key", "i", "j"))
+
+    def run(batches):
+        for table in runs(batches, ["key", "i", "j"]):
+            held = [np.frombuffer(s.as_buffer(), dtype=np.uint64) for s in table.column("set")]
+            cids = table.column("cid").to_numpy()
+            label = _spanning(held, table.column("part").to_numpy(), table.column("i")[0].as_py(), table.column("j")[0].as_py(), percent)
+            off = np.flatnonzero(label != np.arange(len(label)))
+            yield pa.RecordBatch.from_arrays([pa.array(cids[label[off]]), pa.array(cids[off])], names=["a", "b"])
+
+    return rows.select("key", "i", "j", "part", "cid", "set").mapInArrow(run, "a long, b long").distinct()
+
+
 def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands: int = BANDS,
                     rows: int = ROWS) -> DataFrame:
     """(doc_id, n_shingles, component_id, kept) per row of ``docs`` (doc_id,
@@ -189,15 +255,17 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     open_ = (buckets.filter("c > 2").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
     mixed = open_.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi")
-    open_ = written(open_.join(mixed.select("key"), "key", "left_semi").select("key", "cid", "n", "component"), "open")
-    left = open_.select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("comp_a"))
-    right = open_.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("comp_b"))
+    open_ = written(open_.join(mixed.select("key"), "key", "left_semi").select("key", "c", "cid", "n", "component"), "open")
+    few = open_.filter(F.col("c") <= PAIRS_UP_TO)
+    left = few.select("key", F.col("cid").alias("a"), F.col("n").alias("n_a"), F.col("component").alias("comp_a"))
+    right = few.select("key", F.col("cid").alias("b"), F.col("n").alias("n_b"), F.col("component").alias("comp_b"))
     cross = (left.join(right, "key")
              .filter((F.col("comp_a") < F.col("comp_b"))
                      & (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")))
              .select("a", "b", "n_b").distinct()
              .join(star.select("a", "b"), ["a", "b"], "left_anti"))
-    more = written(_linked(cross, sets, percent), "links")
+    many = open_.filter(F.col("c") > PAIRS_UP_TO).select("key", "cid")
+    more = written(_linked(cross, sets, percent).unionByName(_linked_in_blocks(many, sets, percent)), "links")
     labels = components(links.unionByName(more)) if not more.isEmpty() else labels
     joined = labels.join(named, labels["id"] == named["cid"]).select("digest", "rep", "component")
     lowest = joined.groupBy("component").agg(F.min("rep").alias("low"))

@@ -35,7 +35,7 @@ class ChunkTokenizer:
 
     DRIFT, WATCH = 0.3, 2_000_000
 
-    def __init__(self, path: str, cache: int = 700_000):
+    def __init__(self, path: str, cache: int = 500_000):
         from tokenizers import Tokenizer
         self.model = Tokenizer.from_file(path)
         self.model.encode_special_tokens = True
