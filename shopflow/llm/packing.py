@@ -138,10 +138,11 @@ def configurations(counts: np.ndarray, capacity: int, eps: float = EPS,
     x = fractional_patterns(counts, capacity, eps, rounds)
     left = counts.astype(np.int64).copy()
     bins: dict[tuple[int, ...], int] = {}
-    # full patterns first; among those, as often as the program wants them
+    # patterns that fill a sequence, as often as the program wants them: whole
+    # times first, then what is left rounded up
     for up in (False, True):
         for pattern in sorted(x, key=lambda p: (-sum(p), -x[p], p)):
-            if sum(pattern) < capacity * (0.98 if up else 0.995):
+            if capacity - sum(pattern) > 1:
                 continue
             want = int(np.ceil(x[pattern])) if up else int(x[pattern])
             if want <= 0:
