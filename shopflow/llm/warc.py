@@ -5,12 +5,13 @@ keeps the HTTP headers and leaves the payload out) and a metadata record.
 Response and metadata name the request in WARC-Concurrent-To; the reader
 joins the three through it and gives one nested row per capture.  Files are
 written by Spark's text writer (one row is one capture, payloads are UTF-8),
-so commits and retries are Spark's own; they are read as whole files of at
-most ``captures_per_file`` captures.
+so commits and retries are Spark's own, and gzipped; they are read as whole
+files of at most ``captures_per_file`` captures.
 """
 
 from __future__ import annotations
 
+import gzip
 import hashlib
 import re
 
@@ -68,7 +69,7 @@ def write_archive(pages: DataFrame, path: str, id_col: str = "page_id", url_col:
                                 ("WARC-Concurrent-To", F.col("capture")), ("Content-Type", F.lit("application/warc-fields"))],
                    F.concat(F.lit("page-id: "), name, F.lit("\r\n")))
     (rows.select(F.concat(request, F.lit(_END), answer, F.lit(_END), meta).alias("value")).write
-     .option("lineSep", _END).option("maxRecordsPerFile", captures_per_file).text(path))
+     .option("lineSep", _END).option("maxRecordsPerFile", captures_per_file).option("compression", "gzip").text(path))
 
 
 _SCHEMA = ("concurrent_to string, kind string, record_id string, target_uri string, refers_to string, "
@@ -105,7 +106,8 @@ def read_records(spark: SparkSession, path: str, with_payload: bool = False) ->
         for batch in batches:
             for content in batch.column(0):
                 rows = []
-                for head, block in _parse(content.as_py()):
+                data = content.as_py()
+                for head, block in _parse(gzip.decompress(data) if data.startswith(b"\x1f\x8b") else data):
                     kind = head["warc-type"]
                     own = head["warc-record-id"]
                     size = digest = page = payload = None
