@@ -13,7 +13,7 @@ import sys
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-import __spark_entry__ as E  # noqa: E402
+from shopflow.plans.catalogue import QUERIES  # noqa: E402
 from shopflow.session import build_session  # noqa: E402
 
 PATTERNS = [
@@ -71,7 +71,7 @@ def main() -> None:
              f"Generated by `scripts/plan_report.py` on `{os.path.basename(sf)}` (AQE's initial plan; at run time AQE "
              "may still coalesce partitions, turn a small shuffle join into a broadcast, split skewed partitions, "
              "and reuse identical exchanges). Stream keys are Structured Streaming replays and are not listed.", ""]
-    for key, q in E.queries().items():
+    for key, q in QUERIES.items():
         if key.startswith("stream_"):
             continue
         plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()
