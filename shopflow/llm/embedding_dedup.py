@@ -11,7 +11,7 @@ chance that a pair at the threshold shares no key.
 
 Equal vectors are one class.  A bucket larger than CHUNK classes is dealt into
 parts, and every pair of parts is a block of its own, so no block is larger
-than a chunk.  Blocks give counts and one edge per vector, never pairs.
+than a chunk.  Blocks give counts and spanning edges of their links, never pairs.
 """
 
 from __future__ import annotations
@@ -81,13 +81,28 @@ def _unit(vectors: DataFrame, id_col: str, vec_col: str) -> DataFrame:
         run, "id long, digest binary, dims int, unit binary")
 
 
+def _join(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """``label`` (per member the smallest member it is connected to) after the
+    links (a, b) have been added."""
+    while True:
+        x, y = label[a], label[b]
+        open_ = np.flatnonzero(x != y)
+        if not len(open_):
+            return label
+        a, b, x, y = a[open_], b[open_], x[open_], y[open_]
+        np.minimum.at(label, np.maximum(x, y), np.minimum(x, y))
+        while ((up := label[label]) != label).any():
+            label = up
+
+
 def _block(units, counts, keys, parts, i: int, j: int, t: int, cids, threshold: float):
-    """(cid, links, low) of the members of one block."""
+    """(cid, links, low) of the members of one block, given by ascending cid:
+    low is the smallest cid that links of the block connect it to."""
     x = np.frombuffer(b"".join(units)).reshape(len(units), -1)
     left = np.flatnonzero(parts == i)
     right = left if i == j else np.flatnonzero(parts == j)
     links = np.zeros(len(units), dtype=np.int64)
-    low = cids.copy()
+    label = np.arange(len(units))
     for lo in range(0, len(left), 512):
         rows = left[lo:lo + 512]
         a, b = np.nonzero(x[rows] @ x[right].T >= threshold)
@@ -95,13 +110,12 @@ def _block(units, counts, keys, parts, i: int, j: int, t: int, cids, threshold:
         a, b = (a[a < b], b[a < b]) if i == j else (a, b)
         if not len(a):
             continue
-        np.minimum.at(low, a, cids[b])
-        np.minimum.at(low, b, cids[a])
+        label = _join(label, a, b)
         new = ~(keys[a, :t] == keys[b, :t]).any(axis=1)  # not met in an earlier table
         np.add.at(links, a[new], counts[b[new]])
         np.add.at(links, b[new], counts[a[new]])
-    some = np.flatnonzero((links > 0) | (low < cids))
-    return cids[some], links[some], low[some]
+    some = np.flatnonzero((links > 0) | (label < np.arange(len(units))))
+    return cids[some], links[some], cids[label[some]]
 
 
 def _compare(rows: DataFrame, threshold: float) -> DataFrame:
@@ -159,10 +173,11 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     coded = written(usable.select("cid", "c", "unit").mapInArrow(encode, "cid long, c long, unit binary, keys array<long>"), "codes")
     light = coded.select("cid", F.posexplode("keys").alias("t", "key"))
     dealt = blocks(light, ["t", "key"], "cid", CHUNK)
-    rows = dealt.join(coded, "cid").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j")
-    found = written(_compare(rows, threshold).groupBy("cid").agg(F.sum("links").alias("links"), F.min("low").alias("low")), "vector-links")
+    rows = dealt.join(coded, "cid").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j", "cid")
+    found = written(_compare(rows, threshold).groupBy("cid", "low").agg(F.sum("links").alias("links")), "vector-links")
+    links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     labels = components(found, "cid", "low").withColumnRenamed("id", "cid")
-    named = (classes.join(labels, "cid", "left").join(found.select("cid", "links"), "cid", "left")
+    named = (classes.join(labels, "cid", "left").join(links, "cid", "left")
              .select("digest", "rep", "c", F.coalesce("component", "cid").alias("component"), F.coalesce("links", F.lit(0)).alias("links")))
     lowest = named.groupBy("component").agg(F.min("rep").alias("low"))
     of = named.join(lowest, "component").select("digest", (F.col("c") - 1 + F.col("links")).alias("links"), "low")

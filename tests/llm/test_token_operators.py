@@ -352,6 +352,34 @@ def test_vector_edges_and_split_buckets(spark, monkeypatch):
     assert embedding_dedup.near_vectors(df.filter("vec_id = 303")).collect()[0]["n_links"] == 0
 
 
+def between(a, b, cosine):
+    """Unit vector of the plane of a and b at ``cosine`` to a, on b's side."""
+    a = a / np.linalg.norm(a)
+    b = b - (a @ b) * a
+    return cosine * a + np.sqrt(1 - cosine ** 2) * b / np.linalg.norm(b)
+
+
+@pytest.mark.parametrize("chunk", [4096, 8])
+def test_vector_chains_and_hubs_stay_whole(spark, monkeypatch, chunk):
+    rng = np.random.default_rng(7)
+    rows = []
+    for g in range(12):  # chains: only neighbours are linked
+        x, y = rng.standard_normal((2, 16))
+        rows += [(100 * g + int(k), between(x, y, np.cos(0.4 * s))) for s, k in enumerate(rng.permutation(7))]
+    for g in range(12, 24):  # hubs: spokes are linked with the hub, rarely with one another
+        hub = rng.standard_normal(16)
+        rows += [(100 * g + int(k), hub / np.linalg.norm(hub) if s == 0 else between(hub, rng.standard_normal(16), 0.91))
+                 for s, k in enumerate(rng.permutation(7))]
+    rows = [(i, v.tolist()) for i, v in rows]
+    want = vector_rows(rows)
+    comp = {i: c for i, _, c in want}
+    assert all(comp[100 * g + k] == 100 * g for g in range(24) for k in range(7)) and min(n for _, n, _ in want) == 1
+    monkeypatch.setattr(embedding_dedup, "CHUNK", chunk)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_vectors(df, miss=1e-5).collect())
+    assert got == sorted((i, n, c, i == c) for i, n, c in want)
+
+
 def test_rotation_gives_balanced_bits():
     x = np.random.default_rng(4).standard_normal((2000, 16)) * np.linspace(0.2, 3, 16)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
