@@ -55,11 +55,20 @@ _STAND_IN = {"0": "o", "1": "i", "3": "e", "4": "a", "5": "s", "7": "t", "8": "b
 _ZERO_WIDTH = (0xAD, 0x200B, 0x200C, 0x200D, 0x200E, 0x200F, 0x2060, 0xFEFF)
 
 
-def _fold_table() -> dict[int, str | None]:
-    table: dict[int, str | None] = {}
+class _Folding(dict):
+    """Code point to folded text; punctuation, symbols and separators that are
+    not in the table are spaces, other characters stay."""
+
+    def __missing__(self, cp: int) -> str:
+        self[cp] = to = " " if unicodedata.category(chr(cp))[0] in "PSZ" else chr(cp)
+        return to
+
+
+def _fold_table() -> _Folding:
+    table = _Folding()
     for cp in (*range(0xC0, 0x250), *range(0x1E00, 0x1F00), *range(0xFF01, 0xFF5F)):
         base = "".join(c for c in unicodedata.normalize("NFKD", chr(cp)) if not unicodedata.combining(c)).lower()
-        if base and base.isascii():
+        if base.isascii() and (base.isalnum() or base in _STAND_IN):
             table[cp] = base
     table.update((cp, None) for cp in range(0x300, 0x370))
     for c, to in _LOOK_ALIKE.items():

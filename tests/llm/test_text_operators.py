@@ -167,6 +167,23 @@ def test_toxicity_exceptions_and_words():
     assert toxicity._raw("idiots, idiom", found)[1] == 2
 
 
+SIGNS = "\u2010\u2011\u2012\u2013\u2014\u2015\u2018\u2019\u201a\u201c\u201d\u201e\u2022\u2026\u2027\u2039\u203a\u00ab\u00bb\u00a1\u00bf\u00a0\u3001\u3002\u300c\u300d\uff01\uff0c\uff1f"
+
+
+def test_toxicity_signs_beyond_ascii_part_words(spark):
+    found = toxicity._automaton({" scum ": 2.0, " idi": 1.0})
+    for c in SIGNS:
+        assert toxicity.fold(f"you{c}scum{c}idiots{c}").split() == ["you", "scum", "idiots"], hex(ord(c))
+        assert toxicity._raw(f"{c}scum{c}{c}idiots{c}", found)[1:] == (2, 2), hex(ord(c))
+    assert toxicity.fold("\uff1d\uff20ss") == " ass" and toxicity.fold("id\u0131\u200bot") == "idiot"
+    rows = [(i, "you are an idiot and scum" if i % 2 else "a fine day in may") for i in range(100, 160)]
+    labels = spark.createDataFrame([(d, d % 2) for d in range(100, 160)], "doc_id long, toxic int")
+    quoted = [(200, "you are an \u201cidiot\u201d and \u201cscum\u201d"), (201, "an idiot\u2014and scum\u2014left"),
+              (202, "\u201ca fine day\u201d\u2014in may"), (203, "\u00abscum\u00bb\u2026\u00bfidiot?")]
+    model = toxicity.learn(docs_of(spark, rows), labels)
+    assert {r["doc_id"]: r["predicted"] for r in toxicity.score(docs_of(spark, quoted), model).collect()} == {200: 1, 201: 1, 202: 0, 203: 1}
+
+
 def test_toxicity_held_out_accuracy(spark):
     sf = "/root/testdata/sf0.1"
     labels = spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "toxic")
