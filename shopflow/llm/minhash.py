@@ -117,14 +117,19 @@ def _fingerprints(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataF
                 full = [s for s in sets if len(s)]
                 keys = iter(band_keys(full, bands, rows)) if full else iter(())
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0),
+                    part.column(0), part.column(2),
                     pa.array([len(s) for s in sets], type=pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], type=pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], type=pa.list_(pa.int64())),
-                ], names=["doc_id", "n_shingles", "digest", "keys"])
+                ], names=["doc_id", "row", "n_shingles", "digest", "keys"])
 
-    return docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_shingles long, digest binary, keys array<long>")
+    return docs.select("doc_id", "text", _row_digest().alias("row")).mapInArrow(
+        run, "doc_id long, row string, n_shingles long, digest binary, keys array<long>")
+
+
+def _row_digest():
+    """Digest of the text; with doc_id it names a row, up to equal ones."""
+    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -237,6 +242,13 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     links like any other but names a component only where no id is known;
     kept is null there.  Rows that repeat a doc_id are rows of their own.
     With the default bands a pair at 0.8 is missed with a chance of 5e-6."""
+    return (_judged(docs, shingle, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
+            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+
+
+def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
+    """(doc_id, row, n_shingles, component, component_id) per row of ``docs``:
+    component numbers the components, null for texts without words."""
     docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
     prints = written(_fingerprints(docs, shingle, bands, rows), "prints")
     classes = written(prints.filter("n_shingles > 0").groupBy("digest")
@@ -267,20 +279,30 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     many = open_.filter(F.col("c") > PAIRS_UP_TO).select("key", "cid")
     more = written(_linked(cross, sets, percent).unionByName(_linked_in_blocks(many, sets, percent)), "links")
     labels = components(links.unionByName(more)) if not more.isEmpty() else labels
-    joined = labels.join(named, labels["id"] == named["cid"]).select("digest", "rep", "component")
+    joined = (named.join(labels, labels["id"] == named["cid"], "left")
+              .select("digest", "rep", F.coalesce("component", "cid").alias("component")))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("low"))
-    linked = joined.join(lowest, "component").select("digest", "low")
-    of = (named.join(linked, "digest", "left")
-          .select("digest", F.coalesce("low", "rep").alias("component_id")))
-    return (prints.select("doc_id", "n_shingles", "digest").join(of, "digest", "left")
-            .select("doc_id", "n_shingles", F.when(F.col("n_shingles") > 0, F.col("component_id"))
-                    .otherwise(F.col("doc_id")).alias("component_id"))
-            .withColumn("kept", F.col("doc_id") == F.col("component_id")))
+    of = joined.join(lowest, "component").select("digest", "component", F.col("low").alias("component_id"))
+    return (prints.select("doc_id", "row", "n_shingles", "digest").join(of, "digest", "left")
+            .select("doc_id", "row", "n_shingles", "component", F.when(F.col("n_shingles") > 0, F.col("component_id"))
+                    .otherwise(F.col("doc_id")).alias("component_id")))
 
 
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
-    """``docs`` without the near-duplicates of an earlier doc_id: the row with
-    the smallest doc_id of each component stays, with all its columns.  Rows
-    without an id stay; so do identical rows that repeat a kept id."""
-    gone = near_duplicates(docs, shingle, percent).filter(~F.col("kept")).select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """``docs`` with exactly one row of each group of near-duplicates, with all
+    its columns: the one with the smallest doc_id (a row without an id only
+    where no id is known), of rows that repeat this id the one with the
+    smallest text digest, of equal rows any.  Rows without words all stay."""
+    same = written(_judged(docs.select(F.col("doc_id").cast("long"), "text"), shingle, percent).filter("n_shingles > 0")
+                   .groupBy("component", "doc_id", "row").agg(F.count("*").alias("c")), "groups")
+    first = same.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
+    marked = written(same.join(first, "component")
+                     .withColumn("gone", ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))))
+                     .filter("gone or c > 1").select(F.col("doc_id").alias("_id"), F.col("row").alias("_of"), "gone"), "marked")
+    is_row = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of"))
+    keyed = docs.withColumn("_row", _row_digest())
+    kept = keyed.join(marked, is_row, "left_anti").select(*docs.columns)
+    again = marked.filter(~F.col("gone"))
+    if again.isEmpty():
+        return kept
+    return kept.unionByName(keyed.join(again, is_row, "left_semi").dropDuplicates(["doc_id", "_row"]).select(*docs.columns))

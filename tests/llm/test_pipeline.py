@@ -32,3 +32,21 @@ def test_stages_keep_columns_and_survive_empty_input(spark):
         assert out.columns == docs.columns and out.count() == 0
     assert corpus_pipeline.STAGES[-1][1](spark, docs, SF).count() == 0
     assert len(corpus_pipeline.STAGES) == 4 and (toxicity, minhash, decontaminate)
+
+
+def test_near_dedup_keeps_one_row_of_each_group(spark):
+    text = lambda k: " ".join(f"w{k}x{i}" for i in range(60))
+    rows = [(1, text(1), "a"), (2, text(1) + " more", "b"), (2, text(2), "c"),  # an id of two texts, one a near copy
+            (3, text(3), "d"), (3, text(3), "d"), (4, text(3), "e"),  # equal rows and a copy
+            (None, text(4), "f"), (None, text(4) + " more", "g"), (None, text(4), "h"),  # no id in the group
+            (None, text(5), "i"), (9, text(5), "j"), (5, text(6), "k"), (5, text(6) + " more", "l"),
+            (6, None, "m"), (6, None, "m"), (7, " ", "n"), (None, "", "o"), (8, text(8), "p")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, tag string")
+    out = minhash.keep_one(docs)
+    got = [tuple(r) for r in out.collect()]
+    assert out.columns == docs.columns and set(got) <= set(rows)
+    groups = {"a": "ab", "c": "c", "d": "de", "f": "fgh", "i": "ij", "k": "kl", "p": "p"}
+    for tags in groups.values():
+        assert len([r for r in got if r[2] in tags]) == 1, (tags, got)
+    assert {"a", "c", "d", "j"} <= {r[2] for r in got}
+    assert sorted(r[2] for r in got if r[2] in "mno") == ["m", "m", "n", "o"]
