@@ -129,7 +129,7 @@ def _compare(rows: DataFrame, threshold: float) -> DataFrame:
         return pa.RecordBatch.from_arrays([pa.array(cids), pa.array(links), pa.array(low)], names=["cid", "links", "low"])
 
     def run(batches):
-        for table in runs(batches, ["t", "key", "i", "j"]):
+        for table in runs(batches, ["dims", "t", "key", "i", "j"]):
             yield emit(table)
 
     return rows.mapInArrow(run, "cid long, links long, low long")
@@ -142,38 +142,43 @@ def near_vectors(vectors: DataFrame, id_col: str = "vec_id", vec_col: str = "emb
     Two vectors are linked when their cosine in double precision is at least
     ``threshold``; none below it is.  A pair at the threshold is missed with a
     chance of about ``miss``, a closer one with less.  Vectors that are null,
-    empty, zero or hold null or non-finite components link with nothing, and
-    so do vectors whose length is not the most common one (of equally common
-    ones the larger), save that rows of equal vectors always share a class.
+    empty, zero or hold null or non-finite components link with nothing;
+    vectors link with those of their own length, each length with a rotation
+    and tables of its own.  Rows of equal vectors always share a class.
     Rows may repeat ids; a null id names a component only where no id is known."""
     spark = vectors.sparkSession
     unit = written(_unit(vectors, id_col, vec_col), "units")
     classes = written(unit.filter("digest is not null").groupBy("digest")
                       .agg(F.min("id").alias("rep"), F.count("*").alias("c"), F.first("dims").alias("dims"), F.first("unit").alias("unit"))
                       .withColumn("cid", F.monotonically_increasing_id()), "vector-classes")
-    common = classes.groupBy("dims").count().orderBy(F.desc("count"), F.desc("dims")).first()
-    if common is None:
-        return unit.select(F.col("id").alias(id_col), F.lit(0).cast("long").alias("n_links"), F.col("id").alias("component_id"),
-                           F.lit(True).alias("kept"))
-    dims, n = common["dims"], common["count"]
-    usable = classes.filter(F.col("dims") == dims)
-    bits, tables = plan_tables(n, threshold, miss)
-    sample = usable.orderBy(F.xxhash64("digest"), "cid").select("unit").limit(sample_rows).collect()
-    sample = np.frombuffer(b"".join(bytes(r["unit"]) for r in sample)).reshape(len(sample), dims)
-    codes = spark.sparkContext.broadcast(learn_rotations(sample, -(-bits * tables // dims)))
+    plans = {}  # per length: bits per key, tables, projections
+    for r in classes.groupBy("dims").count().filter("count > 1").collect():
+        dims = r["dims"]
+        bits, tables = plan_tables(r["count"], threshold, miss)
+        sample = (classes.filter(F.col("dims") == dims).orderBy(F.xxhash64("digest"), "cid").select("unit").limit(sample_rows).collect())
+        sample = np.frombuffer(b"".join(bytes(x["unit"]) for x in sample)).reshape(len(sample), dims)
+        plans[dims] = bits, tables, learn_rotations(sample, -(-bits * tables // dims))[:, :bits * tables]
+    codes = spark.sparkContext.broadcast(plans)
 
     def encode(batches):
         for batch in batches:
-            x = np.frombuffer(b"".join(batch.column(2).to_pylist())).reshape(batch.num_rows, dims)
-            signs = (x @ codes.value[:, :bits * tables] >= 0).reshape(len(x), tables, bits)
-            keys = signs @ (1 << np.arange(bits, dtype=np.int64))
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(list(keys), type=pa.list_(pa.int64()))],
-                                             names=["cid", "c", "unit", "keys"])
-
-    coded = written(usable.select("cid", "c", "unit").mapInArrow(encode, "cid long, c long, unit binary, keys array<long>"), "codes")
-    light = coded.select("cid", F.posexplode("keys").alias("t", "key"))
-    dealt = blocks(light, ["t", "key"], "cid", CHUNK)
-    rows = dealt.join(coded, "cid").repartition("t", "key", "i", "j").sortWithinPartitions("t", "key", "i", "j", "cid")
+            lengths = batch.column(3).to_numpy()
+            for dims in np.unique(lengths).tolist():
+                bits, tables, projections = codes.value[dims]
+                part = batch.filter(pa.array(lengths == dims))
+                x = np.frombuffer(b"".join(part.column(2).to_pylist())).reshape(part.num_rows, dims)
+                signs = (x @ projections >= 0).reshape(len(x), tables, bits)
+                keys = signs @ (1 << np.arange(bits, dtype=np.int64))
+                yield pa.RecordBatch.from_arrays([*part.columns, pa.array(list(keys), type=pa.list_(pa.int64()))],
+                                                 names=["cid", "c", "unit", "dims", "keys"])
+
+    usable = classes.filter(F.col("dims").isin(list(plans)))
+    coded = written(usable.select("cid", "c", "unit", "dims")
+                    .mapInArrow(encode, "cid long, c long, unit binary, dims int, keys array<long>"), "codes")
+    light = coded.select("cid", "dims", F.posexplode("keys").alias("t", "key"))
+    dealt = blocks(light, ["dims", "t", "key"], "cid", CHUNK)
+    rows = (dealt.join(coded.drop("dims"), "cid").repartition("dims", "t", "key", "i", "j")
+            .sortWithinPartitions("dims", "t", "key", "i", "j", "cid"))
     found = written(_compare(rows, threshold).groupBy("cid", "low").agg(F.sum("links").alias("links")), "vector-links")
     links = found.groupBy("cid").agg(F.sum("links").alias("links"))
     labels = components(found, "cid", "low").withColumnRenamed("id", "cid")

@@ -380,6 +380,22 @@ def test_vector_chains_and_hubs_stay_whole(spark, monkeypatch, chunk):
     assert got == sorted((i, n, c, i == c) for i, n, c in want)
 
 
+def test_vectors_of_every_length_are_linked(spark):
+    rng = np.random.default_rng(11)
+    rows = []
+    for dims, n in ((16, 60), (8, 30), (5, 4), (3, 1)):
+        for _ in range(n):
+            v = rng.standard_normal(dims)
+            rows += [(len(rows), v.tolist()), (len(rows) + 1, (v if dims == 3 else between(v, rng.standard_normal(dims), 0.95)).tolist())]
+    want = []
+    for dims in (16, 8, 5, 3):
+        want += [(i, n, c, i == c) for i, n, c in vector_rows([r for r in rows if len(r[1]) == dims])]
+    assert all(n >= 1 for _, n, _, _ in want)
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = sorted((r["vec_id"], r["n_links"], r["component_id"], r["kept"]) for r in embedding_dedup.near_vectors(df, miss=1e-6).collect())
+    assert got == sorted(want)
+
+
 def test_rotation_gives_balanced_bits():
     x = np.random.default_rng(4).standard_normal((2000, 16)) * np.linspace(0.2, 3, 16)
     x /= np.linalg.norm(x, axis=1, keepdims=True)
