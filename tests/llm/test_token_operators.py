@@ -380,6 +380,26 @@ def test_vector_chains_and_hubs_stay_whole(spark, monkeypatch, chunk):
     assert got == sorted((i, n, c, i == c) for i, n, c in want)
 
 
+@pytest.mark.parametrize("hot", [0, 600])
+def test_vector_recall_of_planted_links(spark, hot):
+    rng = np.random.default_rng(13)
+    rows = [v for v in rng.standard_normal((4000, 64))]
+    rows += [between(rows[i], rng.standard_normal(64), c) for i, c in enumerate(np.linspace(0.9001, 0.95, 1000))]
+    hub = rng.standard_normal(64)
+    rows += [between(hub, rng.standard_normal(64), 0.97) for _ in range(hot)]
+    rows = [(i, v.tolist()) for i, v in enumerate(rows)]
+    want = {i: n for i, n, _ in vector_rows(rows)}
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r["vec_id"]: r["n_links"] for r in embedding_dedup.near_vectors(df).collect()}
+    linked = [i for i in range(5000) if want[i]]
+    assert len(linked) >= 2000 and (not hot or sum(want[i] for i in range(5000, 5000 + hot)) > hot)
+    recall = sum(got[i] for i in linked) / sum(want[i] for i in linked)
+    print("recall", hot, recall, sum(got.values()) / sum(want.values()))
+    assert all(got[i] <= want[i] for i in want)
+    assert recall >= 0.99
+    assert sum(got.values()) >= 0.99 * sum(want.values())
+
+
 def test_vectors_of_every_length_are_linked(spark):
     rng = np.random.default_rng(11)
     rows = []
