@@ -129,10 +129,62 @@ select vec_id, coalesce(n, 0) as n_links, low as component_id, vec_id = low as k
 from vecs join roots using (r) left join counted using (r)
 """
 
+_LINES = f"""
+with docs as (
+  select row_number() over () as r, doc_id, string_split(coalesce(text, ''), chr(10)) as l from documents
+), lines as (
+  select r, doc_id, unnest(l) as line, generate_subscripts(l, 1) as pos from docs
+), keyed as (
+  select *, translate(trim(line, chr(9) || chr(11) || chr(12) || chr(13) || ' '), '{_UPPER}', '{_LOWER}') as k from lines
+), held as (
+  select k, min(doc_id) as low from keyed where length(k) >= 10 group by k having count(distinct r) >= 2
+), judged as (
+  select r, doc_id, pos, line, held.k is not null and doc_id is distinct from low as gone from keyed left join held using (k)
+)
+select any_value(doc_id) as doc_id, count(*) as n_lines, cast(count(*) filter (where gone) as bigint) as n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) order by pos) filter (where not gone), '')) as kept_sha256
+from judged group by r
+"""
+
+_ROUNDS, _K = 5, 40
+
+
+def _centroids() -> str:
+    """Lloyd's rounds, one pair of materialised tables each."""
+    near = """(select r, arg_min(cluster, struct_pack(d := d, c := cluster)) as cluster, min(d) as d
+      from (select r, cluster, list_sum(list_transform(list_zip(vecs.x, c.x), lambda p: (p[1] - p[2]) * (p[1] - p[2]))) as d
+            from vecs, {0} as c) group by r)"""
+    parts = ["""vecs as materialized (
+  select row_number() over () as r, vec_id, list_transform(embedding, lambda v: cast(floor(256 * v::double) as bigint)) as x from embeddings
+  where len(embedding) = 64 and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0
+)""", f"""c0 as materialized (
+  select row_number() over (order by sha256('2:' || vec_id) nulls last, x) - 1 as cluster, x from vecs
+  order by sha256('2:' || vec_id) nulls last, x limit {_K}
+)"""]
+    for k in range(_ROUNDS):
+        parts.append(f"a{k} as materialized {near.format(f'c{k}')}")
+        parts.append(f"""c{k + 1} as materialized (
+  select cluster, coalesce(moved.x, c{k}.x) as x from c{k} left join (
+    select cluster, list(v order by i) as x from (
+      select cluster, i, (sum(v) - ((sum(v) % count(*)) + count(*)) % count(*)) // count(*) as v
+      from (select cluster, unnest(x) as v, generate_subscripts(x, 1) as i from a{k} join vecs using (r)) group by cluster, i)
+    group by cluster) as moved using (cluster)
+)""")
+    parts.append(f"last as materialized {near.format(f'c{_ROUNDS}')}")
+    return f"""with {', '.join(parts)}
+select vec_id, cast(cluster as int) as cluster, cast(d as bigint) as distance,
+       cast(sum(d) over (partition by cluster) as bigint) as cluster_inertia, cast(sum(d) over () as bigint) as inertia,
+       sha256(array_to_string(c.x, ',')) as centroid_sha256
+from last join vecs using (r) join c{_ROUNDS} as c using (cluster)
+"""
+
+
 SQL: dict[str, str] = {
     "op3_license_scan": _LICENSES,
     "op4_warc_captures": _WARC,
     "op7_itq_hamming_dedup": _VECTORS,
     "op8_circulant_minhash": _SHINGLES,
     "op9_benchmark_decontamination": _OVERLAP,
+    "op12_line_dedup": _LINES,
+    "op13_laesa_centroids": _centroids(),
 }
