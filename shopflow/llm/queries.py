@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shopflow.llm import (centroids, decontaminate, embedding_dedup, licenses, line_dedup, minhash, packing, sharding,
+from shopflow.llm import (alignment, centroids, decontaminate, embedding_dedup, licenses, line_dedup, minhash, packing, sharding,
                           token_files, toxicity, url_filter, warc)
 from shopflow.llm.common import table
 from shopflow.session import scratch_dir
@@ -65,6 +65,10 @@ def op10_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op11_token_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.align(table(spark, sf_dir, "documents"))
+
+
 def op12_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = line_dedup.drop_repeated_lines(table(spark, sf_dir, "documents").select("doc_id", "text"))
     return cut.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"))
@@ -78,4 +82,4 @@ def op13_laesa_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {f.__name__: f for f in (
     op1_karmarkar_karp_shards, op2_toxicity, op3_license_scan, op4_warc_captures, op5_token_files, op6_url_filter,
     op7_itq_hamming_dedup, op8_circulant_minhash, op9_benchmark_decontamination, op10_best_fit_packing,
-    op12_line_dedup, op13_laesa_centroids)}
+    op11_token_alignment, op12_line_dedup, op13_laesa_centroids)}
