@@ -168,8 +168,8 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id",
         tok = chunk_tokenizer(path)
         for batch in batches:
             rows: list[tuple] = []
-            for doc, text in zip(batch.column(0).to_pylist(), batch.column(1)):
-                data = tok.encode(text.as_py() or "") + end
+            for doc, data in zip(batch.column(0).to_pylist(), tok.encode_many([t or "" for t in batch.column(1).to_pylist()])):
+                data += end
                 n = len(data) // 4
                 at = 0
                 for piece in range(-(-n // capacity)):

@@ -5,7 +5,7 @@ order.  Ids are delta-encoded (format version 2), metadata is
 dictionary-encoded, row groups and pages have set sizes, and page indexes let
 a reader that wants some ids or only metadata skip the other pages.  The
 documents are range-partitioned by id before tokenising; a part file holds
-one range and file names sort as the ranges do.  ``read_spans`` finds each
+one range and the numbers in file names sort as the ranges do.  ``read_spans`` finds each
 document's place in the whole run of ids from per-file totals.
 """
 
@@ -41,7 +41,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         tok = chunk_tokenizer(tok_path)
         end = np.uint32(end_id).tobytes()
         for batch in batches:
-            data = [tok.encode(t.as_py() or "") + end for t in batch.column(len(kept))]
+            data = [d + end for d in tok.encode_many([t or "" for t in batch.column(len(kept)).to_pylist()])]
             sizes = np.array([len(d) // 4 for d in data], dtype=np.int64)
             for lo in range(0, len(data), 512):
                 part = np.frombuffer(b"".join(data[lo:lo + 512]), dtype="<i4")
@@ -86,7 +86,8 @@ def read_spans(spark: SparkSession, path: str, id_col: str = "doc_id") -> DataFr
 
     rows = stored.mapInArrow(digest, schema)
     files = spark.read.parquet(path).groupBy(F.col("_metadata.file_name").alias("_file")).agg(F.sum("n_tokens").alias("_sum"))
-    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    # by the number in the name: names of six digits do not sort as numbers do
+    before = Window.orderBy(F.regexp_extract("_file", r"part-(\d+)", 1).cast("long")).rowsBetween(Window.unboundedPreceding, -1)
     starts = files.select("_file", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_start"))
     # a file is one range partition: its rows fit one task as they did when written
     inside = Window.partitionBy("_file").orderBy("_row").rowsBetween(Window.unboundedPreceding, -1)
