@@ -88,7 +88,7 @@ def area_top_products(spark: SparkSession, actions: DataFrame, city_dim: DataFra
 
 def ad_statistics(spark: SparkSession, out: str, checkpoint: str, source: str = "kafka",
                   path: str | None = None, threshold: int = 100, top_n: int = 3,
-                  trigger: dict | None = None, compact_every: int = 100,
+                  trigger: dict | None = None, state_partitions: int | None = None,
                   **source_options: str) -> StreamingQuery:
     """The ad-click stream: blacklist loop and, over the clicks it lets
     through, running totals, top ads per province and the per-minute trend
@@ -98,4 +98,4 @@ def ad_statistics(spark: SparkSession, out: str, checkpoint: str, source: str =
     lines = read_ad_log_stream(spark, path or "", source, **source_options)
     return R.filtered_ad_stream(spark, lines, out, checkpoint, threshold, top_n,
                                 trigger=trigger or {"processingTime": "5 seconds"},
-                                compact_every=compact_every)
+                                state_partitions=state_partitions)

@@ -446,52 +446,50 @@ def _replay(spark, sf, start):
     return out
 
 
-# Small epochs so the registered runs exercise change-log compaction.
-_COMPACT = 2
-
-
 @query
 def stream_ad_stat(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
         spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        compact_every=_COMPACT))
-    return R.stat_table(spark, out, _COMPACT).current()
+        slots=_state_partitions(spark)))
+    return R.result(spark, out, "ad_stat")
 
 
 @query
 def stream_province_top3(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
         spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        compact_every=_COMPACT))
-    return R.province_top_table(spark, out, _COMPACT).current()
+        slots=_state_partitions(spark)))
+    return R.result(spark, out, "province_top")
 
 
 @query
 def stream_click_trend(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.click_trend_stream(
-        spark, lines, o, c, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        compact_every=_COMPACT))
-    return R.trend_table(spark, out, _COMPACT).current()
+        spark, lines, o, c, trigger=_AVAILABLE, state_partitions=_state_partitions(spark)))
+    return R.result(spark, out, "click_trend")
 
 
 @query
 def stream_hourly_sliding(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.hourly_sliding_stream(
-        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE, compact_every=_COMPACT))
-    return R.sliding_table(spark, out, _COMPACT).current().drop("date")
+        spark, lines, o, c, P.WINDOW_MINUTES, P.SLIDE_MINUTES, trigger=_AVAILABLE,
+        state_partitions=_state_partitions(spark)))
+    return R.result(spark, out, "hourly_sliding").drop("date")
 
 
 @query
 def stream_blacklist(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(
-        spark, lines, o, c, P.AD_THRESHOLD, trigger=_AVAILABLE, compact_every=_COMPACT))
-    return R.blacklist_table(spark, out, _COMPACT).current()
+        spark, lines, o, c, P.AD_THRESHOLD, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
+        slots=_state_partitions(spark)))
+    return R.result(spark, out, "blacklist")
 
 
 def _filtered(spark, sf, table):
     out = _replay(spark, sf, lambda lines, o, c: R.filtered_ad_stream(
-        spark, lines, o, c, P.AD_THRESHOLD, P.TOP_ADS, trigger=_AVAILABLE, compact_every=_COMPACT))
-    return R.filtered_tables(spark, out, _COMPACT)[table].current()
+        spark, lines, o, c, P.AD_THRESHOLD, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
+        slots=_state_partitions(spark)))
+    return R.result(spark, out, table)
 
 
 @query

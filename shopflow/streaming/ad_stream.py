@@ -2,12 +2,12 @@
 trend, sliding hourly totals and the click-fraud blacklist.
 
 Every query reads log lines from a streaming source (text files here, Kafka
-by option), parses them once and writes through ``foreachBatch`` into
-change-log tables (``ChangeLog``), so replays are idempotent.  No click is
-lost for being late: the running counts keep their state, as the reference
-does, unless a ``lateness`` is given, and the sliding totals are additive
-tables that late clicks and open windows update like any other.  Lines that
-do not parse go to a reject table.
+by option), parses them once, counts them in Spark's checkpointed state
+(``streaming.state``; the unfiltered trend is a plain windowed aggregation) and
+writes what changed through ``foreachBatch`` into Parquet tables by day
+(``streaming.tables``).  Operators give absolute totals, so a batch that is
+tried again changes nothing.  No click is lost for being late, unless a
+``lateness`` is given.  Lines that do not parse go to a reject table.
 """
 
 from __future__ import annotations
@@ -20,276 +20,195 @@ from pyspark.sql.streaming import StreamingQuery
 
 from shopflow.operators import ads as D
 from shopflow.sources.adlog import parse_ad_log, read_ad_log_stream, rejected_lines
-from shopflow.streaming.changelog import ChangeLog
+from shopflow.streaming.state import OUT, OUT_SCHEMA, SLOTS, ClickFilter, RunningTotals, SlidingTotals, combine, slot
+from shopflow.streaming.tables import merge_days, put_batch, read_table
 
-STAT_KEYS = ["date", "province", "city", "adid"]
-TREND_KEYS = ["date", "hour", "minute", "adid"]
-STAT_SCHEMA = "date string, province string, city string, adid bigint, click_count bigint"
-TOP_SCHEMA = "date string, province string, adid bigint, click_count bigint"
-TREND_SCHEMA = "date string, hour string, minute string, adid bigint, click_count bigint"
-SLIDING_SCHEMA = "date string, window_start string, window_end string, adid bigint, click_count bigint"
-REJECT_SCHEMA = "value string, reason string"
-DAILY_SCHEMA = "date string, userid bigint, adid bigint, click_count bigint"
-BLACKLIST_SCHEMA = "userid bigint"
+#: Result tables under ``out`` and the keys that a new row replaces.
+TABLES = {
+    "ad_stat": ("date string, province string, city string, adid bigint, click_count bigint", ["date", "province", "city", "adid"]),
+    "province_top": ("date string, province string, adid bigint, click_count bigint", ["date", "province"]),
+    "click_trend": ("date string, hour string, minute string, adid bigint, click_count bigint", ["date", "hour", "minute", "adid"]),
+    "hourly_sliding": ("date string, window_start string, window_end string, adid bigint, click_count bigint",
+                       ["date", "window_start", "adid"]),
+    "blacklist": ("userid bigint, batch_id bigint", None),
+    "rejects": ("value string, reason string, batch_id bigint", None),
+}
 
+_ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+_TRIGGER = {"processingTime": "5 seconds"}
 
-# --- result tables (change logs with their merge semantics) ------------------
 
-def stat_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/ad_stat", STAT_SCHEMA, "latest", STAT_KEYS, ["click_count"], compact_every,
-                     "date")
+def result(spark: SparkSession, out: str, name: str) -> DataFrame:
+    """The stored rows of a result table."""
+    return read_table(spark, f"{out}/{name}", TABLES[name][0]).drop("batch_id")
 
 
-def province_top_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/province_top", TOP_SCHEMA, "groups", ["date", "province"], (), compact_every,
-                     "date")
+def _merge(rows: DataFrame, out: str, name: str) -> None:
+    merge_days(rows, f"{out}/{name}", *TABLES[name])
 
 
-def trend_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/click_trend", TREND_SCHEMA, "latest", TREND_KEYS, ["click_count"],
-                     compact_every, "date")
-
-
-def sliding_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/hourly_sliding", SLIDING_SCHEMA, "summed",
-                     ["date", "window_start", "window_end", "adid"], ["click_count"], compact_every, "date")
-
-
-def user_daily_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/user_daily", DAILY_SCHEMA, "summed", ["date", "userid", "adid"],
-                     ["click_count"], compact_every, "date")
-
+def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str,
+           trigger: dict | None, state_partitions: int | None = None) -> StreamingQuery:
+    """Start a ``foreachBatch`` query with its state in RocksDB.
+    ``state_partitions`` sizes the state store; it is fixed in the checkpoint
+    at the first start (later restarts keep it).  Both settings are made only
+    while the query starts: it takes a snapshot of the session's then."""
+    spark = df.sparkSession
+    wanted = {"spark.sql.streaming.stateStore.providerClass": _ROCKSDB}
+    if state_partitions:
+        wanted["spark.sql.shuffle.partitions"] = str(state_partitions)
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
+    try:
+        return (df.writeStream.outputMode(mode).foreachBatch(fn)
+                .option("checkpointLocation", checkpoint).trigger(**(trigger or _TRIGGER)).start())
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
 
-def blacklist_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    return ChangeLog(spark, f"{out}/blacklist", BLACKLIST_SCHEMA, "distinct", ["userid"], (), compact_every)
 
+def _write(out: str) -> Callable[[DataFrame, int], None]:
+    """The ``foreachBatch`` function of rows in OUT_SCHEMA: each kind to its
+    table."""
+    def sink(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()  # used once per kind
+        kind = lambda k: batch.where(F.col("kind") == k)
+        try:
+            ad, two = F.col("item").alias("adid"), lambda c: F.lpad(F.floor(c).cast("string"), 2, "0")
+            _merge(kind("stat").select("date", F.col("g").alias("province"), F.col("a").alias("city"), ad, "click_count"), out, "ad_stat")
+            _merge(kind("top").select("date", F.col("g").alias("province"), ad, "click_count"), out, "province_top")
+            _merge(kind("trend").select("date", two(F.col("item") / 60).alias("hour"), two(F.col("item") % 60).alias("minute"),
+                                        F.col("g").cast("bigint").alias("adid"), "click_count"), out, "click_trend")
+            put_batch(kind("black").select(F.col("g").cast("bigint").alias("userid")), f"{out}/blacklist", batch_id)
+            put_batch(kind("reject").select(F.col("a").alias("value"), F.col("g").alias("reason")), f"{out}/rejects", batch_id)
+        finally:
+            batch.unpersist()
 
-def reject_table(spark: SparkSession, out: str, compact_every: int = 100) -> ChangeLog:
-    """Lines that do not parse, with the reason; never rewritten."""
-    return ChangeLog(spark, f"{out}/rejects", REJECT_SCHEMA, "append", (), (), compact_every)
+    return sink
 
 
-MAX_TOUCHED_DAYS = 1000
+def _rejects(lines: DataFrame) -> DataFrame:
+    """The lines that do not parse, as rows of OUT_SCHEMA."""
+    return rejected_lines(lines).select(F.lit("reject").alias("kind"), F.lit("").alias("date"), F.col("reason").alias("g"),
+                                        F.col("value").alias("a"), F.lit(None).cast("bigint").alias("item"),
+                                        F.lit(None).cast("bigint").alias("click_count"))
 
 
-def touched_days(df: DataFrame) -> list[str] | None:
-    """The days a micro-batch touches, to prune stored tables: a bounded
-    list (a watermarked stream touches one or two days); None, i.e. no
-    pruning, when a backfill batch spans more than MAX_TOUCHED_DAYS."""
-    days = [r[0] for r in df.select("date").distinct().limit(MAX_TOUCHED_DAYS + 1).collect()]
-    return days if len(days) <= MAX_TOUCHED_DAYS else None
+def _totals(rows: DataFrame, top_n: int, slots: int, lateness: str | None = None) -> DataFrame:
+    rows = rows.select(slot(slots, "kind", "date", "g"), *OUT, *(["ts"] if lateness else []))
+    return rows.groupBy("slot").transformWithStateInPandas(
+        RunningTotals(top_n, expire=bool(lateness)), OUT_SCHEMA, "append", "eventTime" if lateness else "none")
 
 
-def _start(df: DataFrame, fn: Callable[[DataFrame, int], None], checkpoint: str, mode: str,
-           trigger: dict, state_partitions: int | None = None) -> StreamingQuery:
-    """Start a ``foreachBatch`` query.  ``state_partitions`` sizes the state
-    store of a stateful query; it is fixed in the checkpoint at the first
-    start (later restarts keep it), so it is set only while the query starts:
-    the query takes a snapshot of the session configuration then."""
-    spark = df.sparkSession
-    key = "spark.sql.shuffle.partitions"
-    before = spark.conf.get(key)
-    if state_partitions:
-        spark.conf.set(key, str(state_partitions))
-    try:
-        return (df.writeStream.outputMode(mode).foreachBatch(fn)
-                .option("checkpointLocation", checkpoint).trigger(**trigger).start())
-    finally:
-        spark.conf.set(key, before)
+def _by_user(lines: DataFrame, threshold: int, only_list: bool, ttl_ms: int | None, slots: int) -> DataFrame:
+    clicks = parse_ad_log(lines)
+    keys = ["userid", "date", "adid"]
+    if not only_list:
+        clicks = clicks.withColumn("minute", F.hour("ts") * 60 + F.minute("ts"))
+        keys += ["province", "city", "minute"]
+    return combine(clicks, keys).select(slot(slots, "userid"), "*").groupBy("slot").transformWithStateInPandas(
+        ClickFilter(threshold, only_list, ttl_ms), OUT_SCHEMA, "append", "processingTime" if ttl_ms else "none")
 
 
 def ad_stat_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str, top_n: int = 3,
                    lateness: str | None = None, trigger: dict | None = None,
-                   state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
-    """Running click total per (day, province, city, ad) kept in the state
-    store (update mode: only changed keys are emitted; on a cluster the state
-    is in RocksDB), merged into
-    ``out/ad_stat`` by overwriting upsert; then the top ads of every touched
-    (day, province), ranked over the stored totals, replace their group in
-    ``out/province_top``.  Without ``lateness`` the state never expires and
-    every click counts, however late; with it, state older than that is
-    dropped and so are the clicks behind it.  Start ``reject_stream`` beside
-    it to keep the lines that do not parse."""
-    clicks = _on_time(parse_ad_log(lines), lateness)
-    counts = (clicks.groupBy(F.window("ts", "1 day").alias("day"), "province", "city", "adid")
-              .agg(F.count(F.lit(1)).alias("click_count"))
-              .select(F.date_format("day.start", "yyyyMMdd").alias("date"), "province", "city", "adid",
-                      "click_count"))
-    stat = stat_table(spark, out, compact_every)
-    top = province_top_table(spark, out, compact_every)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        # the batch output is used three times: compute the aggregation once
-        batch = batch.persist()
-        stat.write(batch, batch_id)
-        touched = batch.select("date", "province").distinct()
-        stored = stat.current(upto=batch_id, only=touched_days(batch)).join(
-            touched, ["date", "province"], "left_semi")
-        top.write(D.ad_province_top(stored, top_n), batch_id)
-        batch.unpersist()
-
-    return _start(counts, sink, checkpoint, "update", trigger or {"processingTime": "5 seconds"},
-                  state_partitions)
+                   state_partitions: int | None = None, slots: int = SLOTS) -> StreamingQuery:
+    """Running click totals per (day, province, city, ad) into ``out/ad_stat``
+    and the ``top_n`` ads of every (day, province) into ``out/province_top``,
+    both from one stateful operator whose groups are (day, province): the totals that
+    a batch changed, and a group's top when it changed.  Without ``lateness``
+    the state never expires and every click counts, however late; with it, the
+    groups of days that ended longer ago are dropped and so are later clicks."""
+    keys = ["date", "province", "city", "adid"]
+    clicks = parse_ad_log(lines)
+    if lateness:
+        clicks, keys = clicks.withColumn("ts", F.date_trunc("minute", "ts")), [*keys, "ts"]
+    counts = combine(clicks, keys, "click_count")
+    if lateness:
+        counts = counts.withWatermark("ts", lateness)
+    rows = counts.withColumnsRenamed({"province": "g", "city": "a", "adid": "item"}).withColumn("kind", F.lit("stat"))
+    return _start(_totals(rows, top_n, slots, lateness).unionByName(_rejects(lines)), _write(out), checkpoint, "append", trigger, state_partitions)
 
 
 def click_trend_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                        lateness: str | None = None, trigger: dict | None = None,
-                       state_partitions: int | None = None, compact_every: int = 100) -> StreamingQuery:
-    """Clicks per (minute, ad) in event time; updated minutes overwrite
-    their row in ``out/click_trend``.  ``lateness`` as in ``ad_stat_stream``."""
-    clicks = _on_time(parse_ad_log(lines), lateness)
+                       state_partitions: int | None = None) -> StreamingQuery:
+    """Clicks per (minute, ad) in event time, a windowed aggregation in update
+    mode; updated minutes overwrite their row in ``out/click_trend``.
+    ``lateness`` as in ``ad_stat_stream``.  Start ``reject_stream`` beside it
+    to keep the lines that do not parse."""
+    clicks = parse_ad_log(lines)
+    clicks = clicks.withWatermark("ts", lateness) if lateness else clicks
     counts = (clicks.groupBy(F.window("ts", "1 minute").alias("m"), "adid")
               .agg(F.count(F.lit(1)).alias("click_count"))
               .select(F.date_format("m.start", "yyyyMMdd").alias("date"),
                       F.date_format("m.start", "HH").alias("hour"),
                       F.date_format("m.start", "mm").alias("minute"), "adid", "click_count"))
-    trend = trend_table(spark, out, compact_every)
-    return _start(counts, lambda b, i: trend.write(b, i), checkpoint, "update",
-                  trigger or {"processingTime": "5 seconds"}, state_partitions)
-
+    return _start(counts, _merge_sink(out, "click_trend"), checkpoint, "update", trigger, state_partitions)
 
-def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                          window_minutes: int = 60, slide_minutes: int = 1, trigger: dict | None = None,
-                          compact_every: int = 100) -> StreamingQuery:
-    """Clicks per ad in sliding event-time windows.  Every micro-batch adds
-    its own counts to the windows they fall in (``out/hourly_sliding``,
-    additive, by day), so the table holds the windows that are still open
-    and counts late clicks; it is current after every batch."""
-    return _start(lines.select("value"), sliding_sink(spark, out, window_minutes, slide_minutes, compact_every),
-                  checkpoint, "append", trigger or {"processingTime": "5 seconds"})
-
-
-def sliding_sink(spark: SparkSession, out: str, window_minutes: int = 60, slide_minutes: int = 1,
-                 compact_every: int = 100) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of ``hourly_sliding_stream``: the clicks
-    of a batch are counted per (minute, ad), and only those counts are
-    expanded into windows."""
-    sliding = sliding_table(spark, out, compact_every)
-    rejects = reject_table(spark, out, compact_every)
 
+def _merge_sink(out: str, name: str) -> Callable[[DataFrame, int], None]:
     def sink(batch: DataFrame, batch_id: int) -> None:
-        counts = D.ad_hourly_sliding(parse_ad_log(batch), window_minutes, slide_minutes)
-        day = F.regexp_replace(F.substring("window_start", 1, 10), "-", "")
-        sliding.write(counts.withColumn("date", day), batch_id)
-        rejects.write(rejected_lines(batch), batch_id)
+        batch = batch.persist()
+        try:
+            _merge(batch, out, name)
+        finally:
+            batch.unpersist()
 
     return sink
 
 
-def _on_time(clicks: DataFrame, lateness: str | None) -> DataFrame:
-    return clicks.withWatermark("ts", lateness) if lateness else clicks
+def hourly_sliding_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
+                          window_minutes: int = 60, slide_minutes: int = 1, trigger: dict | None = None,
+                          state_partitions: int | None = None, ttl_ms: int | None = None) -> StreamingQuery:
+    """Clicks per ad in sliding event-time windows, into ``out/hourly_sliding``
+    (by day): after every batch the table holds the totals of all windows met
+    so far, open ones and late clicks included.  The state holds one number
+    per (minute, ad); ``ttl_ms`` drops hours that long unchanged."""
+    minute = F.floor(F.col("ts_ms") / D.MINUTE_MS).cast("bigint")
+    counts = combine(parse_ad_log(lines).withColumn("minute", minute), ["adid", "minute"])
+    found = counts.groupBy("adid").transformWithStateInPandas(
+        SlidingTotals(window_minutes, slide_minutes, ttl_ms), "start bigint, adid bigint, click_count bigint", "append",
+        "processingTime" if ttl_ms else "none")
+    at = F.timestamp_seconds(F.col("start") * 60)
+    until = F.timestamp_seconds((F.col("start") + window_minutes) * 60)
+    rows = found.select(F.date_format(at, "yyyyMMdd").alias("date"), F.date_format(at, "yyyy-MM-dd HH:mm:ss").alias("window_start"),
+                        F.date_format(until, "yyyy-MM-dd HH:mm:ss").alias("window_end"), "adid", "click_count")
+    return _start(rows, _merge_sink(out, "hourly_sliding"), checkpoint, "append", trigger, state_partitions)
 
 
 def reject_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                  trigger: dict | None = None, compact_every: int = 100) -> StreamingQuery:
+                  trigger: dict | None = None) -> StreamingQuery:
     """Lines that do not parse, into ``out/rejects``."""
-    rejects = reject_table(spark, out, compact_every)
-    return _start(rejected_lines(lines), lambda b, i: rejects.write(b, i), checkpoint, "append",
-                  trigger or {"processingTime": "5 seconds"})
-
-
-def _blacklist_step(allowed: DataFrame, batch_id: int, listed: DataFrame, daily: ChangeLog,
-                    black: ChangeLog, threshold: int, days: list[str] | None = None) -> None:
-    """Add the batch's (day, user, ad) counts, look up the totals of the
-    touched keys, list users over ``threshold`` not listed yet.  ``days``:
-    the batch's days when the caller has them already."""
-    counts = D.ad_user_daily_clicks(allowed).persist()
-    daily.write(counts, batch_id)
-    totals = daily.current(upto=batch_id, only=touched_days(counts) if days is None else days).join(
-        counts.select("date", "userid", "adid"), ["date", "userid", "adid"], "left_semi")
-    new = (totals.where(F.col("click_count") > threshold).select("userid").distinct()
-           .join(listed, "userid", "left_anti"))
-    black.write(new, batch_id)
-    counts.unpersist()
+    return _start(rejected_lines(lines), lambda b, i: put_batch(b, f"{out}/rejects", i), checkpoint, "append", trigger)
 
 
 def blacklist_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
-                     threshold: int = 100, trigger: dict | None = None,
-                     compact_every: int = 100) -> StreamingQuery:
-    """The feedback loop, one ``foreachBatch`` per micro-batch:
-
-    1. read the blacklist as of the previous batch, drop listed users' clicks;
-    2. count the batch per (day, user, ad) and add it to ``out/user_daily``;
-    3. look up the totals of the touched keys, keep those over ``threshold``;
-    4. append users not yet listed to ``out/blacklist``.
-
-    Reads are bounded to batches <= the current one, so a replay reproduces
-    the same output; writes overwrite the batch's own directory."""
-    return _start(lines.select("value"), blacklist_sink(spark, out, threshold, compact_every), checkpoint,
-                  "append", trigger or {"processingTime": "5 seconds"})
-
-
-def blacklist_sink(spark: SparkSession, out: str, threshold: int = 100,
-                   compact_every: int = 100) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of ``blacklist_stream`` (log lines in)."""
-    daily = user_daily_table(spark, out, compact_every)
-    black = blacklist_table(spark, out, compact_every)
-    rejects = reject_table(spark, out, compact_every)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        listed = black.current(before=batch_id)
-        allowed = parse_ad_log(batch).join(listed, "userid", "left_anti")
-        _blacklist_step(allowed, batch_id, listed, daily, black, threshold)
-        rejects.write(rejected_lines(batch), batch_id)
-
-    return sink
-
-
-def filtered_tables(spark: SparkSession, out: str, compact_every: int = 100) -> dict[str, ChangeLog]:
-    return {
-        "ad_stat": ChangeLog(spark, f"{out}/ad_stat_filtered", STAT_SCHEMA, "summed", STAT_KEYS,
-                             ["click_count"], compact_every, "date"),
-        "province_top": ChangeLog(spark, f"{out}/province_top_filtered", TOP_SCHEMA, "groups",
-                                  ["date", "province"], (), compact_every, "date"),
-        "click_trend": ChangeLog(spark, f"{out}/click_trend_filtered", TREND_SCHEMA, "summed", TREND_KEYS,
-                                 ["click_count"], compact_every, "date"),
-    }
+                     threshold: int = 100, trigger: dict | None = None, state_partitions: int | None = None,
+                     ttl_ms: int | None = None, slots: int = SLOTS) -> StreamingQuery:
+    """The feedback loop in one stateful operator keyed by user: clicks of
+    listed users are dropped, the others are counted per (day, ad), and a user
+    over ``threshold`` is listed from the next batch on and written to
+    ``out/blacklist``.  ``ttl_ms`` drops daily counts that long unchanged."""
+    rows = _by_user(lines, threshold, True, ttl_ms, slots).unionByName(_rejects(lines))
+    return _start(rows, _write(out), checkpoint, "append", trigger, state_partitions)
 
 
 def filtered_ad_stream(spark: SparkSession, lines: DataFrame, out: str, checkpoint: str,
                        threshold: int = 100, top_n: int = 3, trigger: dict | None = None,
-                       compact_every: int = 100) -> StreamingQuery:
+                       state_partitions: int | None = None, ttl_ms: int | None = None,
+                       slots: int = SLOTS) -> StreamingQuery:
     """All statistics of the reference's stream over blacklist-filtered
-    clicks, in one ``foreachBatch`` per micro-batch (its five outputs):
-
-    * the blacklist is read as of the previous batch and listed users'
-      clicks are dropped (the reference's per-batch ``transform``);
-    * the blacklist loop runs on the remaining clicks;
-    * running totals per (day, province, city, ad) and per (minute, ad) are
-      additive change logs: the filter must see the newest blacklist, which a
-      state-store aggregation upstream of ``foreachBatch`` cannot;
-    * the top ``top_n`` ads of every touched (day, province) are ranked over
-      the stored totals and replace that group.
-
-    Every write overwrites the batch's own directory and every read is
-    bounded by the batch id, so a replayed batch reproduces its output."""
-    return _start(lines.select("value"), filtered_sink(spark, out, threshold, top_n, compact_every),
-                  checkpoint, "append", trigger or {"processingTime": "5 seconds"})
-
-
-def filtered_sink(spark: SparkSession, out: str, threshold: int = 100, top_n: int = 3,
-                  compact_every: int = 100) -> Callable[[DataFrame, int], None]:
-    """The ``foreachBatch`` function of ``filtered_ad_stream`` (log lines in)."""
-    daily = user_daily_table(spark, out, compact_every)
-    black = blacklist_table(spark, out, compact_every)
-    tables = filtered_tables(spark, out, compact_every)
-    stat, top, trend = tables["ad_stat"], tables["province_top"], tables["click_trend"]
-    rejects = reject_table(spark, out, compact_every)
-
-    def sink(batch: DataFrame, batch_id: int) -> None:
-        listed = black.current(before=batch_id)
-        allowed = parse_ad_log(batch).join(listed, "userid", "left_anti").persist()
-        days = touched_days(allowed)
-        _blacklist_step(allowed, batch_id, listed, daily, black, threshold, days)
-        stat.write(D.ad_stat(allowed), batch_id)
-        touched = allowed.select("date", "province").distinct()
-        stored = stat.current(upto=batch_id, only=days).join(touched, ["date", "province"], "left_semi")
-        top.write(D.ad_province_top(stored, top_n), batch_id)
-        trend.write(D.ad_click_trend(allowed), batch_id)
-        rejects.write(rejected_lines(batch), batch_id)
-        allowed.unpersist()
-
-    return sink
+    clicks, in one pass per micro-batch: the operator of ``blacklist_stream``
+    lets the clicks through that no earlier batch's list stops, and a second
+    one, by (day, province) and by (day, ad), keeps the running totals
+    per (day, province, city, ad), the per-minute trend and each (day,
+    province)'s ``top_n`` ads.  Nothing is read back from the five tables
+    (``ad_stat``, ``province_top``, ``click_trend``, ``blacklist``, ``rejects``)
+    but the days that a batch rewrites."""
+    rows = _totals(_by_user(lines, threshold, False, ttl_ms, slots), top_n, slots).unionByName(_rejects(lines))
+    return _start(rows, _write(out), checkpoint, "append", trigger, state_partitions)
 
 
 # --- replay of a log table as an ordered sequence of arrivals ----------------

@@ -52,9 +52,9 @@ def test_ad_statistics_job_on_text_source(spark):
                            trigger={"availableNow": True})
     q.awaitTermination()
     # one micro-batch over everything: the blacklist filters nothing yet
-    got = R.filtered_tables(spark, out)["ad_stat"].current()
+    got = R.result(spark, out, "ad_stat")
     assert rows(got) == rows(E.queries()["stream_ad_stat"](spark, SF_SMALL))
-    assert rows(R.blacklist_table(spark, out).current()) == rows(E.queries()["ad_blacklist"](spark, SF_SMALL))
+    assert rows(R.result(spark, out, "blacklist")) == rows(E.queries()["ad_blacklist"](spark, SF_SMALL))
 
 
 def test_session_statistics_job_ranks_the_filtered_sessions(spark):

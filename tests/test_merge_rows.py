@@ -1,15 +1,13 @@
-"""Keyed merges, the change log and the event-exact blacklist."""
+"""Keyed merges and the event-exact blacklist."""
 
-import pytest
-from pyspark.errors import AnalysisException
 
 from shopflow.operators import ads as D
 from shopflow.operators import merge as M
 from shopflow.operators.sinks import append_result, read_back
 from shopflow.session import scratch_dir
-from shopflow.streaming.changelog import ChangeLog
 
 KV = "k string, v bigint"
+CLICKS = "ts_ms bigint, date string, userid bigint, adid bigint"
 
 
 def rows(df, *cols):
@@ -42,35 +40,6 @@ def test_lookup_defaults_to_zero(spark):
     assert rows(M.lookup_by_key(batch, stored, ["k"], "v", "stored"), "k", "stored") == [("a", 4), ("z", 0)]
 
 
-def test_changelog_replay_is_idempotent(spark):
-    log = ChangeLog(spark, scratch_dir(spark, "test-log"), KV, "summed", ["k"], ["v"], compact_every=100)
-    log.write(spark.createDataFrame([("a", 1)], KV), 0)
-    log.write(spark.createDataFrame([("a", 2), ("b", 1)], KV), 1)
-    log.write(spark.createDataFrame([("a", 2), ("b", 1)], KV), 1)  # replayed batch
-    assert rows(log.current(), "k", "v") == [("a", 3), ("b", 1)]
-    assert rows(log.current(upto=0), "k", "v") == [("a", 1)]
-    assert rows(log.current(before=0), "k", "v") == []
-
-
-def test_changelog_compaction_keeps_every_fold(spark):
-    path = scratch_dir(spark, "test-compact")
-    batches = [[("a", 1)], [("a", 2), ("b", 1)], [("c", 5)], [("a", 7)], [("b", 3)]]
-    kinds = {"summed": ("v",), "latest": ("v",), "distinct": (), "groups": ()}
-    for kind, values in kinds.items():
-        small = ChangeLog(spark, f"{path}/{kind}-2", KV, kind, ["k"], values, compact_every=2)
-        big = ChangeLog(spark, f"{path}/{kind}-100", KV, kind, ["k"], values, compact_every=100)
-        for i, b in enumerate(batches):
-            for log in (small, big):
-                log.write(spark.createDataFrame(b, KV), i)
-            cols = ["k", *values] if kind != "groups" else ["k", "v"]
-            assert rows(small.current(upto=i), *cols) == rows(big.current(upto=i), *cols), (kind, i)
-    summed = ChangeLog(spark, f"{path}/summed-2", KV, "summed", ["k"], ["v"], compact_every=2)
-    assert rows(summed.current(), "k", "v") == [("a", 10), ("b", 4), ("c", 5)]
-
-
-CLICKS = "ts_ms bigint, date string, userid bigint, adid bigint"
-
-
 def test_event_exact_blacklist_keeps_clicks_until_listed(spark):
     clicks = spark.createDataFrame(
         [(1, "d", 1, 1), (2, "d", 1, 1), (3, "d", 1, 1), (4, "d", 1, 2), (5, "e", 1, 1),
@@ -81,62 +50,6 @@ def test_event_exact_blacklist_keeps_clicks_until_listed(spark):
     assert rows(D.ad_blacklist(clicks, threshold=2), "userid") == [(1,)]
 
 
-def test_changelog_reads_prune_days(spark):
-    schema = "date string, k string, v bigint"
-    path = scratch_dir(spark, "test-days")
-    log = ChangeLog(spark, path, schema, "summed", ["date", "k"], ["v"], compact_every=2, partition_by="date")
-    log.write(spark.createDataFrame([("d1", "a", 1), ("d2", "a", 2)], schema), 0)
-    log.write(spark.createDataFrame([("d2", "a", 3)], schema), 1)   # snapshot at 1, by day
-    log.write(spark.createDataFrame([("d3", "b", 4)], schema), 2)
-    assert rows(log.current(), "date", "k", "v") == [("d1", "a", 1), ("d2", "a", 5), ("d3", "b", 4)]
-    assert rows(log.current(upto=2, only=["d2"]), "date", "k", "v") == [("d2", "a", 5)]
-    # only the wanted day's snapshot is opened
-    assert {f.split("/_snap/")[1].split("/part-")[0] for f in log.log(2, ["d2"]).inputFiles() if "/_snap/" in f} == {"at=1/date=d2"}
-    log.write(spark.createDataFrame([("d2", "a", 1)], schema), 3)   # snapshot at 3: d1 had no new rows
-    log.write(spark.createDataFrame([("d3", "b", 1)], schema), 4)
-    opened = sorted({f.split("/_snap/")[1].split("/part-")[0] for f in log.log(4).inputFiles() if "/_snap/" in f})
-    assert opened == ["at=1/date=d1", "at=3/date=d2", "at=3/date=d3"]
-    assert rows(log.current(), "date", "k", "v") == [("d1", "a", 1), ("d2", "a", 6), ("d3", "b", 5)]
-
-
-def test_changelog_refuses_another_epoch_length(spark):
-    path = scratch_dir(spark, "test-reopen")
-    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=4)
-    for i in range(6):
-        log.write(spark.createDataFrame([("a", 1)], KV), i)
-    other = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=3)
-    with pytest.raises(ValueError):
-        other.write(spark.createDataFrame([("a", 1)], KV), 6)
-    with pytest.raises(ValueError):
-        other.current()
-    again = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=4)
-    again.write(spark.createDataFrame([("a", 1)], KV), 6)
-    assert rows(again.current(), "k", "v") == [("a", 7)]
-
-
-def test_changelog_fails_on_a_missing_snapshot(spark):
-    path = scratch_dir(spark, "test-missing")
-    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
-    for i in (0, 1, 2):
-        log.write(spark.createDataFrame([("a", 1)], KV), i)
-    elsewhere = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
-    elsewhere._index = lambda epoch: {"": 99}
-    with pytest.raises(AnalysisException):
-        elsewhere.current(upto=2).collect()
-    with pytest.raises(AnalysisException):
-        log.current(upto=6).collect()  # no such epoch
-
-
-def test_changelog_append_keeps_all_rows_without_rewriting(spark):
-    path = scratch_dir(spark, "test-append")
-    log = ChangeLog(spark, path, KV, "append", (), (), compact_every=2)
-    for i in range(5):
-        log.write(spark.createDataFrame([("a", i)], KV), i)
-    assert rows(log.current(), "k", "v") == [("a", i) for i in range(5)]
-    assert rows(log.current(upto=1), "k", "v") == [("a", 0), ("a", 1)]
-    assert not any("/_snap/" in f for f in log.log(4).inputFiles())
-
-
 def test_append_distinct_keeps_all_columns(spark):
     a = spark.createDataFrame([(1, "old")], "userid bigint, note string")
     b = spark.createDataFrame([(1, "new"), (2, "z"), (2, "y")], "userid bigint, note string")
@@ -148,18 +61,3 @@ def test_rerun_of_a_task_replaces_its_rows(spark):
     for task, v in (("007", 1), ("b", 2), ("007", 3)):
         append_result(spark.createDataFrame([("a", v)], KV), path, task)
     assert rows(read_back(spark, path), "k", "v", "task_id") == [("a", 2, "b"), ("a", 3, "007")]
-
-
-def test_changelog_retired_paths_are_never_read(spark):
-    path = scratch_dir(spark, "test-retire")
-    log = ChangeLog(spark, path, KV, "summed", ["k"], ["v"], compact_every=2)
-    for i in range(7):
-        log.write(spark.createDataFrame([("a", 1)], KV), i)
-    retired = log.retired_paths(6)
-    assert retired == [f"{path}/epoch=0", f"{path}/epoch=1", f"{path}/epoch=2",
-                       f"{path}/_snap/at=1", f"{path}/_snap/at=3"]
-    # the bounded read uses only the newest snapshot and the current epoch
-    files = log.log(6).inputFiles()
-    assert files and all("/_snap/at=5/" in f or "/epoch=3/" in f for f in files)
-    assert not any(r.rsplit("/", 1)[-1] in f.split(path)[-1].split("/")[1:3] for f in files for r in retired)
-    assert rows(log.current(upto=6), "k", "v") == [("a", 7)]

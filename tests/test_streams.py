@@ -22,31 +22,115 @@ def _arrivals(spark, n):
             .select("value") for i in range(n)]
 
 
-def test_replayed_batch_changes_nothing(spark):
-    parts = _arrivals(spark, 3)
-    once, twice = scratch_dir(spark, "once"), scratch_dir(spark, "twice")
-    a = R.filtered_sink(spark, once, threshold=1, compact_every=2)
-    b = R.filtered_sink(spark, twice, threshold=1, compact_every=2)
-    for i, p in enumerate(parts):
-        a(p, i)
-    for i, p in enumerate(parts):
-        b(p, i)
-        b(p, i)  # retried after a failure: same batch id, same data
-    for name in ("ad_stat", "province_top", "click_trend"):
-        assert rows(R.filtered_tables(spark, once, 2)[name].current()) == \
-            rows(R.filtered_tables(spark, twice, 2)[name].current()), name
-    assert rows(R.blacklist_table(spark, once, 2).current()) == rows(R.blacklist_table(spark, twice, 2).current())
+AVAILABLE = {"availableNow": True}
+
+
+def _filtered(spark, src, out, ckpt, threshold=1, **kw):
+    R.run_available(lambda: R.filtered_ad_stream(spark, R.read_lines(spark, src), out, ckpt, threshold,
+                                                 trigger=AVAILABLE, state_partitions=2, slots=4, **kw))
+
+
+def test_a_batch_written_again_changes_nothing(spark):
+    # rows of a batch are absolute: the sink run again, as after a failure
+    out = scratch_dir(spark, "again")
+    sink = R._write(out)
+    stat = lambda n: ("stat", "20240101", "P", "C", 3, n)
+    batches = [[stat(2), ("top", "20240101", "P", None, 3, 2), ("black", "", "7", None, None, None), ("reject", "", "bad time", "x", None, None)],
+               [stat(5), ("stat", "20240102", "P", "C", 3, 1), ("top", "20240101", "P", None, 4, 9), ("trend", "20240101", "3", "", 723, 4)]]
+    for i, rows_ in enumerate(batches):
+        for _ in range(2):
+            sink(spark.createDataFrame(rows_, R.OUT_SCHEMA), i)
+    assert rows(R.result(spark, out, "ad_stat")) == [("20240101", "P", "C", 3, 5), ("20240102", "P", "C", 3, 1)]
+    assert rows(R.result(spark, out, "province_top")) == [("20240101", "P", 4, 9)]
+    assert rows(R.result(spark, out, "click_trend")) == [("20240101", "12", "03", 3, 4)]
+    assert rows(R.result(spark, out, "blacklist")) == [(7,)]
+    assert rows(R.result(spark, out, "rejects")) == [("x", "bad time")]
 
 
 def test_blacklist_set_does_not_depend_on_batch_split(spark):
     results = []
-    for n in (1, 2, 5):
-        out = scratch_dir(spark, f"split{n}")
-        sink = R.blacklist_sink(spark, out, threshold=1)
-        for i, p in enumerate(_arrivals(spark, n)):
-            sink(p, i)
-        results.append(rows(R.blacklist_table(spark, out).current()))
-    assert results[0] == results[1] == results[2] and len(results[0]) > 0
+    for n in (1, 4):
+        root = scratch_dir(spark, f"split{n}")
+        for p in _arrivals(spark, n):
+            p.write.mode("append").text(f"{root}/feed")
+            R.run_available(lambda: R.blacklist_stream(spark, R.read_lines(spark, f"{root}/feed"), f"{root}/out", f"{root}/ckpt", 1,
+                                                       trigger=AVAILABLE, state_partitions=2, slots=4))
+        results.append(rows(R.result(spark, f"{root}/out", "blacklist")))
+    assert results[0] == results[1] and len(results[0]) > 0
+
+
+def test_a_listed_user_is_filtered_from_the_next_batch_on(spark):
+    root = scratch_dir(spark, "loop")
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 30)
+    batches = [[_line(t0)] * 2 + [_line(t0, user=2)], [_line(t0), _line(t0, user=2)], [_line(t0), _line(t0, user=3)]]
+    want = [3, 4, 5]  # user 1 is listed by the first batch (2 > 1), user 2 by the second
+    for lines, n in zip(batches, want):
+        _write(spark, f"{root}/feed", lines)
+        _filtered(spark, f"{root}/feed", f"{root}/out", f"{root}/ckpt")
+        assert [r.click_count for r in R.result(spark, f"{root}/out", "ad_stat").collect()] == [n]
+    assert rows(R.result(spark, f"{root}/out", "blacklist")) == [(1,), (2,)]
+    assert [r.click_count for r in R.result(spark, f"{root}/out", "click_trend").collect()] == [5]
+
+
+def test_top_ads_change_only_with_their_group(spark):
+    root = scratch_dir(spark, "tops")
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 30)
+    for lines in ([_line(t0, ad=a) for a in (1, 1, 2, 2, 3, 4)], [_line(t0, ad=4)] * 2, [_line(t0 + dt.timedelta(days=1), ad=9)]):
+        _write(spark, f"{root}/feed", lines)
+        R.run_available(lambda: R.ad_stat_stream(spark, R.read_lines(spark, f"{root}/feed"), f"{root}/out", f"{root}/ckpt", 2,
+                                                 trigger=AVAILABLE, state_partitions=2, slots=4))
+    assert rows(R.result(spark, f"{root}/out", "province_top")) == [("20240101", "P", 1, 2), ("20240101", "P", 4, 3), ("20240102", "P", 9, 1)]
+
+
+def test_counts_of_a_stopped_query_are_read_from_its_checkpoint(spark):
+    from shopflow.operators import ads as D
+    from shopflow.sources.adlog import parse_ad_log
+    from shopflow.streaming.tables import totals_in_state
+    root = scratch_dir(spark, "state")
+    for p in _arrivals(spark, 2):
+        p.write.mode("append").text(f"{root}/feed")
+        R.run_available(lambda: R.ad_stat_stream(spark, R.read_lines(spark, f"{root}/feed"), f"{root}/out", f"{root}/ckpt",
+                                                 trigger=AVAILABLE, state_partitions=2, slots=4))
+    state = totals_in_state(spark, f"{root}/ckpt").select("date", F.col("g").alias("province"), F.col("a").alias("city"), F.col("item").alias("adid"), "click_count")
+    assert rows(state) == rows(D.ad_stat(parse_ad_log(X.ad_log(spark, SF_SMALL))))
+    meta = spark.read.format("state-metadata").load(f"{root}/ckpt").collect()
+    assert {r.operatorName for r in meta} == {"transformWithStateInPandasExec"} and {r.numPartitions for r in meta} == {2}
+
+
+def test_state_behind_the_lateness_is_dropped(spark):
+    root = scratch_dir(spark, "expire")
+    t0 = dt.datetime(2024, 1, 1, 12, 0, 30)
+    from shopflow.streaming.tables import totals_in_state
+    for lines in ([_line(t0)], [_line(t0 + dt.timedelta(days=5))], [_line(t0 + dt.timedelta(days=5))], [_line(t0)]):
+        _write(spark, f"{root}/feed", lines)
+        R.run_available(lambda: R.ad_stat_stream(spark, R.read_lines(spark, f"{root}/feed"), f"{root}/out", f"{root}/ckpt",
+                                                 lateness="1 day", trigger=AVAILABLE, state_partitions=2, slots=4))
+    assert {r.date for r in totals_in_state(spark, f"{root}/ckpt").collect()} == {"20240106"}
+    assert rows(R.result(spark, f"{root}/out", "ad_stat")) == [("20240101", "P", "C", 3, 1), ("20240106", "P", "C", 3, 2)]
+
+
+def test_sliding_totals_count_late_clicks_and_gaps():
+    import numpy as np
+    import pandas as pd
+
+    from shopflow.streaming.state import SlidingTotals
+
+    class Map(dict):
+        getValue, updateValue = dict.get, dict.__setitem__
+
+    rng = np.random.default_rng(2)
+    for window, slide in ((60, 1), (60, 15), (90, 7), (5, 1), (130, 10)):
+        p = SlidingTotals(window, slide)
+        p.days = Map()
+        clicks, last = {}, {}
+        for _ in range(6):
+            minutes = np.concatenate([rng.integers(0, 400, 30), rng.integers(5000, 5100, 5)])
+            for m in minutes.tolist():
+                clicks[m] = clicks.get(m, 0) + 1
+            for f in p.handleInputRows((9,), iter([pd.DataFrame({"minute": minutes, "n": 1})]), None):
+                last.update(zip(f["start"].tolist(), f["click_count"].tolist()))
+        starts = {s for m in clicks for s in range(m - window + 1, m + 1) if s % slide == 0}
+        assert last == {s: sum(n for m, n in clicks.items() if s <= m < s + window) for s in starts}
 
 
 def _line(ts, user=1, ad=3):
@@ -73,7 +157,7 @@ def test_late_rows_count_and_a_restart_adds_nothing(spark):
                         _line(t0 + dt.timedelta(hours=3, seconds=1))])  # on time
     run()
     run()  # restart with no new input
-    got = {(r.hour, r.minute): r.click_count for r in R.trend_table(spark, out).current().collect()}
+    got = {(r.hour, r.minute): r.click_count for r in R.result(spark, out, "click_trend").collect()}
     assert got == {("12", "00"): 2, ("15", "00"): 2}
 
 
@@ -87,12 +171,12 @@ def test_out_of_order_arrivals_equal_the_batch_forms(spark):
         parts[i].write.mode("append").text(src)
         lines = R.read_lines(spark, src)
         R.run_available(lambda: R.ad_stat_stream(spark, lines, f"{out}/a", f"{root}/c1", trigger={"availableNow": True},
-                                                 state_partitions=2, compact_every=2))
+                                                 state_partitions=2))
         R.run_available(lambda: R.hourly_sliding_stream(spark, lines, f"{out}/b", f"{root}/c2", trigger={"availableNow": True},
-                                                        compact_every=2))
+                                                        state_partitions=2))
     clicks = parse_ad_log(X.ad_log(spark, SF_SMALL))
-    assert rows(R.stat_table(spark, f"{out}/a", 2).current()) == rows(D.ad_stat(clicks))
-    assert rows(R.sliding_table(spark, f"{out}/b", 2).current().drop("date")) == rows(D.ad_hourly_sliding(clicks))
+    assert rows(R.result(spark, f"{out}/a", "ad_stat")) == rows(D.ad_stat(clicks))
+    assert rows(R.result(spark, f"{out}/b", "hourly_sliding").drop("date")) == rows(D.ad_hourly_sliding(clicks))
 
 
 def test_a_bad_line_is_kept_as_a_reject_and_stops_nothing(spark):
@@ -104,10 +188,10 @@ def test_a_bad_line_is_kept_as_a_reject_and_stops_nothing(spark):
     bad = ["oops P C 1 2", "1 2 3", f"{ms} New York C 1 2", f"{ms} P C x 2", ""]
     _write(spark, src, [good, *bad, _line(t0 + dt.timedelta(seconds=1))])
     R.run_available(lambda: R.filtered_ad_stream(spark, R.read_lines(spark, src), out, ckpt, trigger={"availableNow": True}))
-    assert [r.click_count for r in R.filtered_tables(spark, out)["ad_stat"].current().collect()] == [2]
-    assert sorted(r.value for r in R.reject_table(spark, out).current().collect()) == sorted(bad)
+    assert [r.click_count for r in R.result(spark, out, "ad_stat").collect()] == [2]
+    assert sorted(r.value for r in R.result(spark, out, "rejects").collect()) == sorted(bad)
     R.run_available(lambda: R.reject_stream(spark, R.read_lines(spark, src), f"{out}/2", f"{root}/ckpt2", trigger={"availableNow": True}))
-    assert R.reject_table(spark, f"{out}/2").current().count() == len(bad)
+    assert R.result(spark, f"{out}/2", "rejects").count() == len(bad)
 
 
 def test_scratch_needs_a_shared_folder_off_a_local_master():
@@ -143,7 +227,7 @@ def test_stream_day_keys_are_utc_whatever_the_session_zone(spark):
         _write(spark, src, [_line(dt.datetime(2024, 1, 2, 1, 30))])  # 01:30 UTC = previous day in New York
         R.run_available(lambda: R.click_trend_stream(spark, R.read_lines(spark, src), out, ckpt,
                                                      trigger={"availableNow": True}, state_partitions=2))
-        r = R.trend_table(spark, out).current().first()
+        r = R.result(spark, out, "click_trend").first()
         assert (r.date, r.hour, r.minute) == ("20240102", "01", "30")
     finally:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
