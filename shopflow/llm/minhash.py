@@ -18,6 +18,7 @@ import hashlib
 
 import numpy as np
 import pyarrow as pa
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -117,19 +118,16 @@ def _fingerprints(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataF
                 full = [s for s in sets if len(s)]
                 keys = iter(band_keys(full, bands, rows)) if full else iter(())
                 yield pa.RecordBatch.from_arrays([
-                    part.column(0), part.column(2),
+                    part.column(0), *part.columns[2:],
                     pa.array([len(s) for s in sets], type=pa.int64()),
                     pa.array([hashlib.md5(s.tobytes()).digest() if len(s) else None for s in sets], type=pa.binary()),
                     pa.array([next(keys) if len(s) else None for s in sets], type=pa.list_(pa.int64())),
-                ], names=["doc_id", "row", "n_shingles", "digest", "keys"])
+                ], names=["doc_id", *carried, "n_shingles", "digest", "keys"])
 
-    return docs.select("doc_id", "text", _row_digest().alias("row")).mapInArrow(
-        run, "doc_id long, row string, n_shingles long, digest binary, keys array<long>")
-
-
-def _row_digest():
-    """Digest of the text; with doc_id it names a row, up to equal ones."""
-    return F.coalesce(F.md5(F.col("text").cast("binary")), F.lit(""))
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
+    kinds = dict(docs.dtypes)
+    return docs.select("doc_id", "text", *carried).mapInArrow(
+        run, "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in carried) + "n_shingles long, digest binary, keys array<long>")
 
 
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
@@ -242,14 +240,16 @@ def near_duplicates(docs: DataFrame, shingle: int = 5, percent: int = 80, bands:
     links like any other but names a component only where no id is known;
     kept is null there.  Rows that repeat a doc_id are rows of their own.
     With the default bands a pair at 0.8 is missed with a chance of 5e-6."""
-    return (_judged(docs, shingle, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
+    return (_judged(docs.select("doc_id", "text"), shingle, percent, bands, rows).select("doc_id", "n_shingles", "component_id")
             .withColumn("kept", F.col("doc_id") == F.col("component_id")))
 
 
 def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, rows: int = ROWS) -> DataFrame:
-    """(doc_id, row, n_shingles, component, component_id) per row of ``docs``:
-    component numbers the components, null for texts without words."""
-    docs = docs.select(F.col("doc_id").cast("long"), F.col("text"))
+    """(doc_id, n_shingles, component, component_id) per row of ``docs``
+    (doc_id, text) and what else it holds: component numbers the components,
+    null for texts without words."""
+    docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
+    carried = [c for c in docs.columns if c not in ("doc_id", "text")]
     prints = written(_fingerprints(docs, shingle, bands, rows), "prints")
     classes = written(prints.filter("n_shingles > 0").groupBy("digest")
                       .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
@@ -283,26 +283,44 @@ def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, row
               .select("digest", "rep", F.coalesce("component", "cid").alias("component")))
     lowest = joined.groupBy("component").agg(F.min("rep").alias("low"))
     of = joined.join(lowest, "component").select("digest", "component", F.col("low").alias("component_id"))
-    return (prints.select("doc_id", "row", "n_shingles", "digest").join(of, "digest", "left")
-            .select("doc_id", "row", "n_shingles", "component", F.when(F.col("n_shingles") > 0, F.col("component_id"))
+    return (prints.select("doc_id", *carried, "n_shingles", "digest").join(of, "digest", "left")
+            .select("doc_id", *carried, "n_shingles", "component", F.when(F.col("n_shingles") > 0, F.col("component_id"))
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 
+#: Up to so many rows (16 bytes each) go to every executor; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
+_PLACE = ("_shopflow_file", "_shopflow_row")
+
+
+def _placed(docs: DataFrame) -> DataFrame:
+    """``docs`` with each row's place in its files, which names it whenever the
+    files are read; a frame that is no plain file scan is stored first."""
+    def place(df):
+        return df.select("*", F.xxhash64("_metadata.file_path").alias(_PLACE[0]), F.col("_metadata.row_index").alias(_PLACE[1]))
+
+    try:
+        return place(docs)
+    except AnalysisException:
+        return place(written(docs, "documents"))
+
+
 def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     """``docs`` with exactly one row of each group of near-duplicates, with all
-    its columns: the one with the smallest doc_id (a row without an id only
-    where no id is known), of rows that repeat this id the one with the
-    smallest text digest, of equal rows any.  Rows without words all stay."""
-    same = written(_judged(docs.select(F.col("doc_id").cast("long"), "text"), shingle, percent).filter("n_shingles > 0")
-                   .groupBy("component", "doc_id", "row").agg(F.count("*").alias("c")), "groups")
-    first = same.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row")).alias("first"))
-    marked = written(same.join(first, "component")
-                     .withColumn("gone", ~(F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("row") == F.col("first.row"))))
-                     .filter("gone or c > 1").select(F.col("doc_id").alias("_id"), F.col("row").alias("_of"), "gone"), "marked")
-    is_row = F.col("doc_id").cast("long").eqNullSafe(F.col("_id")) & (F.col("_row") == F.col("_of"))
-    keyed = docs.withColumn("_row", _row_digest())
-    kept = keyed.join(marked, is_row, "left_anti").select(*docs.columns)
-    again = marked.filter(~F.col("gone"))
-    if again.isEmpty():
-        return kept
-    return kept.unionByName(keyed.join(again, is_row, "left_semi").dropDuplicates(["doc_id", "_row"]).select(*docs.columns))
+    its columns, whatever their names: the one with the smallest doc_id (a row
+    without an id only where no id is known), of rows that repeat this id the
+    one with the smallest text digest, of equal rows any.  Rows without words
+    all stay; texts of any length are compared whole; an empty table stays one.
+
+    Rows are told apart by their place in the stored files: only places, no
+    texts, travel to decide which rows go."""
+    placed = _placed(docs)
+    narrow = placed.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("tie"),
+                           F.col(_PLACE[0]).alias("f"), F.col(_PLACE[1]).alias("i"))
+    same = written(_judged(narrow, shingle, percent).filter("n_shingles > 0")
+                   .select("component", F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "tie", "f", "i").alias("at")), "groups")
+    first = same.groupBy("component").agg(F.min("at").alias("first"))
+    gone = written(same.join(first, "component").filter("at <> first")
+                   .select(F.col("at.f").alias(_PLACE[0]), F.col("at.i").alias(_PLACE[1])), "gone")
+    small = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+    return placed.join(F.broadcast(gone) if small else gone, list(_PLACE), "left_anti").select(*docs.columns)
