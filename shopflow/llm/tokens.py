@@ -17,7 +17,7 @@ _CUT = re.compile(f"(?<=[^{_WS}])(?=[{_WS}])")
 # White space but blanks and line ends.
 _OTHER = re.compile(f"[{_WS.replace(' ', '').replace(chr(10), '')}]")
 _SIGNS = b".,;:!?)"
-_SLICE, _GROUP = 1 << 20, 1 << 22
+_SLICE, _GROUP = 1 << 20, 1 << 20
 _LONG = 64
 
 _LOADED: dict[str, "ChunkTokenizer"] = {}
