@@ -28,7 +28,8 @@ from shopflow.llm.common import written
 from shopflow.llm.minhash import WordHash, shingle_set
 
 SAMPLE_ROWS = 20_000
-MAX_ENTRIES = 2_000
+SAME_PERCENT = 80
+FOLDS = 4
 MIN_WEIGHT = 3.0
 MIN_SHARE = 0.01
 THRESHOLD = 0.3
@@ -134,7 +135,7 @@ def _lexicon(counts: DataFrame) -> dict[str, float]:
     weight = (F.log((F.col("toxic") + 0.5) / (n_bad + 1)) - F.log((F.col("clean") + 0.5) / (n_good + 1)))
     rows = (counts.filter("term <> ''").withColumn("weight", weight)
             .filter((F.col("toxic") >= max(5, MIN_SHARE * n_bad)) & (F.col("weight") >= MIN_WEIGHT))
-            .orderBy(F.desc(F.col("toxic") * F.col("weight")), "term").limit(MAX_ENTRIES).collect())
+            .collect())  # each in a share of the toxic rows of a bounded sample
     shown = {r["term"] for r in counts.filter(F.col("term").isin(list(seeds)) & (F.col("toxic") + F.col("clean") >= 5)).collect()}
     entries: dict[str, float] = {t: w for t, w in seeds.items() if t not in shown}
     taken: dict[str, tuple[int, float]] = {}
@@ -191,22 +192,25 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     """(entries, score per bin of the normalised weight) from at most
     ``sample_rows`` labelled rows outside the held-out quarter (crc32 of the
     doc_id as text, modulo 4, is 2).  Which rows: those of smallest hash of
-    the id.  Texts that share the smallest hash of their five-word runs, as
-    copies and most near copies do, count once, lest the chance words of a
-    much-copied text become entries.  Null ids and labels are ignored; of
-    conflicting labels toxic wins."""
+    the id.  Of copies and near copies (five-word runs, SAME_PERCENT, compared
+    on full sets) with the same label one row counts, with its own text, lest
+    the chance words of a much-copied text become entries.  Null ids and
+    labels are ignored; of conflicting labels of one id toxic wins.  The weights
+    come from all of them; they are graded in FOLDS parts, by hash of the id,
+    each under the weights that the other parts give."""
     ids = (labels.filter(F.col("doc_id").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col("doc_id")))
            .groupBy("doc_id").agg(F.max("toxic").alias("toxic"))
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     labelled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
         F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
-    sample = written(_with_lead(labelled).groupBy("lead")
-                     .agg(F.min_by("text", F.struct("doc_id", "text")).alias("text"), F.max("toxic").alias("toxic"))
-                     .select("text", "toxic"), "labelled")
-    entries = _lexicon(_counted(sample))
-    # graded on the rows that the weights come from; the entries are few against them
-    hist = (_scored(sample.withColumn("doc_id", F.lit(0).cast("long")), entries, None, keep=("toxic",))
-            .groupBy(F.least(F.floor(F.col("raw") / BIN), F.lit(BINS - 1)).alias("bin"), "toxic").count().collect())
+    distinct = written(_distinct(labelled), "labelled")
+    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(FOLDS))
+    entries = _lexicon(_counted(distinct.select("text", "toxic")))
+    hist = []
+    for k in range(FOLDS):
+        others = _lexicon(_counted(distinct.filter(part != k).select("text", "toxic")))
+        hist += (_scored(distinct.filter(part == k), others, None, keep=("toxic",))
+                 .groupBy(F.least(F.floor(F.col("raw") / BIN), F.lit(BINS - 1)).alias("bin"), "toxic").count().collect())
     good, bad = np.zeros(BINS), np.zeros(BINS)
     for r in hist:
         (bad if r["toxic"] else good)[int(r["bin"])] += r["count"]
@@ -217,17 +221,44 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     return entries, np.clip(0.98 * share + 0.02 * (1 - np.exp(-BIN * np.arange(BINS))), 0.0, 1.0)
 
 
-def _with_lead(sample: DataFrame) -> DataFrame:
-    """(doc_id, text, toxic) and ``lead``, the smallest hash among the
-    five-word runs of the text (null without words)."""
-    def run(batches):
+def _distinct(labelled: DataFrame) -> DataFrame:
+    """(doc_id, text, toxic) without near copies that carry the same label.
+
+    Rows are grouped by label and the smallest hash of their five-word runs
+    under two orders, which near copies mostly share; in a group a row goes if
+    its full set is near that of a row kept before it.  Groups are parts of
+    the bounded sample."""
+    def lead(batches):
         known = WordHash()
         for batch in batches:
             sets = [shingle_set(t.as_py(), 5, known) for t in batch.column(1)]
-            lead = pa.array([int(s[0]) >> 1 if len(s) else None for s in sets], type=pa.int64())
-            yield pa.RecordBatch.from_arrays([*batch.columns, lead], names=["doc_id", "text", "toxic", "lead"])
+            of = [[int(s[0]) >> 1, int((s * np.uint64(0x9E3779B97F4A7C15)).min()) >> 1] if len(s) else None for s in sets]
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(of, type=pa.list_(pa.int64()))], names=["doc_id", "text", "toxic", "lead"])
 
-    return sample.mapInArrow(run, "doc_id long, text string, toxic int, lead long")
+    def keep(batches):
+        known = WordHash()
+        group, kept = None, []
+        for batch in batches:
+            stays = []
+            for text, toxic, of in zip(batch.column(1), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                mine = shingle_set(text.as_py(), 5, known)
+                if (toxic, of) != group:
+                    group, kept = (toxic, of), []
+                near = False
+                for other in kept:
+                    if 100 * min(len(mine), len(other)) >= SAME_PERCENT * max(len(mine), len(other)):
+                        both = len(np.intersect1d(mine, other, assume_unique=True))
+                        if 100 * both >= SAME_PERCENT * (len(mine) + len(other) - both):
+                            near = True
+                            break
+                if not near:
+                    kept.append(mine)
+                stays.append(not near)
+            yield batch.select([0, 1, 2]).filter(pa.array(stays, type=pa.bool_()))
+
+    return (labelled.mapInArrow(lead, "doc_id long, text string, toxic int, lead array<long>")
+            .repartition("toxic", "lead").sortWithinPartitions("toxic", "lead", "doc_id", "text")
+            .mapInArrow(keep, "doc_id long, text string, toxic int"))
 
 
 def held_out(doc_id):

@@ -1,6 +1,9 @@
 """Toxicity, licences, decontamination, MinHash: brute force on whole small
 tables, and nulls, empty and long texts, ties, repeats, clashing columns."""
 
+import math
+import random
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -226,3 +229,35 @@ def test_query_equals_its_sql(spark, key):
     got = QUERIES[key](spark, SF)
     assert sorted(got.columns) == names
     assert sorted(repr(tuple(r)) for r in got.select(*names).collect()) == rows
+
+
+def test_a_shared_paragraph_does_not_mix_labels(spark):
+    rng = random.Random(9)
+    word = lambda: "".join(rng.choice("bcdfghkmnprt") + rng.choice("aeiou") for _ in range(3))
+    shared = " ".join(word() for _ in range(60))
+    rows = [(i, f"{shared} {'zorblax ' if i % 2 else ''}{' '.join(word() for _ in range(80))}") for i in range(400)]
+    copies = [(1000 + i, rows[1][1] + " end") for i in range(50)]  # near copies of one toxic text
+    docs = docs_of(spark, rows + copies)
+    labels = spark.createDataFrame([(i, i % 2 if i < 1000 else 1) for i, _ in rows + copies], "doc_id long, toxic int")
+    kept = {r["doc_id"]: r for r in toxicity._distinct(docs.join(labels, "doc_id").select("doc_id", "text", F.col("toxic").cast("int"))).collect()}
+    assert {i for i, _ in rows} <= set(kept) and len(kept) <= len(rows) + 1  # rows that share a paragraph all stay, near copies do not
+    assert all(("zorblax" in r["text"]) == bool(r["toxic"]) for r in kept.values())
+    entries, _ = model = toxicity.learn(docs, labels)
+    assert any("zorblax".startswith(t.strip()) for t in entries)
+    out = {r["doc_id"]: r["predicted"] for r in toxicity.score(docs, model).collect()}
+    assert all(out[i] == i % 2 for i, _ in rows)
+
+
+def test_scores_equal_a_plain_scorer(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    entries, scale = model = toxicity.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    harmless = [f" {' '.join(toxicity.fold(p).split())} " for p in toxicity.EXCEPTIONS]
+    text_of = {r["doc_id"]: r["text"] for r in docs.limit(150).collect()}
+    for r in toxicity.score(docs.filter(F.col("doc_id").isin(list(text_of))), model).collect():
+        words = toxicity.fold(text_of[r["doc_id"]]).split()
+        line = f" {' '.join(words)} "
+        spans = [(k, k + len(p)) for p in harmless for k in range(len(line)) if line.startswith(p, k)]
+        total = sum(w for t, w in entries.items() for k in range(len(line)) if line.startswith(t, k)
+                    and not any(a <= k and k + len(t) <= b for a, b in spans))
+        want = scale[min(int(total / (1 + math.log10(1 + len(words))) / toxicity.BIN + 1e-12), toxicity.BINS - 1)]
+        assert abs(r["score"] - want) < 0.02, r
