@@ -83,18 +83,38 @@ def ad_recent_hour(clicks: DataFrame, minutes: int = 60) -> DataFrame:
 
 def ad_hourly_sliding(clicks: DataFrame, window_minutes: int = 60, slide_minutes: int = 1) -> DataFrame:
     """Clicks per ad in every ``window_minutes`` window sliding by
-    ``slide_minutes`` (event time).
-
-    Clicks are first counted per (minute, ad); only those counts are
-    expanded into the windows that contain the minute.  Windows start and end
-    on whole minutes, so a click and its minute fall in the same windows:
-    the result is exact, and the expansion multiplies (minute, ad) rows
-    instead of clicks."""
-    minute_ts = F.timestamp_millis(F.col("ts_ms") - F.pmod(F.col("ts_ms"), F.lit(MINUTE_MS)))
-    per_minute = (clicks.groupBy(minute_ts.alias("m"), "adid")
-                  .agg(F.count(F.lit(1)).alias("n")))
-    win = F.window("m", f"{window_minutes} minutes", f"{slide_minutes} minutes")
-    return (per_minute.groupBy(win.alias("w"), "adid").agg(F.sum("n").cast("bigint").alias("click_count"))
-            .select(F.date_format("w.start", "yyyy-MM-dd HH:mm:ss").alias("window_start"),
-                    F.date_format("w.end", "yyyy-MM-dd HH:mm:ss").alias("window_end"),
-                    "adid", "click_count"))
+    ``slide_minutes`` (event time), windows without clicks left out.
+
+    A sweep over window starts instead of a copy of each count per window: the
+    clicks of a minute enter at the first window that holds it and leave after
+    the last, so a (minute, ad) makes two events.  Running sums go by ad and
+    day, with the sum of the earlier days carried in; an interval that crosses
+    into another day gets an empty event there.  Only the result is expanded
+    into a row per window."""
+    step, span = slide_minutes, slide_minutes * -(-1440 // slide_minutes)  # a day, rounded up to whole steps
+    per_minute = (clicks.groupBy("adid", F.floor(F.col("ts_ms") / MINUTE_MS).cast("bigint").alias("m"))
+                  .agg(F.count(F.lit(1)).alias("n"))
+                  .withColumn("first", (F.ceil((F.col("m") - window_minutes + 1) / step) * step).cast("bigint"))
+                  .withColumn("after", ((F.floor(F.col("m") / step) + 1) * step).cast("bigint"))
+                  .where(F.col("first") < F.col("after")))
+    day_of = lambda c: F.floor(c / span).cast("bigint")
+    crossed = F.when(day_of(F.col("after")) > day_of(F.col("first")),
+                     F.transform(F.sequence(day_of(F.col("first")) + 1, day_of(F.col("after"))),
+                                 lambda d: F.struct((d * span).alias("s"), F.lit(0).cast("bigint").alias("d"))))
+    events = F.concat(F.array(F.struct(F.col("first").alias("s"), F.col("n").alias("d")),
+                              F.struct(F.col("after").alias("s"), (-F.col("n")).alias("d"))),
+                      F.coalesce(crossed, F.array().cast("array<struct<s: bigint, d: bigint>>")))
+    swept = (per_minute.select("adid", F.inline(events)).groupBy("adid", day_of(F.col("s")).alias("day"), "s")
+             .agg(F.sum("d").alias("d")))
+    days = Window.partitionBy("adid").orderBy("day").rowsBetween(Window.unboundedPreceding, -1)
+    carried = (swept.groupBy("adid", "day").agg(F.sum("d").alias("d"))
+               .select("adid", "day", F.coalesce(F.sum("d").over(days), F.lit(0)).alias("carried")))
+    inside = Window.partitionBy("adid", "day").orderBy("s")
+    totals = (swept.withColumn("total", F.sum("d").over(inside))
+              .withColumn("until", F.coalesce(F.lead("s").over(inside), (F.col("day") + 1) * span))
+              .join(carried, ["adid", "day"])
+              .select("adid", "s", "until", (F.col("total") + F.col("carried")).cast("bigint").alias("click_count"))
+              .where("click_count > 0"))
+    text = lambda minute: F.timestamp_seconds(minute * 60).cast("string")
+    return (totals.select("adid", "click_count", F.explode(F.sequence("s", F.col("until") - step, F.lit(step).cast("bigint"))).alias("s"))
+            .select(text(F.col("s")).alias("window_start"), text(F.col("s") + window_minutes).alias("window_end"), "adid", "click_count"))

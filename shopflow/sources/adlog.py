@@ -8,27 +8,29 @@ from pyspark.sql import functions as F
 from shopflow.session import use_utc
 
 
-def _fields(value_col: str) -> tuple[Column, Column, Column, Column]:
-    """(fields, time, user and ad of a line); the numbers are null where the
-    text is none."""
-    parts = F.split(F.col(value_col).cast("string"), " ")
-    number = lambda i: F.get(parts, F.lit(i)).try_cast("bigint")
-    return parts, number(0), number(3), number(4)
+def _split(lines: DataFrame, value_col: str) -> DataFrame:
+    """(value, parts): every line split once.  The one-row explode keeps the
+    optimizer from copying the split into each use of its parts."""
+    value = F.col(value_col).cast("string")
+    return lines.select(value.alias("value"), F.explode(F.array(F.split(value, " "))).alias("parts"))
 
 
-def _reason(value_col: str) -> Column:
-    """Why a line is no click; null for a click."""
-    parts, ts_ms, userid, adid = _fields(value_col)
-    return (F.when(F.col(value_col).isNull(), "null line")
-            .when(F.size(parts) != 5, "not five fields")
-            .when(ts_ms.isNull(), "bad time")
-            .when(userid.isNull() | adid.isNull(), "bad user or ad"))
+def _number(i: int) -> Column:
+    """Field ``i`` as a number, null where the text is none."""
+    return F.get("parts", F.lit(i)).try_cast("bigint")
+
+
+def _reason() -> Column:
+    """Why a split line is no click; null for a click."""
+    return (F.when(F.col("value").isNull(), "null line")
+            .when(F.size("parts") != 5, "not five fields")
+            .when(_number(0).isNull(), "bad time")
+            .when(_number(3).isNull() | _number(4).isNull(), "bad user or ad"))
 
 
 def rejected_lines(lines: DataFrame, value_col: str = "value") -> DataFrame:
     """(value, reason) of the lines that ``parse_ad_log`` leaves out."""
-    return (lines.select(F.col(value_col).cast("string").alias("value"), _reason(value_col).alias("reason"))
-            .where(F.col("reason").isNotNull()))
+    return _split(lines, value_col).select("value", _reason().alias("reason")).where(F.col("reason").isNotNull())
 
 
 def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
@@ -39,10 +41,9 @@ def parse_ad_log(lines: DataFrame, value_col: str = "value") -> DataFrame:
     the statistics group by: ``date`` (yyyyMMdd), ``hour``, ``minute`` and
     ``minute_key`` (yyyyMMddHHmm).
     """
-    parts, ts_ms, userid, adid = _fields(value_col)
-    parsed = lines.where(_reason(value_col).isNull()).select(
-        ts_ms.alias("ts_ms"), F.get(parts, F.lit(1)).alias("province"), F.get(parts, F.lit(2)).alias("city"),
-        userid.alias("userid"), adid.alias("adid"))
+    parsed = _split(lines, value_col).where(_reason().isNull()).select(
+        _number(0).alias("ts_ms"), F.get("parts", F.lit(1)).alias("province"), F.get("parts", F.lit(2)).alias("city"),
+        _number(3).alias("userid"), _number(4).alias("adid"))
     ts = F.timestamp_millis("ts_ms")
     return parsed.select(
         "ts_ms", ts.alias("ts"),
