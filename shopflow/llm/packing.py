@@ -6,8 +6,9 @@ at most ``capacity`` numbers whatever the corpus, goes to the driver.  There
 the covering program  min sum x_p,  sum_p a_lp x_p >= n_l  over fill patterns
 p is solved by multiplicative weights: uncovered lengths gain price, a
 knapsack dynamic program over the capacity finds the patterns of most price,
-and each is raised by a small step.  Rounding takes patterns while their
-lengths last; a best-fit pass over the remaining counts fills what is left.
+and each is raised by a small step.  Rounding takes whole copies of a share of them; a
+best-fit pass over the remaining counts fills what is left, and the share that
+gives the fewest sequences is taken.
 The solution is a list of (pattern, copies) whose length depends on the
 capacity and the rounds only.  Pieces get their places by rank among the
 pieces of equal length, so all row work stays on the executors.
@@ -29,6 +30,7 @@ CAPACITY = 2048
 EPS = 0.3
 ROUNDS = 60
 NOISE = 1e-5
+SHARES = (1, 1 / 2, 1 / 4, 1 / 8, 0)
 
 
 def knapsack(prices: np.ndarray, capacity: int) -> tuple[np.ndarray, np.ndarray]:
@@ -132,19 +134,17 @@ def _best_fit(bins: list[tuple[tuple[int, ...], int]], left: np.ndarray, capacit
     return [group for at in space for group in at]
 
 
-def configurations(counts: np.ndarray, capacity: int, eps: float = EPS,
-                   rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
-    """[(pattern of lengths, copies)] holding every length ``counts`` times."""
-    x = fractional_patterns(counts, capacity, eps, rounds)
+def _rounded(x: dict[tuple[int, ...], float], counts: np.ndarray, capacity: int, share: float) -> list[tuple[tuple[int, ...], int]]:
+    """``share`` of the program's copies of the patterns that fill a sequence,
+    whole ones; at the full share then one more each while their lengths last.
+    Best fit places the rest."""
     left = counts.astype(np.int64).copy()
     bins: dict[tuple[int, ...], int] = {}
-    # patterns that fill a sequence, as often as the program wants them: whole
-    # times first, then what is left rounded up
-    for up in (False, True):
+    for up in (False, True) if share == 1 else (False,):
         for pattern in sorted(x, key=lambda p: (-sum(p), -x[p], p)):
             if capacity - sum(pattern) > 1:
                 continue
-            want = int(np.ceil(x[pattern])) if up else int(x[pattern])
+            want = int(np.ceil(x[pattern])) if up else int(share * x[pattern])
             if want <= 0:
                 continue
             ls, a = np.unique(pattern, return_counts=True)
@@ -155,6 +155,15 @@ def configurations(counts: np.ndarray, capacity: int, eps: float = EPS,
     return _best_fit(list(bins.items()), left, capacity)
 
 
+def configurations(counts: np.ndarray, capacity: int, eps: float = EPS,
+                   rounds: int = ROUNDS) -> list[tuple[tuple[int, ...], int]]:
+    """[(pattern of lengths, copies)] holding every length ``counts`` times:
+    the program's solution rounded at each of SHARES, of which the fewest
+    sequences win, at a tie those with most of the program in them."""
+    x = fractional_patterns(counts, capacity, eps, rounds)
+    return min((_rounded(x, counts, capacity, share) for share in SHARES), key=lambda bins: sum(n for _, n in bins))
+
+
 def pieces_of(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
               tokenizer_path: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 (and ``ids``,

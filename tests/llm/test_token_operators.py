@@ -430,3 +430,18 @@ def test_components_of_paths_stars_and_repeats(spark):
     got = {r["id"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {**{i: 0 for i in range(41)}, **{k: 100 for k in range(100, 140)}, 300: 300, 301: 300}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_packing_takes_no_more_sequences_than_best_fit_alone(spark):
+    texts = [t or "" for (t,) in table(spark, "documents", "text")]
+    lengths = [len(d) // 4 + 1 for d in chunk_tokenizer(default_tokenizer_path()).encode_many(texts)]
+    counts = np.bincount([n % 2048 for n in lengths if n % 2048], minlength=2048)[1:]
+    for times in (1, 5, 100):
+        found = packing.configurations(np.append(counts, 0) * times, 2048)
+        held = np.zeros(2048, dtype=np.int64)
+        for pattern, copies in found:
+            assert sum(pattern) <= 2048
+            np.add.at(held, np.array(pattern) - 1, copies)
+        assert (held == np.append(counts, 0) * times).all()
+        alone = packing._best_fit([], np.append(counts, 0) * times, 2048)
+        assert sum(n for _, n in found) <= sum(n for _, n in alone)
