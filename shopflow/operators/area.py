@@ -39,11 +39,16 @@ def area_product_counts(clicks: DataFrame) -> DataFrame:
 
 
 def area_product_info(counts: DataFrame, products: DataFrame) -> DataFrame:
-    """+ product name and status ('Self' when the JSON status is 0)."""
+    """+ product name and status: 'Self' when the document's top-level
+    ``product_status`` is the number 0 or the text "0", else 'Third Party'.
+    A missing or broken document, another type there (object, list, null), or a
+    status that stands deeper all give 'Third Party' and stop nothing; text
+    after the document is not read."""
+    info = F.try_parse_json("extend_info")
+    status = F.try_variant_get(info, "$.product_status", "string")
     p = products.select(
         F.col("product_id").alias("pid"), "product_name",
-        F.when(F.get_json_object("extend_info", "$.product_status") == "0", "Self")
-        .otherwise("Third Party").alias("product_status"))
+        F.when(status == "0", "Self").otherwise("Third Party").alias("product_status"))
     return counts.join(p, "pid").select(
         "area", "pid", "click_count", "city_infos", "product_name", "product_status")
 

@@ -63,3 +63,14 @@ def test_area_top_products_ties_levels_and_city_list(spark):
     got = sorted((r.area, r.pid, r.area_level, r.product_status) for r in top)
     # north: 10 and 11 tie on 2 clicks → lower pid wins
     assert got == [("north", 10, "A_Level", "Self"), ("south", 12, "D_Level", "Third Party")]
+
+
+def test_product_status_of_any_document(spark):
+    docs = {1: '{"product_status": 0}', 2: '{"product_status": "0"}', 3: '{"product_status": 1}', 4: None, 5: "", 6: "{broken",
+            7: '{"product_status": {"product_status": 0}}', 8: '{"product_status": [0]}', 9: '{"a": {"product_status": 0}}',
+            10: '{"product_status": null}', 11: "[0]", 12: '{"product_status": 0, "b": [1, {"c": 2}]}', 13: '{"product_status": 0} trailing',
+            14: '{"product_status": "00"}', 15: "0"}
+    products = spark.createDataFrame([(i, f"p{i}", d) for i, d in docs.items()], "product_id bigint, product_name string, extend_info string")
+    counts = spark.createDataFrame([("A", i, 1, "c") for i in docs], "area string, pid bigint, click_count bigint, city_infos string")
+    got = {r.pid: r.product_status for r in A.area_product_info(counts, products).collect()}
+    assert {i for i, s in got.items() if s == "Self"} == {1, 2, 12, 13} and set(got) == set(docs) and set(got.values()) == {"Self", "Third Party"}
