@@ -17,6 +17,7 @@ its block.
 
 from __future__ import annotations
 
+import gc
 import hashlib
 import re
 from array import array
@@ -32,7 +33,7 @@ from shopflow.llm.common import written
 from shopflow.llm.tokens import _GROUP, _WS, default_tokenizer_path, distinct_parts, is_plain
 
 BLOCK_BYTES = 1 << 20
-CACHE, LONG = 300_000, 64
+CACHE, LONG = 400_000, 64
 SHIFT = 32  # a pair's code: id of A << SHIFT | id of B
 _SEAM = re.compile(f"(?<=[^{_WS}])(?=[ \\n])")
 _MARK = "▁"
@@ -278,16 +279,20 @@ def _blocks(docs: DataFrame, doc_id: str, text: str, a_path: str, b_path: str, b
                 pa.array([_pressed(sizes, 1 << 32)], type=pa.binary()), pa.array([_pressed(places, 1 << 32)], type=pa.binary()), whole(pa.array(pairs)), whole(pa.array(times))],
                 names=["block", "docs", "n_chunks", "sizes", "places", "pairs", "times"])
 
-        for batch in batches:
-            for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
-                t = t.as_py()
-                ids.append(d), texts.append(t)
-                size += len(t or "") + 64
-                if size >= block_bytes:
-                    yield emit()
-                    ids, texts, size, made = [], [], 0, made + 1
-        if ids:
-            yield emit()
+        gc.disable()  # nothing here is cyclic, and each collection would walk the cache
+        try:
+            for batch in batches:
+                for d, t in zip(batch.column(0).to_pylist(), batch.column(1)):
+                    t = t.as_py()
+                    ids.append(d), texts.append(t)
+                    size += len(t or "") + 64
+                    if size >= block_bytes:
+                        yield emit()
+                        ids, texts, size, made = [], [], 0, made + 1
+            if ids:
+                yield emit()
+        finally:
+            gc.enable()
 
     return docs.select(F.col(doc_id).cast("long"), F.col(text)).mapInArrow(run, _BLOCK)
 
