@@ -24,9 +24,12 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that are not contaminated by the benchmark."""
-    found = decontaminate.find_overlap(docs, table(spark, sf_dir, "benchmark"))
-    return found.filter(~found["contaminated"]).select(*docs.columns)
+    """Rows that are not contaminated by the benchmark, with their columns,
+    whatever those are named."""
+    plain = [f"c{i}" for i in range(len(docs.columns))]
+    found = decontaminate.find_overlap(docs.toDF(*plain), table(spark, sf_dir, "benchmark"),
+                                       text_col=plain[docs.columns.index("text")])
+    return found.filter(~found["contaminated"]).select(*plain).toDF(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -50,3 +50,12 @@ def test_near_dedup_keeps_one_row_of_each_group(spark):
         assert len([r for r in got if r[2] in tags]) == 1, (tags, got)
     assert {"a", "c", "d", "j"} <= {r[2] for r in got}
     assert sorted(r[2] for r in got if r[2] in "mno") == ["m", "m", "n", "o"]
+
+
+def test_stages_keep_columns_of_any_name(spark):
+    import corpus_pipeline as P
+    docs = spark.createDataFrame([(1, "one two three four five six seven", "keep", 5, ["x"], "r"), (2, None, "too", 6, None, "s")],
+                                 "doc_id long, text string, n_words string, _n int, _items array<string>, _row string")
+    for stage in (P.near_dedup_stage, P.decontamination_stage):
+        out = stage(spark, docs, "/root/testdata/sf0.001")
+        assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
