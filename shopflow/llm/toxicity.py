@@ -32,6 +32,7 @@ SAME_PERCENT = 80
 FOLDS = 4
 MIN_WEIGHT = 3.0
 MIN_SHARE = 0.01
+LEAST = 5
 THRESHOLD = 0.3
 PREFIXES = (4, 5, 6, 7, 8)
 BIN = 0.05
@@ -107,36 +108,45 @@ def _terms(words: set[str]) -> set[str]:
     return out
 
 
+def _seeds() -> dict[str, float]:
+    return {f" {fold(w)} ": SEED_WEIGHT for w in SEED_WORDS}
+
+
 def _counted(sample: DataFrame) -> DataFrame:
-    """(term, toxic, clean): documents of the sample that hold each term; the
-    empty term counts all of them."""
+    """(term, toxic, clean, toxic_k, clean_k): documents of the sample (text,
+    toxic, part) that hold each term, in all and by part k; the empty term
+    counts all of them.  One pass over the texts; terms too rare to enter a
+    lexicon are left out."""
     def run(batches):
         for batch in batches:
-            bad, good = Counter(), Counter()
-            for text, toxic in zip(batch.column(0), batch.column(1).to_pylist()):
-                to = bad if toxic else good
-                to[""] += 1
-                to.update(_terms(set(fold(text.as_py()).split())))
-            terms = list({*bad, *good})
+            found: Counter = Counter()
+            for text, toxic, part in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
+                found.update((t, part, toxic) for t in ("", *_terms(set(fold(text.as_py()).split()))))
+            terms, parts, toxic = zip(*found) if found else ((), (), ())
             yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, type=pa.string()), pa.array([bad[t] for t in terms], type=pa.int64()),
-                 pa.array([good[t] for t in terms], type=pa.int64())], names=["term", "toxic", "clean"])
+                [pa.array(terms, type=pa.string()), pa.array(parts, type=pa.int32()), pa.array([bool(x) for x in toxic], type=pa.bool_()),
+                 pa.array(list(found.values()), type=pa.int64())], names=["term", "part", "toxic", "n"])
 
-    return sample.mapInArrow(run, "term string, toxic long, clean long").groupBy("term").agg(
-        F.sum("toxic").alias("toxic"), F.sum("clean").alias("clean"))
+    rows = sample.select("text", "toxic", "part").mapInArrow(run, "term string, part int, toxic boolean, n long")
+    of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
+    sums = [of(F.col("toxic")).alias("toxic"), of(~F.col("toxic")).alias("clean")]
+    for k in range(FOLDS):
+        mine = F.col("part") == k
+        sums += [of(F.col("toxic") & mine).alias(f"toxic_{k}"), of(~F.col("toxic") & mine).alias(f"clean_{k}")]
+    return rows.groupBy("term").agg(*sums).filter((F.col("toxic") >= LEAST) | F.col("term").isin("", *_seeds()))
 
 
 def _lexicon(counts: DataFrame) -> dict[str, float]:
     total = counts.filter("term = ''").first()
     n_bad, n_good = (total["toxic"], total["clean"]) if total else (0, 0)
-    seeds = {f" {fold(w)} ": SEED_WEIGHT for w in SEED_WORDS}
+    seeds = _seeds()
     if not n_bad or not n_good:
         return seeds
     weight = (F.log((F.col("toxic") + 0.5) / (n_bad + 1)) - F.log((F.col("clean") + 0.5) / (n_good + 1)))
     rows = (counts.filter("term <> ''").withColumn("weight", weight)
-            .filter((F.col("toxic") >= max(5, MIN_SHARE * n_bad)) & (F.col("weight") >= MIN_WEIGHT))
+            .filter((F.col("toxic") >= max(LEAST, MIN_SHARE * n_bad)) & (F.col("weight") >= MIN_WEIGHT))
             .collect())  # each in a share of the toxic rows of a bounded sample
-    shown = {r["term"] for r in counts.filter(F.col("term").isin(list(seeds)) & (F.col("toxic") + F.col("clean") >= 5)).collect()}
+    shown = {r["term"] for r in counts.filter(F.col("term").isin(list(seeds)) & (F.col("toxic") + F.col("clean") >= LEAST)).collect()}
     entries: dict[str, float] = {t: w for t, w in seeds.items() if t not in shown}
     taken: dict[str, tuple[int, float]] = {}
     for r in sorted(rows, key=lambda r: (len(r["term"].rstrip()), r["term"])):
@@ -204,12 +214,13 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
     labelled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
         F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
     distinct = written(_distinct(labelled), "labelled")
-    part = F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(FOLDS))
-    entries = _lexicon(_counted(distinct.select("text", "toxic")))
+    rows = distinct.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(FOLDS)).cast("int"))
+    counts = written(_counted(rows), "terms")
+    entries = _lexicon(counts)
     hist = []
     for k in range(FOLDS):
-        others = _lexicon(_counted(distinct.filter(part != k).select("text", "toxic")))
-        hist += (_scored(distinct.filter(part == k), others, None, keep=("toxic",))
+        others = _lexicon(counts.select("term", (F.col("toxic") - F.col(f"toxic_{k}")).alias("toxic"), (F.col("clean") - F.col(f"clean_{k}")).alias("clean")))
+        hist += (_scored(rows.filter(F.col("part") == k), others, None, keep=("toxic",))
                  .groupBy(F.least(F.floor(F.col("raw") / BIN), F.lit(BINS - 1)).alias("bin"), "toxic").count().collect())
     good, bad = np.zeros(BINS), np.zeros(BINS)
     for r in hist:
