@@ -119,13 +119,18 @@ def _counted(sample: DataFrame) -> DataFrame:
     lexicon are left out."""
     def run(batches):
         for batch in batches:
-            found: Counter = Counter()
-            for text, toxic, part in zip(batch.column(0), batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                found.update((t, part, toxic) for t in ("", *_terms(set(fold(text.as_py()).split()))))
-            terms, parts, toxic = zip(*found) if found else ((), (), ())
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(terms, type=pa.string()), pa.array(parts, type=pa.int32()), pa.array([bool(x) for x in toxic], type=pa.bool_()),
-                 pa.array(list(found.values()), type=pa.int64())], names=["term", "part", "toxic", "n"])
+            for lo in range(0, batch.num_rows, 500):  # few texts at a time: their terms are many
+                some = batch.slice(lo, 500)
+                found: dict[tuple, Counter] = {}
+                for text, toxic, part in zip(some.column(0), some.column(1).to_pylist(), some.column(2).to_pylist()):
+                    to = found.setdefault((part, bool(toxic)), Counter())
+                    to[""] += 1
+                    to.update(_terms(set(fold(text.as_py()).split())))
+                for (part, toxic), terms in found.items():
+                    n = len(terms)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(terms), type=pa.string()), pa.array([part] * n, type=pa.int32()), pa.array([toxic] * n, type=pa.bool_()),
+                         pa.array(list(terms.values()), type=pa.int64())], names=["term", "part", "toxic", "n"])
 
     rows = sample.select("text", "toxic", "part").mapInArrow(run, "term string, part int, toxic boolean, n long")
     of = lambda cond: F.coalesce(F.sum(F.when(cond, F.col("n"))), F.lit(0))
