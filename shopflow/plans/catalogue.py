@@ -435,6 +435,11 @@ def _state_partitions(spark):
     return max(8, spark.sparkContext.defaultParallelism)
 
 
+def _slots(spark):
+    """Several slots to a partition, which even out what the partitions get."""
+    return 8 * _state_partitions(spark)
+
+
 def _replay(spark, sf, start):
     root = scratch_dir(spark, "stream")
     src, ckpt, out = f"{root}/feed", f"{root}/checkpoint", f"{root}/out"
@@ -450,7 +455,7 @@ def _replay(spark, sf, start):
 def stream_ad_stat(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
         spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        slots=_state_partitions(spark)))
+        slots=_slots(spark)))
     return R.result(spark, out, "ad_stat")
 
 
@@ -458,7 +463,7 @@ def stream_ad_stat(spark, sf):
 def stream_province_top3(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.ad_stat_stream(
         spark, lines, o, c, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        slots=_state_partitions(spark)))
+        slots=_slots(spark)))
     return R.result(spark, out, "province_top")
 
 
@@ -481,14 +486,14 @@ def stream_hourly_sliding(spark, sf):
 def stream_blacklist(spark, sf):
     out = _replay(spark, sf, lambda lines, o, c: R.blacklist_stream(
         spark, lines, o, c, P.AD_THRESHOLD, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        slots=_state_partitions(spark)))
+        slots=_slots(spark)))
     return R.result(spark, out, "blacklist")
 
 
 def _filtered(spark, sf, table):
     out = _replay(spark, sf, lambda lines, o, c: R.filtered_ad_stream(
         spark, lines, o, c, P.AD_THRESHOLD, P.TOP_ADS, trigger=_AVAILABLE, state_partitions=_state_partitions(spark),
-        slots=_state_partitions(spark)))
+        slots=_slots(spark)))
     return R.result(spark, out, table)
 
 

@@ -11,7 +11,7 @@ alone.  The number of slots bounds the tasks and is fixed with the checkpoint.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -23,6 +23,7 @@ from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 OUT_SCHEMA = "kind string, date string, g string, a string, item bigint, click_count bigint"
 OUT = ["kind", "date", "g", "a", "item", "click_count"]
 SLOTS = 256
+CHUNK = 200_000
 DAY = 24 * 60
 
 
@@ -47,52 +48,140 @@ def _frame(rows: list[tuple]) -> pd.DataFrame:
     return pd.DataFrame(rows, columns=OUT).astype({"item": "Int64", "click_count": "Int64"})
 
 
+def _summed(frames: Iterator[pd.DataFrame], keys: list[str], count: str, whole: bool = False) -> Iterator[pd.DataFrame]:
+    """Sums of ``count`` by ``keys`` over many frames at a time, so that each
+    state entry is met once: about CHUNK rows in a result, or with ``whole`` one
+    result with each key once."""
+    held, n, limit = [], 0, CHUNK
+    for frame in frames:
+        held.append(frame[[*keys, count]])
+        n += len(frame)
+        if n >= limit:
+            held = [pd.concat(held).groupby(keys)[count].sum().reset_index()]
+            n = len(held[0])
+            if whole:
+                limit = max(CHUNK, 2 * n)
+            elif 2 * n > CHUNK:
+                yield held[0]
+                held, n = [], 0
+    if n:
+        yield pd.concat(held).groupby(keys)[count].sum().reset_index()
+
+
+class Parts:
+    """Rows of bigints by user, the first column, in state entries of about
+    ROWS rows.  The users of a group (``of``) are dealt into parts by hash; the
+    number of parts grows with the group, so an entry stays small however many
+    users there are, and a batch makes a call per entry, not per user."""
+
+    ROWS = 512
+
+    def __init__(self, handle: StatefulProcessorHandle, name: str, columns: list[str], ttl_ms: int | None = None):
+        self.width = len(columns)
+        self.entries = handle.getMapState(name, "of string, part bigint", ", ".join(f"{c} array<bigint>" for c in columns), ttl_ms)
+        self.sizes = handle.getMapState(f"{name}_sizes", "of string", "parts bigint, held bigint", ttl_ms)
+
+    def _read(self, of: str, part: int) -> np.ndarray:
+        held = self.entries.getValue((of, part))
+        return np.array(list(held), dtype=np.int64) if held else np.empty((self.width, 0), dtype=np.int64)
+
+    def _write(self, of: str, part: int, rows: np.ndarray) -> None:
+        self.entries.updateValue((of, part), tuple(rows.tolist()))
+
+    @staticmethod
+    def _dealt(rows: np.ndarray, parts: int) -> Iterator[tuple[int, np.ndarray]]:
+        x = rows[0].astype(np.uint64)
+        x = (x ^ (x >> np.uint64(33))) * np.uint64(0xFF51AFD7ED558CCD)
+        at = ((x ^ (x >> np.uint64(33))) & np.uint64(parts - 1)).astype(np.int64)
+        order = np.argsort(at, kind="stable")
+        found, starts = np.unique(at[order], return_index=True)
+        return zip(found.tolist(), np.split(rows[:, order], starts[1:], axis=1))
+
+    def of_users(self, of: str, users: np.ndarray) -> np.ndarray:
+        """The rows held of these users."""
+        size = self.sizes.getValue((of,))
+        some = [self._read(of, part) for part, _ in self._dealt(users[None, :], size[0])] if size else []
+        some = [rows[:, np.isin(rows[0], users)] for rows in some]
+        return np.concatenate(some, axis=1) if some else np.empty((self.width, 0), dtype=np.int64)
+
+    def update(self, of: str, rows: np.ndarray, merge: Callable[[np.ndarray, np.ndarray], np.ndarray]) -> None:
+        """Each part's rows become ``merge(held, new)``."""
+        parts, held = self.sizes.getValue((of,)) or (1, 0)
+        before, wanted = parts, held + rows.shape[1]
+        while wanted > parts * self.ROWS:
+            parts *= 2
+        if held and parts > before:
+            for part in range(before):
+                cut = dict(self._dealt(self._read(of, part), parts))
+                for to, some in ({part: np.empty((self.width, 0), dtype=np.int64)} | cut).items():
+                    self._write(of, to, some)
+        for part, new in self._dealt(rows, parts):
+            old = self._read(of, part)
+            now = merge(old, new)
+            held += now.shape[1] - old.shape[1]
+            self._write(of, part, now)
+        self.sizes.updateValue((of,), (parts, held))
+
+
 class ClickFilter(StatefulProcessor):
-    """Keyed by user slot: per user whether the user is listed, per user and
-    day the counts per ad.
+    """Keyed by user slot: the listed users, and per day the counts per user
+    and ad, many users to a state entry (``Parts``).
 
     A user listed in an earlier micro-batch loses all clicks; any other keeps
     them, and is listed when a (day, ad) total passes ``threshold``, which the
     next micro-batch applies.  Gives a ``black`` row for a user when listed and
     the kept counts as ``stat`` (g: province, a: city, item: ad) and ``trend``
-    rows (g: ad, item: minute of the day).  With ``ttl_ms`` the daily counts
+    rows (g: ad, item: minute of the day).  With ``ttl_ms`` a user's daily counts
     expire that long after their last change; the flag stays."""
 
     def __init__(self, threshold: int, only_list: bool = False, ttl_ms: int | None = None):
         self.threshold, self.only_list, self.ttl_ms = threshold, only_list, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.listed = handle.getMapState("listed", "userid bigint", "yes boolean")
-        self.daily = handle.getMapState("daily", "userid bigint, date string", "ads array<bigint>, counts array<bigint>", self.ttl_ms)
-
-    def _counted(self, userid: int, date: str, ads: np.ndarray, counts: np.ndarray) -> bool:
-        """Adds to a user's day; whether a total is over the threshold."""
-        held = self.daily.getValue((userid, date))
-        total = dict(zip(held[0], held[1])) if held else {}
-        for ad, n in zip(ads.tolist(), counts.tolist()):
-            total[ad] = total.get(ad, 0) + n
-        self.daily.updateValue((userid, date), (list(total), list(total.values())))
-        return max(total.values()) > self.threshold
+        self.listed = Parts(handle, "listed", ["users"])
+        self.daily = Parts(handle, "daily", ["users", "ads", "counts", *(["changed"] if self.ttl_ms else [])], self.ttl_ms)
+
+    def _counted(self, date: str, mine: pd.DataFrame, ms: int) -> set[int]:
+        """Adds to a day; the users among ``mine`` with a total over the
+        threshold."""
+        over = set()
+
+        def merge(held: np.ndarray, new: np.ndarray) -> np.ndarray:
+            if self.ttl_ms:
+                held = held[:, held[3] + self.ttl_ms > ms]
+            every = np.concatenate([held, new], axis=1)
+            every = every[:, np.lexsort((every[1], every[0]))]
+            starts = np.flatnonzero(np.append(True, (every[:2, 1:] != every[:2, :-1]).any(axis=0)))
+            out = every[:, starts]
+            out[2] = np.add.reduceat(every[2], starts)
+            met = np.isin(out[0], new[0])
+            if self.ttl_ms:
+                out[3, met] = ms
+            over.update(out[0, met & (out[2] > self.threshold)].tolist())
+            return out
+
+        columns = [mine["userid"], mine["adid"], mine["n"], *([np.full(len(mine), ms)] if self.ttl_ms else [])]
+        self.daily.update(date, np.array(columns, dtype=np.int64), merge)
+        return over
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        was: dict[int, bool] = {}  # listed before this micro-batch
-        now = set()
-        for part in rows:
-            for user in part["userid"].unique().tolist():
-                if user not in was:
-                    was[user] = self.listed.getValue((user,)) is not None
-            part = part[~part["userid"].map(was)]
-            sums = part.groupby(["userid", "date", "adid"])["n"].sum().reset_index()
-            for (user, date), mine in sums.groupby(["userid", "date"]):
-                if self._counted(int(user), date, mine["adid"], mine["n"]):
-                    now.add(int(user))
+        now: set[int] = set()  # written at the end: they were not listed before this micro-batch
+        ms = int(timerValues.getCurrentProcessingTimeInMs()) if self.ttl_ms else 0
+        keys = ["userid", "date", "adid", *([] if self.only_list else ["province", "city", "minute"])]
+        for part in _summed(rows, keys, "n"):
+            was = self.listed.of_users("", part["userid"].unique().astype(np.int64))[0]
+            part = part[~part["userid"].isin(was)]
+            sums = part.groupby(["date", "userid", "adid"])["n"].sum().reset_index()
+            for date, mine in sums.groupby("date"):
+                now |= self._counted(date, mine, ms)
             if not self.only_list and len(part):
-                for kind, g, a, item in (("stat", part["province"], part["city"], part["adid"]),
-                                         ("trend", part["adid"].astype(str), "", part["minute"])):
-                    yield pd.DataFrame({"kind": kind, "date": part["date"], "g": g, "a": a, "item": item, "click_count": part["n"]})
+                stat = part.groupby(["date", "province", "city", "adid"])["n"].sum().reset_index()
+                trend = part.groupby(["date", "adid", "minute"])["n"].sum().reset_index()
+                for kind, of, g, a, item in (("stat", stat, stat["province"], stat["city"], stat["adid"]),
+                                             ("trend", trend, trend["adid"].astype(str), "", trend["minute"])):
+                    yield pd.DataFrame({"kind": kind, "date": of["date"], "g": g, "a": a, "item": item, "click_count": of["n"]})
         if now:
-            for user in now:
-                self.listed.updateValue((user,), (True,))
+            self.listed.update("", np.array([sorted(now)], dtype=np.int64), lambda held, new: np.union1d(held, new)[None, :])
             yield _frame([("black", "", str(user), None, None, None) for user in sorted(now)])
 
     def close(self) -> None:
@@ -137,15 +226,20 @@ class RunningTotals(StatefulProcessor):
         return [(a, i, total[a, i]) for a, i in touched], items
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        parts = []
-        for part in rows:
-            counted = part["kind"].isin(["stat", "trend"])
-            parts.append(part[counted].groupby(["kind", "date", "g", "a", "item"])["click_count"].sum().reset_index())
-            if not counted.all():
-                yield part[~counted][OUT]
-        sums = pd.concat(parts).groupby(["kind", "date", "g", "a", "item"])["click_count"].sum().reset_index()
-        if not len(sums):
+        others = []
+
+        def counted() -> Iterator[pd.DataFrame]:
+            for part in rows:
+                mine = part["kind"].isin(["stat", "trend"])
+                if not mine.all():
+                    others.append(part[~mine][OUT])
+                yield part[mine]
+
+        found = list(_summed(counted(), ["kind", "date", "g", "a", "item"], "click_count", whole=True))
+        yield from others
+        if not found or not len(found[0]):
             return
+        sums = found[0]
         sums = sums.astype({"item": "int64", "click_count": "int64"})  # floats where rows without them came along
         if self.expire:
             for date in sums["date"].unique():

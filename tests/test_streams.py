@@ -2,11 +2,15 @@
 
 import datetime as dt
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import functions as F
 
 from shopflow.session import scratch_dir
 from shopflow.sources import fixtures as X
 from shopflow.streaming import ad_stream as R
+from shopflow.streaming import state
+from shopflow.streaming.state import ClickFilter, Parts
 from tests.conftest import SF_SMALL
 
 
@@ -133,6 +137,94 @@ def test_sliding_totals_count_late_clicks_and_gaps():
         assert last == {s: sum(n for m, n in clicks.items() if s <= m < s + window) for s in starts}
 
 
+class _States:
+    """State in dictionaries, which counts the calls."""
+
+    def __init__(self):
+        self.calls, self.maps = 0, {}
+
+    def getMapState(self, name, key, value, ttl_ms=None):
+        owner = self
+
+        class Map(dict):
+            def getValue(self, k):
+                owner.calls += 1
+                return self.get(k)
+
+            def updateValue(self, k, v):
+                owner.calls += 1
+                self[k] = v
+
+        return self.maps.setdefault(name, Map())
+
+
+def _filtered_by(p, frame, ms=0):
+    class Now:
+        def getCurrentProcessingTimeInMs(self):
+            return ms
+
+    cuts = range(0, len(frame), 500)
+    return pd.concat([f for f in p.handleInputRows((1,), iter([frame[i:i + 500] for i in cuts]), Now()) if len(f)] or [pd.DataFrame({"kind": []})])
+
+
+def test_the_click_filter_calls_the_state_per_entry_not_per_user():
+    p, states = ClickFilter(3, True), _States()
+    p.init(states)
+    users = np.arange(20_000) * 7919 - 3_000_000
+    frame = pd.DataFrame({"userid": users, "date": "20240101", "adid": 1, "n": 1})
+    for _ in range(3):
+        assert not len(_filtered_by(p, frame))
+    assert states.calls < 3 * len(users) / 20
+    rows = [len(v[0]) for v in states.maps["daily"].values()]
+    assert sum(rows) == len(users) and max(rows) < 2 * Parts.ROWS
+    assert set(_filtered_by(p, frame)["g"]) == set(map(str, users.tolist()))
+
+
+def test_the_click_filter_equals_counting_by_user_as_its_parts_grow(monkeypatch):
+    monkeypatch.setattr(Parts, "ROWS", 8)
+    monkeypatch.setattr(state, "CHUNK", 700)
+    rng = np.random.default_rng(5)
+    for ttl in (None, 100):
+        p = ClickFilter(4, False, ttl)
+        p.init(_States())
+        total, changed, listed, ms = {}, {}, set(), 1000
+        for batch in range(8):
+            n, ms = 1500 if batch < 6 else 40, ms + (150 if batch in (3, 6) else 40)
+            frame = pd.DataFrame({"userid": rng.integers(-(1 << 62), 1 << 62, 300)[rng.integers(0, 300, n)] if batch == 2 else rng.integers(0, 60 * (batch + 1), n),
+                                  "date": rng.choice(["20240101", "20240102"], n), "adid": rng.integers(0, 3, n), "province": rng.choice(["P", "Q"], n),
+                                  "city": "C", "minute": rng.integers(0, 5, n), "n": rng.integers(1, 3, n)})
+            found = _filtered_by(p, frame, ms)
+            kept, new = frame[~frame["userid"].isin(listed)], set()
+            days = set(zip(kept["userid"], kept["date"]))
+            for key in [k for k in total if ttl and changed[k[:2]] + ttl <= ms]:
+                del total[key]
+            for u, d, a, k in zip(kept["userid"], kept["date"], kept["adid"], kept["n"]):
+                total[u, d, a] = total.get((u, d, a), 0) + k
+            changed.update(dict.fromkeys(days, ms))
+            new = {u for (u, d, a), k in total.items() if (u, d) in days and k > 4}
+            assert {int(u) for u in found[found["kind"] == "black"]["g"]} == new
+            for kind, keys in (("stat", ["date", "province", "city", "adid"]), ("trend", ["date", "adid", "minute"])):
+                mine = found[found["kind"] == kind]
+                mine = mine.assign(g=mine["g"].astype(int)) if kind == "trend" else mine
+                cols = ["date", "g", "a", "item"] if kind == "stat" else ["date", "g", "item"]
+                assert mine.groupby(cols)["click_count"].sum().to_dict() == kept.groupby(keys)["n"].sum().to_dict()
+            listed |= new
+        assert listed
+
+
+def test_running_totals_give_a_key_once_however_many_rows_a_batch_has(monkeypatch):
+    monkeypatch.setattr(state, "CHUNK", 100)
+    p = state.RunningTotals(2)
+    p.init(_States())
+    rng = np.random.default_rng(6)
+    frames = [pd.DataFrame({"kind": "stat", "date": "20240101", "g": "P", "a": "C", "item": rng.integers(0, 400, 60), "click_count": 1}) for _ in range(30)]
+    found = pd.concat(p.handleInputRows((1,), iter(frames), None))
+    want = pd.concat(frames).groupby("item")["click_count"].sum().to_dict()
+    got = found[found["kind"] == "stat"]
+    assert not got["item"].duplicated().any() and dict(zip(got["item"], got["click_count"])) == want
+    assert list(found[found["kind"] == "top"]["item"]) == sorted(want, key=lambda i: (-want[i], i))[:2]
+
+
 def _line(ts, user=1, ad=3):
     ms = int(ts.replace(tzinfo=dt.timezone.utc).timestamp() * 1000)
     return f"{ms} P C {user} {ad}"
