@@ -20,7 +20,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 PERCENT = 80
-WORD = r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+# Words hold no ASCII but a-z and 0-9.  As ranges that it holds: Java matches the
+# class of what it does not hold ten times slower.
+WORD = r"[0-9a-z\x80-\x{10FFFF}]+"
 _SEP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]"
 
 # The phrases to be counted, with their labels.

@@ -261,3 +261,12 @@ def test_scores_equal_a_plain_scorer(spark):
                     and not any(a <= k and k + len(t) <= b for a, b in spans))
         want = scale[min(int(total / (1 + math.log10(1 + len(words))) / toxicity.BIN + 1e-12), toxicity.BINS - 1)]
         assert abs(r["score"] - want) < 0.02, r
+
+
+def test_license_words_by_the_ranges_they_hold(spark):
+    """A negated class takes Java's matcher ten times as long."""
+    assert "[^" not in licenses.WORD
+    text = "".join(map(chr, [*range(0x400), 0x2028, 0xD7FF, 0xE000, 0xFFFF, 0x10000, 0x1F600, 0x10FFFF])) + " Ab\x7fc9_d\n"
+    words = docs_of(spark, [(1, text)]).select(licenses.words_of(F.col("text"))).first()[0]
+    lowered = docs_of(spark, [(1, text)]).select(F.lower("text")).first()[0]
+    assert words == brute.re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
