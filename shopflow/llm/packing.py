@@ -175,7 +175,7 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id",
 
     def cut(batches):
         tok = chunk_tokenizer(path)
-        for batch in batches:
+        for batch in (b.slice(lo, 512) for b in batches for lo in range(0, b.num_rows, 512)):
             rows: list[tuple] = []
             for doc, data in zip(batch.column(0).to_pylist(), tok.encode_many([t or "" for t in batch.column(1).to_pylist()])):
                 data += end

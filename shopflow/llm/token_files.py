@@ -41,11 +41,10 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
         tok = chunk_tokenizer(tok_path)
         end = np.uint32(end_id).tobytes()
         for batch in batches:
-            data = [d + end for d in tok.encode_many([t or "" for t in batch.column(len(kept)).to_pylist()])]
-            sizes = np.array([len(d) // 4 for d in data], dtype=np.int64)
-            for lo in range(0, len(data), 512):
-                part = np.frombuffer(b"".join(data[lo:lo + 512]), dtype="<i4")
-                n = sizes[lo:lo + 512]
+            for lo in range(0, batch.num_rows, 512):
+                data = [d + end for d in tok.encode_many([t or "" for t in batch.column(len(kept)).slice(lo, 512).to_pylist()])]
+                n = np.array([len(d) // 4 for d in data], dtype=np.int64)
+                part = np.frombuffer(b"".join(data), dtype="<i4")
                 ids = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(n)]).astype(np.int32)), pa.array(part))
                 yield pa.RecordBatch.from_arrays(
                     [*(batch.column(i).slice(lo, len(n)) for i in range(len(kept))), pa.array(n), ids],

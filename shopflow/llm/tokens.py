@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import struct
 
 import numpy as np
 
@@ -16,7 +17,10 @@ _CHUNK = re.compile(f"[ \\n]*[{_LETTERS}]+(?=[ \\n.,;:!?]|\\Z)|[{_WS}]*[^{_WS}]+
 _CUT = re.compile(f"(?<=[^{_WS}])(?=[{_WS}])")
 # White space but blanks and line ends.
 _OTHER = re.compile(f"[{_WS.replace(' ', '').replace(chr(10), '')}]")
-_SIGNS = b".,;:!?)"
+# A part of a plain text: a mark of where it starts (none: after a blank), a word and closing signs.
+_WORD = re.compile(f"([\\n\\r]?)([{_LETTERS}]+)([.,;:!?)]*)")
+# Bytes that byte-level vocabularies show as another character.
+_SHOWN = {b: chr(0x100 + k) for k, b in enumerate((*range(0x21), *range(0x7F, 0xA1), 0xAD))}
 _SLICE, _GROUP = 1 << 20, 1 << 20
 _LONG = 64
 
@@ -73,6 +77,31 @@ def distinct_parts(buffer: bytes) -> tuple[list[bytes], np.ndarray, np.ndarray]:
     return [buffer[a:b] for a, b in zip(starts[first].tolist(), ends[first].tolist())], number, starts
 
 
+class Known(dict):
+    """Values that ``make`` gives for short keys, up to ``size`` of them; those
+    met later are held in ``late``, which starts anew when it is full."""
+
+    LATE = 20_000
+
+    def __init__(self, make, size: int):
+        super().__init__()
+        self.make, self.size, self.late, self.missed = make, size, {}, 0
+
+    def __missing__(self, key: str) -> bytes:
+        value = self.late.get(key)
+        if value is None:
+            value = self.make(key)
+            self.missed += 1
+            if len(key) <= _LONG:
+                if len(self) < self.size:
+                    self[key] = value
+                else:
+                    if len(self.late) >= self.LATE:
+                        self.late.clear()
+                    self.late[key] = value
+        return value
+
+
 class ChunkTokenizer:
     """Ids as little-endian uint32 bytes.  Ids always come from the
     ``tokenizers`` library; short chunks met before come from caches of at
@@ -81,9 +110,9 @@ class ChunkTokenizer:
     that over DRIFT of the chunks miss it.  Special-token strings in a text
     are ordinary text.
 
-    Plain texts are cut at their blanks and line ends and taken together: only
-    their distinct parts are looked up.  Any other text is cut by a pattern of
-    the white space runs and words."""
+    Plain texts are split at their blanks and line ends, any other text by a
+    pattern of the white space runs and words.  Of a part of a plain text that
+    was not met before, the library's model takes the word as it is."""
 
     DRIFT, WATCH = 0.3, 2_000_000
 
@@ -94,10 +123,15 @@ class ChunkTokenizer:
         vocab = self.model.get_vocab()
         self.width = np.zeros(max(vocab.values()) + 1, dtype=np.int64)  # bytes per id: one character each in the vocabulary
         self.width[list(vocab.values())] = [len(t) for t in vocab]
+        # whether a word is one match, and its bytes what the model takes
+        self.words = (self.model.normalizer is None and all(t.special for t in self.model.get_added_tokens_decoder().values())
+                      and self.model.pre_tokenizer is not None
+                      and [t for t, _ in self.model.pre_tokenizer.pre_tokenize_str("Ab cÀÿ\nd,. é")] == ["Ab", "ĠcÃĢÃ¿", "Ċ", "d", ",.", "ĠÃ©"])
+        self.word = self.model.model.tokenize
         self.size = cache
-        self.parts: dict[bytes, bytes] = {}  # of plain texts, with their first byte
-        self.chunks: dict[str, bytes] = {}   # of others
-        self.signs: dict[bytes, bytes] = {}
+        self.parts = Known(self._new_part, cache)  # of plain texts
+        self.chunks: dict[str, bytes] = {}         # of others
+        self.signs: dict[str, bytes] = {}
         self.met = self.missed = 0
 
     def _slices(self, text: str):
@@ -128,97 +162,68 @@ class ChunkTokenizer:
                 fresh[c] = np.asarray(self.model.encode(c, add_special_tokens=False).ids, dtype="<u4").tobytes()
         return fresh
 
-    def _known(self, keys: list, cache: dict, text_of, met: int) -> list[bytes]:
-        """Ids of distinct ``keys``, which stand for ``met`` parts, through
-        ``cache``."""
-        out = list(map(cache.get, keys))
-        self.met += met
-        at = [i for i, v in enumerate(out) if v is None]
-        if at:
-            self.missed += len(at)
-            texts = {keys[i]: text_of(keys[i]) for i in at}
-            fresh = self._encode_new(list(texts.values()))
-            for i in at:
-                out[i] = fresh[texts[keys[i]]]
-            if len(cache) < self.size:
-                cache.update((keys[i], out[i]) for i in at if len(keys[i]) <= _LONG)
+    def _new_part(self, part: str) -> bytes:
+        """No match holds a letter and a sign after it: the word before closing
+        signs is looked up alone."""
+        m = _WORD.fullmatch(part) if self.words else None
+        if m is None:
+            return self._ids(part[1:] if part[:1] == "\r" else part if part[:1] == "\n" else f" {part}")
+        head, word, sign = m.groups()
+        if sign:
+            return self.parts[head + word] + self._of_sign(sign)
+        text = word if word.isascii() else word.encode().decode("latin-1").translate(_SHOWN)
+        found = [t.id for t in self.word(text if head else f"Ġ{text}")]
+        ids = struct.pack(f"<{len(found)}I", *found)
+        return self._of_sign("\n") + ids if head == "\n" else ids
+
+    def _of_sign(self, sign: str) -> bytes:
+        if sign not in self.signs:
+            if len(self.signs) > 10_000:
+                self.signs.clear()
+            self.signs[sign] = self._ids(sign)
+        return self.signs[sign]
+
+    def _ids(self, text: str) -> bytes:
+        return np.asarray(self.model.encode(text, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    def _plain(self, text: str) -> bytes:
+        """Ids of a plain text: parts start at each blank, which is left out, and
+        at each line end; the first starts with a carriage return."""
+        parts = f"\r{text}".replace("\n", " \n").split(" ")
+        ids = b"".join(map(self.parts.__getitem__, parts))
+        self.met += len(parts)
         if self.met > self.WATCH:
-            if len(cache) >= self.size and self.missed > self.DRIFT * self.met:
-                cache.clear()
-            self.met = self.missed = 0
-        return out
-
-    def _signed(self, keys: list[bytes], met: int) -> list[bytes]:
-        """``_known`` of parts of plain texts.  No match holds a letter and a
-        sign after it, so the word before closing signs is looked up alone."""
-        out = list(map(self.parts.get, keys))
-        at = [i for i, v in enumerate(out) if v is None]
-        words = [keys[i].rstrip(_SIGNS) for i in at]
-        words = [w if w[-1:].isalpha() else keys[i] for i, w in zip(at, words)]
-        distinct = list(set(words))
-        ids = dict(zip(distinct, self._known(distinct, self.parts, _text_of, met)))
-        for i, w in zip(at, words):
-            sign = keys[i][len(w):]
-            if sign not in self.signs:
-                self.signs[sign] = np.asarray(self.model.encode(sign.decode(), add_special_tokens=False).ids, dtype="<u4").tobytes()
-            out[i] = ids[w] + self.signs[sign]
-        if len(self.signs) > 10_000:
-            self.signs.clear()
-        return out
-
-    def _plain(self, texts: list[str]) -> list[bytes]:
-        """Ids of plain texts."""
-        data = [t.encode("utf-8", "surrogatepass") for t in texts]
-        parts, number, starts = distinct_parts(b"\xff" + b"\xff".join(data))
-        ids = self._signed(parts, len(number))
-        sizes = np.array([len(v) // 4 for v in ids], dtype=np.int64)
-        pool, at = np.frombuffer(b"".join(ids), dtype="<u4"), np.cumsum(sizes) - sizes
-        n = sizes[number]
-        done = np.cumsum(n)
-        flat = pool[np.repeat(at[number] - (done - n), n) + np.arange(done[-1])].tobytes()
-        heads = np.cumsum([0] + [len(d) + 1 for d in data])  # of the texts in the buffer
-        cuts = np.append(0, done)[np.searchsorted(starts, heads)].tolist()
-        return [flat[4 * a:4 * b] for a, b in zip(cuts, cuts[1:])]
+            self.missed += self.parts.missed
+            if len(self.parts) >= self.size and self.missed > self.DRIFT * self.met:
+                self.parts.clear()
+            self.met = self.missed = self.parts.missed = 0
+        return ids
 
     def _other(self, text: str) -> bytes:
         chunks = _CHUNK.findall(text)
-        distinct = list(set(chunks))
-        ids = dict(zip(distinct, self._known(distinct, self.chunks, str, len(chunks))))
+        ids = {c: self.chunks.get(c) for c in set(chunks)}
+        new = [c for c, v in ids.items() if v is None]
+        if new:
+            fresh = self._encode_new(new)
+            ids.update(fresh)
+            if len(self.chunks) < self.size:
+                self.chunks.update((c, v) for c, v in fresh.items() if len(c) <= _LONG)
+        self.met += len(chunks)
+        self.missed += len(new)
+        if self.met > self.WATCH:
+            if len(self.chunks) >= self.size and self.missed > self.DRIFT * self.met:
+                self.chunks.clear()
+            self.met = self.missed = self.parts.missed = 0
         return b"".join(map(ids.__getitem__, chunks))
 
     def encode_many(self, texts: list[str]) -> list[bytes]:
-        """Ids of each text.  Plain texts are taken together, about _GROUP
-        characters at a time."""
-        out: list[list[bytes]] = [[] for _ in texts]
-        group, owners, size = [], [], 0
-
-        def flush():
-            for i, ids in zip(owners, self._plain(group) if group else ()):
-                out[i].append(ids)
-            group.clear(), owners.clear()
-
-        for i, text in enumerate(texts):
-            for piece in self._slices(text):
-                if is_plain(piece):
-                    group.append(piece), owners.append(i)
-                    size += len(piece)
-                    if size >= _GROUP:
-                        flush()
-                        size = 0
-                else:  # after the pieces before it
-                    if owners and owners[-1] == i:
-                        flush()
-                        size = 0
-                    out[i].append(self._other(piece))
-        flush()
-        return [parts[0] if len(parts) == 1 else b"".join(parts) for parts in out]
+        """Ids of each text."""
+        return list(map(self.encode, texts))
 
     def encode(self, text: str) -> bytes:
-        return self.encode_many([text])[0]
-
-
-def _text_of(part: bytes) -> str:
-    return (part[1:] if part[:1] == b"\xff" else part).decode("utf-8", "surrogatepass")
+        if len(text) <= _SLICE:
+            return self._plain(text) if is_plain(text) else self._other(text)
+        return b"".join(self._plain(piece) if is_plain(piece) else self._other(piece) for piece in self._slices(text))
 
 
 def chunk_tokenizer(path: str) -> ChunkTokenizer:

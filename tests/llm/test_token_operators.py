@@ -14,7 +14,7 @@ import brute
 from shopflow.llm import embedding_dedup, packing, sharding, token_files, url_filter, warc
 from shopflow.llm.components import components
 from shopflow.llm.queries import QUERIES
-from shopflow.llm.tokens import chunk_tokenizer, default_tokenizer_path
+from shopflow.llm.tokens import ChunkTokenizer, chunk_tokenizer, default_tokenizer_path
 from shopflow.session import scratch_dir
 
 SF = "/root/testdata/sf0.01"
@@ -445,3 +445,17 @@ def test_packing_takes_no_more_sequences_than_best_fit_alone(spark):
         assert (held == np.append(counts, 0) * times).all()
         alone = packing._best_fit([], np.append(counts, 0) * times, 2048)
         assert sum(n for _, n in found) <= sum(n for _, n in alone)
+
+
+def test_new_words_go_to_the_library_model_alone():
+    tok = ChunkTokenizer(default_tokenizer_path(), cache=50)
+    tok.WATCH, tok.parts.LATE = 300, 10
+    whole, seen = tok._ids, []
+    tok._ids = lambda text: seen.append(text) or whole(text)
+    rng = random.Random(8)
+    for _ in range(300):
+        words = ["".join(rng.choices("abcxyzABéüÿñ", k=rng.randint(1, 9))) + rng.choice(["", "", ".", ",", "?)"]) for _ in range(rng.randint(1, 30))]
+        text = "".join(w + rng.choice([" ", " ", "\n", "\n\n"]) for w in words).strip()
+        assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
+    assert set(seen) <= {".", ",", "?)", "\n"}
+    assert len(tok.parts) <= 51 and len(tok.parts.late) <= 10
