@@ -30,11 +30,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def written(df: DataFrame, name: str, **options) -> DataFrame:
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
+def written(df: DataFrame, name: str, batch_rows: int | None = None, **options) -> DataFrame:
     """Write ``df`` under the shared checkpoint folder and read it back: cuts
-    the lineage at a copy that outlives any executor."""
+    the lineage at a copy that outlives any executor.  Python operators in it
+    get at most ``batch_rows`` rows at a time, for rows that are large."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    df.write.options(**options).parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(_BATCH, None)
+    if batch_rows:
+        conf.set(_BATCH, str(batch_rows))
+    try:
+        df.write.options(**options).parquet(path)
+    finally:
+        if batch_rows:
+            conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -29,6 +29,10 @@ BANDS, ROWS = 40, 6
 BLOCK = 1 << 15
 PAIRS_UP_TO = 8
 CHUNK = 1024
+WORDS = 100_000
+BATCH = 1024  # rows that hold whole texts or sets, at a time
+#: Up to so many rows (16 bytes each) go to every executor; more are joined by shuffle.
+BROADCAST_ROWS = 500_000
 _M1, _M2 = np.uint32(0x7FEB352D), np.uint32(0x846CA68B)
 _MIX1, _MIX2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -58,7 +62,7 @@ def shingle_set(text: str | None, size: int, known: dict) -> np.ndarray:
     words = (text or "").encode("utf-8", "surrogatepass").translate(_LOWER).split()
     if not words:
         return np.empty(0, dtype=np.uint64)
-    if len(known) > 400_000:
+    if len(known) > WORDS:
         known.clear()
     h = np.fromiter(map(known.__getitem__, words), dtype=np.uint64, count=len(words))
     k = min(size, len(words))
@@ -130,18 +134,25 @@ def _fingerprints(docs: DataFrame, shingle: int, bands: int, rows: int) -> DataF
         run, "doc_id long, " + "".join(f"{c} {kinds[c]}, " for c in carried) + "n_shingles long, digest binary, keys array<long>")
 
 
+def _few(rows: DataFrame) -> bool:
+    return rows.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
+
+
 def _sets_of(docs: DataFrame, wanted: DataFrame, shingle: int) -> DataFrame:
-    """(cid, set) of the wanted classes (cid, rep, digest): the text of each
-    class's smallest document is read again."""
+    """(cid, set) of the wanted classes (cid, rep, digest), a stored table: the
+    text of each class's smallest document is read again.  Their ids go to the
+    texts where they are few enough; no text is shuffled then."""
     def run(batches):
         known = WordHash()
         for batch in batches:
-            sets = [shingle_set(t.as_py(), shingle, known).tobytes() for t in batch.column(0)]
-            yield pa.RecordBatch.from_arrays([
-                pa.array([hashlib.md5(s).digest() for s in sets], type=pa.binary()), pa.array(sets, type=pa.binary())],
-                names=["digest", "set"])
+            for lo in range(0, batch.num_rows, 1024):
+                sets = [shingle_set(t.as_py(), shingle, known).tobytes() for t in batch.column(0).slice(lo, 1024)]
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([hashlib.md5(s).digest() for s in sets], type=pa.binary()), pa.array(sets, type=pa.binary())],
+                    names=["digest", "set"])
 
-    texts = docs.join(wanted.select("rep").distinct(), docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
+    reps = wanted.select("rep").distinct()
+    texts = docs.join(F.broadcast(reps) if _few(reps) else reps, docs["doc_id"].eqNullSafe(F.col("rep")), "left_semi")
     return (texts.select("text").mapInArrow(run, "digest binary, set binary")
             .join(wanted.select("cid", "digest"), "digest").select("cid", "set").dropDuplicates(["cid"]))
 
@@ -250,7 +261,7 @@ def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, row
     null for texts without words."""
     docs = docs.withColumn("doc_id", F.col("doc_id").cast("long"))
     carried = [c for c in docs.columns if c not in ("doc_id", "text")]
-    prints = written(_fingerprints(docs, shingle, bands, rows), "prints")
+    prints = written(_fingerprints(docs, shingle, bands, rows), "prints", BATCH)
     classes = written(prints.filter("n_shingles > 0").groupBy("digest")
                       .agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("keys").alias("keys"))
                       .withColumn("cid", F.monotonically_increasing_id()), "classes")
@@ -261,8 +272,9 @@ def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, row
     star = written(buckets.filter("cid <> pivot").select(F.col("pivot").alias("a"), F.col("cid").alias("b"),
                                                          F.col("n").alias("n_b")).distinct(), "star")
     every = buckets.select("cid").distinct()
-    sets = written(_sets_of(docs, named.join(every, "cid"), shingle), "sets")
-    links = written(_linked(star, sets, percent), "links")
+    wanted = written(named.join(every, "cid"), "wanted")
+    sets = written(_sets_of(docs, wanted, shingle), "sets", BATCH)
+    links = written(_linked(star, sets, percent), "links", BATCH)
     labels = components(links)
     open_ = (buckets.filter("c > 2").join(labels.withColumnRenamed("id", "cid"), "cid", "left")
              .withColumn("component", F.coalesce("component", "cid")))
@@ -277,7 +289,7 @@ def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, row
              .select("a", "b", "n_b").distinct()
              .join(star.select("a", "b"), ["a", "b"], "left_anti"))
     many = open_.filter(F.col("c") > PAIRS_UP_TO).select("key", "cid")
-    more = written(_linked(cross, sets, percent).unionByName(_linked_in_blocks(many, sets, percent)), "links")
+    more = written(_linked(cross, sets, percent).unionByName(_linked_in_blocks(many, sets, percent)), "links", BATCH)
     labels = components(links.unionByName(more)) if not more.isEmpty() else labels
     joined = (named.join(labels, labels["id"] == named["cid"], "left")
               .select("digest", "rep", F.coalesce("component", "cid").alias("component")))
@@ -288,8 +300,6 @@ def _judged(docs: DataFrame, shingle: int, percent: int, bands: int = BANDS, row
                     .otherwise(F.col("doc_id")).alias("component_id")))
 
 
-#: Up to so many rows (16 bytes each) go to every executor; more are joined by shuffle.
-BROADCAST_ROWS = 500_000
 _PLACE = ("_shopflow_file", "_shopflow_row")
 
 
@@ -322,5 +332,4 @@ def keep_one(docs: DataFrame, shingle: int = 5, percent: int = 80) -> DataFrame:
     first = same.groupBy("component").agg(F.min("at").alias("first"))
     gone = written(same.join(first, "component").filter("at <> first")
                    .select(F.col("at.f").alias(_PLACE[0]), F.col("at.i").alias(_PLACE[1])), "gone")
-    small = gone.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return placed.join(F.broadcast(gone) if small else gone, list(_PLACE), "left_anti").select(*docs.columns)
+    return placed.join(F.broadcast(gone) if _few(gone) else gone, list(_PLACE), "left_anti").select(*docs.columns)

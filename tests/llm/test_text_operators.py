@@ -5,11 +5,13 @@ import math
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import brute
 from shopflow.llm import decontaminate, licenses, minhash, oracle, toxicity
+from shopflow.llm.common import written
 from shopflow.llm.queries import QUERIES
 
 SF = "/root/testdata/sf0.01"
@@ -270,3 +272,26 @@ def test_license_words_by_the_ranges_they_hold(spark):
     words = docs_of(spark, [(1, text)]).select(licenses.words_of(F.col("text"))).first()[0]
     lowered = docs_of(spark, [(1, text)]).select(F.lower("text")).first()[0]
     assert words == brute.re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", lowered)
+
+
+def test_near_dedup_reads_sets_without_shuffling_texts(spark, monkeypatch):
+    base = " ".join(f"w{i}" for i in range(60))
+    docs = docs_of(spark, [(i, f"{base} {i % 3}") for i in range(9)] + [(None, base + " x"), (20, "alone here"), (21, None)])
+    wanted = spark.createDataFrame([(0, 0, None), (1, 20, None), (2, None, None)], "cid long, rep long, digest binary")
+    plan = lambda: minhash._sets_of(docs, wanted, 5)._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftSemi, (doc_id" in plan() and "rightHint=(strategy=broadcast)" in plan()
+    few = sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=str)
+    monkeypatch.setattr(minhash, "BROADCAST_ROWS", 0)
+    assert "strategy=broadcast" not in plan()
+    assert sorted(map(tuple, minhash.near_duplicates(docs).collect()), key=str) == few
+
+
+def test_written_bounds_the_rows_a_python_operator_gets(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], type=pa.int64())], names=["n"])
+
+    before = spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")
+    rows = written(spark.range(500).mapInArrow(sizes, "n long"), "sizes", batch_rows=7)
+    assert rows.agg(F.max("n"), F.sum("n")).first()[:] == (7, 500)
+    assert spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == before
