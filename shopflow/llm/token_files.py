@@ -22,6 +22,8 @@ from shopflow.llm.tokens import chunk_tokenizer, default_tokenizer_path
 
 ROW_GROUP_BYTES = 32 << 20
 PAGE_BYTES = 256 << 10
+# Beside the encoder a task holds 512 texts, so there is room for more words than elsewhere.
+CACHE = 1_000_000
 
 
 def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: str = "text",
@@ -38,7 +40,7 @@ def write_tokens(docs: DataFrame, path: str, id_col: str = "doc_id", text_col: s
     schema = ", ".join(f"`{c}` {kinds[c]}" for c in kept) + ", n_tokens long, ids array<int>"
 
     def encode(batches):
-        tok = chunk_tokenizer(tok_path)
+        tok = chunk_tokenizer(tok_path, CACHE)
         end = np.uint32(end_id).tobytes()
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):

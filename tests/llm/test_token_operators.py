@@ -11,7 +11,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
-from shopflow.llm import embedding_dedup, packing, sharding, token_files, url_filter, warc
+from shopflow.llm import embedding_dedup, packing, sharding, token_files, tokens, url_filter, warc
 from shopflow.llm.components import components
 from shopflow.llm.queries import QUERIES
 from shopflow.llm.tokens import ChunkTokenizer, chunk_tokenizer, default_tokenizer_path
@@ -459,3 +459,31 @@ def test_new_words_go_to_the_library_model_alone():
         assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
     assert set(seen) <= {".", ",", "?)", "\n"}
     assert len(tok.parts) <= 51 and len(tok.parts.late) <= 10
+
+
+def test_new_ascii_words_need_no_pattern(monkeypatch):
+    class NoPattern:
+        def fullmatch(self, part):
+            assert not part.isascii() or not part.rstrip(".,;:!?)").isalpha()
+
+    monkeypatch.setattr(tokens, "_WORD", NoPattern())
+    tok = ChunkTokenizer(default_tokenizer_path())
+    for text in ("Plain words, and signs?).", "ascii) é, naïve 3x a-b .,", "x", "one\ntwo\n\nthree, four."):
+        assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
+
+
+def test_plain_texts_hold_no_white_space_but_blanks_and_line_ends():
+    for beside in ("ab", "é", "\u0105", "\U0001f600"):
+        assert tokens.is_plain(f"{beside} c\nd\n\ne")
+        for c in tokens._WS:
+            assert tokens.is_plain(f"{beside}{c}d") == (c in " \n")
+            assert not tokens.is_plain(f"{beside}{c}{c}{c}d")
+        assert not any(tokens.is_plain(t) for t in (f"{beside} \nd", f"{beside}\n d", f"{beside}\n\n", f"{beside}  d"))
+
+
+def test_token_files_hold_more_words_in_the_one_tokenizer_of_a_worker(monkeypatch):
+    monkeypatch.setattr(tokens, "_LOADED", {})
+    tok = chunk_tokenizer(default_tokenizer_path())
+    assert tok.size == tok.parts.size == 500_000 < token_files.CACHE
+    assert chunk_tokenizer(default_tokenizer_path(), token_files.CACHE) is tok and tok.size == tok.parts.size == token_files.CACHE
+    assert chunk_tokenizer(default_tokenizer_path()) is tok and tok.size == token_files.CACHE
