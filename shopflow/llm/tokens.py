@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import string
 import struct
 
 import numpy as np
@@ -18,9 +19,10 @@ _CUT = re.compile(f"(?<=[^{_WS}])(?=[{_WS}])")
 # White space but blanks and line ends: in Latin-1, and beyond it.
 _OTHER = [c for c in _WS if c not in " \n" and c <= "\xff"]
 _WIDE = re.compile(f"[{''.join(c for c in _WS if c > chr(0xFF))}]")
-# A part of a plain text: a mark of where it starts (none: after a blank), a word and closing signs.
-_WORD = re.compile(f"([\\n\\r]?)([{_LETTERS}]+)([.,;:!?)]*)")
-_SIGNS = ".,;:!?)"
+# A part of a plain text: a mark of where it starts (none: after a blank), a word and closing
+# signs, which are one match of the tokenizer: they hold no letter for an apostrophe to take.
+_SIGNS = string.punctuation
+_WORD = re.compile(f"([\\n\\r]?)([{_LETTERS}]+)([{re.escape(_SIGNS)}]*)")
 # The characters that byte-level vocabularies show bytes as; every byte has an
 # entry, since translate() is slow on those it does not find.
 _SHOWN = dict(enumerate(map(chr, range(256)))) | {b: chr(0x100 + k) for k, b in enumerate((*range(0x21), *range(0x7F, 0xA1), 0xAD))}
@@ -144,7 +146,7 @@ class ChunkTokenizer:
         # whether a word is one match, and its bytes what the model takes
         self.words = (self.model.normalizer is None and all(t.special for t in self.model.get_added_tokens_decoder().values())
                       and self.model.pre_tokenizer is not None
-                      and [t for t, _ in self.model.pre_tokenizer.pre_tokenize_str("Ab cÀÿ\nd,. é")] == ["Ab", "ĠcÃĢÃ¿", "Ċ", "d", ",.", "ĠÃ©"])
+                      and [t for t, _ in self.model.pre_tokenizer.pre_tokenize_str(f"Ab cÀÿ\nd{_SIGNS} é'")] == ["Ab", "ĠcÃĢÃ¿", "Ċ", "d", _SIGNS, "ĠÃ©", "'"])
         self.word = self.model.model.tokenize
         self.size = cache
         self.parts = Known(self._new_part, cache)  # of plain texts

@@ -487,3 +487,18 @@ def test_token_files_hold_more_words_in_the_one_tokenizer_of_a_worker(monkeypatc
     assert tok.size == tok.parts.size == 500_000 < token_files.CACHE
     assert chunk_tokenizer(default_tokenizer_path(), token_files.CACHE) is tok and tok.size == tok.parts.size == token_files.CACHE
     assert chunk_tokenizer(default_tokenizer_path()) is tok and tok.size == token_files.CACHE
+
+
+def test_words_before_any_signs_go_to_the_library_model_alone():
+    tok = ChunkTokenizer(default_tokenizer_path())
+    whole, seen = tok._ids, []
+    tok._ids = lambda text: seen.append(text) or whole(text)
+    rng = random.Random(11)
+    signs = ["%%%", "***", "&&&", "$$$", "###", ",***", ".!!", "'", "''", "_-", "|", "\"`~", "<|", "[^\\]", "{=+/@}"]
+    for _ in range(300):
+        words = [rng.choice(["It", "we", "été", "Straße", "ñandu", "x"]) + rng.choice(["", *signs]) for _ in range(rng.randint(1, 20))]
+        text = "".join(w + rng.choice([" ", " ", "\n", "\n\n"]) for w in words).strip()
+        assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
+    assert set(seen) <= {"\n", *signs}
+    for text in ("it's we'll' don'T x'd' 's", "a<|endoftext|> <|endoftext|>! b2% ²! a\u0301! ,!"):
+        assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
