@@ -1,5 +1,6 @@
 """Training corpus: toxic documents go, one of each group of near-duplicates
 stays, contaminated documents go, and the rest is packed into sequences.
+Each stage is stored, its texts passing through Python few at a time.
 Part of the ``shopflow.llm`` subpackage."""
 
 from __future__ import annotations
@@ -7,20 +8,23 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shopflow.llm import decontaminate, minhash, packing, toxicity
-from shopflow.llm.common import ready, table, written
+from shopflow.llm.common import BATCH, ready, table, written
+
+# Workers hold the words of packing beside what the other stages left on the executor.
+CACHE = 200_000
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rows that are not predicted toxic."""
     ready(spark)
-    return toxicity.keep_clean(docs, table(spark, sf_dir, "labels"))
+    return written(toxicity.keep_clean(docs, table(spark, sf_dir, "labels")), "pipeline-toxicity", BATCH)
 
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each group of near-duplicates (five words, similarity 0.8) the
     document with the smallest doc_id."""
     ready(spark)
-    return minhash.keep_one(docs)
+    return written(minhash.keep_one(docs), "pipeline-minhash_near_dedup", BATCH)
 
 
 def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -29,13 +33,13 @@ def decontamination_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     plain = [f"c{i}" for i in range(len(docs.columns))]
     found = decontaminate.find_overlap(docs.toDF(*plain), table(spark, sf_dir, "benchmark"),
                                        text_col=plain[docs.columns.index("text")])
-    return found.filter(~found["contaminated"]).select(*plain).toDF(*docs.columns)
+    return written(found.filter(~found["contaminated"]).select(*plain).toDF(*docs.columns), "pipeline-benchmark_decontamination", BATCH)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces with their sequences and offsets."""
     ready(spark)
-    return packing.pack(docs)
+    return written(packing.pack(docs, cache=CACHE), "pipeline-best_fit_packing", BATCH)
 
 
 STAGES = [("toxicity", toxicity_stage), ("minhash_near_dedup", near_dedup_stage),
@@ -47,6 +51,6 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
-    return written(STAGES[-1][1](spark, docs, sf_dir), f"pipeline-{STAGES[-1][0]}")
+    for _, stage in STAGES:
+        docs = stage(spark, docs, sf_dir)
+    return docs

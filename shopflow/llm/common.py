@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from contextlib import contextmanager
 from pathlib import Path
 
 import numpy as np
@@ -31,6 +32,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+BATCH = 1024  # rows that hold whole texts or sets, at a time
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int | None):
+    """Python operators in what runs inside get at most ``rows`` rows at a time
+    (None: as many as the session says)."""
+    before = spark.conf.get(_BATCH, None)
+    if rows:
+        spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        if rows:
+            spark.conf.unset(_BATCH) if before is None else spark.conf.set(_BATCH, before)
 
 
 def written(df: DataFrame, name: str, batch_rows: int | None = None, **options) -> DataFrame:
@@ -38,15 +54,8 @@ def written(df: DataFrame, name: str, batch_rows: int | None = None, **options)
     the lineage at a copy that outlives any executor.  Python operators in it
     get at most ``batch_rows`` rows at a time, for rows that are large."""
     path = scratch_dir(df.sparkSession, f"llm-{name}")
-    conf = df.sparkSession.conf
-    before = conf.get(_BATCH, None)
-    if batch_rows:
-        conf.set(_BATCH, str(batch_rows))
-    try:
+    with batches_of(df.sparkSession, batch_rows):
         df.write.options(**options).parquet(path)
-    finally:
-        if batch_rows:
-            conf.unset(_BATCH) if before is None else conf.set(_BATCH, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

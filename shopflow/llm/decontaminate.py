@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import written
+from shopflow.llm.common import BATCH, written
 
 WINDOW = 13
 _SPANS = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
@@ -114,7 +114,7 @@ def find_overlap(docs: DataFrame, benchmark: DataFrame, text_col: str = "text",
         "_items", F.lit(None).cast("array<string>")).withColumn("_n", F.lit(0).cast("long"))
     first = True
     for items in _chunks(benchmark, item_col, item_text_col, chunk_bytes):
-        df = _search(df if first else written(df, "overlap"), docs.sparkSession, items, text_col, window)
+        df = _search(df if first else written(df, "overlap", BATCH), docs.sparkSession, items, text_col, window)
         first = False
     df = df.withColumnRenamed("_spans", "hit_spans")
     return df.select(*own, F.col("_n").alias("n_words"),

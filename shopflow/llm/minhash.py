@@ -22,7 +22,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import blocks, runs, written
+from shopflow.llm.common import BATCH, blocks, runs, written
 from shopflow.llm.components import components
 
 BANDS, ROWS = 40, 6
@@ -30,7 +30,6 @@ BLOCK = 1 << 15
 PAIRS_UP_TO = 8
 CHUNK = 1024
 WORDS = 100_000
-BATCH = 1024  # rows that hold whole texts or sets, at a time
 #: Up to so many rows (16 bytes each) go to every executor; more are joined by shuffle.
 BROADCAST_ROWS = 500_000
 _M1, _M2 = np.uint32(0x7FEB352D), np.uint32(0x846CA68B)

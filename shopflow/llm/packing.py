@@ -23,10 +23,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import gapless_rank, written
+from shopflow.llm.common import BATCH, gapless_rank, written
 from shopflow.llm.tokens import chunk_tokenizer, default_tokenizer_path
 
 CAPACITY = 2048
+CACHE = 500_000
 EPS = 0.3
 ROUNDS = 60
 NOISE = 1e-5
@@ -165,16 +166,17 @@ def configurations(counts: np.ndarray, capacity: int, eps: float = EPS,
 
 
 def pieces_of(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
-              tokenizer_path: str | None = None, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+              tokenizer_path: str | None = None, end_id: int = 0, with_ids: bool = False, cache: int = CACHE) -> DataFrame:
     """One row per piece: id, piece, start, length, ids_crc32 (and ``ids``,
     little-endian uint32 bytes, when ``with_ids``).  A null text is empty; an
-    empty text is its end id.  Repeated rows are packed one by one."""
+    empty text is its end id.  Repeated rows are packed one by one.  A worker
+    knows at most ``cache`` words by heart."""
     path = tokenizer_path or default_tokenizer_path()
     end = np.uint32(end_id).tobytes()
     schema = f"{id_col} long, piece int, start long, length long, ids_crc32 long" + (", ids binary" if with_ids else "")
 
     def cut(batches):
-        tok = chunk_tokenizer(path)
+        tok = chunk_tokenizer(path, cache)
         for batch in (b.slice(lo, 512) for b in batches for lo in range(0, b.num_rows, 512)):
             rows: list[tuple] = []
             for doc, data in zip(batch.column(0).to_pylist(), tok.encode_many([t or "" for t in batch.column(1).to_pylist()])):
@@ -197,11 +199,11 @@ def pieces_of(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id",
 
 def pack(docs: DataFrame, capacity: int = CAPACITY, id_col: str = "doc_id", text_col: str = "text",
          tokenizer_path: str | None = None, end_id: int = 0, with_ids: bool = False,
-         eps: float = EPS, rounds: int = ROUNDS) -> DataFrame:
+         eps: float = EPS, rounds: int = ROUNDS, cache: int = CACHE) -> DataFrame:
     """Pieces with ``sequence_id`` (long, unique per sequence; a full piece
     has a negative one of its own) and ``offset`` (gapless from 0).  An empty
     input gives no rows; other columns of ``docs`` are not read."""
-    pieces = written(pieces_of(docs, capacity, id_col, text_col, tokenizer_path, end_id, with_ids), "pieces")
+    pieces = written(pieces_of(docs, capacity, id_col, text_col, tokenizer_path, end_id, with_ids, cache), "pieces", BATCH)
     cols = pieces.columns
     hist = pieces.filter(F.col("length") < capacity).groupBy("length").count().collect()
     counts = np.zeros(capacity, dtype=np.int64)

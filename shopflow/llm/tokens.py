@@ -256,12 +256,12 @@ class ChunkTokenizer:
 
 
 def chunk_tokenizer(path: str, cache: int = 500_000) -> ChunkTokenizer:
-    """One tokenizer per Python worker and file, whose caches take at least
-    ``cache`` entries (about 140 bytes each)."""
+    """One tokenizer per Python worker and file, whose caches take the most
+    entries (about 140 bytes each) that any of its users gave as ``cache``."""
     if path not in _LOADED:
         import os
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        _LOADED[path] = ChunkTokenizer(path)
+        _LOADED[path] = ChunkTokenizer(path, cache)
     tok = _LOADED[path]
     tok.size = tok.parts.size = max(tok.size, cache)
     return tok

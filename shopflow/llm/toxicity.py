@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shopflow.llm.common import written
+from shopflow.llm.common import BATCH, batches_of, written
 from shopflow.llm.minhash import WordHash, shingle_set
 
 SAMPLE_ROWS = 20_000
@@ -218,15 +218,16 @@ def learn(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) ->
            .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows))
     labelled = docs.select("doc_id", "text").join(F.broadcast(ids), "doc_id").select(
         F.col("doc_id").cast("long"), "text", F.col("toxic").cast("int"))
-    distinct = written(_distinct(labelled), "labelled")
+    distinct = written(_distinct(labelled), "labelled", BATCH)
     rows = distinct.withColumn("part", F.pmod(F.xxhash64(F.lit("part"), "doc_id"), F.lit(FOLDS)).cast("int"))
-    counts = written(_counted(rows), "terms")
+    counts = written(_counted(rows), "terms", BATCH)
     entries = _lexicon(counts)
     hist = []
     for k in range(FOLDS):
         others = _lexicon(counts.select("term", (F.col("toxic") - F.col(f"toxic_{k}")).alias("toxic"), (F.col("clean") - F.col(f"clean_{k}")).alias("clean")))
-        hist += (_scored(rows.filter(F.col("part") == k), others, None, keep=("toxic",))
-                 .groupBy(F.least(F.floor(F.col("raw") / BIN), F.lit(BINS - 1)).alias("bin"), "toxic").count().collect())
+        with batches_of(docs.sparkSession, BATCH):
+            hist += (_scored(rows.filter(F.col("part") == k), others, None, keep=("toxic",))
+                     .groupBy(F.least(F.floor(F.col("raw") / BIN), F.lit(BINS - 1)).alias("bin"), "toxic").count().collect())
     good, bad = np.zeros(BINS), np.zeros(BINS)
     for r in hist:
         (bad if r["toxic"] else good)[int(r["bin"])] += r["count"]

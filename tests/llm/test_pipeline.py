@@ -59,3 +59,35 @@ def test_stages_keep_columns_of_any_name(spark):
     for stage in (P.near_dedup_stage, P.decontamination_stage):
         out = stage(spark, docs, "/root/testdata/sf0.001")
         assert out.columns == docs.columns and sorted(map(tuple, out.collect())) == sorted(map(tuple, docs.collect()))
+
+
+def test_stages_take_texts_few_rows_at_a_time(spark, monkeypatch):
+    from pyspark.sql import functions as F
+
+    def few(batches):
+        for batch in batches:
+            assert batch.num_rows <= 1024
+            yield batch
+
+    monkeypatch.setattr(toxicity, "keep_clean", lambda docs, _: docs.mapInArrow(few, docs.schema))
+    monkeypatch.setattr(decontaminate, "find_overlap",
+                        lambda docs, _, text_col: docs.mapInArrow(few, docs.schema).withColumn("contaminated", F.lit(False)))
+    docs = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("some text").alias("text")).coalesce(1)
+    for stage in (corpus_pipeline.toxicity_stage, corpus_pipeline.decontamination_stage):
+        assert stage(spark, docs, SF).count() == 3000
+
+
+def test_learning_and_packing_store_texts_few_rows_at_a_time(spark, monkeypatch):
+    from shopflow.llm import packing
+    rows = {}
+
+    def spy(module):
+        own = module.written
+        monkeypatch.setattr(module, "written", lambda df, name, batch_rows=None: rows.update({name: batch_rows}) or own(df, name, batch_rows))
+
+    spy(toxicity)
+    spy(packing)
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(50)
+    toxicity.learn(docs, spark.read.parquet(f"{SF}/labels.parquet"))
+    packing.pack(docs).count()
+    assert rows == {"labelled": 1024, "terms": 1024, "pieces": 1024}

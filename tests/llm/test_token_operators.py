@@ -502,3 +502,9 @@ def test_words_before_any_signs_go_to_the_library_model_alone():
     assert set(seen) <= {"\n", *signs}
     for text in ("it's we'll' don'T x'd' 's", "a<|endoftext|> <|endoftext|>! b2% ²! a\u0301! ,!"):
         assert np.frombuffer(tok.encode(text), "<u4").tolist() == tok.model.encode(text, add_special_tokens=False).ids
+
+
+def test_a_worker_holds_as_many_words_as_its_users_ask_for(monkeypatch):
+    monkeypatch.setattr(tokens, "_LOADED", {})
+    assert chunk_tokenizer(default_tokenizer_path(), 200_000).parts.size == 200_000
+    assert chunk_tokenizer(default_tokenizer_path()).parts.size == packing.CACHE == 500_000
